@@ -484,10 +484,16 @@ FROM (SELECT max(analysis_date_utc7) AS last_day FROM corrected),
         "non_return_d3": non_return(3),
         "non_return_d7": non_return(7),
         "non_return_censored": non_return(14),
+        "play_days": on(
+            a,
+            """SELECT *, (SELECT min(s.local_date) FROM sessions s WHERE s.local_date > p.local_date
+    AND s.user_pseudo_id = p.user_pseudo_id) AS next_session
+FROM day_levels p WHERE user_pseudo_id IS NOT NULL""",
+        ),
         "latest_start": on(
             a,
-            "SELECT variant, user_pseudo_id, max(local_date) AS local_date, "
-            "arg_max(level, local_date) AS level FROM day_levels GROUP BY ALL",
+            "SELECT variant, user_pseudo_id, max(local_date) AS local_date, arg_max(level, local_date) "
+            "AS level FROM day_levels WHERE user_pseudo_id IS NOT NULL GROUP BY ALL",
         ),
         "incomplete_churn_last_start": on(a, "").rstrip() + incomplete(a) + "\nSELECT * FROM incomplete",
         "incomplete_churn_every_day": on(c, "").rstrip() + incomplete(c) + "\nSELECT * FROM incomplete",

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.telemetry import ALL_LEVELS, CORRECTION, RANGE, corrected_table, raw_events
+from checks.telemetry import ALL_LEVELS, CORRECTION, RANGE, corrected_table, raw_table
 from levelscope.config import USER, ReportConfig
 from levelscope.functions.game import is_interstitial, is_rewarded
 from levelscope.operators import economy, funnel, loss, quality, retention
@@ -45,7 +45,7 @@ def events_and_users(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def _correction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return correct_history(raw_events(spark, sf_dir), CORRECTION)
+    return correct_history(raw_table(spark, sf_dir), CORRECTION)
 
 
 def _window(spark: SparkSession, sf_dir: str, cfg: ReportConfig) -> DataFrame:
@@ -100,7 +100,7 @@ def ad_formats(data: ReportInput) -> DataFrame:
 
 def non_return(n: int) -> Callable[[ReportInput], DataFrame]:
     return lambda d: (
-        retention.non_return(d.metric, d.sessions, d.cfg).where(F.col("n") == n).drop("n")
+        retention.non_return(d.metric, d.days, d.cfg).where(F.col("n") == n).drop("n")
     )
 
 
@@ -121,7 +121,7 @@ def queries() -> dict[str, Query]:
     return {
         # stage 1
         "mode_cutoffs": lambda s, d: milestone_cutoffs(
-            history_window(raw_events(s, d), CORRECTION), CORRECTION
+            history_window(raw_table(s, d), CORRECTION), CORRECTION
         ),
         "mode_correction": lambda s, d: _correction(s, d).select(
             "event_id", USER, "event_name", "event_ts", "mode_original", "mode_fixed",
@@ -169,23 +169,24 @@ def queries() -> dict[str, Query]:
         "attempts_per_success": over(a, lambda d: economy.attempts_per_success(d.metric)),
         "balance_starters": over(a, lambda d: economy.balance_starters(d.metric)),
         "resource_unpivot": over(a, lambda d: economy.resource_rows(d.metric)),
-        "balance_sums": over(a, lambda d: economy.balance_sums(d.metric, d.cfg)),
+        "balance_sums": over(a, lambda d: economy.balance_sums(d.metric)),
         # retention
         "maturity_windows": lambda s, d: retention.maturity_windows(
             quality.coverage(_app(s, d), a), a
         ),
         "mature_cohort": over(a, lambda d: retention.mature_cohort(d.metric, d.cfg)),
-        "daily_sessions": over(a, lambda d: d.sessions),
+        "daily_sessions": over(a, lambda d: retention.daily_sessions(d.clean, d.cfg)),
         "last_level_per_day": over(a, lambda d: retention.last_level_per_day(d.metric)),
         "non_return_d3": over(a, non_return(3)),
         "non_return_d7": over(a, non_return(7)),
         "non_return_censored": over(a, non_return(14)),
-        "latest_start": over(a, lambda d: retention.latest_start(d.metric)),
+        "play_days": over(a, lambda d: d.days),
+        "latest_start": over(a, lambda d: retention.latest_start(d.days).drop("next_session")),
         "incomplete_churn_last_start": over(
-            a, lambda d: retention.incomplete_churn(d.clean, d.metric, d.sessions, d.cfg)
+            a, lambda d: retention.incomplete_churn(d.clean, d.metric, d.days, d.cfg)
         ),
         "incomplete_churn_every_day": over(
-            c, lambda d: retention.incomplete_churn(d.clean, d.metric, d.sessions, d.cfg)
+            c, lambda d: retention.incomplete_churn(d.clean, d.metric, d.days, d.cfg)
         ),
         # losses
         "loss_first": over(a, loss_counts),
@@ -204,7 +205,7 @@ def queries() -> dict[str, Query]:
         ),
         # audits
         "qa_timestamps": lambda s, d: quality.timestamp_audit(
-            raw_events(s, d), CORRECTION.app_id
+            raw_table(s, d), CORRECTION.app_id
         ),
         "qa_coverage": lambda s, d: quality.coverage(_app(s, d), c),
         "qa_mode_consistency": lambda s, d: quality.mode_consistency(_app(s, d), c),

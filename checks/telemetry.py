@@ -7,6 +7,7 @@ given some from its id, user, day and ``props.k``. ``oracle.py`` states the same
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from levelscope.config import CorrectionConfig, ReportConfig
 from levelscope.plans.correct import correct_history
 from levelscope.session import shared_folder, use_utc
-from levelscope.sources.readers import read_corrected
+from levelscope.sources.readers import read_corrected, read_raw
 from levelscope.sources.sinks import write_corrected
 
 EXPERIMENT = "exp_group"
@@ -94,10 +95,8 @@ USER_JSON = """concat(
     ',"exp_group":"', u % 4, '"}')"""
 
 
-def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def derive(events: DataFrame) -> DataFrame:
     """Raw telemetry, one row per source event."""
-    use_utc(spark)
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
     return events.selectExpr(*IDS).selectExpr(*FIELDS).selectExpr(
         "event_id",
         "CASE WHEN event_id % 50 = 49 THEN 'app_other' ELSE 'app_main' END AS app_id",
@@ -113,15 +112,36 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_written: dict[tuple[str, str], str] = {}
+_written: dict[tuple[str, str, str], str] = {}
 
 
-def corrected_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The output of stage 1, written once per session: what stage 2 reads in production too."""
+def _path(spark: SparkSession, sf_dir: str, table: str, write: Callable[[str], None]) -> str:
+    """Where a derived input table lies, after writing it on first use in a session."""
     use_utc(spark)
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, table)
     if key not in _written:
-        path = f"{shared_folder(spark)}/levelscope/{key[0]}/raw_fixed-{uuid.uuid4().hex}"
-        write_corrected(correct_history(raw_events(spark, sf_dir), CORRECTION), path)
+        path = f"{shared_folder(spark)}/levelscope/{key[0]}/{table}-{uuid.uuid4().hex}"
+        write(path)
         _written[key] = path
-    return read_corrected(spark, _written[key])
+    return _written[key]
+
+
+def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw event table: what stage 1 reads."""
+
+    def write(path: str) -> None:
+        events = spark.read.parquet(f"{sf_dir}/events.parquet")
+        spread = events.repartition(spark.sparkContext.defaultParallelism, "event_id")
+        derive(spread).write.parquet(path)
+
+    return read_raw(spark, _path(spark, sf_dir, "raw", write))
+
+
+def corrected_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The output of stage 1: what stage 2 reads."""
+
+    def write(path: str) -> None:
+        corrected = correct_history(raw_table(spark, sf_dir), CORRECTION)
+        write_corrected(corrected, path, rebalance=True)
+
+    return read_corrected(spark, _path(spark, sf_dir, "raw_fixed", write))

@@ -79,6 +79,20 @@ def is_balance(key: Column, amount: Column) -> Column:
     )
 
 
+def balance_of(resources: Column, keys: tuple[str, ...] | None = None) -> Column:
+    """Sum of a payload's balances, of all or of some ``keys``; NULL if it has no balance at all."""
+    entries = F.map_entries(resources)
+    held = F.filter(entries, lambda e: is_balance(e["key"], to_double(e["value"])))
+
+    def add(total, entry):
+        amount = to_double(entry["value"])
+        if keys is None:
+            return total + amount
+        return total + F.when(entry["key"].isin(*keys), amount).otherwise(0.0)
+
+    return F.when(F.size(held) > 0, F.aggregate(held, F.lit(0.0), add))
+
+
 def completion_bucket(completion: Column) -> Column:
     """0 below 10, 1 below 20, ... 9 from 90 on: the number of bucket edges reached."""
     reached = [(completion >= edge).cast("int") for edge in range(10, 100, 10)]

@@ -6,15 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from levelscope.config import USER, ReportConfig
-from levelscope.functions.game import (
-    is_balance,
-    is_interstitial,
-    is_rewarded,
-    is_shown_ad,
-    per,
-)
-from levelscope.functions.payload import to_double
+from levelscope.functions.game import is_interstitial, is_rewarded, is_shown_ad, per
 from levelscope.operators.funnel import LEVEL_KEYS, PLAYER_KEYS, users_per_level
+from levelscope.operators.retention import mature_users
 
 
 def _name_is(name: str) -> Column:
@@ -60,6 +54,8 @@ def player_facts(metric: DataFrame) -> DataFrame:
             F.count(F.when(ad & is_rewarded(ad_format), 1)).alias("reward_impressions"),
             F.sum(F.when(ended_straight, F.col("completion"))).alias("completion_sum"),
             F.count(F.when(ended_straight, F.col("completion"))).alias("completions"),
+            F.sum("selected_balance").alias("selected_balance"),
+            F.sum("total_balance").alias("total_balance"),
         )
     )
 
@@ -90,6 +86,9 @@ def level_metrics(facts: DataFrame, cfg: ReportConfig) -> DataFrame:
         users((F.col("paid") == 1) & started).alias("payers"),
         _attempts_per_success(user).alias("aps_avg"),
         users(F.col("turn_started") == 1).alias("balance_users"),
+        F.sum("selected_balance").alias("selected_balance"),
+        F.sum("total_balance").alias("total_balance"),
+        *mature_users(F.col("first_start"), cfg),
     )
 
 
@@ -134,17 +133,13 @@ def resource_rows(metric: DataFrame) -> DataFrame:
     )
 
 
-def balance_sums(metric: DataFrame, cfg: ReportConfig) -> DataFrame:
-    """Summed balances of the selected resources and of all of them."""
-    amounts = resource_rows(metric).select(
-        *LEVEL_KEYS, "k", to_double(F.col("v")).alias("amount")
-    )
-    selected = F.col("k").isin(*cfg.balance_resources)
+def balance_sums(metric: DataFrame) -> DataFrame:
+    """Summed first-attempt balances of the selected resources and of all of them."""
     return (
-        amounts.where(is_balance(F.col("k"), F.col("amount")))
+        metric.where(F.col("total_balance").isNotNull())
         .groupBy(*LEVEL_KEYS)
         .agg(
-            F.sum(F.when(selected, F.col("amount")).otherwise(0.0)).alias("selected_balance"),
-            F.sum("amount").alias("total_balance"),
+            F.sum("selected_balance").alias("selected_balance"),
+            F.sum("total_balance").alias("total_balance"),
         )
     )

@@ -64,9 +64,13 @@ def in_cohort(cfg: ReportConfig) -> Column:
     return in_report(cfg) & F.col("variant").isin(*cfg.variants)
 
 
-def cohort_events(clean: DataFrame, cfg: ReportConfig) -> DataFrame:
+def is_cohort(cfg: ReportConfig) -> Column:
     """Report dates, versions, variants and the report's mode; a missing mode does not count."""
-    return clean.where(in_cohort(cfg) & (F.col("metric_mode") == cfg.mode))
+    return in_cohort(cfg) & (F.col("metric_mode") == cfg.mode)
+
+
+def cohort_events(clean: DataFrame, cfg: ReportConfig) -> DataFrame:
+    return clean.where(is_cohort(cfg))
 
 
 def level_in_range(cfg: ReportConfig, level: str = "level", beyond: int = 0) -> Column:
@@ -75,8 +79,8 @@ def level_in_range(cfg: ReportConfig, level: str = "level", beyond: int = 0) ->
     return F.col(level).between(float(cfg.level_min), float(cfg.level_max + beyond))
 
 
-def metric_events(cohort: DataFrame, cfg: ReportConfig) -> DataFrame:
-    """Cohort events at a level of the report and in its first phase. Ads have no phase."""
+def is_metric(cfg: ReportConfig) -> Column:
+    """At a level of the report and in its first phase. Ads have no phase."""
     name = F.col("event_name")
     by_user_phase = [e for e in cfg.property_events if e in PURCHASE_EVENTS + ("app_remove",)]
     phase = (
@@ -84,14 +88,36 @@ def metric_events(cohort: DataFrame, cfg: ReportConfig) -> DataFrame:
         .when(name.isin(*by_user_phase), first_phase(F.col("property_phase")))
         .otherwise(first_phase(F.col("event_phase")))
     )
-    return cohort.where(level_in_range(cfg) & phase)
+    return level_in_range(cfg) & phase
+
+
+def metric_events(cohort: DataFrame, cfg: ReportConfig) -> DataFrame:
+    return cohort.where(is_metric(cfg))
 
 
-def session_events(clean: DataFrame, cfg: ReportConfig) -> DataFrame:
+def is_session(cfg: ReportConfig) -> Column:
     """Activity that counts as coming back: any mode, level or variant."""
-    return clean.where(
+    return (
         F.col("event_name").isin(*SESSION_EVENTS)
         & F.col("local_date").between(cfg.report_start, cfg.observation_end)
         & in_versions(cfg)
         & first_phase(F.col("property_phase"))
     )
+
+
+def is_play(cfg: ReportConfig) -> Column:
+    """A level start among the metric events."""
+    return (F.col("event_name") == "level_start") & is_cohort(cfg) & is_metric(cfg)
+
+
+def used_by_reports(cfg: ReportConfig) -> Column:
+    """Rows some report looks at; stated on few columns, so that it applies before most decoding.
+
+    Every report keeps to the versions. Sessions count from anybody and up to the end of
+    observation, level ends from any variant; the rest is only ever read for the report's variants.
+    """
+    of_variant = F.col("variant").isin(*cfg.variants) | (F.col("event_name") == "level_end")
+    return in_versions(cfg) & (
+        F.col("event_name").isin(*SESSION_EVENTS)
+        | (F.col("local_date").between(cfg.report_start, cfg.report_end) & of_variant)
+    )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from levelscope.config import USER, ReportConfig
-from levelscope.functions.game import game_level, local_date, mode_after_cutoff
+from levelscope.functions.game import balance_of, game_level, local_date, mode_after_cutoff
 from levelscope.functions.payload import payload_map, to_double, to_whole, with_payload_fields
 
 # Payload keys.
@@ -20,14 +20,15 @@ USER_FIELDS = ("level", "phase", "mode")
 
 def parse_fields(events: DataFrame, cfg: ReportConfig) -> DataFrame:
     """Decode both payloads once and type the fields. Unreadable values become NULL."""
+    # The user's payload comes first: a filter on the variant then spares the event's.
     decoded = with_payload_fields(
-        events, "event_params", {f"e_{name}": name for name in EVENT_FIELDS}
-    )
-    decoded = with_payload_fields(
-        decoded,
+        events,
         "user_properties",
         {**{f"u_{name}": name for name in USER_FIELDS}, "variant": cfg.experiment_key},
     )
+    decoded = with_payload_fields(
+        decoded, "event_params", {f"e_{name}": name for name in EVENT_FIELDS}
+    )
     attempt = to_whole(F.col("e_start_count"))
     opening_turn = (F.col("event_name") == "level_start_turn") & (attempt == 1)
     return decoded.select(
@@ -83,6 +84,8 @@ def normalize(parsed: DataFrame, cfg: ReportConfig) -> DataFrame:
             "property_mode_fixed": user_mode,
             "level": F.when(from_user, user_level).otherwise(event_level),
             "metric_mode": F.when(from_user, user_mode).otherwise(F.col("mode_fixed")),
+            "selected_balance": balance_of(F.col("resources"), cfg.balance_resources),
+            "total_balance": balance_of(F.col("resources")),
         }
     )
 
@@ -93,5 +96,5 @@ CLEAN_COLUMNS = (
     "property_bi_level", "property_level_text", "property_level", "property_mode_fixed",
     "event_phase", "property_phase", "success", "attempt", "continues", "completion",
     "used_boosters", "currency_value", "game_currency_value", "currency_name", "currency_type",
-    "ad_format", "resources", "first_clear_650_ts",
+    "ad_format", "selected_balance", "total_balance", "resources", "first_clear_650_ts",
 )

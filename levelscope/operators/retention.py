@@ -1,7 +1,8 @@
 """Coming back or not: non-return per horizon, and levels left incomplete for good.
 
-All of it rests on one relation: per user and play day, the next day with any session. It is built
-from day-level rows, so a user contributes at most a few rows per day however many events they have.
+All of it rests on one relation, :func:`play_days`: per user and play day, the next day with any
+session. It is built from day-level rows, so that a user contributes at most a few rows per day
+however many events they have.
 """
 
 from __future__ import annotations
@@ -13,10 +14,10 @@ from pyspark.sql.window import Window
 from levelscope.config import USER, ReportConfig
 from levelscope.functions.game import percent
 from levelscope.operators.align import align
-from levelscope.operators.filters import in_report, session_events
-from levelscope.operators.funnel import LEVEL_KEYS, PLAYER_KEYS, users_per_level
+from levelscope.operators.filters import in_report, is_play, is_session
+from levelscope.operators.funnel import LEVEL_KEYS, PLAYER_KEYS
 
-HORIZON_KEYS = ["n", "variant", "level"]
+LOSS_HORIZON = 3  # fixed value: incomplete-level churn looks at days observed for three more
 
 
 def maturity_windows(days: DataFrame, cfg: ReportConfig) -> DataFrame:
@@ -35,12 +36,6 @@ def maturity_windows(days: DataFrame, cfg: ReportConfig) -> DataFrame:
     )
 
 
-def _horizons(cfg: ReportConfig, fits) -> Column:
-    """Array of the horizons ``n`` for which ``fits(n, eligible_end)`` holds."""
-    marks = [F.when(fits(n, F.lit(cfg.eligible_end(n))), F.lit(n)) for n in cfg.day_horizons]
-    return F.array_compact(F.array(*marks))
-
-
 def level_starts(metric: DataFrame) -> DataFrame:
     return metric.where(F.col("event_name") == "level_start")
 
@@ -48,23 +43,27 @@ def level_starts(metric: DataFrame) -> DataFrame:
 def mature_cohort(metric: DataFrame, cfg: ReportConfig) -> DataFrame:
     """Distinct (variant, level, user, day) starts, once per horizon observed in full."""
     plays = level_starts(metric).select(*PLAYER_KEYS, "local_date").distinct()
-    mature = _horizons(cfg, lambda n, end: F.col("local_date") <= end)
+    mature = F.array_compact(
+        F.array(
+            *[
+                F.when(F.col("local_date") <= F.lit(cfg.eligible_end(n)), F.lit(n))
+                for n in cfg.day_horizons
+            ]
+        )
+    )
     return plays.select(F.explode(mature).alias("n"), *PLAYER_KEYS, "local_date")
 
 
-def mature_starters(metric: DataFrame, cfg: ReportConfig) -> DataFrame:
-    """Distinct starters per horizon: whoever first starts a level on a mature day."""
-    first = level_starts(metric).groupBy(*PLAYER_KEYS).agg(F.min("local_date").alias("first_day"))
-    mature = _horizons(cfg, lambda n, end: F.col("first_day") <= end)
-    return (
-        first.select(F.explode(mature).alias("n"), *PLAYER_KEYS)
-        .groupBy(*HORIZON_KEYS)
-        .agg(F.count(USER).alias("total_users"))
-    )
+def mature_users(first_start: Column, cfg: ReportConfig) -> list[Column]:
+    """Per horizon ``n``: users whose first start of the level lies on a mature day."""
+    return [
+        F.count(F.when(first_start <= F.lit(cfg.eligible_end(n)), F.col(USER))).alias(f"mature_{n}")
+        for n in cfg.day_horizons
+    ]
 
 
 def daily_sessions(clean: DataFrame, cfg: ReportConfig) -> DataFrame:
-    return session_events(clean, cfg).select(USER, "local_date").distinct()
+    return clean.where(is_session(cfg)).select(USER, "local_date").distinct()
 
 
 def last_level_per_day(metric: DataFrame) -> DataFrame:
@@ -76,17 +75,22 @@ def last_level_per_day(metric: DataFrame) -> DataFrame:
     )
 
 
-def with_next_session(plays: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Add the first session day after each play day (NULL: never again).
+def play_days(clean: DataFrame, cfg: ReportConfig) -> DataFrame:
+    """Per variant, user and play day: highest level of the day and the next session day, if any.
 
-    Plays and sessions of a user are laid out on one day line and swept from the latest day
-    backwards: no pairs of play and session days are formed. Rows without a user cannot return and
-    are never counted; they are left out here.
+    Plays and sessions are folded to day rows in one pass and laid out on one day line per user,
+    which is swept from the latest day backwards: no pairs of play and session days are formed. A
+    user has at most one row per day and variant and one for sessions, so the line stays short.
+    Events without a user can neither return nor be counted and are left out.
     """
-    known = F.col(USER).isNotNull()
-    line = plays.where(known).unionByName(
-        sessions.where(known).withColumn("session_day", F.col("local_date")),
-        allowMissingColumns=True,
+    play, session = is_play(cfg), is_session(cfg)
+    line = (
+        clean.where(F.col(USER).isNotNull() & (play | session))
+        .groupBy(USER, "local_date", F.when(play, F.col("variant")).alias("variant"))
+        .agg(
+            F.max(F.when(play, F.col("level"))).alias("level"),
+            F.max(F.when(session, F.col("local_date"))).alias("session_day"),
+        )
     )
     later = (
         Window.partitionBy(USER)
@@ -95,52 +99,75 @@ def with_next_session(plays: DataFrame, sessions: DataFrame) -> DataFrame:
     )
     return (
         line.withColumn("next_session", F.min("session_day").over(later))
-        .where(F.col("session_day").isNull())
-        .drop("session_day")
+        .where(F.col("level").isNotNull())
+        .select("variant", "level", USER, "local_date", "next_session")
     )
 
 
-def non_return(metric: DataFrame, sessions: DataFrame, cfg: ReportConfig) -> DataFrame:
-    """Per horizon: starters, and those with no session on the n days after a day they ended here.
+def not_returned(days: DataFrame, cfg: ReportConfig) -> DataFrame:
+    """Per variant and level: users with a mature day that ended here and no session on the next n.
 
-    A user's day belongs to the highest level started that day.
+    A user's day belongs to the highest level started that day. One column per horizon.
     """
-    days = with_next_session(last_level_per_day(metric), sessions)
-    gone = _horizons(
-        cfg,
-        lambda n, end: (F.col("local_date") <= end)
-        & (
-            F.col("next_session").isNull()
-            | (F.col("next_session") > F.date_add("local_date", n))
-        ),
-    )
-    churned = (
-        days.select(F.explode(gone).alias("n"), *PLAYER_KEYS)
-        .distinct()
-        .groupBy(*HORIZON_KEYS)
-        .agg(F.count(USER).alias("users_churned"))
-    )
-    merged = align(HORIZON_KEYS, mature_starters(metric, cfg), churned)
-    lost = F.coalesce("users_churned", F.lit(0))
-    return merged.select(
-        *HORIZON_KEYS,
-        "total_users",
-        lost.alias("users_churned"),
-        percent(lost, F.col("total_users")).alias("rate"),
-    )
 
+    def gone(n: int) -> Column:
+        day, back = F.col("local_date"), F.col("next_session")
+        stayed_away = back.isNull() | (back > F.date_add(day, n))
+        return F.max((day <= F.lit(cfg.eligible_end(n))) & stayed_away).alias(f"gone_{n}")
 
-def latest_start(metric: DataFrame) -> DataFrame:
-    """Each user's last start day in a variant and the highest level of that day.
+    players = days.groupBy(*PLAYER_KEYS).agg(*[gone(n) for n in cfg.day_horizons])
+    return players.groupBy(*LEVEL_KEYS).agg(
+        *[F.count_if(F.col(f"gone_{n}")).alias(f"churned_{n}") for n in cfg.day_horizons]
+    )
 
-    Days are folded first, so that the comparison of (day, level) pairs sees few rows.
-    """
-    last = F.max(F.struct("local_date", "level")).alias("last")
+
+def player_progress(metric: DataFrame) -> DataFrame:
+    """Per variant, level and user: day of the first start, and whether the level ever ended."""
+    name = F.col("event_name")
+    return (
+        metric.where(name.isin("level_start", "level_end"))
+        .groupBy(*PLAYER_KEYS)
+        .agg(
+            F.min(F.when(name == "level_start", F.col("local_date"))).alias("first_start"),
+            F.max(name == "level_end").alias("ended"),
+        )
+    )
+
+
+def non_return(metric: DataFrame, days: DataFrame, cfg: ReportConfig) -> DataFrame:
+    """One row per horizon, variant and level with mature starters: users, lost users, rate."""
+    starters = (
+        player_progress(metric)
+        .groupBy(*LEVEL_KEYS)
+        .agg(F.min("first_start").alias("first_start"), *mature_users(F.col("first_start"), cfg))
+    )
+    merged = align(LEVEL_KEYS, starters, not_returned(days, cfg))
+
+    def horizon(n: int) -> Column:
+        users = F.col(f"mature_{n}")
+        lost = F.coalesce(f"churned_{n}", F.lit(0))
+        return F.when(
+            F.col("first_start") <= F.lit(cfg.eligible_end(n)),
+            F.struct(
+                F.lit(n).alias("n"),
+                *LEVEL_KEYS,
+                users.alias("total_users"),
+                lost.alias("users_churned"),
+                percent(lost, users).alias("rate"),
+            ),
+        )
+
+    rows = F.array_compact(F.array(*[horizon(n) for n in cfg.day_horizons]))
+    return merged.select(F.inline(rows))
+
+
+def latest_start(days: DataFrame) -> DataFrame:
+    """Each user's last play day in a variant, its level and the next session after it."""
+    last = F.max(F.struct("local_date", "level", "next_session")).alias("last")
     return (
-        last_level_per_day(metric)
-        .groupBy("variant", USER)
+        days.groupBy("variant", USER)
         .agg(last)
-        .select("variant", USER, "last.local_date", "last.level")
+        .select("variant", USER, "last.local_date", "last.level", "last.next_session")
     )
 
 
@@ -150,87 +177,64 @@ def ended_levels(clean: DataFrame, cfg: ReportConfig) -> DataFrame:
     return ends.select(USER, "level").distinct()
 
 
-def ended_players(metric: DataFrame) -> DataFrame:
-    """Distinct (variant, level, user) with a level end among the metric events."""
-    return metric.where(F.col("event_name") == "level_end").select(*PLAYER_KEYS).distinct()
-
-
-def last_session(sessions: DataFrame) -> DataFrame:
-    return sessions.groupBy(USER).agg(F.max("local_date").alias("last_date"))
-
-
-def _loss_horizon(cfg: ReportConfig):
-    return cfg.eligible_end(3)  # fixed value: the loss report looks at three days
-
-
-def _with_mature_users(metric: DataFrame, abandoned: DataFrame, cfg: ReportConfig) -> DataFrame:
-    """Counts of ``abandoned`` (distinct players) over the mature starters of each level."""
-    mature = (
-        level_starts(metric)
-        .where(F.col("local_date") <= _loss_horizon(cfg))
-        .select(*PLAYER_KEYS)
-        .distinct()
-    )
-    merged = align(
-        LEVEL_KEYS,
-        users_per_level(mature, "total_users"),
-        users_per_level(abandoned, "users_churned"),
-    )
-    lost = F.coalesce("users_churned", F.lit(0))
-    return merged.select(
-        *LEVEL_KEYS,
-        "total_users",
-        lost.alias("users_churned"),
-        percent(lost, F.col("total_users")).alias("rate"),
+def _over_mature_starters(metric: DataFrame, left: DataFrame, ended_counts: bool, cfg):
+    """Players of ``left`` (distinct), counted per level over the level's mature starters."""
+    end = F.lit(cfg.eligible_end(LOSS_HORIZON))
+    players = align(PLAYER_KEYS, player_progress(metric), left.withColumn("left", F.lit(True)))
+    lost_here = F.col("left") & ~F.coalesce("ended", F.lit(False)) if ended_counts else F.col("left")
+    lost = F.count(F.when(lost_here, F.col(USER)))
+    total = F.count(F.when(F.col("first_start") <= end, F.col(USER)))
+    return (
+        players.groupBy(*LEVEL_KEYS)
+        .agg(
+            F.min("first_start").alias("first_start"),
+            total.alias("total_users"),
+            lost.alias("users_churned"),
+            percent(lost, total).alias("rate"),
+        )
+        .where(F.col("first_start") <= end)
+        .drop("first_start")
     )
 
 
 def incomplete_churn_last_start(
-    clean: DataFrame, metric: DataFrame, sessions: DataFrame, cfg: ReportConfig
+    clean: DataFrame, metric: DataFrame, days: DataFrame, cfg: ReportConfig
 ) -> DataFrame:
     """Users whose last start in the report was never ended and never followed by a session.
 
     The last start is taken over the whole report and only then held against the mature days. An
     end counts whatever its mode or variant; a session counts up to the end of the report.
     """
-    starts = latest_start(metric).where(
-        F.col(USER).isNotNull() & (F.col("local_date") <= _loss_horizon(cfg))
-    )
-    in_period = sessions.where(F.col("local_date") <= F.lit(cfg.report_end))
-    abandoned = (
-        starts.join(ended_levels(clean, cfg), [USER, "level"], "left_anti")
-        .join(last_session(in_period), USER, "left")
-        .where(F.col("last_date").isNull() | (F.col("last_date") <= F.col("local_date")))
+    back = F.col("next_session")
+    left = (
+        latest_start(days)
+        .where(
+            (F.col("local_date") <= F.lit(cfg.eligible_end(LOSS_HORIZON)))
+            & (back.isNull() | (back > F.lit(cfg.report_end)))
+        )
+        .join(ended_levels(clean, cfg), [USER, "level"], "left_anti")
         .select(*PLAYER_KEYS)
     )
-    return _with_mature_users(metric, abandoned, cfg)
+    return _over_mature_starters(metric, left, False, cfg)
 
 
-def incomplete_churn_every_day(
-    metric: DataFrame, sessions: DataFrame, cfg: ReportConfig
-) -> DataFrame:
-    """Users with a mature day that ended at a level never ended there and followed by no session.
-
-    Of a user's days at a level only the last one matters: if a session follows it, one follows all.
-    """
-    days = (
-        last_level_per_day(metric)
-        .where(F.col(USER).isNotNull() & (F.col("local_date") <= _loss_horizon(cfg)))
-        .groupBy(*PLAYER_KEYS)
-        .agg(F.max("local_date").alias("local_date"))
-    )
-    abandoned = (
-        days.join(ended_players(metric), PLAYER_KEYS, "left_anti")
-        .join(last_session(sessions), USER, "left")
-        .where(F.col("last_date").isNull() | (F.col("last_date") <= F.col("local_date")))
+def incomplete_churn_every_day(metric: DataFrame, days: DataFrame, cfg: ReportConfig) -> DataFrame:
+    """Users with a mature day that ended at a level never ended there and followed by no session."""
+    left = (
+        days.where(
+            (F.col("local_date") <= F.lit(cfg.eligible_end(LOSS_HORIZON)))
+            & F.col("next_session").isNull()
+        )
         .select(*PLAYER_KEYS)
+        .distinct()
     )
-    return _with_mature_users(metric, abandoned, cfg)
+    return _over_mature_starters(metric, left, True, cfg)
 
 
 def incomplete_churn(
-    clean: DataFrame, metric: DataFrame, sessions: DataFrame, cfg: ReportConfig
+    clean: DataFrame, metric: DataFrame, days: DataFrame, cfg: ReportConfig
 ) -> DataFrame:
+    """``(variant, level, total_users, users_churned, rate)`` in the configured definition."""
     if cfg.loss_churn == "last_start":
-        return incomplete_churn_last_start(clean, metric, sessions, cfg)
-    return incomplete_churn_every_day(metric, sessions, cfg)
+        return incomplete_churn_last_start(clean, metric, days, cfg)
+    return incomplete_churn_every_day(metric, days, cfg)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -10,8 +11,13 @@ from pyspark.sql import functions as F
 from levelscope.config import ReportConfig
 from levelscope.functions.game import BUCKETS, per, percent
 from levelscope.operators.align import align
-from levelscope.operators.economy import balance_sums, level_metrics, player_facts
-from levelscope.operators.filters import cohort_events, metric_events, system_clean
+from levelscope.operators.economy import level_metrics, player_facts
+from levelscope.operators.filters import (
+    cohort_events,
+    metric_events,
+    system_clean,
+    used_by_reports,
+)
 from levelscope.operators.funnel import (
     LEVEL_KEYS,
     ads_denominator,
@@ -21,7 +27,7 @@ from levelscope.operators.funnel import (
 from levelscope.operators.loss import loss_distribution, loss_with_churn, lost_turns
 from levelscope.operators.normalize import CLEAN_COLUMNS, normalize, parse_fields
 from levelscope.operators.quality import profile_columns
-from levelscope.operators.retention import daily_sessions, incomplete_churn, non_return
+from levelscope.operators.retention import incomplete_churn, not_returned, play_days
 from levelscope.session import stage
 from levelscope.sources.staging import only_report_events, report_window
 
@@ -39,17 +45,17 @@ class ReportInput:
     cfg: ReportConfig
     profile: dict | None = None
 
-    @property
+    @cached_property
     def cohort(self) -> DataFrame:
         return cohort_events(self.clean, self.cfg)
 
-    @property
+    @cached_property
     def metric(self) -> DataFrame:
         return metric_events(self.cohort, self.cfg)
 
-    @property
-    def sessions(self) -> DataFrame:
-        return daily_sessions(self.clean, self.cfg)
+    @cached_property
+    def days(self) -> DataFrame:
+        return play_days(self.clean, self.cfg)
 
 
 def prepare(corrected: DataFrame, cfg: ReportConfig, every_event: bool = False) -> ReportInput:
@@ -62,7 +68,8 @@ def prepare(corrected: DataFrame, cfg: ReportConfig, every_event: bool = False)
     observed = Observation("input_profile")
     window = window.observe(observed, *profile_columns(window, cfg))
     events = window if every_event else only_report_events(window)
-    clean = stage(clean_events(events, cfg), "clean")
+    clean = clean_events(events, cfg).where(used_by_reports(cfg)).drop("resources")
+    clean = stage(clean, "clean")
     return ReportInput(clean, cfg, dict(observed.get))
 
 
@@ -85,17 +92,12 @@ LEVELPLAY_COLUMNS = (
 def levelplay_report(data: ReportInput) -> DataFrame:
     """One row per variant and level that has starters."""
     cfg, metric = data.cfg, data.metric
-    returns = non_return(metric, data.sessions, cfg)
-    rates = returns.groupBy(*LEVEL_KEYS).agg(
-        *[F.max(F.when(F.col("n") == n, F.col("rate"))).alias(f"rate_d{n}") for n in (3, 7)]
-    )
     merged = align(
         LEVEL_KEYS,
         level_metrics(player_facts(metric), cfg),
         next_level_drop(level_starters(data.cohort, cfg), cfg),
-        balance_sums(metric, cfg),
         ads_denominator(data.clean, cfg).withColumnRenamed("users", "ads_users"),
-        rates,
+        not_returned(data.days, cfg),
     ).where(F.col("has_start"))
 
     starters = F.col("user_start_count")
@@ -115,8 +117,8 @@ def levelplay_report(data: ReportInput) -> DataFrame:
         "level": F.col("level"),
         "user_start_count": starters,
         "churn_rate_pct": percent(known("dropped_users"), starters),
-        "churn_rate_d3_pct": F.col("rate_d3"),
-        "churn_rate_d7_pct": F.col("rate_d7"),
+        "churn_rate_d3_pct": percent(known("churned_3"), F.col("mature_3")),
+        "churn_rate_d7_pct": percent(known("churned_7"), F.col("mature_7")),
         "aps_avg": or_zero(F.col("aps_avg")),
         "completion_rate_first_attempt_pct": or_zero(F.col("avg_completion")),
         "coin_spend_per_user": per(known("coin_spend"), starters),
@@ -145,7 +147,7 @@ def loss_report(data: ReportInput, kind: str | None = None) -> DataFrame:
     if kind == "first":
         losses = losses.where(F.col("attempt") == 1)
     distribution = loss_distribution(losses)
-    churn = incomplete_churn(data.clean, metric, data.sessions, cfg)
+    churn = incomplete_churn(data.clean, metric, data.days, cfg)
     report = loss_with_churn(distribution, churn, cfg)
     return report if kind is None else report.where(F.col("loss_kind") == kind).drop("loss_kind")
 
