@@ -3,8 +3,8 @@
 ``BENCH_SF_DIR`` and ``BENCH_CPUS`` choose the data and the local cores. Stage 1 is timed on its own
 (``mode_correction``, and ``stage1_write`` for the written table that stage 2 reads), as is deriving
 the raw event table from the test data (``derive_raw``). Those two writes run once, in a cold
-session. Every query is run to its last row, once to warm up and then ``BENCH_RUNS`` times; the best
-run counts.
+session. All queries are run to their last row once to warm up, and then ``BENCH_RUNS`` times each; the
+best run counts.
 """
 
 from __future__ import annotations
@@ -45,7 +45,7 @@ def timed(action) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = session(cpus)
     spark.sparkContext.setLogLevel("ERROR")
 
@@ -54,12 +54,17 @@ def main() -> None:
         "stage1_write": timed(lambda: corrected_table(spark, sf_dir)),
     }
     registered = queries()
-    for name in sys.argv[1:] or HEADLINES:
-        def run():
-            registered[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    names = sys.argv[1:] or HEADLINES
 
-        run()
-        results[name] = min(timed(run) for _ in range(runs))
+    def run(name: str) -> float:
+        return timed(
+            lambda: registered[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        )
+
+    for name in names:
+        run(name)
+    for name in names:
+        results[name] = min(run(name) for _ in range(runs))
     print(
         json.dumps(
             {
