@@ -79,9 +79,9 @@ def to_double(text: Column) -> Column:
     return text.try_cast("double")
 
 
-def to_whole(text: Column, kind: str = "int") -> Column:
-    """Whole number; fractions are cut off, anything else unreadable is NULL."""
-    return F.coalesce(text.try_cast(kind), text.try_cast("double").try_cast(kind))
+def whole(column: str, kind: str = "int") -> str:
+    """SQL text: whole number; fractions are cut off, anything else unreadable is NULL."""
+    return f"coalesce(try_cast({column} AS {kind}), try_cast(try_cast({column} AS double) AS {kind}))"
 
 
 def to_utc_timestamp(column: Column, kind: T.DataType) -> Column:

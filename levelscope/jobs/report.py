@@ -53,7 +53,8 @@ def run(spark: SparkSession, source: str, target: str, settings: dict) -> dict[s
     cfg = report_config(corrected, settings)
     null_value = NOT_AVAILABLE if cfg.null_missing_ads else ""
 
-    data = prepare(corrected, cfg, every_event=True)
+    # with a level range, the audit of missing cutoffs counts every kind of event
+    data = prepare(corrected, cfg, every_event=cfg.level_min is not None)
     check_profile(data.profile, cfg)
     ends = spark.createDataFrame([(to_date(cfg.observation_end),)], "observation_end date")
     maturity_windows(ends, cfg).show(truncate=False)

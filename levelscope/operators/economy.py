@@ -6,13 +6,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from levelscope.config import USER, ReportConfig
-from levelscope.functions.game import is_interstitial, is_rewarded, is_shown_ad, per
+from levelscope.functions.game import INTERSTITIAL, REWARDED, SHOWN_ADS
 from levelscope.operators.funnel import LEVEL_KEYS, PLAYER_KEYS, users_per_level
 from levelscope.operators.retention import mature_users
 
 
-def _name_is(name: str) -> Column:
-    return F.col("event_name") == name
+SPENT = "event_name = 'spend_virtual_currency'"
+SHOWN = "event_name = 'paid_ad_impression'"
+ENDED_STRAIGHT = "event_name = 'level_end' AND coalesce(continues, 0) = 0"
+WON = "event_name = 'level_end' AND success = 'true' AND attempt > 0"
+BOOSTER = "currency_type = 'booster' AND currency_name != ''"
+
+PLAYER_FACTS = (
+    "min(if(event_name = 'level_start', local_date, NULL)) AS first_start",
+    "max(if(event_name = 'level_start_turn', 1, NULL)) AS turn_started",
+    "max(if(event_name = 'in_app_purchase', 1, NULL)) AS paid",
+    "max(if(event_name = 'level_end_turn' AND used_boosters > 0, 1, NULL)) AS used_booster",
+    f"sum(if({SPENT} AND currency_name = 'coin', game_currency_value, 0)) AS coin_spend",
+    f"sum(if({SPENT}, game_currency_value, 0)) AS total_coin_spend",
+    f"sum(if({SPENT} AND {BOOSTER}, currency_value, 0)) AS booster_count",
+    f"count_if({SHOWN} AND ad_format RLIKE '{SHOWN_ADS}') AS impressions",
+    f"count_if({SHOWN} AND ad_format RLIKE '{INTERSTITIAL}') AS inter_impressions",
+    f"count_if({SHOWN} AND ad_format NOT RLIKE '{INTERSTITIAL}' AND ad_format RLIKE '{REWARDED}')"
+    " AS reward_impressions",
+    f"sum(if({ENDED_STRAIGHT}, completion, NULL)) AS completion_sum",
+    f"count(if({ENDED_STRAIGHT}, completion, NULL)) AS completions",
+    "sum(selected_balance) AS selected_balance",
+    "sum(total_balance) AS total_balance",
+)
 
 
 def player_facts(metric: DataFrame) -> DataFrame:
@@ -22,74 +43,40 @@ def player_facts(metric: DataFrame) -> DataFrame:
     being combined on the map side, for any number of metrics. Wins carry their attempt in the key;
     every other event of a user falls into the row without one.
     """
-    spend = _name_is("spend_virtual_currency")
-    ad = _name_is("paid_ad_impression")
-    booster = (F.col("currency_type") == "booster") & (F.col("currency_name") != "")
-    ended_straight = _name_is("level_end") & (
-        F.col("continues").isNull() | (F.col("continues") == 0)
-    )
-    won = _name_is("level_end") & (F.col("success") == "true") & (F.col("attempt") > 0)
-    amount = F.col("game_currency_value")
-    ad_format = F.col("ad_format")
+    won_at = F.expr(f"if({WON}, attempt, NULL) AS win_attempt")
+    return metric.groupBy(*PLAYER_KEYS, won_at).agg(*map(F.expr, PLAYER_FACTS))
 
-    def seen(condition: Column) -> Column:
-        return F.max(F.when(condition, 1))
 
-    def total(condition: Column, value: Column) -> Column:
-        return F.sum(F.when(condition, value).otherwise(0))
-
-    return (
-        metric.withColumn("win_attempt", F.when(won, F.col("attempt")))
-        .groupBy(*PLAYER_KEYS, "win_attempt")
-        .agg(
-            F.min(F.when(_name_is("level_start"), F.col("local_date"))).alias("first_start"),
-            seen(_name_is("level_start_turn")).alias("turn_started"),
-            seen(_name_is("in_app_purchase")).alias("paid"),
-            seen(_name_is("level_end_turn") & (F.col("used_boosters") > 0)).alias("used_booster"),
-            total(spend & (F.col("currency_name") == "coin"), amount).alias("coin_spend"),
-            total(spend, amount).alias("total_coin_spend"),
-            total(spend & booster, F.col("currency_value")).alias("booster_count"),
-            total(ad & is_shown_ad(ad_format), F.lit(1)).alias("impressions"),
-            F.count(F.when(ad & is_interstitial(ad_format), 1)).alias("inter_impressions"),
-            F.count(F.when(ad & is_rewarded(ad_format), 1)).alias("reward_impressions"),
-            F.sum(F.when(ended_straight, F.col("completion"))).alias("completion_sum"),
-            F.count(F.when(ended_straight, F.col("completion"))).alias("completions"),
-            F.sum("selected_balance").alias("selected_balance"),
-            F.sum("total_balance").alias("total_balance"),
-        )
-    )
+# A user weighs once per attempt at which they won.
+APS = (
+    f"try_divide(CAST(sum(if({USER} IS NOT NULL, CAST(win_attempt AS BIGINT), NULL)) AS DOUBLE),"
+    f" CAST(count(if({USER} IS NOT NULL, win_attempt, NULL)) AS DOUBLE)) AS aps_avg"
+)
+LEVEL_SUMS = (
+    "max(first_start IS NOT NULL) AS has_start",
+    f"count(if(first_start IS NOT NULL, {USER}, NULL)) AS user_start_count",
+    f"count(if(used_booster = 1, {USER}, NULL)) AS booster_users",
+    f"count(if(paid = 1 AND first_start IS NOT NULL, {USER}, NULL)) AS payers",
+    f"count(if(turn_started = 1, {USER}, NULL)) AS balance_users",
+    "sum(coin_spend) AS coin_spend",
+    "sum(total_coin_spend) AS total_coin_spend",
+    "sum(booster_count) AS booster_count",
+    "sum(impressions) AS impressions",
+    "try_divide(sum(completion_sum), CAST(sum(completions) AS DOUBLE)) AS avg_completion",
+    "sum(selected_balance) AS selected_balance",
+    "sum(total_balance) AS total_balance",
+    APS,
+)
 
 
-def level_metrics(facts: DataFrame, cfg: ReportConfig) -> DataFrame:
-    """Everything the level report takes from metric events, in one pass over the player facts."""
-    user = F.col(USER)
-
-    def users(condition: Column) -> Column:
-        return F.count(F.when(condition, user))
-
-    def ads(name: str) -> Column:
-        shown = F.sum(name)
-        return F.when(shown > 0, shown) if cfg.null_missing_ads else shown
-
-    started = F.col("first_start").isNotNull()
-    return facts.groupBy(*LEVEL_KEYS).agg(
-        F.max(started).alias("has_start"),
-        users(started).alias("user_start_count"),
-        users(F.col("used_booster") == 1).alias("booster_users"),
-        F.sum("coin_spend").alias("coin_spend"),
-        F.sum("total_coin_spend").alias("total_coin_spend"),
-        F.sum("booster_count").alias("booster_count"),
-        F.sum("impressions").alias("impressions"),
-        ads("inter_impressions").alias("inter_impressions"),
-        ads("reward_impressions").alias("reward_impressions"),
-        per(F.sum("completion_sum"), F.sum("completions")).alias("avg_completion"),
-        users((F.col("paid") == 1) & started).alias("payers"),
-        _attempts_per_success(user).alias("aps_avg"),
-        users(F.col("turn_started") == 1).alias("balance_users"),
-        F.sum("selected_balance").alias("selected_balance"),
-        F.sum("total_balance").alias("total_balance"),
+def level_columns(cfg: ReportConfig) -> list[Column]:
+    """Everything the level report takes from metric events, as aggregates of player facts."""
+    ads = "nullif(sum({0}), 0) AS {0}" if cfg.null_missing_ads else "sum({0}) AS {0}"
+    kinds = [ads.format(name) for name in ("inter_impressions", "reward_impressions")]
+    return [
+        *map(F.expr, (*LEVEL_SUMS, *kinds)),
         *mature_users(F.col("first_start"), cfg),
-    )
+    ]
 
 
 LEVEL_STATS = (
@@ -99,7 +86,8 @@ LEVEL_STATS = (
 
 
 def level_stats(metric: DataFrame, cfg: ReportConfig) -> DataFrame:
-    return level_metrics(player_facts(metric), cfg).select(*LEVEL_KEYS, *LEVEL_STATS)
+    levels = player_facts(metric).groupBy(*LEVEL_KEYS).agg(*level_columns(cfg))
+    return levels.select(*LEVEL_KEYS, *LEVEL_STATS)
 
 
 def payers(metric: DataFrame) -> DataFrame:
@@ -110,15 +98,10 @@ def payers(metric: DataFrame) -> DataFrame:
     return users_per_level(paying, "payers")
 
 
-def _attempts_per_success(user: Column) -> Column:
-    """Mean winning attempt; a user weighs once per attempt at which they won."""
-    attempt = F.when(user.isNotNull(), F.col("win_attempt"))
-    return per(F.sum(attempt.cast("long")), F.count(attempt))
-
-
 def attempts_per_success(metric: DataFrame) -> DataFrame:
+    """Mean winning attempt per level."""
     wins = player_facts(metric).where(F.col("win_attempt").isNotNull())
-    return wins.groupBy(*LEVEL_KEYS).agg(_attempts_per_success(F.col(USER)).alias("aps_avg"))
+    return wins.groupBy(*LEVEL_KEYS).agg(F.expr(APS))
 
 
 def balance_starters(metric: DataFrame) -> DataFrame:

@@ -6,12 +6,12 @@ the shuffle, then a plain count. Rows without a user keep their group but are ne
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from levelscope.config import USER, ReportConfig
 from levelscope.functions.game import first_phase
-from levelscope.operators.align import align
+from levelscope.operators.align import fold
 from levelscope.operators.filters import in_cohort, level_in_range
 
 LEVEL_KEYS = ["variant", "level"]
@@ -40,8 +40,8 @@ def start_counts(starters: DataFrame, cfg: ReportConfig) -> DataFrame:
     return users_per_level(starters.where(level_in_range(cfg)), "user_start_count")
 
 
-def next_level_drop(starters: DataFrame, cfg: ReportConfig) -> DataFrame:
-    """Starters of a level who never start the next one in the same period and variant.
+def dropped_players(starters: DataFrame, cfg: ReportConfig) -> DataFrame:
+    """Starters with a flag ``dropped``: never started the next level in the period and variant.
 
     The keys of the self-join are unique on both sides, so one busy user is no hot key.
     """
@@ -56,11 +56,16 @@ def next_level_drop(starters: DataFrame, cfg: ReportConfig) -> DataFrame:
         & (F.col(USER) == F.col("next_user"))
         & (F.col("level") + 1 == F.col("next_level"))
     )
-    return (
-        here.join(further, went_on, "left")
-        .groupBy(*LEVEL_KEYS)
-        .agg(F.count(F.when(F.col("next_user").isNull(), 1)).alias("dropped_users"))
-    )
+    dropped = F.col("next_user").isNull().alias("dropped")
+    return here.join(further, went_on, "left").select(*PLAYER_KEYS, dropped)
+
+
+def drop_count() -> Column:
+    return F.count_if("dropped").alias("dropped_users")
+
+
+def next_level_drop(starters: DataFrame, cfg: ReportConfig) -> DataFrame:
+    return dropped_players(starters, cfg).groupBy(*LEVEL_KEYS).agg(drop_count())
 
 
 def app_removers(clean: DataFrame, cfg: ReportConfig) -> DataFrame:
@@ -77,32 +82,31 @@ def app_removers(clean: DataFrame, cfg: ReportConfig) -> DataFrame:
     )
 
 
+def removing_starters(
+    starters: DataFrame, removers: DataFrame, cfg: ReportConfig
+) -> DataFrame:
+    return starters.where(level_in_range(cfg)).join(removers, PLAYER_KEYS, "left_semi")
+
+
 def remove_counts(starters: DataFrame, removers: DataFrame, cfg: ReportConfig) -> DataFrame:
     """Starters of a level who removed the app at that level; levels with none are absent."""
-    return users_per_level(
-        starters.where(level_in_range(cfg)).join(removers, PLAYER_KEYS, "left_semi"),
-        "user_remove_count",
-    )
+    return users_per_level(removing_starters(starters, removers, cfg), "user_remove_count")
 
 
 def churn_components(starters: DataFrame, removers: DataFrame, cfg: ReportConfig) -> DataFrame:
     """Started, dropped and removed users side by side; removals are not part of the drop."""
-    parts = align(
+    shown = starters.where(level_in_range(cfg)).withColumn("started", F.lit(True))
+    removed = removing_starters(starters, removers, cfg).withColumn("removed", F.lit(True))
+    return fold(
         LEVEL_KEYS,
-        start_counts(starters, cfg),
-        next_level_drop(starters, cfg),
-        remove_counts(starters, removers, cfg),
-    )
-    return parts.select(
-        *LEVEL_KEYS,
-        "user_start_count",
-        F.coalesce("dropped_users", F.lit(0)).alias("user_dropped_count"),
-        F.coalesce("user_remove_count", F.lit(0)).alias("user_remove_count"),
+        (shown, [F.count(F.when(F.col("started"), F.col(USER))).alias("user_start_count")]),
+        (dropped_players(starters, cfg), [drop_count().alias("user_dropped_count")]),
+        (removed, [F.count_if("removed").alias("user_remove_count")]),
     )
 
 
-def ads_denominator(clean: DataFrame, cfg: ReportConfig) -> DataFrame:
-    """Level starters by the user's own level and mode, the base of ads per active user."""
+def ads_players(clean: DataFrame, cfg: ReportConfig) -> DataFrame:
+    """Distinct level starters by the user's own level and mode."""
     starts = clean.where(
         (F.col("event_name") == "level_start")
         & in_cohort(cfg)
@@ -112,5 +116,9 @@ def ads_denominator(clean: DataFrame, cfg: ReportConfig) -> DataFrame:
         starts = starts.where(level_in_range(cfg, "property_bi_level"))
     if cfg.ads_phase_filter:
         starts = starts.where(first_phase(F.col("event_phase")))
-    players = starts.select("variant", F.col("property_bi_level").alias("level"), USER)
-    return users_per_level(players.distinct(), "users")
+    return starts.select("variant", F.col("property_bi_level").alias("level"), USER).distinct()
+
+
+def ads_denominator(clean: DataFrame, cfg: ReportConfig) -> DataFrame:
+    """The base of ads per active user."""
+    return users_per_level(ads_players(clean, cfg), "users")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from levelscope.config import USER, ReportConfig
 from levelscope.functions.game import balance_of, game_level, local_date, mode_after_cutoff
-from levelscope.functions.payload import payload_map, to_double, to_whole, with_payload_fields
+from levelscope.functions.payload import payload_map, whole, with_payload_fields
 
 # Payload keys.
 EVENT_FIELDS = (
@@ -18,6 +18,38 @@ EVENT_FIELDS = (
 USER_FIELDS = ("level", "phase", "mode")
 
 
+TYPED = (
+    USER,
+    "event_name",
+    "app_version",
+    "country",
+    "platform",
+    "mode_fixed",
+    "first_clear_650_ts",
+    "event_ts AS ts_utc",
+    "variant",
+    "e_level AS event_level_text",
+    "u_level AS property_level_text",
+    "try_cast(e_level AS double) AS raw_level",
+    "try_cast(u_level AS double) AS property_level",
+    f"{whole('e_phase')} AS event_phase",
+    f"{whole('u_phase')} AS property_phase",
+    "u_mode AS property_mode",
+    "lower(e_success) AS success",
+    f"{whole('e_start_count')} AS attempt",
+    f"{whole('e_continue_times')} AS continues",
+    "try_cast(e_completion AS double) AS completion",
+    "try_cast(e_use_booster_count AS double) AS used_boosters",
+    "try_cast(e_value AS double) AS currency_value",
+    f"{whole('e_value_game_currency', 'bigint')} AS game_currency_value",
+    "lower(e_virtual_currency_name) AS currency_name",
+    "lower(e_virtual_currency_type) AS currency_type",
+    "lower(coalesce(e_ad_format, '')) AS ad_format",
+    "try_cast(e_coin AS double) AS start_coin",
+    "e_currency AS purchase_currency",
+)
+
+
 def parse_fields(events: DataFrame, cfg: ReportConfig) -> DataFrame:
     """Decode both payloads once and type the fields. Unreadable values become NULL."""
     # The user's payload comes first: a filter on the variant then spares the event's.
@@ -29,40 +61,10 @@ def parse_fields(events: DataFrame, cfg: ReportConfig) -> DataFrame:
     decoded = with_payload_fields(
         decoded, "event_params", {f"e_{name}": name for name in EVENT_FIELDS}
     )
-    attempt = to_whole(F.col("e_start_count"))
-    opening_turn = (F.col("event_name") == "level_start_turn") & (attempt == 1)
-    return decoded.select(
-        USER,
-        "event_name",
-        "app_version",
-        "country",
-        "platform",
-        "mode_fixed",
-        "first_clear_650_ts",
-        F.col("event_ts").alias("ts_utc"),
-        "variant",
-        F.col("e_level").alias("event_level_text"),
-        F.col("u_level").alias("property_level_text"),
-        to_double(F.col("e_level")).alias("raw_level"),
-        to_double(F.col("u_level")).alias("property_level"),
-        to_whole(F.col("e_phase")).alias("event_phase"),
-        to_whole(F.col("u_phase")).alias("property_phase"),
-        F.col("u_mode").alias("property_mode"),
-        F.lower("e_success").alias("success"),
-        attempt.alias("attempt"),
-        to_whole(F.col("e_continue_times")).alias("continues"),
-        to_double(F.col("e_completion")).alias("completion"),
-        to_double(F.col("e_use_booster_count")).alias("used_boosters"),
-        to_double(F.col("e_value")).alias("currency_value"),
-        to_whole(F.col("e_value_game_currency"), "bigint").alias("game_currency_value"),
-        F.lower("e_virtual_currency_name").alias("currency_name"),
-        F.lower("e_virtual_currency_type").alias("currency_type"),
-        F.lower(F.coalesce("e_ad_format", F.lit(""))).alias("ad_format"),
-        to_double(F.col("e_coin")).alias("start_coin"),
-        F.col("e_currency").alias("purchase_currency"),
-        # only first-attempt turn starts carry a balance sheet; other payloads end here
-        F.when(opening_turn, payload_map(events, "event_params")).alias("resources"),
-    )
+    # only first-attempt turn starts carry a balance sheet; other payloads end here
+    opening_turn = F.expr(f"event_name = 'level_start_turn' AND {whole('e_start_count')} = 1")
+    resources = F.when(opening_turn, payload_map(events, "event_params")).alias("resources")
+    return decoded.select(*map(F.expr, TYPED), resources)
 
 
 def normalize(parsed: DataFrame, cfg: ReportConfig) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 
 from levelscope.config import USER, ReportConfig
 from levelscope.functions.game import percent
-from levelscope.operators.align import align
+from levelscope.operators.align import align, fold
 from levelscope.operators.filters import in_report, is_play, is_session
 from levelscope.operators.funnel import LEVEL_KEYS, PLAYER_KEYS
 
@@ -104,10 +104,10 @@ def play_days(clean: DataFrame, cfg: ReportConfig) -> DataFrame:
     )
 
 
-def not_returned(days: DataFrame, cfg: ReportConfig) -> DataFrame:
-    """Per variant and level: users with a mature day that ended here and no session on the next n.
+def gone_players(days: DataFrame, cfg: ReportConfig) -> DataFrame:
+    """Per player and horizon n: a mature day that ended here with no session on the next n days.
 
-    A user's day belongs to the highest level started that day. One column per horizon.
+    A user's day belongs to the highest level started that day. One flag per horizon.
     """
 
     def gone(n: int) -> Column:
@@ -115,10 +115,11 @@ def not_returned(days: DataFrame, cfg: ReportConfig) -> DataFrame:
         stayed_away = back.isNull() | (back > F.date_add(day, n))
         return F.max((day <= F.lit(cfg.eligible_end(n))) & stayed_away).alias(f"gone_{n}")
 
-    players = days.groupBy(*PLAYER_KEYS).agg(*[gone(n) for n in cfg.day_horizons])
-    return players.groupBy(*LEVEL_KEYS).agg(
-        *[F.count_if(F.col(f"gone_{n}")).alias(f"churned_{n}") for n in cfg.day_horizons]
-    )
+    return days.groupBy(*PLAYER_KEYS).agg(*[gone(n) for n in cfg.day_horizons])
+
+
+def gone_counts(cfg: ReportConfig) -> list[Column]:
+    return [F.count_if(F.col(f"gone_{n}")).alias(f"churned_{n}") for n in cfg.day_horizons]
 
 
 def player_progress(metric: DataFrame) -> DataFrame:
@@ -136,16 +137,16 @@ def player_progress(metric: DataFrame) -> DataFrame:
 
 def non_return(metric: DataFrame, days: DataFrame, cfg: ReportConfig) -> DataFrame:
     """One row per horizon, variant and level with mature starters: users, lost users, rate."""
-    starters = (
-        player_progress(metric)
-        .groupBy(*LEVEL_KEYS)
-        .agg(F.min("first_start").alias("first_start"), *mature_users(F.col("first_start"), cfg))
+    first = F.min("first_start").alias("first_start")
+    merged = fold(
+        LEVEL_KEYS,
+        (player_progress(metric), [first, *mature_users(F.col("first_start"), cfg)]),
+        (gone_players(days, cfg), gone_counts(cfg)),
     )
-    merged = align(LEVEL_KEYS, starters, not_returned(days, cfg))
 
     def horizon(n: int) -> Column:
         users = F.col(f"mature_{n}")
-        lost = F.coalesce(f"churned_{n}", F.lit(0))
+        lost = F.col(f"churned_{n}")
         return F.when(
             F.col("first_start") <= F.lit(cfg.eligible_end(n)),
             F.struct(

@@ -8,10 +8,10 @@ from functools import cached_property
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from levelscope.config import ReportConfig
+from levelscope.config import SESSION_EVENTS, USER, ReportConfig
 from levelscope.functions.game import BUCKETS, per, percent
-from levelscope.operators.align import align
-from levelscope.operators.economy import level_metrics, player_facts
+from levelscope.operators.align import fold
+from levelscope.operators.economy import level_columns, player_facts
 from levelscope.operators.filters import (
     cohort_events,
     metric_events,
@@ -20,14 +20,20 @@ from levelscope.operators.filters import (
 )
 from levelscope.operators.funnel import (
     LEVEL_KEYS,
-    ads_denominator,
+    ads_players,
+    drop_count,
+    dropped_players,
     level_starters,
-    next_level_drop,
 )
 from levelscope.operators.loss import loss_distribution, loss_with_churn, lost_turns
 from levelscope.operators.normalize import CLEAN_COLUMNS, normalize, parse_fields
 from levelscope.operators.quality import profile_columns
-from levelscope.operators.retention import incomplete_churn, not_returned, play_days
+from levelscope.operators.retention import (
+    gone_counts,
+    gone_players,
+    incomplete_churn,
+    play_days,
+)
 from levelscope.session import stage
 from levelscope.sources.staging import only_report_events, report_window
 
@@ -68,6 +74,9 @@ def prepare(corrected: DataFrame, cfg: ReportConfig, every_event: bool = False)
     observed = Observation("input_profile")
     window = window.observe(observed, *profile_columns(window, cfg))
     events = window if every_event else only_report_events(window)
+    # Reports take nothing from the event payload of activity and removals: it is not decoded.
+    unread = F.col("event_name").isin(*SESSION_EVENTS, "app_remove")
+    events = events.withColumn("event_params", F.when(~unread, F.col("event_params")))
     clean = clean_events(events, cfg).where(used_by_reports(cfg)).drop("resources")
     clean = stage(clean, "clean")
     return ReportInput(clean, cfg, dict(observed.get))
@@ -92,12 +101,13 @@ LEVELPLAY_COLUMNS = (
 def levelplay_report(data: ReportInput) -> DataFrame:
     """One row per variant and level that has starters."""
     cfg, metric = data.cfg, data.metric
-    merged = align(
+    ads_users = F.count(F.when(F.col("ads_start"), F.col(USER))).alias("ads_users")
+    merged = fold(
         LEVEL_KEYS,
-        level_metrics(player_facts(metric), cfg),
-        next_level_drop(level_starters(data.cohort, cfg), cfg),
-        ads_denominator(data.clean, cfg).withColumnRenamed("users", "ads_users"),
-        not_returned(data.days, cfg),
+        (player_facts(metric), level_columns(cfg)),
+        (dropped_players(level_starters(data.cohort, cfg), cfg), [drop_count()]),
+        (ads_players(data.clean, cfg).withColumn("ads_start", F.lit(True)), [ads_users]),
+        (gone_players(data.days, cfg), gone_counts(cfg)),
     ).where(F.col("has_start"))
 
     starters = F.col("user_start_count")
@@ -116,9 +126,9 @@ def levelplay_report(data: ReportInput) -> DataFrame:
         "ab_group": F.col("variant"),
         "level": F.col("level"),
         "user_start_count": starters,
-        "churn_rate_pct": percent(known("dropped_users"), starters),
-        "churn_rate_d3_pct": percent(known("churned_3"), F.col("mature_3")),
-        "churn_rate_d7_pct": percent(known("churned_7"), F.col("mature_7")),
+        "churn_rate_pct": percent(F.col("dropped_users"), starters),
+        "churn_rate_d3_pct": percent(F.col("churned_3"), F.col("mature_3")),
+        "churn_rate_d7_pct": percent(F.col("churned_7"), F.col("mature_7")),
         "aps_avg": or_zero(F.col("aps_avg")),
         "completion_rate_first_attempt_pct": or_zero(F.col("avg_completion")),
         "coin_spend_per_user": per(known("coin_spend"), starters),

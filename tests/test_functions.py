@@ -7,7 +7,7 @@ from levelscope.functions.game import (
     completion_bucket, first_phase, game_level, is_interstitial, is_rewarded, is_shown_ad,
     local_date, mode_after_cutoff, per,
 )
-from levelscope.functions.payload import payload_map, payload_text, to_whole, with_payload_fields
+from levelscope.functions.payload import payload_map, payload_text, whole, with_payload_fields
 from tests.golden import as_struct, base_rows, frame
 
 
@@ -27,12 +27,12 @@ def test_game_level(spark):
     assert [g[0] for g in got] == [c[2] for c in cases]
 
 
-def test_to_whole(spark):
+def test_whole_numbers(spark):
     cases = [("3", 3), ("3.7", 3), ("-3.7", -3), ("", None), ("x", None), (None, None),
              ("3000000000", None), ("12", 12)]
-    got = one(spark, [(c[0],) for c in cases], "t string", to_whole(F.col("t")))
+    got = one(spark, [(c[0],) for c in cases], "t string", F.expr(whole("t")))
     assert [g[0] for g in got] == [c[1] for c in cases]
-    big = one(spark, [("9007199254740993",)], "t string", to_whole(F.col("t"), "bigint"))
+    big = one(spark, [("9007199254740993",)], "t string", F.expr(whole("t", "bigint")))
     assert big == [(9007199254740993,)]
 
 
