@@ -6,7 +6,7 @@ number of fields; maps and structs are read in place, without a detour through J
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,15 +37,31 @@ def payload_field(df: DataFrame, column: str, key: str) -> Column:
     return F.get_json_object(F.col(column), "$." + key)
 
 
-def with_payload_fields(df: DataFrame, column: str, fields: Mapping[str, str]) -> DataFrame:
+def with_payload_fields(
+    df: DataFrame,
+    column: str,
+    fields: Mapping[str, str],
+    readers: Mapping[str, Sequence[str]] | None = None,
+) -> DataFrame:
     """Add text columns ``{output name: payload key}``.
 
     For JSON text this is a single ``json_tuple``. Being a generator it also keeps later filters on
-    the fields from being rewritten into further parses of the same text.
+    the fields from being rewritten into further parses of the same text. ``readers`` names, per
+    key, the events whose field is ever read: the others are not even extracted, and text no field
+    of which is read is not parsed. Maps and structs cost nothing to read and ignore it.
     """
-    if isinstance(check_payload_type(df, column), T.StringType):
+    if not isinstance(check_payload_type(df, column), T.StringType):
+        return df.withColumns({out: payload_field(df, column, key) for out, key in fields.items()})
+    if readers is None:
         return df.select("*", F.json_tuple(column, *fields.values()).alias(*fields.keys()))
-    return df.withColumns({out: payload_field(df, column, key) for out, key in fields.items()})
+
+    def one_of(events) -> str:
+        return "event_name IN (" + ", ".join(f"'{name}'" for name in sorted(events)) + ")"
+
+    text = f"if({one_of(set().union(*readers.values()))}, {column}, NULL)"
+    keys = [f"if({one_of(readers[key])}, '{key}', NULL)" for key in fields.values()]
+    decoded = F.expr(f"json_tuple({text}, {', '.join(keys)})").alias(*fields.keys())
+    return df.select("*", decoded)
 
 
 def payload_map(df: DataFrame, column: str) -> Column:

@@ -10,11 +10,26 @@ from levelscope.functions.game import balance_of, game_level, local_date, mode_a
 from levelscope.functions.payload import payload_map, whole, with_payload_fields
 
 # Payload keys.
-EVENT_FIELDS = (
-    "level", "phase", "success", "start_count", "continue_times", "completion",
-    "use_booster_count", "value", "value_game_currency", "virtual_currency_name",
-    "virtual_currency_type", "ad_format", "coin", "currency",
-)
+TURNS = ("level_start_turn", "level_end", "level_end_turn")
+PLAYED = ("level_start", *TURNS, "spend_virtual_currency")
+SPEND = ("spend_virtual_currency",)
+# payload key: the events for which a filter or a report reads it
+EVENT_FIELDS = {
+    "level": PLAYED,
+    "phase": PLAYED,
+    "success": ("level_end", "level_end_turn"),
+    "start_count": TURNS,
+    "continue_times": ("level_end",),
+    "completion": ("level_end", "level_end_turn"),
+    "use_booster_count": ("level_end_turn",),
+    "value": ("spend_virtual_currency", "in_app_purchase"),
+    "value_game_currency": ("spend_virtual_currency", "earn_virtual_currency"),
+    "virtual_currency_name": SPEND,
+    "virtual_currency_type": SPEND,
+    "ad_format": ("paid_ad_impression",),
+    "coin": ("level_start_turn",),
+    "currency": ("in_app_purchase",),
+}
 USER_FIELDS = ("level", "phase", "mode")
 
 
@@ -50,8 +65,11 @@ TYPED = (
 )
 
 
-def parse_fields(events: DataFrame, cfg: ReportConfig) -> DataFrame:
-    """Decode both payloads once and type the fields. Unreadable values become NULL."""
+def parse_fields(events: DataFrame, cfg: ReportConfig, lean: bool = False) -> DataFrame:
+    """Decode both payloads once and type the fields. Unreadable values become NULL.
+
+    ``lean`` leaves out what no report reads, see :data:`EVENT_FIELDS`.
+    """
     # The user's payload comes first: a filter on the variant then spares the event's.
     decoded = with_payload_fields(
         events,
@@ -59,7 +77,10 @@ def parse_fields(events: DataFrame, cfg: ReportConfig) -> DataFrame:
         {**{f"u_{name}": name for name in USER_FIELDS}, "variant": cfg.experiment_key},
     )
     decoded = with_payload_fields(
-        decoded, "event_params", {f"e_{name}": name for name in EVENT_FIELDS}
+        decoded,
+        "event_params",
+        {f"e_{name}": name for name in EVENT_FIELDS},
+        readers=EVENT_FIELDS if lean else None,
     )
     # only first-attempt turn starts carry a balance sheet; other payloads end here
     opening_turn = F.expr(f"event_name = 'level_start_turn' AND {whole('e_start_count')} = 1")

@@ -8,7 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from levelscope.config import SESSION_EVENTS, USER, ReportConfig
+from levelscope.config import USER, ReportConfig
 from levelscope.functions.game import BUCKETS, per, percent
 from levelscope.operators.align import fold
 from levelscope.operators.economy import level_columns, player_facts
@@ -38,9 +38,10 @@ from levelscope.session import stage
 from levelscope.sources.staging import only_report_events, report_window
 
 
-def clean_events(events: DataFrame, cfg: ReportConfig) -> DataFrame:
+def clean_events(events: DataFrame, cfg: ReportConfig, lean: bool = False) -> DataFrame:
     """Window events to narrow, typed, system-filtered rows."""
-    return system_clean(normalize(parse_fields(events, cfg), cfg), cfg).select(*CLEAN_COLUMNS)
+    typed = normalize(parse_fields(events, cfg, lean), cfg)
+    return system_clean(typed, cfg).select(*CLEAN_COLUMNS)
 
 
 @dataclass(frozen=True)
@@ -74,10 +75,7 @@ def prepare(corrected: DataFrame, cfg: ReportConfig, every_event: bool = False)
     observed = Observation("input_profile")
     window = window.observe(observed, *profile_columns(window, cfg))
     events = window if every_event else only_report_events(window)
-    # Reports take nothing from the event payload of activity and removals: it is not decoded.
-    unread = F.col("event_name").isin(*SESSION_EVENTS, "app_remove")
-    events = events.withColumn("event_params", F.when(~unread, F.col("event_params")))
-    clean = clean_events(events, cfg).where(used_by_reports(cfg)).drop("resources")
+    clean = clean_events(events, cfg, lean=True).where(used_by_reports(cfg)).drop("resources")
     clean = stage(clean, "clean")
     return ReportInput(clean, cfg, dict(observed.get))
 
