@@ -40,13 +40,15 @@ def start_counts(starters: DataFrame, cfg: ReportConfig) -> DataFrame:
     return users_per_level(starters.where(level_in_range(cfg)), "user_start_count")
 
 
-def dropped_players(starters: DataFrame, cfg: ReportConfig) -> DataFrame:
+def dropped_players(starters: DataFrame) -> DataFrame:
     """Starters with a flag ``dropped``: never started the next level in the period and variant.
 
-    The keys of the self-join are unique on both sides, so one busy user is no hot key.
+    The keys of the self-join are unique on both sides, so one busy user is no hot key. Both sides
+    are the same relation, level past the range included and keys known, so that one shuffle of it
+    serves both.
     """
-    here = starters.where(level_in_range(cfg) & F.col(USER).isNotNull())
-    further = starters.where(F.col(USER).isNotNull()).select(
+    here = starters.where(" AND ".join(f"{name} IS NOT NULL" for name in PLAYER_KEYS))
+    further = here.select(
         F.col("variant").alias("next_variant"),
         F.col(USER).alias("next_user"),
         F.col("level").alias("next_level"),
@@ -65,7 +67,8 @@ def drop_count() -> Column:
 
 
 def next_level_drop(starters: DataFrame, cfg: ReportConfig) -> DataFrame:
-    return dropped_players(starters, cfg).groupBy(*LEVEL_KEYS).agg(drop_count())
+    drops = dropped_players(starters).groupBy(*LEVEL_KEYS).agg(drop_count())
+    return drops.where(level_in_range(cfg))
 
 
 def app_removers(clean: DataFrame, cfg: ReportConfig) -> DataFrame:
@@ -95,14 +98,14 @@ def remove_counts(starters: DataFrame, removers: DataFrame, cfg: ReportConfig) -
 
 def churn_components(starters: DataFrame, removers: DataFrame, cfg: ReportConfig) -> DataFrame:
     """Started, dropped and removed users side by side; removals are not part of the drop."""
-    shown = starters.where(level_in_range(cfg)).withColumn("started", F.lit(True))
+    shown = starters.withColumn("started", F.lit(True))
     removed = removing_starters(starters, removers, cfg).withColumn("removed", F.lit(True))
     return fold(
         LEVEL_KEYS,
         (shown, [F.count(F.when(F.col("started"), F.col(USER))).alias("user_start_count")]),
-        (dropped_players(starters, cfg), [drop_count().alias("user_dropped_count")]),
+        (dropped_players(starters), [drop_count().alias("user_dropped_count")]),
         (removed, [F.count_if("removed").alias("user_remove_count")]),
-    )
+    ).where(level_in_range(cfg))
 
 
 def ads_players(clean: DataFrame, cfg: ReportConfig) -> DataFrame:

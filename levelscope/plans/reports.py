@@ -103,7 +103,7 @@ def levelplay_report(data: ReportInput) -> DataFrame:
     merged = fold(
         LEVEL_KEYS,
         (player_facts(metric), level_columns(cfg)),
-        (dropped_players(level_starters(data.cohort, cfg), cfg), [drop_count()]),
+        (dropped_players(level_starters(data.cohort, cfg)), [drop_count()]),
         (ads_players(data.clean, cfg).withColumn("ads_start", F.lit(True)), [ads_users]),
         (gone_players(data.days, cfg), gone_counts(cfg)),
     ).where(F.col("has_start"))

@@ -68,8 +68,16 @@ def test_reports_read_the_staged_table_only(spark, corrected, cfg):
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
         assert "Expand" not in text
         assert "Python" not in text
-    # two folds of events, the drop's starters on both sides of its join, the ads base
-    assert len(re.findall(r"FileScan parquet", plan(levelplay_report(data)))) <= 5
+
+
+@pytest.mark.parametrize("cfg", [RANGE, ALL_LEVELS], ids=["range", "all_levels"])
+def test_level_report_scans(spark, corrected, cfg):
+    """Player facts, play days, starters (one shuffle for both sides of the drop) and ads base."""
+    report = levelplay_report(prepare(corrected, cfg))
+    report.collect()
+    final = plan(report).split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final
+    assert len(re.findall(r"FileScan parquet", final)) == 4
 
 
 def test_profile_comes_with_the_staging_pass(corrected):
