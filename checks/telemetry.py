@@ -10,7 +10,6 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from levelscope.config import CorrectionConfig, ReportConfig
 from levelscope.plans.correct import correct_history

@@ -5,6 +5,7 @@ import pytest
 from levelscope.plans.reports import LEVELPLAY_COLUMNS, LOSS_COLUMNS, levelplay_report, loss_report, prepare
 from tests.golden import (
     ALL, RANGE, as_map, as_struct, base_rows, boundary_rows, collected, frame, noise_rows,
+    row,
 )
 
 
@@ -108,6 +109,12 @@ def test_noise_changes_nothing(spark, all_levels):
     assert reports(frame(spark, rows + noise_rows()), ALL) == all_levels
 
 
+def test_busy_user_changes_nothing(spark, all_levels):
+    """Thousands of further sessions and starts of one user on days they were active anyway."""
+    busy = [row("c", "session_start", "2026-10-06"), row("a", "level_start", "2026-10-02")]
+    assert reports(frame(spark, base_rows() + busy * 2000), ALL) == all_levels
+
+
 def test_rows_outside_the_window_change_nothing(spark, all_levels):
     outside = [r for r in boundary_rows() if r[1] in ("before", "outside", "future")]
     assert reports(frame(spark, base_rows() + outside), ALL) == all_levels
