@@ -18,16 +18,17 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, named by ``spark.checkpoint.dir``.
 
-    A machine-local folder is used only with a local master, where there is no other machine.
+    Without the setting, the checkpoint folder of the context is used. Only with a local master,
+    where there is no other machine, one is made if there is none.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="levelscope-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="levelscope-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -15,6 +15,6 @@ def spark(tmp_path_factory):
     spark.sparkContext.setLogLevel("ERROR")
     spark.conf.set("spark.sql.maxMetadataStringLength", "100000")  # plan tests read whole lists
     if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        spark.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
     yield spark
     spark.stop()
