@@ -10,8 +10,12 @@ from checks.telemetry import ALL_LEVELS, CORRECTION, RANGE, corrected_table, raw
 from levelscope.operators import loss
 from levelscope.operators.correction import history_window, milestone_cutoffs
 from levelscope.plans.correct import correct_history
-from levelscope.plans.reports import levelplay_report, loss_report, open_input, prepare
-from levelscope.sources.staging import report_window
+from levelscope.operators.filters import used_by_reports
+from levelscope.operators.quality import timestamp_audit
+from levelscope.plans.reports import (
+    clean_events, levelplay_report, loss_report, open_input, prepare,
+)
+from levelscope.sources.staging import only_report_events, report_window
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -59,6 +63,26 @@ def test_one_decode_per_payload(corrected):
     assert "get_json_object" not in text
 
 
+def test_rows_outside_the_experiment_skip_the_event_payload(corrected):
+    """The variant is known from the user's payload and filtered before the event's is decoded."""
+    events = only_report_events(report_window(corrected, RANGE))
+    text = plan(clean_events(events, RANGE, lean=True).where(used_by_reports(RANGE)))
+    top_down = re.findall(r"Generate json_tuple\((?:if|user)|Filter \(.*", text)
+    assert top_down[0].startswith("Filter") and "e_coin" in top_down[0]
+    assert top_down[1].startswith("Generate json_tuple(if")
+    assert "variant" in top_down[2]
+    assert top_down[3].startswith("Generate json_tuple(user")
+
+
+def test_bad_timestamps_are_found_from_statistics(spark):
+    """On timestamps the audit is a pushed IsNull over two columns."""
+    raw = raw_table(spark, SF_DIR)
+    text = plan(raw.where((raw.app_id == "app_main") & raw.event_ts.isNull()))
+    assert "IsNull(event_ts)" in text and "event_params:" not in plan(
+        timestamp_audit(raw, "app_main")
+    )
+
+
 @pytest.mark.parametrize("cfg", [RANGE, ALL_LEVELS], ids=["range", "all_levels"])
 def test_reports_read_the_staged_table_only(spark, corrected, cfg):
     data = prepare(corrected, cfg)
