@@ -3,16 +3,17 @@
 import pytest
 
 import __spark_entry__ as contract
+from checks import oracle, registry
 from checks.compare import compare
 
 SF_DIR = "/root/testdata/sf0.01"
 
 
 def test_every_query_has_an_oracle():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(registry.queries()) == set(oracle.statements())
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(registry.queries()))
 def test_query_equals_oracle(spark, name):
     same, note = compare(spark, SF_DIR, name)
     assert same, note

@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
+from checks import registry
 from checks.telemetry import ALL_LEVELS, CORRECTION, RANGE, corrected_table, raw_table
 from levelscope.operators import loss
 from levelscope.operators.correction import history_window, milestone_cutoffs
@@ -117,8 +117,8 @@ def test_loss_distribution_counts_without_expand(corrected):
     assert len(re.findall(r"Exchange hashpartitioning", text)) == 2
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(registry.queries()))
 def test_no_nested_loops_and_no_python(spark, name):
-    text = plan(contract.queries()[name](spark, SF_DIR))
+    text = plan(registry.queries()[name](spark, SF_DIR))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
