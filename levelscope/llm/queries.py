@@ -8,7 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from levelscope.llm import bpe_codec, quality_rules, sharding, token_counts
+from levelscope.llm import (
+    bpe_codec, decontamination, line_dedup, minhash_dedup, quality_rules, sharding, token_counts,
+)
+from levelscope.llm.oracles import ORACLES
 
 #: Where the vocabulary files lie on the driver.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
@@ -33,6 +36,39 @@ def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def decontamination_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.scan(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    # ends of spans count up, starts down
+    n_hit = F.aggregate(
+        F.transform("hits", lambda x, i: F.when(i % 2 == 1, x).otherwise(-x)),
+        F.lit(0).cast("long"),
+        lambda a, x: a + x,
+    )
+    return found.select(
+        "row.doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("hits") > 0).alias("contaminated"),
+    )
+
+
+def line_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    short = line_dedup.deduplicated(documents(spark, sf_dir))
+    return short.select(
+        "row.doc_id",
+        F.size(F.split(F.coalesce("row.text", F.lit("")), "\n")).cast("long").alias("n_lines"),
+        F.size("removed").cast("long").alias("n_removed"),
+        F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
+def near_duplicate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash_dedup.classes(documents(spark, sf_dir))
+    return found.select("doc_id", "class_id", "class_size", "kept")
+
+
 def token_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.with_token_counts(documents(spark, sf_dir), BYTE_BPE)
     return counted.select(
@@ -60,14 +96,27 @@ def round_trip_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(documents(spark, sf_dir))
 
 
+def pipeline_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # its stages use this module
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": quality_query,
+        "op2_decontamination": decontamination_query,
         "op3_token_counts": token_query,
         "op4_sharding": shard_query,
+        "op5_line_dedup": line_query,
+        "op8_minhash_dedup": near_duplicate_query,
         "op9_bpe_round_trip": round_trip_query,
+        "pipeline": pipeline_query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    import corpus_pipeline
+
+    whole = corpus_pipeline.ORACLE_SQL
+    return ORACLES | ({"pipeline": whole} if whole else {})
