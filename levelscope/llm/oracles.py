@@ -108,4 +108,5 @@ FROM base
 ORACLES = {
     "op1_quality_rules": QUALITY,
     "op2_decontamination": DECONTAMINATION,
+    "op6_substring_dedup": SUBSTRINGS,
 }

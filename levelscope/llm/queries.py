@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from levelscope.llm import (
-    bpe_codec, decontamination, line_dedup, minhash_dedup, quality_rules, sharding, token_counts,
+    bpe_codec, decontamination, line_dedup, minhash_dedup, quality_rules, sharding,
+    substring_dedup, token_counts,
 )
 from levelscope.llm.oracles import ORACLES
 
@@ -64,6 +65,15 @@ def line_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def substring_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.deduplicated(documents(spark, sf_dir)).select(
+        "row.doc_id",
+        "n_words",
+        "n_removed",
+        F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
 def near_duplicate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash_dedup.classes(documents(spark, sf_dir))
     return found.select("doc_id", "class_id", "class_size", "kept")
@@ -109,6 +119,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_token_counts": token_query,
         "op4_sharding": shard_query,
         "op5_line_dedup": line_query,
+        "op6_substring_dedup": substring_query,
         "op8_minhash_dedup": near_duplicate_query,
         "op9_bpe_round_trip": round_trip_query,
         "pipeline": pipeline_query,
