@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from levelscope.llm import (
-    bpe_codec, decontamination, line_dedup, minhash_dedup, quality_rules, sharding,
+    bpe_codec, decontamination, language_id, line_dedup, minhash_dedup, quality_rules, sharding,
     substring_dedup, token_counts,
 )
 from levelscope.llm.oracles import ORACLES
@@ -74,6 +74,17 @@ def substring_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def language_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text", "lang").withColumn(
+        "held_out", F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    )
+    model = language_id.trained(
+        docs.where(~F.col("held_out")).select("lang", F.col("text").alias("_text"))
+    )
+    found = language_id.predicted(docs.select("doc_id", "text", "held_out"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def near_duplicate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash_dedup.classes(documents(spark, sf_dir))
     return found.select("doc_id", "class_id", "class_size", "kept")
@@ -120,6 +131,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_sharding": shard_query,
         "op5_line_dedup": line_query,
         "op6_substring_dedup": substring_query,
+        "op7_language_id": language_query,
         "op8_minhash_dedup": near_duplicate_query,
         "op9_bpe_round_trip": round_trip_query,
         "pipeline": pipeline_query,
