@@ -33,11 +33,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from levelscope.llm.texts import ranges
-from levelscope.llm.token_counts import groups
+from levelscope.llm.token_counts import parts, texts_of
 from levelscope.llm.vocabulary import byte_symbols, shipped, special_pattern
+from levelscope.llm.workers import mapped
 
 NEVER = 1 << 30
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 150_000
 DECODE_IDS = 1 << 18
 
 
@@ -77,9 +78,7 @@ class Codec:
         """Automaton, lengths, next shorter tokens and merge spines of the tokens in use."""
         byte_of = {s: b for b, s in enumerate(spelled)}
         by_word: dict[str, int] = {}
-        self.low_spine: dict[int, list[tuple[int, int]]] = {}
-        self.high_spine: dict[int, list[tuple[int, int]]] = {}
-        tree: dict[int, tuple[int, int, int]] = {}
+        self.parts: dict[int, tuple[int, int, int]] = {}
         for text, token in sorted(self.ids.items(), key=lambda x: x[1]):
             if token in self.special_ids.values():
                 continue
@@ -90,7 +89,7 @@ class Codec:
             left, steps = self.merged([self.single[s] for s in body])
             if left == [token]:  # else the merges never give it
                 by_word["".join(map(chr, body))] = token
-                tree.update(steps)
+                self.parts.update(steps)
         self.length = {token: len(word) for word, token in by_word.items()}
         self.shorter: dict[int, int | None] = {}
         self.automaton = ahocorasick.Automaton()
@@ -99,21 +98,17 @@ class Codec:
             self.shorter[token] = next((p for p in prefixes if p is not None), None)
             self.automaton.add_word(word, token)
         self.automaton.make_automaton()
-        for token in self.length:
-            self.low_spine[token] = self._spine(tree, token, 0)
-            self.high_spine[token] = self._spine(tree, token, 1)
 
-    @staticmethod
-    def _spine(tree, token: int, side: int) -> list[tuple[int, int]]:
+    def _spine(self, token: int, side: int) -> list[tuple[int, int]]:
         """From the outermost symbol of a side up to the token: each piece, and the rank at which
         it is merged into the next."""
         out, taken = [], NEVER
         while True:
             out.append((token, taken))
-            if token not in tree:
+            if token not in self.parts:
                 return out[::-1]
-            taken = tree[token][2]
-            token = tree[token][side]
+            taken = self.parts[token][2]
+            token = self.parts[token][side]
 
     def merged(self, tokens: list[int]) -> tuple[list[int], dict[int, tuple[int, int, int]]]:
         """The merges applied one by one in order of rank, and the parts of each token made."""
@@ -144,7 +139,7 @@ class Codec:
         if its rank comes before that of the left piece's next merge (which goes first on a tie,
         being further left) and no later than that of the right piece's.
         """
-        lefts, rights, i, j = self.high_spine[a], self.low_spine[b], 0, 0
+        lefts, rights, i, j = self._spine(a, 1), self._spine(b, 0), 0, 0
         while True:
             (left, left_at), (right, right_at) = lefts[i], rights[j]
             across = self.rank.get((left, right), NEVER)
@@ -230,7 +225,7 @@ class Codec:
         """All ids, and the number of ids of each text."""
         found = [self.words(text) for text in texts]
         new = set().union(*found) - self.codes.keys()
-        if len(self.codes) + len(new) > CACHE_ENTRIES:
+        if len(self.codes) + len(new) > CACHE_ENTRIES or len(self.compatible) > CACHE_ENTRIES:
             self._reset()
             new = set().union(*found) - self.codes.keys()
         for word in new:
@@ -259,25 +254,44 @@ def codec(vocabulary: str) -> Codec:
     return Codec(vocabulary)
 
 
-def encoded(df: DataFrame, vocabulary_file: str, text: str = "text") -> DataFrame:
+def _coded(
+    df: DataFrame, vocabulary_file: str, text: str, keep: list[str] | None, decode: bool
+) -> DataFrame:
     shared = shipped(df.sparkSession, vocabulary_file)
+    added = ["ids", "decoded"] if decode else ["ids"]
 
     def run(batches):
         tables = codec(shared.value)
-        for batch in batches:
-            ids, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
-            for part in groups(batch.column("_text").to_pylist()):
-                more, sizes = tables.encode(part)
-                ids.append(more)
-                counts.append(sizes)
-            ends = np.concatenate([[0], np.cumsum(np.concatenate(counts))]).astype(np.int32)
-            arrays = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
-            yield pa.RecordBatch.from_arrays([batch.column("_row"), arrays], ["_row", "ids"])
-
-    kept = [c for c in df.columns if c != "ids"]
+        for part in (part for batch in batches for part in parts(batch)):
+            ids, counts = tables.encode(texts_of(part))
+            ends = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
+            columns = [part.column("_row"), pa.ListArray.from_arrays(ends, pa.array(ids))]
+            if decode:
+                columns.append(_texts(tables.decode(ids, counts)))
+            yield pa.RecordBatch.from_arrays(columns, ["_row", *added])
+
+    kept = [c for c in keep or df.columns if c not in added]
     rows = df.select(F.struct(*kept).alias("_row"), F.col(text).alias("_text"))
-    schema = rows.select("_row", F.array(F.lit(0)).alias("ids")).schema
-    return rows.mapInArrow(run, schema).select("_row.*", "ids")
+    outputs = [F.array(F.lit(0)).alias("ids"), F.lit("").alias("decoded")][: len(added)]
+    return mapped(rows, run, rows.select("_row", *outputs).schema).select("_row.*", *added)
+
+
+def _texts(spelled: list[bytes]) -> pa.Array:
+    return pa.array(spelled, pa.binary()).cast(pa.string())
+
+
+def encoded(
+    df: DataFrame, vocabulary_file: str, text: str = "text", keep: list[str] | None = None
+) -> DataFrame:
+    """``keep``: the columns to return besides the ids, all by default."""
+    return _coded(df, vocabulary_file, text, keep, False)
+
+
+def round_trips(
+    df: DataFrame, vocabulary_file: str, text: str = "text", keep: list[str] | None = None
+) -> DataFrame:
+    """``decoded(encoded(df))`` in one pass."""
+    return _coded(df, vocabulary_file, text, keep, True)
 
 
 def decoded(df: DataFrame, vocabulary_file: str, ids: str = "ids") -> DataFrame:
@@ -288,18 +302,16 @@ def decoded(df: DataFrame, vocabulary_file: str, ids: str = "ids") -> DataFrame:
         for batch in batches:
             column = batch.column("_ids")
             counts = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            flat = column.flatten().to_numpy(zero_copy_only=False)
-            out: list[bytes] = []
-            ends = np.cumsum(counts)
+            flat, ends = column.flatten().to_numpy(zero_copy_only=False), np.cumsum(counts)
             i = at = 0
-            while i < len(counts):  # so many texts at a time, one at least
+            while i < len(counts):  # so many ids at a time, one text at least
                 j = max(i + 1, int(np.searchsorted(ends, at + DECODE_IDS, "right")))
-                out += tables.decode(flat[at : ends[j - 1]], counts[i:j])
+                texts = _texts(tables.decode(flat[at : ends[j - 1]], counts[i:j]))
+                rows = batch.column("_row").slice(i, j - i)
+                yield pa.RecordBatch.from_arrays([rows, texts], ["_row", "decoded"])
                 i, at = j, int(ends[j - 1])
-            texts = pa.array(out, pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column("_row"), texts], ["_row", "decoded"])
 
     kept = [c for c in df.columns if c != "decoded"]
     rows = df.select(F.struct(*kept).alias("_row"), F.col(ids).alias("_ids"))
     schema = rows.select("_row", F.lit("").alias("decoded")).schema
-    return rows.mapInArrow(run, schema).select("_row.*", "decoded")
+    return mapped(rows, run, schema).select("_row.*", "decoded")

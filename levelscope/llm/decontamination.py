@@ -200,7 +200,9 @@ def scan(
     item_text: str = "text",
     span: int = SPAN,
     block_bytes: int = BLOCK_TEXT_BYTES,
+    keep: list[str] | None = None,
 ) -> DataFrame:
+    """``keep``: the columns of the documents to return in ``row``, all by default."""
     spark = docs.sparkSession
     listed = benchmark.select(
         F.col(item).cast("string").alias("item"),
@@ -210,7 +212,7 @@ def scan(
     count = -(-size // block_bytes) or 1
     # neighbours in a line of all items by size, so that the blocks are near equal
     blocks_of = listed.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(count)))
-    rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("_text"))
+    rows = docs.select(F.struct(*(keep or docs.columns)).alias("row"), F.col(text).alias("_text"))
 
     def tables(k: int):
         part = blocks_of.where(F.col("block") == k) if count > 1 else listed

@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from levelscope.llm.token_counts import groups
+from levelscope.llm.token_counts import parts, texts_of
 from levelscope.llm.workers import mapped
 from levelscope.session import stage
 
@@ -65,9 +65,9 @@ def word_counts(docs: DataFrame) -> DataFrame:
                 ["lang", "word", "n"],
             )
 
-        for batch in batches:
-            for text, lang in zip(batch.column("_text").to_pylist(), batch.column("lang").to_pylist()):
-                counts.setdefault(lang, Counter()).update(LETTERS.findall((text or "").lower()))
+        for part in (part for batch in batches for part in parts(batch)):
+            for text, lang in zip(texts_of(part), part.column("lang").to_pylist()):
+                counts.setdefault(lang, Counter()).update(LETTERS.findall(text.lower()))
                 if sum(map(len, counts.values())) > COUNT_ENTRIES:
                     yield flush()
         yield flush()
@@ -196,26 +196,27 @@ class Scorer:
         return out
 
 
-def predicted(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """Adds ``lang_pred`` and ``score`` (replacing columns of these names)."""
+def predicted(
+    docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None
+) -> DataFrame:
+    """Adds ``lang_pred`` and ``score`` (replacing columns of these names) to ``keep``, the columns
+    to return, all by default."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         scorer = Scorer(shared.value)
-        for batch in batches:
-            out: list[tuple[str, float]] = []
-            for part in groups(batch.column("_text").to_pylist()):
-                out += scorer.texts(part)
+        for part in (part for batch in batches for part in parts(batch)):
+            out = scorer.texts(texts_of(part))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("_row"),
+                    part.column("_row"),
                     pa.array([lang for lang, _ in out], pa.string()),
                     pa.array([score for _, score in out], pa.float64()),
                 ],
                 ["_row", "lang_pred", "score"],
             )
 
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    kept = [c for c in keep or docs.columns if c not in ("lang_pred", "score")]
     rows = docs.select(F.struct(*kept).alias("_row"), F.col(text).alias("_text"))
     schema = rows.select("_row", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
     return mapped(rows, run, schema).select("_row.*", "lang_pred", "score")

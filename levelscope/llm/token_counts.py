@@ -22,7 +22,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from levelscope.llm.texts import utf8
 from levelscope.llm.vocabulary import byte_symbols, shipped, special_pattern
+from levelscope.llm.workers import mapped
 
 #: The pre-token pattern of byte-level BPE files whose pre-tokenizer has ``use_regex``.
 PRE_TOKENS = regex.compile(
@@ -153,33 +155,33 @@ def counter(vocabulary: str) -> Counter:
     return Counter(vocabulary)
 
 
-def groups(texts: list[str | None], size: int = STEP_BYTES) -> Iterator[list[str]]:
-    """Texts in runs of about ``size`` characters."""
-    out, n = [], 0
-    for text in texts:
-        out.append(text or "")
-        n += len(out[-1])
-        if n > size:
-            yield out
-            out, n = [], 0
-    if out:
-        yield out
+def parts(batch: pa.RecordBatch, size: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``size`` bytes of ``_text``, so that a task holds little at once."""
+    _, bounds = utf8(batch.column("_text"))
+    i, n = 0, batch.num_rows
+    while i < n:
+        j = max(i + 1, int(np.searchsorted(bounds, bounds[i] + size, "right")) - 1)
+        yield batch.slice(i, j - i)
+        i = j
 
 
-def with_token_counts(df: DataFrame, vocabulary_file: str, text: str = "text") -> DataFrame:
+def texts_of(batch: pa.RecordBatch) -> list[str]:
+    return [text or "" for text in batch.column("_text").to_pylist()]
+
+
+def with_token_counts(
+    df: DataFrame, vocabulary_file: str, text: str = "text", keep: list[str] | None = None
+) -> DataFrame:
+    """``keep``: the columns to return besides the counts, all by default."""
     shared = shipped(df.sparkSession, vocabulary_file)
-    kept = [c for c in df.columns if c not in ("n_bytes", "n_tokens")]
+    kept = [c for c in keep or df.columns if c not in ("n_bytes", "n_tokens")]
 
     def run(batches):
         counts = counter(shared.value)
-        for batch in batches:
-            column = batch.column("_text")
-            n: list[int] = []
-            for part in groups(column.to_pylist()):
-                n += counts.count(part)
+        for part in (part for batch in batches for part in parts(batch)):
+            n = pa.array(counts.count(texts_of(part)), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_row"), batch.column("n_bytes"), pa.array(n, pa.int64())],
-                ["_row", "n_bytes", "n_tokens"],
+                [part.column("_row"), part.column("n_bytes"), n], ["_row", "n_bytes", "n_tokens"]
             )
 
     rows = df.select(
@@ -188,4 +190,4 @@ def with_token_counts(df: DataFrame, vocabulary_file: str, text: str = "text") -
         F.col(text).alias("_text"),
     )
     schema = rows.select("_row", "n_bytes", F.lit(0).cast("long").alias("n_tokens")).schema
-    return rows.mapInArrow(run, schema).select("_row.*", "n_bytes", "n_tokens")
+    return mapped(rows, run, schema).select("_row.*", "n_bytes", "n_tokens")
