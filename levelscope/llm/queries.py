@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from levelscope.llm import (
-    bpe_codec, decontamination, language_id, line_dedup, minhash_dedup, quality_rules, sharding,
-    substring_dedup, token_counts,
+    bpe_codec, decontamination, language_id, line_dedup, minhash_dedup, quality_rules, secret_scan,
+    sharding, substring_dedup, token_counts,
 )
 from levelscope.llm.oracles import ORACLES
 
@@ -38,7 +38,9 @@ def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decontamination_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontamination.scan(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    found = decontamination.scan(
+        documents(spark, sf_dir), table(spark, sf_dir, "benchmark"), keep=["doc_id"]
+    )
     # ends of spans count up, starts down
     n_hit = F.aggregate(
         F.transform("hits", lambda x, i: F.when(i % 2 == 1, x).otherwise(-x)),
@@ -81,7 +83,7 @@ def language_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language_id.trained(
         docs.where(~F.col("held_out")).select("lang", F.col("text").alias("_text"))
     )
-    found = language_id.predicted(docs.select("doc_id", "text", "held_out"), model)
+    found = language_id.predicted(docs, model, keep=["doc_id", "held_out"])
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
@@ -91,7 +93,9 @@ def near_duplicate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def token_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = token_counts.with_token_counts(documents(spark, sf_dir), BYTE_BPE)
+    counted = token_counts.with_token_counts(
+        documents(spark, sf_dir), BYTE_BPE, keep=["doc_id"]
+    )
     return counted.select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit")
     )
@@ -103,8 +107,7 @@ def shard_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def round_trip(docs: DataFrame) -> DataFrame:
     """Digests of the ids and of what they decode to."""
-    coded = bpe_codec.encoded(docs.select("doc_id", "text"), WORD_BPE).drop("text")
-    both = bpe_codec.decoded(coded, WORD_BPE)
+    both = bpe_codec.round_trips(docs, WORD_BPE, keep=["doc_id"])
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
@@ -117,6 +120,13 @@ def round_trip_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(documents(spark, sf_dir))
 
 
+def secret_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(documents(spark, sf_dir, "doc_id", "text", "source"))
+    return found.select(
+        "doc_id", F.col("start").alias("first_char"), F.col("end").alias("end_char"), "score", "is_secret"
+    )
+
+
 def pipeline_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # its stages use this module
 
@@ -134,6 +144,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_language_id": language_query,
         "op8_minhash_dedup": near_duplicate_query,
         "op9_bpe_round_trip": round_trip_query,
+        "op10_secret_scan": secret_query,
         "pipeline": pipeline_query,
     }
 
