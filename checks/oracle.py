@@ -6,7 +6,9 @@ where the Spark side folds rows per player first.
 
 from __future__ import annotations
 
-from checks.telemetry import ALL_LEVELS, CORRECTION, EXPERIMENT, MILESTONE, RANGE
+from checks.telemetry import (
+    ALL_LEVELS, CORRECTION, EXPERIMENT, MILESTONE, OTHER_HORIZONS, RANGE, UTC_REPORT,
+)
 from levelscope.config import ReportConfig
 
 BUCKETS = [f"{low}-{low + 10}" for low in range(0, 100, 10)]
@@ -43,9 +45,11 @@ ids AS (
       '{"level":', whole_level,
       CASE WHEN event_id % 29 = 0 THEN '.1' WHEN event_id % 31 = 0 THEN '.2' ELSE '' END,
       ',"mode":', mode_json,
-      ',"phase":', CASE WHEN event_id % 7 = 0 THEN 'null' WHEN event_id % 13 = 0 THEN '2' ELSE '1' END,
+      ',"phase":', CASE WHEN event_id % 7 = 0 THEN 'null' WHEN event_id % 13 = 0 THEN '2'
+                        WHEN event_id % 59 = 0 THEN '1.6' ELSE '1' END,
       ',"success":', CASE WHEN q % 2 = 0 THEN 'true' ELSE 'false' END,
-      ',"start_count":', CASE WHEN event_id % 19 = 0 THEN 'null' ELSE concat('', 1 + k % 4) END,
+      ',"start_count":', CASE WHEN event_id % 19 = 0 THEN 'null' WHEN event_id % 61 = 0 THEN '1.5'
+                              ELSE concat('', 1 + k % 4) END,
       ',"continue_times":', CASE WHEN event_id % 5 = 0 THEN 'null' ELSE concat('', k % 3) END,
       ',"completion":', CASE WHEN event_id % 23 = 0 THEN 'null' WHEN event_id % 37 = 0 THEN '110'
                              ELSE concat('', k) END,
@@ -83,8 +87,8 @@ def dbl(payload: str, key: str) -> str:
     return f"TRY_CAST({at(payload, key)} AS DOUBLE)"
 
 
-def whole(payload: str, key: str) -> str:
-    return f"TRY_CAST(trunc({dbl(payload, key)}) AS BIGINT)"
+def whole(payload: str, key: str, rounded: bool = False) -> str:
+    return f"TRY_CAST({'round' if rounded else 'trunc'}({dbl(payload, key)}) AS BIGINT)"
 
 
 START, STOP = CORRECTION.utc_bounds()
@@ -114,8 +118,8 @@ CORRECTED = f"""{RAW}, history AS (
 )"""
 
 
-def level_of(payload: str) -> str:
-    text, phase = at(payload, "level"), whole(payload, "phase")
+def level_of(payload: str, rounded: bool) -> str:
+    text, phase = at(payload, "level"), whole(payload, "phase", rounded)
     return f"""TRY_CAST(CASE WHEN instr({text}, '.') > 1 THEN replace({text}, '.1', '')
       WHEN {phase} > 1 THEN concat({whole(payload, 'level')}, '.', {phase})
       ELSE {text} END AS DOUBLE)"""
@@ -138,6 +142,10 @@ def relations(cfg: ReportConfig) -> str:
     report = f"local_date >= DATE '{cfg.report_start}' AND local_date <= DATE '{cfg.report_end}'"
     horizons = ", ".join(str(n) for n in cfg.day_horizons)
     lo, hi = cfg.window_utc()
+
+    def number(payload: str, key: str) -> str:
+        return whole(payload, key, cfg.round_whole)
+
     return f"""{CORRECTED}, win AS (
   SELECT * FROM corrected WHERE event_ts >= TIMESTAMP '{lo}' AND event_ts < TIMESTAMP '{hi}'
 ), typed AS (
@@ -145,18 +153,19 @@ def relations(cfg: ReportConfig) -> str:
     event_ts, first_clear_650_ts, analysis_date_utc7 AS local_date, {at('up', EXPERIMENT)} AS variant,
     {at('up', 'level')} AS property_level_text,
     {dbl('ep', 'level')} AS raw_level, {dbl('up', 'level')} AS property_level,
-    CAST({whole('ep', 'phase')} AS INT) AS event_phase,
-    CAST({whole('up', 'phase')} AS INT) AS property_phase,
+    CAST({number('ep', 'phase')} AS INT) AS event_phase,
+    CAST({number('up', 'phase')} AS INT) AS property_phase,
     {at('up', 'mode')} AS property_mode, lower({at('ep', 'success')}) AS success,
-    CAST({whole('ep', 'start_count')} AS INT) AS attempt,
-    CAST({whole('ep', 'continue_times')} AS INT) AS continues,
+    CAST({number('ep', 'start_count')} AS INT) AS attempt,
+    CAST({number('ep', 'continue_times')} AS INT) AS continues,
     {dbl('ep', 'completion')} AS completion, {dbl('ep', 'use_booster_count')} AS used_boosters,
-    {dbl('ep', 'value')} AS currency_value, {whole('ep', 'value_game_currency')} AS game_currency_value,
+    {dbl('ep', 'value')} AS currency_value, {number('ep', 'value_game_currency')} AS game_currency_value,
     lower({at('ep', 'virtual_currency_name')}) AS currency_name,
     lower({at('ep', 'virtual_currency_type')}) AS currency_type,
     lower(ifnull({at('ep', 'ad_format')}, '')) AS ad_format,
     {dbl('ep', 'coin')} AS start_coin, {at('ep', 'currency')} AS purchase_currency,
-    {level_of('ep')} AS event_level, {level_of('up')} AS property_bi_level
+    {level_of('ep', cfg.round_whole)} AS event_level,
+    {level_of('up', cfg.round_whole)} AS property_bi_level
   FROM win
 ), normalized AS (
   SELECT * EXCLUDE (event_level), if({own}, property_bi_level, event_level) AS level,
@@ -305,7 +314,7 @@ DROPS = """
   SELECT variant, level, count(DISTINCT user_pseudo_id) FILTER (NOT EXISTS (
     FROM starters y WHERE y.variant = x.variant AND y.user_pseudo_id = x.user_pseudo_id
       AND y.level = x.level + 1)) AS dropped_users
-  FROM shown_starters x WHERE user_pseudo_id IS NOT NULL GROUP BY ALL"""
+  FROM shown_starters x GROUP BY ALL"""
 PAYERS = """
   SELECT m.variant, m.level, count(DISTINCT m.user_pseudo_id) AS payers FROM metric m
   JOIN starters USING (variant, level, user_pseudo_id) WHERE event_name = 'in_app_purchase'
@@ -337,10 +346,15 @@ def levelplay(cfg: ReportConfig) -> str:
     inter = f"s.inter_impressions * 1.0 / nullif({viewers}, 0) AS inter_imp_per_lau,"
     rewarded = f"s.reward_impressions * 1.0 / nullif({viewers}, 0)"
     n = "nullif(c.user_start_count, 0)"
+    rates = "".join(f"d{h}.rate AS churn_rate_d{h}_pct, " for h in cfg.report_horizons)
+    horizons = "\n".join(
+        f"LEFT JOIN (FROM non_return WHERE n = {h}) d{h} USING (variant, level)"
+        for h in cfg.report_horizons
+    )
     return f"""{relations(cfg)}
 SELECT c.variant AS ab_group, c.level, c.user_start_count,
   ifnull(d.dropped_users, 0) * 100.0 / {n} AS churn_rate_pct,
-  d3.rate AS churn_rate_d3_pct, d7.rate AS churn_rate_d7_pct, ifnull(a.aps_avg, 0) AS aps_avg,
+  {rates} ifnull(a.aps_avg, 0) AS aps_avg,
   ifnull(s.avg_completion, 0) AS completion_rate_first_attempt_pct,
   ifnull(s.coin_spend, 0) * 1.0 / {n} AS coin_spend_per_user,
   ifnull(s.total_coin_spend, 0) * 1.0 / {n} AS total_coin_spend_per_user,
@@ -361,8 +375,7 @@ LEFT JOIN ({PAYERS}) p USING (variant, level)
 LEFT JOIN ads_base ads USING (variant, level)
 LEFT JOIN ({BALANCE_USERS}) bu USING (variant, level)
 LEFT JOIN ({balance_sums(cfg)}) b USING (variant, level)
-LEFT JOIN (FROM non_return WHERE n = 3) d3 USING (variant, level)
-LEFT JOIN (FROM non_return WHERE n = 7) d7 USING (variant, level)"""
+{horizons}"""
 
 
 def loss_report(cfg: ReportConfig, kind: str | None) -> str:
@@ -403,11 +416,20 @@ def statements() -> dict[str, str]:
             "SELECT event_id, user_pseudo_id, event_name, event_ts, mode_original, mode_fixed, "
             "is_mode_fixed, first_clear_650_ts, fix_reason, analysis_date_utc7, ab_group FROM corrected"
         ),
+        "mode_correction_shuffled": stage1(
+            "SELECT event_id, user_pseudo_id, event_name, event_ts, mode_fixed, first_clear_650_ts "
+            "FROM corrected"
+        ),
         "fix_reason_counts": stage1(
             "SELECT fix_reason, analysis_date_utc7, count(*) AS events, "
             "count(DISTINCT user_pseudo_id) AS users FROM corrected GROUP BY ALL"
         ),
+        "window_other_offset": f"""WITH {CORRECTED}
+SELECT event_id, event_ts FROM corrected
+WHERE event_ts >= TIMESTAMP '{UTC_REPORT.window_utc()[0]}'
+  AND event_ts < TIMESTAMP '{UTC_REPORT.window_utc()[1]}'""",
         # normalisation and filters
+        "parse_fields_cut": on(a, f"SELECT {TYPED_COLUMNS} FROM typed"),
         "parse_fields": on(c, f"SELECT {TYPED_COLUMNS} FROM typed"),
         "level_normalize": on(
             c,
@@ -511,10 +533,14 @@ FROM day_levels p WHERE user_pseudo_id IS NOT NULL""",
         "loss_report_all_levels": "WITH " + loss_report(c, None),
         "levelplay_report_range": "WITH " + levelplay(a),
         "levelplay_report_all_levels": "WITH " + levelplay(c),
+        "levelplay_report_other_horizons": "WITH " + levelplay(OTHER_HORIZONS),
         "levelplay_report_event_base": "WITH " + levelplay(c.with_(ads_denominator="event")),
         # audits
         "qa_timestamps": f"WITH {RAW}\nSELECT count(*) AS rows, "
         "count(*) FILTER (event_ts IS NULL) AS invalid_timestamps FROM raw WHERE app_id = 'app_main'",
+        "qa_text_timestamps": f"""WITH {RAW}
+SELECT count(*) AS rows, count(*) FILTER (event_id % 71 = 0) AS invalid_timestamps
+FROM raw WHERE app_id = 'app_main'""",
         "qa_coverage": stage1(
             "SELECT min(analysis_date_utc7) AS min_date, max(analysis_date_utc7) AS observation_end "
             "FROM corrected"

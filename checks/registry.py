@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.telemetry import ALL_LEVELS, CORRECTION, RANGE, corrected_table, raw_table
+from checks.telemetry import (
+    ALL_LEVELS, CORRECTION, OTHER_HORIZONS, RANGE, UTC_REPORT, corrected_table, raw_table,
+)
 from levelscope.config import USER, ReportConfig
 from levelscope.functions.game import is_interstitial, is_rewarded
 from levelscope.operators import economy, funnel, loss, quality, retention
@@ -52,6 +57,21 @@ def _window(spark: SparkSession, sf_dir: str, cfg: ReportConfig) -> DataFrame:
     return report_window(corrected_table(spark, sf_dir), cfg)
 
 
+def _events_of_window(spark: SparkSession, sf_dir: str, cfg: ReportConfig) -> DataFrame:
+    """Rows of the window, found again in the corrected events by all that identifies them."""
+    events = corrected_table(spark, sf_dir)
+    keys = ["app_id", USER, "event_ts", "event_name", "event_params", "user_properties"]
+    found = report_window(events, cfg).select(*keys).distinct()
+    same = [events[k].eqNullSafe(found[k]) for k in keys]
+    return events.join(found, reduce(and_, same), "left_semi").select("event_id", "event_ts")
+
+
+def _damaged(raw: DataFrame) -> DataFrame:
+    """Text timestamps, some of them unreadable."""
+    text = F.when(F.col("event_id") % 71 == 0, "soon").otherwise(F.col("event_ts").cast("string"))
+    return raw.withColumn("event_ts", text)
+
+
 def _parsed(spark: SparkSession, sf_dir: str, cfg: ReportConfig) -> DataFrame:
     return parse_fields(_window(spark, sf_dir, cfg), cfg)
 
@@ -64,12 +84,17 @@ def _input(spark: SparkSession, sf_dir: str, cfg: ReportConfig) -> ReportInput:
     return ReportInput(clean_events(_window(spark, sf_dir, cfg), cfg), cfg)
 
 
-def _staged(spark: SparkSession, sf_dir: str, cfg: ReportConfig) -> ReportInput:
-    return prepare(corrected_table(spark, sf_dir), cfg)
+def _staged(spark: SparkSession, sf_dir: str, cfg: ReportConfig, every_event: bool = False):
+    return prepare(corrected_table(spark, sf_dir), cfg, every_event)
 
 
 def over(cfg: ReportConfig, operator: Callable[[ReportInput], DataFrame]) -> Query:
-    """A single operator over one scan of the report window."""
+    """A single operator over the window, which is decoded and staged once."""
+    return lambda spark, sf_dir: operator(_staged(spark, sf_dir, cfg, every_event=True))
+
+
+def over_scan(cfg: ReportConfig, operator: Callable[[ReportInput], DataFrame]) -> Query:
+    """An operator that needs whole payloads, over one scan of the window."""
     return lambda spark, sf_dir: operator(_input(spark, sf_dir, cfg))
 
 
@@ -127,10 +152,17 @@ def queries() -> dict[str, Query]:
             "event_id", USER, "event_name", "event_ts", "mode_original", "mode_fixed",
             "is_mode_fixed", "first_clear_650_ts", "fix_reason", "analysis_date_utc7", "ab_group",
         ),
+        "mode_correction_shuffled": lambda s, d: correct_history(
+            raw_table(s, d), replace(CORRECTION, broadcast_bytes=-1)
+        ).select(
+            "event_id", USER, "event_name", "event_ts", "mode_fixed", "first_clear_650_ts"
+        ),
+        "window_other_offset": lambda s, d: _events_of_window(s, d, UTC_REPORT),
         "fix_reason_counts": lambda s, d: events_and_users(
             _correction(s, d), "fix_reason", "analysis_date_utc7"
         ),
         # normalisation and filters
+        "parse_fields_cut": lambda s, d: _parsed(s, d, a).select(*TYPED_COLUMNS),
         "parse_fields": lambda s, d: _parsed(s, d, c).select(*TYPED_COLUMNS),
         "level_normalize": lambda s, d: normalize(_parsed(s, d, c), c)
         .groupBy(
@@ -147,7 +179,7 @@ def queries() -> dict[str, Query]:
         "cohort_filter": over(
             a, lambda d: events_and_users(d.cohort, "variant", "event_name", "local_date")
         ),
-        "metric_filter": over(
+        "metric_filter": over_scan(
             a, lambda d: events_and_users(d.metric, "variant", "level", "event_name")
         ),
         # funnel
@@ -168,7 +200,7 @@ def queries() -> dict[str, Query]:
         "payers": over(a, lambda d: economy.payers(d.metric)),
         "attempts_per_success": over(a, lambda d: economy.attempts_per_success(d.metric)),
         "balance_starters": over(a, lambda d: economy.balance_starters(d.metric)),
-        "resource_unpivot": over(a, lambda d: economy.resource_rows(d.metric)),
+        "resource_unpivot": over_scan(a, lambda d: economy.resource_rows(d.metric)),
         "balance_sums": over(a, lambda d: economy.balance_sums(d.metric)),
         # retention
         "maturity_windows": lambda s, d: retention.maturity_windows(
@@ -200,6 +232,7 @@ def queries() -> dict[str, Query]:
         "loss_report_all_levels": report(c, loss_report),
         "levelplay_report_range": report(a, levelplay_report),
         "levelplay_report_all_levels": report(c, levelplay_report),
+        "levelplay_report_other_horizons": report(OTHER_HORIZONS, levelplay_report),
         "levelplay_report_event_base": report(
             c.with_(ads_denominator="event"), levelplay_report
         ),
@@ -207,6 +240,9 @@ def queries() -> dict[str, Query]:
         "qa_timestamps": lambda s, d: quality.timestamp_audit(
             raw_table(s, d), CORRECTION.app_id
         ),
+        "qa_text_timestamps": lambda s, d: quality.timestamp_audit(
+            _damaged(raw_table(s, d)), CORRECTION.app_id
+        ),
         "qa_coverage": lambda s, d: quality.coverage(_app(s, d), c),
         "qa_mode_consistency": lambda s, d: quality.mode_consistency(_app(s, d), c),
         "qa_missing_cutoff": over(a, lambda d: quality.missing_cutoffs(d.cohort, d.cfg)),

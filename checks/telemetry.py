@@ -35,11 +35,15 @@ PERIOD = dict(
     observation_end="2024-01-21",
     versions=("1.0", "1.1"),
     day_horizons=(3, 7, 14),
+    report_horizons=(3, 7),
     experiment_key=EXPERIMENT,
     milestone_level=MILESTONE,
 )
 RANGE = ReportConfig.attempt_range(**PERIOD, level_min=1, level_max=4)
 ALL_LEVELS = ReportConfig.all_levels(**{**PERIOD, "versions": ()})
+OTHER_HORIZONS = ALL_LEVELS.with_(day_horizons=(1, 5), report_horizons=(5, 1))
+# a report whose days are not those that stage 1 made its folders by
+UTC_REPORT = ALL_LEVELS.with_(utc_offset_hours=0)
 
 IDS = (
     "event_id",
@@ -68,9 +72,11 @@ EVENT_JSON = """concat(
     '{"level":', whole_level,
         CASE WHEN event_id % 29 = 0 THEN '.1' WHEN event_id % 31 = 0 THEN '.2' ELSE '' END,
     ',"mode":', mode_json,
-    ',"phase":', CASE WHEN event_id % 7 = 0 THEN 'null' WHEN event_id % 13 = 0 THEN '2' ELSE '1' END,
+    ',"phase":', CASE WHEN event_id % 7 = 0 THEN 'null' WHEN event_id % 13 = 0 THEN '2'
+                      WHEN event_id % 59 = 0 THEN '1.6' ELSE '1' END,
     ',"success":', CASE WHEN q % 2 = 0 THEN 'true' ELSE 'false' END,
-    ',"start_count":', CASE WHEN event_id % 19 = 0 THEN 'null' ELSE concat('', 1 + k % 4) END,
+    ',"start_count":', CASE WHEN event_id % 19 = 0 THEN 'null' WHEN event_id % 61 = 0 THEN '1.5'
+                            ELSE concat('', 1 + k % 4) END,
     ',"continue_times":', CASE WHEN event_id % 5 = 0 THEN 'null' ELSE concat('', k % 3) END,
     ',"completion":', CASE WHEN event_id % 23 = 0 THEN 'null' WHEN event_id % 37 = 0 THEN '110'
                            ELSE concat('', k) END,
@@ -130,8 +136,7 @@ def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def write(path: str) -> None:
         events = spark.read.parquet(f"{sf_dir}/events.parquet")
-        spread = events.repartition(spark.sparkContext.defaultParallelism, "event_id")
-        derive(spread).write.parquet(path)
+        derive(events).write.parquet(path)
 
     return read_raw(spark, _path(spark, sf_dir, "raw", write))
 
@@ -141,6 +146,6 @@ def corrected_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def write(path: str) -> None:
         corrected = correct_history(raw_table(spark, sf_dir), CORRECTION)
-        write_corrected(corrected, path, rebalance=True)
+        write_corrected(corrected, path)
 
     return read_corrected(spark, _path(spark, sf_dir, "raw_fixed", write))

@@ -29,10 +29,14 @@ PURCHASE_EVENTS = ("in_app_purchase", "in_app_purchase_v2")
 PROPERTY_EVENTS_RANGE = ("paid_ad_impression", "in_app_purchase", "app_remove")
 PROPERTY_EVENTS_ALL = PROPERTY_EVENTS_RANGE + ("in_app_purchase_v2",)
 DEFAULT_EXPERIMENT_KEY = "firebase_exp_abt_22"
-DEFAULT_VERSIONS = ("0.6.3", "0.6.4", "0.6.5", "0.6.6", "0.6.7")
 # --------------------------------------------------------------------------------------------
 
 
+#: Largest cutoff table to broadcast: measured text and row overhead, about a third of what it takes
+#: as a hash table in the driver and in every executor.
+BROADCAST_BYTES = 32 << 20
+
+
 def to_date(value: str | date) -> date:
     if isinstance(value, datetime):
         return value.date()
@@ -57,6 +61,7 @@ class CorrectionConfig:
     mode: str = "classic"
     mode_after: str = "sl"
     utc_offset_hours: int = 7
+    broadcast_bytes: int = BROADCAST_BYTES
 
     def __post_init__(self) -> None:
         start, stop = self.utc_bounds()
@@ -89,6 +94,7 @@ class ReportConfig:
     variants: tuple[str, ...] = ("0", "1", "2")
     balance_resources: tuple[str, ...] = ("coin",)
     day_horizons: tuple[int, ...] = (3, 7)
+    report_horizons: tuple[int, ...] | None = None  # shown in the level report; None: all
     experiment_key: str = DEFAULT_EXPERIMENT_KEY
     mode: str = "classic"
     mode_after: str = "sl"
@@ -107,6 +113,7 @@ class ReportConfig:
     loss_keep_phase: bool = True  # False: losses only from metric events (phase <= 1)
     loss_churn: str = "every_day"  # or "last_start"
     null_missing_loss_churn: bool = True
+    round_whole: bool = True  # fractions in whole-number fields: rounded, or cut off
     strict_dates: bool = True  # False: observation may end inside the report or on as_of_date
 
     # system filters
@@ -126,6 +133,12 @@ class ReportConfig:
                 f"{name} must be a list of strings",
             )
             object.__setattr__(self, name, tuple(values))
+        if self.report_horizons is None:
+            object.__setattr__(self, "report_horizons", tuple(self.day_horizons))
+        _need(
+            set(self.report_horizons) <= set(self.day_horizons),
+            "report_horizons must be among day_horizons",
+        )
         _need(self.report_start <= self.report_end, "report_start must not be after report_end")
         if self.strict_dates:
             _need(
@@ -147,14 +160,13 @@ class ReportConfig:
     @classmethod
     def attempt_range(cls, **settings) -> "ReportConfig":
         """Level range and version list required; incomplete churn from each user's last start."""
+        _need(len(settings.get("versions", ())) > 0, "this preset needs a version list")
         _need(
-            "versions" not in settings or len(settings["versions"]) > 0,
-            "this preset needs an explicit version list",
+            settings.get("level_min") is not None and settings.get("level_max") is not None,
+            "this preset needs level_min and level_max",
         )
         preset = dict(
-            versions=DEFAULT_VERSIONS,
-            level_min=1,
-            level_max=200,
+            round_whole=False,
             property_events=PROPERTY_EVENTS_RANGE,
             ads_phase_filter=False,
             null_missing_ads=False,

@@ -95,9 +95,16 @@ def to_double(text: Column) -> Column:
     return text.try_cast("double")
 
 
-def whole(column: str, kind: str = "int") -> str:
-    """SQL text: whole number; fractions are cut off, anything else unreadable is NULL."""
-    return f"coalesce(try_cast({column} AS {kind}), try_cast(try_cast({column} AS double) AS {kind}))"
+def whole(column: str, kind: str = "int", rounded: bool = False) -> str:
+    """SQL text: whole number; fractions are rounded or cut off, anything unreadable is NULL.
+
+    A string cast to a whole number cuts fractions off itself, so it is asked last if at all.
+    """
+    number = f"try_cast({column} AS double)"
+    if rounded:
+        near = f"try_cast(round({number}) AS {kind})"
+        return f"if({column} RLIKE '^[ ]*[+-]?[0-9]+[ ]*$', try_cast({column} AS {kind}), {near})"
+    return f"coalesce(try_cast({column} AS {kind}), try_cast({number} AS {kind}))"
 
 
 def to_utc_timestamp(column: Column, kind: T.DataType) -> Column:

@@ -29,7 +29,7 @@ def run(spark: SparkSession, settings: dict) -> str:
     root = settings["output_path"].rstrip("/")
 
     raw = read_raw(spark, source["path"], source.get("format", "parquet"), source.get("options"))
-    refuse_null_timestamps(raw_gate(raw), cfg)
+    refuse_null_timestamps(raw_gate(raw), cfg)  # before the first output
 
     # The cutoff table is an output of its own; the correction goes on from the written one.
     cutoffs = milestone_cutoffs(history_window(raw, cfg), cfg)
@@ -37,7 +37,7 @@ def run(spark: SparkSession, settings: dict) -> str:
     written = spark.read.schema(cutoffs.schema).parquet(f"{root}/user_clear650_cutoffs")
 
     corrected = correct_history(raw, cfg, cutoffs=written)
-    write_corrected(corrected, f"{root}/raw_fixed", rebalance=settings.get("rebalance", False))
+    write_corrected(corrected, f"{root}/raw_fixed", rebalance=settings.get("rebalance", True))
     return f"{root}/raw_fixed"
 
 

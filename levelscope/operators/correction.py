@@ -5,18 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from levelscope.config import USER, CorrectionConfig
+from levelscope.config import BROADCAST_BYTES, USER, CorrectionConfig
 from levelscope.functions.game import local_date, utc_literal
 from levelscope.functions.payload import (
-    payload_field,
     to_double,
     to_utc_timestamp,
     with_payload_fields,
 )
 
 TS = "_utc"
-BROADCAST_BYTES = 128 << 20  # measured text and row overhead; about thrice that as a hash table
-SALTS = 16
 
 
 def history_window(df: DataFrame, cfg: CorrectionConfig) -> DataFrame:
@@ -70,22 +67,23 @@ def cutoff_bytes(cutoffs: DataFrame) -> int:
 
 
 def attach_cutoffs(
-    df: DataFrame,
-    cutoffs: DataFrame,
-    broadcast_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
+    df: DataFrame, cutoffs: DataFrame, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Left join of the cutoffs onto every event.
 
-    ``cutoffs`` should be a written table, it is read once more to be measured. Below the byte bound
-    it is broadcast and the events are not shuffled at all. Beyond it both sides are shuffled, with
-    the events of one user (or of no user) spread over ``salts`` parts.
+    ``cutoffs`` should be a written table, it is read once more to be measured. Up to the byte bound
+    it is broadcast and the events are not shuffled at all. Beyond it events without a user, which
+    can have no cutoff, go past the join, and the others are shuffled with the cutoffs; partitions
+    of busy users are split while the join runs (adaptive skew join).
     """
     if cutoff_bytes(cutoffs) <= broadcast_bytes:
         return df.join(F.broadcast(cutoffs), USER, "left")
-    copies = cutoffs.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    spread = F.pmod(F.xxhash64("event_ts", "event_name"), F.lit(salts)).cast("int")
-    return df.withColumn("_salt", spread).join(copies, [USER, "_salt"], "left").drop("_salt")
+    kind = cutoffs.schema["first_clear_650_ts"].dataType
+    nobody = df.where(F.col(USER).isNull()).withColumn(
+        "first_clear_650_ts", F.lit(None).cast(kind)
+    )
+    known = df.where(F.col(USER).isNotNull()).join(cutoffs.hint("merge"), USER, "left")
+    return known.unionByName(nobody)
 
 
 def is_mode_fixed(cfg: CorrectionConfig, ts: Column) -> Column:
@@ -110,9 +108,10 @@ def fix_reason(cfg: CorrectionConfig) -> Column:
 def corrected_events(df: DataFrame, with_cutoffs: DataFrame, cfg: CorrectionConfig) -> DataFrame:
     """All columns of ``df`` in their order, then the seven analysis columns."""
     ts = to_utc_timestamp(F.col("event_ts"), df.schema["event_ts"].dataType)
+    decoded = with_payload_fields(with_cutoffs, "event_params", {"mode_original": "mode"})
+    decoded = with_payload_fields(decoded, "user_properties", {"ab_group": cfg.experiment_key})
     return (
-        with_cutoffs.withColumn("mode_original", payload_field(df, "event_params", "mode"))
-        .withColumn("is_mode_fixed", is_mode_fixed(cfg, ts))
+        decoded.withColumn("is_mode_fixed", is_mode_fixed(cfg, ts))
         .select(
             *df.columns,
             "mode_original",
@@ -121,6 +120,6 @@ def corrected_events(df: DataFrame, with_cutoffs: DataFrame, cfg: CorrectionConf
             "first_clear_650_ts",
             fix_reason(cfg).alias("fix_reason"),
             local_date(ts, cfg.utc_offset_hours).alias("analysis_date_utc7"),
-            payload_field(df, "user_properties", cfg.experiment_key).alias("ab_group"),
+            "ab_group",
         )
     )

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from levelscope.config import USER, ReportConfig
 from levelscope.functions.game import first_phase
@@ -43,23 +44,13 @@ def start_counts(starters: DataFrame, cfg: ReportConfig) -> DataFrame:
 def dropped_players(starters: DataFrame) -> DataFrame:
     """Starters with a flag ``dropped``: never started the next level in the period and variant.
 
-    The keys of the self-join are unique on both sides, so one busy user is no hot key. Both sides
-    are the same relation, level past the range included and keys known, so that one shuffle of it
-    serves both.
+    The relation is distinct, so a user has one row per level and a window over these rows
+    sees the next level, the one past the range included. Starters without a user keep their group
+    but are not dropped.
     """
-    here = starters.where(" AND ".join(f"{name} IS NOT NULL" for name in PLAYER_KEYS))
-    further = here.select(
-        F.col("variant").alias("next_variant"),
-        F.col(USER).alias("next_user"),
-        F.col("level").alias("next_level"),
-    )
-    went_on = (
-        (F.col("variant") == F.col("next_variant"))
-        & (F.col(USER) == F.col("next_user"))
-        & (F.col("level") + 1 == F.col("next_level"))
-    )
-    dropped = F.col("next_user").isNull().alias("dropped")
-    return here.join(further, went_on, "left").select(*PLAYER_KEYS, dropped)
+    next_level = Window.partitionBy("variant", USER).orderBy("level").rangeBetween(1, 1)
+    stayed_away = F.count(F.lit(1)).over(next_level) == 0
+    return starters.select(*PLAYER_KEYS, (F.col(USER).isNotNull() & stayed_away).alias("dropped"))
 
 
 def drop_count() -> Column:

@@ -33,36 +33,40 @@ EVENT_FIELDS = {
 USER_FIELDS = ("level", "phase", "mode")
 
 
-TYPED = (
-    USER,
-    "event_name",
-    "app_version",
-    "country",
-    "platform",
-    "mode_fixed",
-    "first_clear_650_ts",
-    "event_ts AS ts_utc",
-    "variant",
-    "e_level AS event_level_text",
-    "u_level AS property_level_text",
-    "try_cast(e_level AS double) AS raw_level",
-    "try_cast(u_level AS double) AS property_level",
-    f"{whole('e_phase')} AS event_phase",
-    f"{whole('u_phase')} AS property_phase",
-    "u_mode AS property_mode",
-    "lower(e_success) AS success",
-    f"{whole('e_start_count')} AS attempt",
-    f"{whole('e_continue_times')} AS continues",
-    "try_cast(e_completion AS double) AS completion",
-    "try_cast(e_use_booster_count AS double) AS used_boosters",
-    "try_cast(e_value AS double) AS currency_value",
-    f"{whole('e_value_game_currency', 'bigint')} AS game_currency_value",
-    "lower(e_virtual_currency_name) AS currency_name",
-    "lower(e_virtual_currency_type) AS currency_type",
-    "lower(coalesce(e_ad_format, '')) AS ad_format",
-    "try_cast(e_coin AS double) AS start_coin",
-    "e_currency AS purchase_currency",
-)
+def typed_columns(rounded: bool) -> tuple[str, ...]:
+    def number(column: str, kind: str = "int") -> str:
+        return whole(column, kind, rounded)
+
+    return (
+        USER,
+        "event_name",
+        "app_version",
+        "country",
+        "platform",
+        "mode_fixed",
+        "first_clear_650_ts",
+        "event_ts AS ts_utc",
+        "variant",
+        "e_level AS event_level_text",
+        "u_level AS property_level_text",
+        "try_cast(e_level AS double) AS raw_level",
+        "try_cast(u_level AS double) AS property_level",
+        f"{number('e_phase')} AS event_phase",
+        f"{number('u_phase')} AS property_phase",
+        "u_mode AS property_mode",
+        "lower(e_success) AS success",
+        f"{number('e_start_count')} AS attempt",
+        f"{number('e_continue_times')} AS continues",
+        "try_cast(e_completion AS double) AS completion",
+        "try_cast(e_use_booster_count AS double) AS used_boosters",
+        "try_cast(e_value AS double) AS currency_value",
+        f"{number('e_value_game_currency', 'bigint')} AS game_currency_value",
+        "lower(e_virtual_currency_name) AS currency_name",
+        "lower(e_virtual_currency_type) AS currency_type",
+        "lower(coalesce(e_ad_format, '')) AS ad_format",
+        "try_cast(e_coin AS double) AS start_coin",
+        "e_currency AS purchase_currency",
+    )
 
 
 def parse_fields(events: DataFrame, cfg: ReportConfig, lean: bool = False) -> DataFrame:
@@ -83,9 +87,12 @@ def parse_fields(events: DataFrame, cfg: ReportConfig, lean: bool = False) -> Da
         readers=EVENT_FIELDS if lean else None,
     )
     # only first-attempt turn starts carry a balance sheet; other payloads end here
-    opening_turn = F.expr(f"event_name = 'level_start_turn' AND {whole('e_start_count')} = 1")
+    opening_turn = F.expr(
+        "event_name = 'level_start_turn'"
+        f" AND {whole('e_start_count', rounded=cfg.round_whole)} = 1"
+    )
     resources = F.when(opening_turn, payload_map(events, "event_params")).alias("resources")
-    return decoded.select(*map(F.expr, TYPED), resources)
+    return decoded.select(*map(F.expr, typed_columns(cfg.round_whole)), resources)
 
 
 def normalize(parsed: DataFrame, cfg: ReportConfig) -> DataFrame:

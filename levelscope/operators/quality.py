@@ -20,10 +20,16 @@ def timestamp_audit(df: DataFrame, app_id: str) -> DataFrame:
     )
 
 
+def bad_timestamps(df: DataFrame, app_id: str) -> DataFrame:
+    """Rows of the app without a readable timestamp: on timestamps a pushed IsNull, on text a scan
+    of two columns."""
+    ts = to_utc_timestamp(F.col("event_ts"), df.schema["event_ts"].dataType)
+    return df.where((F.col("app_id") == app_id) & ts.isNull()).select("event_ts")
+
+
 def refuse_null_timestamps(df: DataFrame, cfg: CorrectionConfig) -> DataFrame:
     """Stage 1 never drops a row silently. Stops at the first bad row it meets."""
-    ts = to_utc_timestamp(F.col("event_ts"), df.schema["event_ts"].dataType)
-    if not df.where((F.col("app_id") == cfg.app_id) & ts.isNull()).isEmpty():
+    if not bad_timestamps(df, cfg.app_id).isEmpty():
         raise ValueError("event_ts has null or unreadable values; supply UTC timestamps")
     return df
 

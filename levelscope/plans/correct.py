@@ -11,6 +11,7 @@ from levelscope.operators.correction import (
     history_window,
     milestone_cutoffs,
 )
+from levelscope.operators.quality import refuse_null_timestamps
 from levelscope.session import stage
 from levelscope.sources.gates import raw_gate
 
@@ -21,9 +22,10 @@ def correct_history(
     """All app events of the history with the seven analysis columns.
 
     ``cutoffs`` is a written cutoff table, if there is one already; else it is computed and staged.
-    Two scans of the input: a narrow one over milestone events, and the one that is written out.
+    No row is dropped for its timestamp: unreadable ones stop the run. Two scans of the input besides
+    that probe: a narrow one over milestone events, and the one that is written out.
     """
-    events = history_window(raw_gate(raw), cfg)
+    events = history_window(refuse_null_timestamps(raw_gate(raw), cfg), cfg)
     if cutoffs is None:
         cutoffs = stage(milestone_cutoffs(events, cfg), "cutoffs")
-    return corrected_events(events, attach_cutoffs(events, cutoffs), cfg)
+    return corrected_events(events, attach_cutoffs(events, cutoffs, cfg.broadcast_bytes), cfg)

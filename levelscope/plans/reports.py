@@ -27,7 +27,7 @@ from levelscope.operators.funnel import (
 )
 from levelscope.operators.loss import loss_distribution, loss_with_churn, lost_turns
 from levelscope.operators.normalize import CLEAN_COLUMNS, normalize, parse_fields
-from levelscope.operators.quality import profile_columns
+from levelscope.operators.quality import bad_timestamps, profile_columns
 from levelscope.operators.retention import (
     gone_counts,
     gone_players,
@@ -69,7 +69,8 @@ def prepare(corrected: DataFrame, cfg: ReportConfig, every_event: bool = False)
     """Read the window once: decode, filter and stage it, and profile it in the same pass.
 
     Every report then reads the few columns it needs from the staged table; the source is not
-    touched again. ``every_event`` keeps event kinds that only the missing-cutoff audit looks at.
+    touched again, but for unreadable timestamps, which the window cannot show: they are counted over
+    all of the app's rows. ``every_event`` keeps event kinds that only the missing-cutoff audit looks at.
     """
     window = report_window(corrected, cfg)
     observed = Observation("input_profile")
@@ -77,7 +78,8 @@ def prepare(corrected: DataFrame, cfg: ReportConfig, every_event: bool = False)
     events = window if every_event else only_report_events(window)
     clean = clean_events(events, cfg, lean=True).where(used_by_reports(cfg)).drop("resources")
     clean = stage(clean, "clean")
-    return ReportInput(clean, cfg, dict(observed.get))
+    bad = bad_timestamps(corrected, cfg.app_id).count()
+    return ReportInput(clean, cfg, dict(observed.get) | {"invalid_timestamps": bad})
 
 
 def open_input(corrected: DataFrame, cfg: ReportConfig) -> ReportInput:
@@ -86,10 +88,9 @@ def open_input(corrected: DataFrame, cfg: ReportConfig) -> ReportInput:
     return ReportInput(clean_events(events, cfg), cfg)
 
 
-# Columns of the level report in order.
+# Columns of the level report in order; the rates by horizon follow churn_rate_pct.
 LEVELPLAY_COLUMNS = (
-    "ab_group", "level", "user_start_count", "churn_rate_pct", "churn_rate_d3_pct",
-    "churn_rate_d7_pct", "aps_avg", "completion_rate_first_attempt_pct", "coin_spend_per_user",
+    "ab_group", "level", "user_start_count", "churn_rate_pct", "aps_avg", "completion_rate_first_attempt_pct", "coin_spend_per_user",
     "total_coin_spend_per_user", "coin_balance_per_user", "total_coin_balance_per_user",
     "avg_booster_per_user", "booster_usage_rate_pct", "pay_rate_pct", "imp_per_lau",
     "inter_imp_per_lau", "rwd_per_lau",
@@ -125,8 +126,6 @@ def levelplay_report(data: ReportInput) -> DataFrame:
         "level": F.col("level"),
         "user_start_count": starters,
         "churn_rate_pct": percent(F.col("dropped_users"), starters),
-        "churn_rate_d3_pct": percent(F.col("churned_3"), F.col("mature_3")),
-        "churn_rate_d7_pct": percent(F.col("churned_7"), F.col("mature_7")),
         "aps_avg": or_zero(F.col("aps_avg")),
         "completion_rate_first_attempt_pct": or_zero(F.col("avg_completion")),
         "coin_spend_per_user": per(known("coin_spend"), starters),
@@ -145,7 +144,13 @@ def levelplay_report(data: ReportInput) -> DataFrame:
     shown = [
         name for name in LEVELPLAY_COLUMNS if name != "inter_imp_per_lau" or cfg.interstitial_column
     ]
-    return merged.select(*[cells[name].alias(name) for name in shown])
+    rates = [
+        percent(F.col(f"churned_{n}"), F.col(f"mature_{n}")).alias(f"churn_rate_d{n}_pct")
+        for n in cfg.report_horizons
+    ]
+    columns = [cells[name].alias(name) for name in shown]
+    after = shown.index("churn_rate_pct") + 1
+    return merged.select(*columns[:after], *rates, *columns[after:])
 
 
 def loss_report(data: ReportInput, kind: str | None = None) -> DataFrame:

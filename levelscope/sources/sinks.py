@@ -10,11 +10,12 @@ ROW_CAP = 20_000  # fixed value: default bound of a report
 NOT_AVAILABLE = "N/A"
 
 
-def write_corrected(df: DataFrame, path: str, rebalance: bool = False) -> None:
+def write_corrected(df: DataFrame, path: str, rebalance: bool = True) -> None:
     """One folder per local day.
 
     ``rebalance`` adds a shuffle that gathers each day into well-sized files, splitting days that
-    are too big. It pays off when the input is not already stored by time.
+    are too big. Without it every task writes a file per day it meets; leave it out only if the
+    input is already stored by time.
     """
     day = "analysis_date_utc7"
     out = df.hint("rebalance", day) if rebalance else df

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,15 +33,17 @@ def app_events(df: DataFrame, cfg: ReportConfig) -> DataFrame:
 def report_window(df: DataFrame, cfg: ReportConfig) -> DataFrame:
     """App events from report start to the end of observation.
 
-    The bounds sit on the bare ``event_ts``, so they reach the Parquet scan; date folders of
-    stage 1 are pruned as well.
+    The bounds sit on the bare ``event_ts``, so they reach the Parquet scan. Date folders of
+    stage 1 are pruned as well, with a day to spare on either side: they were cut by the offset
+    of stage 1, which may differ from the report's.
     """
     start, stop = cfg.window_utc()
     events = df
     by_day = "analysis_date_utc7"
     if by_day in df.columns and isinstance(df.schema[by_day].dataType, T.DateType):
-        last_day = max(cfg.report_end, cfg.observation_end)
-        events = events.where(F.col(by_day).between(cfg.report_start, last_day))
+        spare = timedelta(days=1)
+        last_day = max(cfg.report_end, cfg.observation_end) + spare
+        events = events.where(F.col(by_day).between(cfg.report_start - spare, last_day))
     events = app_events(events, cfg)
     kind = events.schema["event_ts"].dataType.simpleString()
     return events.where(

@@ -1,4 +1,10 @@
-"""The hand-made fixture: a few users whose report values can be worked out on paper."""
+"""A hand-made period of five days with a few players, small enough to work reports out on paper.
+
+Report days are 9 to 13 March, sessions are observed to 15 March, so the last day with three further
+days is 12 March and no day has seven. Local time is UTC + 7; events happen at local noon unless a
+time is given. Two arms: in arm 1 four players start level 12, in arm 2 one starts level 40 and one
+is past the milestone.
+"""
 
 from __future__ import annotations
 
@@ -10,93 +16,135 @@ from pyspark.sql import functions as F
 
 from levelscope.config import ReportConfig
 
-APP = "app_golden"
-EXPERIMENT = "exp"
+APP = "harbour"
+EXPERIMENT = "arm"
 SCHEMA = """app_id string, user_pseudo_id string, event_ts timestamp, event_name string,
   event_params string, user_properties string, mode_fixed string, first_clear_650_ts timestamp,
   app_version string, country string, platform string"""
 PERIOD = dict(
     app_id=APP,
-    report_start="2026-10-02",
-    report_end="2026-10-05",
-    as_of_date="2026-10-07",
-    observation_end="2026-10-06",
+    report_start="2026-03-09",
+    report_end="2026-03-13",
+    as_of_date="2026-03-16",
+    observation_end="2026-03-15",
     experiment_key=EXPERIMENT,
 )
 ALL = ReportConfig.all_levels(**PERIOD)
-RANGE = ReportConfig.attempt_range(**PERIOD, versions=("9.9.9",))
+RANGE = ReportConfig.attempt_range(**PERIOD, versions=("2.4",), level_min=10, level_max=15)
 
 EVENT_STRUCT = """struct<level:bigint,mode:string,phase:int,success:boolean,start_count:int,
-  completion:double,continue_times:int,coin:double,ticket:double,booster_x:double,
+  completion:double,continue_times:int,coin:double,ticket:double,booster_bomb:double,
   use_booster_count:int,virtual_currency_name:string,virtual_currency_type:string,
   value:double,value_game_currency:bigint,ad_format:string,currency:string>"""
-USER_STRUCT = "struct<level:bigint,mode:string,phase:int,exp:string>"
-
-
-def row(user, name, when, level=3, group="0", user_level=None, mode="classic", cutoff=None,
-        event_mode="classic", **params):
-    when = when if " " in when else when + " 01:00:00"
-    event = {"level": level, "mode": event_mode, "phase": 1, **params}
-    state = {
-        "level": level if user_level is None else user_level,
-        "mode": "classic",
-        "phase": 1,
-        EXPERIMENT: group,
-    }
-    return (
-        APP, user, datetime.fromisoformat(when), name, json.dumps(event), json.dumps(state), mode,
-        datetime.fromisoformat(cutoff) if cutoff else None, "9.9.9", "Vietnam", "ios",
-    )
+USER_STRUCT = "struct<level:bigint,mode:string,phase:int,arm:string>"
+
+
+class Player:
+    """Makes events of one player; each takes a day of March 2026 or a UTC time."""
+
+    def __init__(self, name: str, arm: str = "1", mode: str | None = "classic", cutoff: str | None = None):
+        self.name, self.arm, self.mode = name, arm, mode
+        self.cutoff = datetime.fromisoformat(cutoff) if cutoff else None
+
+    def __call__(self, event: str, when: int | str, level: int = 12, state: int | None = None, **fields):
+        moment = f"2026-03-{when:02d} 05:00:00" if isinstance(when, int) else when
+        payload = {"level": level, "mode": "classic", "phase": 1} | fields
+        user = {"level": state or level, "mode": "classic", "phase": 1, EXPERIMENT: self.arm}
+        return (
+            APP, self.name, datetime.fromisoformat(moment), event, json.dumps(payload),
+            json.dumps(user), self.mode, self.cutoff, "2.4", "Norway", "ios",
+        )
+
+
+CRAB, EEL, GULL, SEAL = (Player(name) for name in ("crab", "eel", "gull", "seal"))
+OTTER = Player("otter", "2")
+
+
+def attempts():
+    """Starts, lost and won turns."""
+    lost = dict(success=False)
+    return [
+        CRAB("level_start", 9),
+        CRAB("level_end", 9, success=True, start_count=3, completion=90, continue_times=0),
+        CRAB("level_start", 10, level=13),
+        EEL("level_start", 9, state=11),
+        EEL("level_end_turn", 9, **lost, start_count=1, completion=34, use_booster_count=2),
+        EEL("level_end_turn", 9, **lost, start_count=1, completion=37),
+        EEL("level_end_turn", 9, **lost, start_count=2, completion=88),
+        GULL("level_start", 11),
+        GULL("level_end_turn", 11, **lost, start_count=1, completion=5),
+        GULL("level_end", 11, success=True, start_count=1, completion=80, continue_times=0),
+        GULL("level_end", 11, success=True, start_count=1, completion=70),
+        GULL("level_end", 11, success=True, start_count=5, completion=10, continue_times=2),
+        GULL("level_start", 11, level=13),
+        SEAL("level_start", 13),
+        SEAL("level_end_turn", 13, level=20, phase=3, **lost, start_count=1, completion=55),
+        OTTER("level_start", 12, level=40),
+    ]
 
 
-def base_rows(old_mode="sl"):
-    day, cutoff = "2026-10-02", "2026-04-01 01:00:00"
-    turn = dict(success=False, start_count=1)
+def economy():
+    """Balances, spending, a purchase and ads, all at level 12."""
+
+    def spent(player, day, name, amount, **more):
+        return player(
+            "spend_virtual_currency", day, virtual_currency_name=name, value_game_currency=amount, **more
+        )
+
+    return [
+        CRAB("level_start_turn", 9, start_count=1, coin=200, ticket=40, booster_bomb=9, use_booster_count=99),
+        EEL("level_start_turn", 9, start_count=2, coin=70),
+        spent(EEL, 9, "Coin", 30),
+        spent(CRAB, 9, "coin", 10),
+        spent(GULL, 11, "gem", 25),
+        spent(SEAL, 13, "booster_bomb", 15, virtual_currency_type="booster", value=6),
+        GULL("in_app_purchase", 11, value=5, currency="USD"),
+        CRAB("paid_ad_impression", 9, ad_format="interstitial"),
+        CRAB("paid_ad_impression", 10, ad_format="Interstitial_video"),
+        EEL("paid_ad_impression", 9, ad_format="rewarded"),
+        GULL("paid_ad_impression", 11, ad_format="banner"),
+    ]
+
+
+def sessions():
+    """The crab comes back next day and on the 14th, the gull next day, eel and seal never."""
     return [
-        row("a", "level_start", day),
-        row("b", "level_start", day, user_level=4),
-        row("c", "level_start", day),
-        row("d", "level_start", "2026-10-04"),
-        row("a", "level_end_turn", day, **turn, completion=5),
-        row("a", "level_end_turn", day, **turn, completion=70),
-        row("b", "level_end_turn", day, success=False, start_count=2, completion=5),
-        row("c", "level_end_turn", day, **turn, completion=20),
-        row("b", "level_end", day, success=False, start_count=2, completion=50, continue_times=0),
-        row("c", "session_start", "2026-10-06"),
-        row("a", "level_start_turn", day, start_count=1, coin=100, ticket=50, booster_x=2,
-            use_booster_count=17),
-        row("b", "level_start_turn", day, start_count=2, coin=10),
-        row("a", "spend_virtual_currency", day, virtual_currency_name="coin",
-            value_game_currency=10),
-        row("a", "spend_virtual_currency", day, virtual_currency_name="booster_x",
-            virtual_currency_type="booster", value=1, value_game_currency=35),
-        row("a", "paid_ad_impression", day, ad_format="interstitial"),
-        row("a", "paid_ad_impression", day, ad_format="banner"),
-        row("wide", "level_start", day, level=300, group="2"),
-        row("phase", "level_end_turn", day, level=4, phase=2, **turn, completion=25),
-        row("old", "level_end", "2026-04-01", level=650, group="1", success=True, cutoff=cutoff),
-        row("old", "level_start", day, group="1", mode=old_mode, cutoff=cutoff),
-        row("old", "paid_ad_impression", day, group="1", mode=None, cutoff=cutoff,
-            event_mode=None, ad_format="interstitial"),
+        CRAB("session_start", 10),
+        CRAB("screen_view", 14),
+        GULL("session_start", 12),
+        OTTER("session_start", 15),
     ]
 
 
-def boundary_rows():
-    """Events on both sides of the local report and observation bounds."""
+def past_milestone(mode: str | None = "sl"):
+    """A player whose classic play counts as another mode since February; ``mode`` is what stage 1 gave."""
+    tern = Player("tern", "2", mode, "2026-02-01 05:00:00")
+    return [
+        tern("level_start", 10),
+        Player("tern", "2", None, "2026-02-01 05:00:00")("paid_ad_impression", 10, mode=None, ad_format="video"),
+    ]
+
+
+def base_rows(mode_past: str | None = "sl"):
+    return attempts() + economy() + sessions() + past_milestone(mode_past)
+
+
+def edge_rows():
+    """Either side of local midnight at the ends of the report and of observation."""
     return [
-        row("before", "level_start", "2026-10-01 16:59:59", level=400),
-        row("at_start", "level_start", "2026-10-01 17:00:00", level=400),
-        row("last_report", "level_start", "2026-10-05 16:59:59", level=401),
-        row("after_report", "level_start", "2026-10-05 17:00:00", level=402),
-        row("at_start", "session_start", "2026-10-06 16:59:59"),
-        row("outside", "session_start", "2026-10-06 17:00:00"),
-        row("future", "session_start", "2026-10-12 01:00:00"),
+        Player("eve")("level_start", "2026-03-08 16:59:59", level=51),
+        Player("dawn")("level_start", "2026-03-08 17:00:00", level=51),
+        Player("dusk")("level_start", "2026-03-13 16:59:59", level=52),
+        Player("night")("level_start", "2026-03-13 17:00:00", level=53),
+        Player("dawn")("session_start", "2026-03-15 16:59:59"),
+        Player("gone")("session_start", "2026-03-15 17:00:00"),
+        Player("late")("session_start", "2026-03-20 05:00:00"),
     ]
 
 
 def noise_rows():
     """Loading events with missing, empty and broken payloads, which no report looks at."""
-    loading = row("a", "app_loading", "2026-10-02")
+    loading = CRAB("app_loading", 9)
     payloads = [(None, None), ("", "{bad json"), (None, "{}")]
     return [loading[:4] + pair + loading[6:] for pair in payloads]
 

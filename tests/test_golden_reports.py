@@ -1,12 +1,11 @@
-"""Report values worked out by hand on the golden fixture, for both presets."""
+"""Report values worked out by hand on the golden period, for both presets."""
 
 import pytest
 
-from levelscope.plans.reports import LEVELPLAY_COLUMNS, LOSS_COLUMNS, levelplay_report, loss_report, prepare
+from levelscope.plans.reports import LOSS_COLUMNS, levelplay_report, loss_report, prepare
 from tests.golden import (
-    ALL, RANGE, as_map, as_struct, base_rows, boundary_rows, collected, frame, noise_rows,
-    row,
-)
+    ALL, CRAB, EEL, RANGE, as_map, as_struct, base_rows, collected, edge_rows, frame, noise_rows,
+)
 
 
 def reports(corrected, cfg):
@@ -28,59 +27,87 @@ def ranged(spark):
     return reports(frame(spark, base_rows()), RANGE)
 
 
-def test_levelplay_all_levels(all_levels):
+def test_rows_of_all_levels(all_levels):
     rows = all_levels["levelplay"]
-    assert [(r["ab_group"], r["level"]) for r in rows] == [("0", 3.0), ("2", 300.0)]
-    first = rows[0]
-    assert list(first) == list(LEVELPLAY_COLUMNS)
-    assert first["user_start_count"] == 4
-    assert first["churn_rate_pct"] == 100.0
-    assert first["churn_rate_d3_pct"] == 100.0  # a, b, c mature; the only session is on day +4
-    assert first["churn_rate_d7_pct"] is None
-    assert first["aps_avg"] == 0.0
-    assert first["completion_rate_first_attempt_pct"] == 50.0
-    assert first["coin_spend_per_user"] == 2.5
-    assert first["total_coin_spend_per_user"] == 11.25
-    assert first["coin_balance_per_user"] == 50.0
-    assert first["total_coin_balance_per_user"] == 76.0
-    assert first["avg_booster_per_user"] == 0.25
-    assert first["booster_usage_rate_pct"] == 0.0
-    assert first["pay_rate_pct"] == 0.0
-    assert first["imp_per_lau"] == pytest.approx(1 / 3)  # b starts at another user level
-    assert first["inter_imp_per_lau"] == pytest.approx(1 / 3)
-    assert first["rwd_per_lau"] is None
-
-
-def test_losses_all_levels(all_levels):
+    assert [(r["ab_group"], r["level"]) for r in rows] == [("1", 12.0), ("1", 13.0), ("2", 40.0)]
+    assert list(rows[0]) == [
+        "ab_group", "level", "user_start_count", "churn_rate_pct", "churn_rate_d3_pct",
+        "churn_rate_d7_pct", "aps_avg", "completion_rate_first_attempt_pct", "coin_spend_per_user",
+        "total_coin_spend_per_user", "coin_balance_per_user", "total_coin_balance_per_user",
+        "avg_booster_per_user", "booster_usage_rate_pct", "pay_rate_pct", "imp_per_lau",
+        "inter_imp_per_lau", "rwd_per_lau",
+    ]
+
+
+def test_funnel(all_levels):
+    twelve, thirteen, forty = all_levels["levelplay"]
+    assert [r["user_start_count"] for r in (twelve, thirteen, forty)] == [4, 2, 1]
+    assert twelve["churn_rate_pct"] == 50.0  # eel and seal never start 13
+    assert thirteen["churn_rate_pct"] == forty["churn_rate_pct"] == 100.0
+    # 12: crab, eel and gull start on days with three more; only the eel's day ends there for good
+    assert twelve["churn_rate_d3_pct"] == pytest.approx(100 / 3)
+    assert thirteen["churn_rate_d3_pct"] == 50.0  # the crab is away for four days, the gull for none
+    assert forty["churn_rate_d3_pct"] == 0.0  # back on the third day
+    assert all(r["churn_rate_d7_pct"] is None for r in (twelve, thirteen, forty))
+
+
+def test_attempts_and_economy(all_levels):
+    twelve, thirteen, _ = all_levels["levelplay"]
+    assert twelve["aps_avg"] == 3.0  # crab 3, gull 1 and 5; the second win at attempt 1 is the same
+    assert twelve["completion_rate_first_attempt_pct"] == 80.0  # 90, 80, 70; not after continues
+    assert twelve["coin_spend_per_user"] == 10.0  # 30 + 10 over four
+    assert twelve["total_coin_spend_per_user"] == 20.0  # with 25 gems and a booster for 15
+    assert twelve["coin_balance_per_user"] == 100.0  # crab's 200 over crab and eel
+    assert twelve["total_coin_balance_per_user"] == 124.5  # 200 + 40 + 9, use_booster_count is none
+    assert twelve["avg_booster_per_user"] == 1.5
+    assert twelve["booster_usage_rate_pct"] == 25.0 and twelve["pay_rate_pct"] == 25.0
+    assert thirteen["aps_avg"] == thirteen["coin_spend_per_user"] == thirteen["pay_rate_pct"] == 0.0
+
+
+def test_ads_per_viewer(spark, all_levels):
+    twelve, thirteen, _ = all_levels["levelplay"]
+    # by the state of the user, the eel starts at level 11: crab, gull and seal remain
+    assert twelve["imp_per_lau"] == 1.0
+    assert twelve["inter_imp_per_lau"] == pytest.approx(2 / 3)
+    assert twelve["rwd_per_lau"] == pytest.approx(1 / 3)
+    assert thirteen["imp_per_lau"] == 0.0
+    assert thirteen["inter_imp_per_lau"] is None and thirteen["rwd_per_lau"] is None
+    by_starters = collected(
+        levelplay_report(prepare(frame(spark, base_rows()), ALL.with_(ads_denominator="event")))
+    )
+    assert by_starters[0]["imp_per_lau"] == 0.75
+
+
+def test_losses(all_levels):
     first, every = all_levels["first"], all_levels["all"]
     assert list(first[0]) == list(LOSS_COLUMNS)
-    assert (first[0]["level"], first[0]["user_count"], first[0]["lose_count"]) == (3.0, 2, 3)
-    assert (every[0]["level"], every[0]["user_count"], every[0]["lose_count"]) == (3.0, 3, 4)
-    assert first[0]["churn_users_d3"] == every[0]["churn_users_d3"] == 1
-    assert first[0]["churn_rate_d3_pct"] == pytest.approx(100 / 3)
-    assert first[0]["0-10"] == 50.0
-    assert first[0]["70-80"] == 50.0 and first[0]["20-30"] == 50.0
-    assert every[0]["0-10"] == pytest.approx(200 / 3)
-    assert first[1]["level"] == 4.2  # the phase stays visible
+    assert [(r["level"], r["user_count"], r["lose_count"]) for r in first] == [(12.0, 2, 3), (20.3, 1, 1)]
+    assert [(r["level"], r["user_count"], r["lose_count"]) for r in every] == [(12.0, 2, 4), (20.3, 1, 1)]
+    shares = {k: v for k, v in first[0].items() if "-" in k and v}
+    assert shares == {"0-10": 50.0, "30-40": 50.0}
+    assert {k: v for k, v in every[0].items() if "-" in k and v} == shares | {"80-90": 50.0}
+    # the eel left level 12 unfinished and was not seen again, of three mature starters
+    for row in (first[0], every[0]):
+        assert row["churn_users_d3"] == 1 and row["churn_rate_d3_pct"] == pytest.approx(100 / 3)
     assert first[1]["churn_users_d3"] is None and first[1]["churn_rate_d3_pct"] is None
 
 
 def test_level_range(ranged):
     rows = ranged["levelplay"]
-    assert [(r["ab_group"], r["level"]) for r in rows] == [("0", 3.0)]
+    assert [(r["ab_group"], r["level"]) for r in rows] == [("1", 12.0), ("1", 13.0)]
     assert "inter_imp_per_lau" not in rows[0]
-    assert rows[0]["rwd_per_lau"] == 0.0
-    assert rows[0]["imp_per_lau"] == pytest.approx(1 / 3)
-    assert [r["level"] for r in ranged["first"]] == [3.0]  # later phases are no metric events
-    # b ended the level, d is not mature, c returns only after the report: a and c of a, b, c
-    assert ranged["first"][0]["churn_users_d3"] == 2
-    assert ranged["first"][0]["churn_rate_d3_pct"] == pytest.approx(200 / 3)
+    assert rows[0]["imp_per_lau"] == 1.0 and rows[1]["rwd_per_lau"] == 0.0
+    assert [r["level"] for r in ranged["first"]] == [12.0]  # later phases are no metric events
+    # last starts: the eel's at 12, and the crab's at 13, whose next session is past the report
+    assert ranged["first"][0]["churn_users_d3"] == 1
+    assert ranged["first"][0]["churn_rate_d3_pct"] == pytest.approx(100 / 3)
 
 
-def test_event_denominator(spark):
-    cfg = ALL.with_(ads_denominator="event")
-    rows = collected(levelplay_report(prepare(frame(spark, base_rows()), cfg)))
-    assert rows[0]["imp_per_lau"] == 0.25
+def test_a_level_that_was_ended_is_not_left(spark):
+    ended = [EEL("level_end", 10, success=False, start_count=2, completion=20, continue_times=1)]
+    for cfg in (ALL, RANGE):
+        losses = reports(frame(spark, base_rows() + ended), cfg)["first"]
+        assert losses[0]["churn_users_d3"] == 0
 
 
 @pytest.mark.parametrize("form", [as_struct, as_map])
@@ -88,58 +115,56 @@ def test_payload_forms_agree(spark, all_levels, form):
     assert reports(form(frame(spark, base_rows())), ALL) == all_levels
 
 
-def test_text_timestamps_agree(spark, all_levels):
+@pytest.mark.parametrize("kind", ["string", "timestamp_ntz"])
+def test_timestamp_forms_agree(spark, all_levels, kind):
     corrected = frame(spark, base_rows())
     for name in ("event_ts", "first_clear_650_ts"):
-        corrected = corrected.withColumn(name, corrected[name].cast("string"))
-    assert reports(corrected, ALL) == all_levels
-
-
-def test_naive_timestamps_agree(spark, all_levels):
-    corrected = frame(spark, base_rows())
-    for name in ("event_ts", "first_clear_650_ts"):
-        corrected = corrected.withColumn(name, corrected[name].cast("timestamp_ntz"))
+        corrected = corrected.withColumn(name, corrected[name].cast(kind))
     assert reports(corrected, ALL) == all_levels
 
 
 def test_noise_changes_nothing(spark, all_levels):
-    rows = [
-        r[:4] + (None, None) + r[6:] if r[3] == "session_start" else r for r in base_rows()
-    ]
+    rows = [r[:4] + (None, None) + r[6:] if r[3] == "session_start" else r for r in base_rows()]
     assert reports(frame(spark, rows + noise_rows()), ALL) == all_levels
 
 
-def test_busy_user_changes_nothing(spark, all_levels):
-    """Thousands of further sessions and starts of one user on days they were active anyway."""
-    busy = [row("c", "session_start", "2026-10-06"), row("a", "level_start", "2026-10-02")]
+def test_busy_player_changes_nothing(spark, all_levels):
+    """Thousands of further sessions and starts on days a player was active anyway."""
+    busy = [CRAB("session_start", 10), EEL("level_start", 9, state=11)]
     assert reports(frame(spark, base_rows() + busy * 2000), ALL) == all_levels
 
 
 def test_rows_outside_the_window_change_nothing(spark, all_levels):
-    outside = [r for r in boundary_rows() if r[1] in ("before", "outside", "future")]
+    outside = [r for r in edge_rows() if r[1] in ("eve", "gone", "late")]
     assert reports(frame(spark, base_rows() + outside), ALL) == all_levels
 
 
-def test_local_day_bounds_and_mature_week(spark):
-    cfg = ALL.with_(observation_end="2026-10-12", as_of_date="2026-10-13", versions=("9.9.9",))
-    short = reports(frame(spark, base_rows() + boundary_rows()), ALL)["levelplay"]
-    long = reports(frame(spark, base_rows() + boundary_rows()), cfg)["levelplay"]
-    for rows in (short, long):
-        levels = {r["level"] for r in rows}
-        assert {400.0, 401.0} <= levels and 402.0 not in levels
+def test_local_midnights(spark):
+    short = reports(frame(spark, base_rows() + edge_rows()), ALL)["levelplay"]
     by_level = {r["level"]: r for r in short}
-    assert by_level[400.0]["user_start_count"] == 1  # only the user at local midnight
-    assert by_level[3.0]["churn_rate_d7_pct"] is None
-    # 10-02 plus seven days is observed now; c and at_start returned on 10-06, 10-07 local
-    by_level = {r["level"]: r for r in long}
-    assert by_level[3.0]["churn_rate_d7_pct"] == 75.0  # a, b, d of a, b, c, d
-    assert by_level[400.0]["churn_rate_d7_pct"] == 0.0
+    assert {51.0, 52.0} <= set(by_level) and 53.0 not in by_level
+    assert by_level[51.0]["user_start_count"] == 1
+
+
+def test_a_mature_week(spark):
+    """Observed to the 20th, every report day has seven more."""
+    cfg = ALL.with_(observation_end="2026-03-20", as_of_date="2026-03-21")
+    rows = {r["level"]: r for r in reports(frame(spark, base_rows() + edge_rows()), cfg)["levelplay"]}
+    assert rows[12.0]["churn_rate_d7_pct"] == 50.0  # eel and seal of four
+    assert rows[13.0]["churn_rate_d7_pct"] == 0.0
+    assert rows[51.0]["churn_rate_d7_pct"] == 0.0  # back on the sixth day
+
+
+def test_other_horizons(spark):
+    cfg = ALL.with_(day_horizons=(1,), report_horizons=(1,))
+    rows = reports(frame(spark, base_rows()), cfg)["levelplay"]
+    assert "churn_rate_d3_pct" not in rows[0]
+    # all four are mature now (13 + 1 <= 15): eel and seal
+    assert rows[0]["churn_rate_d1_pct"] == 50.0
 
 
 def test_level_with_only_unknown_users_has_no_ratio(spark):
-    only = [(r[0], None, *r[2:]) if r[1] == "wide" else r for r in base_rows()]
-    report = collected(levelplay_report(prepare(frame(spark, only), ALL)))
-    lone = [r for r in report if r["level"] == 300.0]
-    assert len(lone) == 1
-    assert lone[0]["user_start_count"] == 0
+    only = [(r[0], None, *r[2:]) if r[1] == "otter" else r for r in base_rows()]
+    lone = [r for r in collected(levelplay_report(prepare(frame(spark, only), ALL))) if r["level"] == 40.0]
+    assert len(lone) == 1 and lone[0]["user_start_count"] == 0
     assert lone[0]["churn_rate_pct"] is None and lone[0]["coin_spend_per_user"] is None
