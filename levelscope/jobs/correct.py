@@ -15,14 +15,15 @@ from levelscope.config import CorrectionConfig
 from levelscope.operators.correction import history_window, milestone_cutoffs
 from levelscope.operators.quality import refuse_null_timestamps
 from levelscope.plans.correct import correct_history
-from levelscope.session import use_utc
+from levelscope.session import published, use_utc
 from levelscope.sources.gates import raw_gate
 from levelscope.sources.readers import read_raw
 from levelscope.sources.sinks import write_corrected, write_cutoffs
 
 
 def run(spark: SparkSession, settings: dict) -> str:
-    """Write ``raw_fixed`` and ``user_clear650_cutoffs`` below the output path."""
+    """Write ``raw_fixed`` and ``user_clear650_cutoffs`` below the output path, and then the marker
+    that both are complete."""
     use_utc(spark)
     source = settings["source"]
     cfg = CorrectionConfig(**settings["correction"])
@@ -32,12 +33,14 @@ def run(spark: SparkSession, settings: dict) -> str:
     refuse_null_timestamps(raw_gate(raw), cfg)  # before the first output
 
     # The cutoff table is an output of its own; the correction goes on from the written one.
-    cutoffs = milestone_cutoffs(history_window(raw, cfg), cfg)
-    write_cutoffs(cutoffs, f"{root}/user_clear650_cutoffs")
-    written = spark.read.schema(cutoffs.schema).parquet(f"{root}/user_clear650_cutoffs")
-
-    corrected = correct_history(raw, cfg, cutoffs=written)
-    write_corrected(corrected, f"{root}/raw_fixed", rebalance=settings.get("rebalance", True))
+    with published(spark, root) as mode:
+        cutoffs = milestone_cutoffs(history_window(raw, cfg), cfg)
+        write_cutoffs(cutoffs, f"{root}/user_clear650_cutoffs", mode)
+        written = spark.read.schema(cutoffs.schema).parquet(f"{root}/user_clear650_cutoffs")
+
+        corrected = correct_history(raw, cfg, cutoffs=written)
+        rebalance = settings.get("rebalance", True)
+        write_corrected(corrected, f"{root}/raw_fixed", rebalance, mode)
     return f"{root}/raw_fixed"
 
 

@@ -12,6 +12,7 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from levelscope.config import ReportConfig, to_date
 from levelscope.operators.quality import (
@@ -22,25 +23,43 @@ from levelscope.operators.quality import (
 )
 from levelscope.operators.retention import maturity_windows
 from levelscope.plans.reports import levelplay_report, loss_report, prepare
-from levelscope.session import stage, use_utc
-from levelscope.sources.gates import corrected_gate, refuse_empty
+from levelscope.session import published, scratch, stage, use_utc
+from levelscope.sources.gates import (
+    corrected_gate,
+    refuse_empty,
+    refuse_identity,
+    refuse_over_cap,
+)
 from levelscope.sources.readers import read_corrected
 from levelscope.sources.sinks import NOT_AVAILABLE, ROW_CAP, write_report_csv
 from levelscope.sources.staging import app_events
 
+SETTINGS = ("preset", "row_cap", "union_by_name", "whole_history")  # of the job itself
 PRESETS = {"attempt_range": ReportConfig.attempt_range, "all_levels": ReportConfig.all_levels}
 
 
+def last_day(corrected, cfg: ReportConfig):
+    """The last local day of the app's events; with date folders only the last ones are read."""
+    by_day = "analysis_date_utc7"
+    if by_day in corrected.columns and isinstance(corrected.schema[by_day].dataType, T.DateType):
+        latest = corrected.agg(F.max(by_day)).first()[0]  # folder names, no columns
+        if latest is not None:
+            near = corrected.where(F.col(by_day) >= latest - timedelta(days=1))
+            found = coverage(app_events(near, cfg), cfg).first()["observation_end"]
+            if found is not None:
+                return found
+    return coverage(app_events(corrected, cfg), cfg).first()["observation_end"]
+
+
 def report_config(corrected, settings: dict) -> ReportConfig:
-    fields = {k: v for k, v in settings.items() if k not in ("preset", "row_cap", "union_by_name")}
+    fields = {k: v for k, v in settings.items() if k not in SETTINGS}
     make = PRESETS[settings.get("preset", "all_levels")]
     if "as_of_date" not in fields:
         local = timezone(timedelta(hours=fields.get("utc_offset_hours", 7)))
         fields["as_of_date"] = datetime.now(local).date()
     if "observation_end" not in fields:
         anyday = make(**fields, observation_end=fields["report_end"])
-        last = coverage(app_events(corrected, anyday), anyday).first()["observation_end"]
-        fields["observation_end"] = observation_end(last, None)
+        fields["observation_end"] = observation_end(last_day(corrected, anyday), None)
     return make(**fields)
 
 
@@ -53,29 +72,33 @@ def run(spark: SparkSession, source: str, target: str, settings: dict) -> dict[s
     cfg = report_config(corrected, settings)
     null_value = NOT_AVAILABLE if cfg.null_missing_ads else ""
 
-    # with a level range, the audit of missing cutoffs counts every kind of event
-    data = prepare(corrected, cfg, every_event=cfg.level_min is not None)
-    check_profile(data.profile, cfg)
-    ends = spark.createDataFrame([(to_date(cfg.observation_end),)], "observation_end date")
-    maturity_windows(ends, cfg).show(truncate=False)
-
-    # Reports are small; each is computed once and then checked and exported from its table.
-    levelplay = refuse_empty(stage(levelplay_report(data), "levelplay"))
-    losses = stage(loss_report(data), "loss")
-
-    def losses_of(kind):
-        return losses.where(F.col("loss_kind") == kind).drop("loss_kind")
-
-    exports = {
-        "levelplay_report": (levelplay, ("ab_group", "level")),
-        "loss_report": (losses_of("first"), ("ab_group", "level")),
-        "loss_all_attempts_report": (losses_of("all"), ("ab_group", "level")),
-        "qa_missing_clear650": (missing_cutoffs(data.cohort, cfg), ("event_name",)),
-    }
-    paths = {}
-    for name, (report, keys) in exports.items():
-        paths[name] = f"{target}/{name}_csv"
-        write_report_csv(report, paths[name], keys, null_value, row_cap)
+    with scratch(spark):
+        # with a level range, the audit of missing cutoffs counts every kind of event
+        data = prepare(corrected, cfg, every_event=cfg.level_min is not None)
+        check_profile(data.profile, cfg, whole_history=settings.get("whole_history", False))
+        ends = spark.createDataFrame([(to_date(cfg.observation_end),)], "observation_end date")
+        maturity_windows(ends, cfg).show(truncate=False)
+
+        # Reports are small; each is computed once, and all are checked before any is published.
+        levelplay = refuse_empty(stage(levelplay_report(data), "levelplay"))
+        losses = stage(loss_report(data), "loss")
+        missing = stage(missing_cutoffs(data.cohort, cfg), "missing")
+
+        def losses_of(kind):
+            return losses.where(F.col("loss_kind") == kind).drop("loss_kind")
+
+        exports = {
+            "levelplay_report": (levelplay, ("ab_group", "level")),
+            "loss_report": (losses_of("first"), ("ab_group", "level")),
+            "loss_all_attempts_report": (losses_of("all"), ("ab_group", "level")),
+            "qa_missing_clear650": (missing, ("event_name",)),
+        }
+        for report, _ in exports.values():
+            refuse_over_cap(refuse_identity(report), row_cap)
+        with published(spark, target) as mode:
+            paths = {name: f"{target}/{name}_csv" for name in exports}
+            for name, (report, keys) in exports.items():
+                write_report_csv(report, paths[name], keys, null_value, row_cap, mode)
     return paths
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,14 +33,59 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_scopes: list[list[str]] = []
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and go on from the written table.
 
     Cuts the lineage, survives lost executors and, being Parquet, lets every later step read only
-    the columns it needs. The folder belongs to the cluster's scratch space and its expiry.
+    the columns it needs. Within :func:`scratch` the folder is deleted at its end; else it belongs to
+    the cluster's scratch space and its expiry.
     """
     spark = df.sparkSession
     run = spark.sparkContext.applicationId
     path = f"{shared_folder(spark)}/levelscope/{run}/{label}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, place = _file_system(spark, path)
+    return system.exists(place)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes the tables staged within, whether the work succeeds or not."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            system, place = _file_system(spark, path)
+            system.delete(place, True)
+
+
+COMPLETE = "_COMPLETE"
+
+
+@contextmanager
+def published(spark: SparkSession, root: str) -> Iterator[str]:
+    """Several outputs below ``root`` that count only together.
+
+    Yields the write mode. What an interrupted run left is written over; a finished one, known by its
+    marker, is never touched.
+    """
+    marker = f"{root}/{COMPLETE}"
+    if exists(spark, marker):
+        raise ValueError(f"{root} already exists and is complete")
+    yield "overwrite"
+    spark.range(1).coalesce(1).write.mode("overwrite").json(marker)

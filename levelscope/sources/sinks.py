@@ -1,4 +1,4 @@
-"""Writers. Nothing is ever overwritten."""
+"""Writers. Nothing is overwritten unless asked for, see ``session.published``."""
 
 from __future__ import annotations
 
@@ -10,7 +10,9 @@ ROW_CAP = 20_000  # fixed value: default bound of a report
 NOT_AVAILABLE = "N/A"
 
 
-def write_corrected(df: DataFrame, path: str, rebalance: bool = True) -> None:
+def write_corrected(
+    df: DataFrame, path: str, rebalance: bool = True, mode: str = "errorifexists"
+) -> None:
     """One folder per local day.
 
     ``rebalance`` adds a shuffle that gathers each day into well-sized files, splitting days that
@@ -19,11 +21,11 @@ def write_corrected(df: DataFrame, path: str, rebalance: bool = True) -> None:
     """
     day = "analysis_date_utc7"
     out = df.hint("rebalance", day) if rebalance else df
-    out.write.mode("errorifexists").partitionBy(day).parquet(path)
+    out.write.mode(mode).partitionBy(day).parquet(path)
 
 
-def write_cutoffs(cutoffs: DataFrame, path: str) -> None:
-    cutoffs.write.mode("errorifexists").parquet(path)
+def write_cutoffs(cutoffs: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    cutoffs.write.mode(mode).parquet(path)
 
 
 def write_report_csv(
@@ -32,13 +34,14 @@ def write_report_csv(
     keys: tuple[str, ...] = ("ab_group", "level"),
     null_value: str = "",
     row_cap: int = ROW_CAP,
+    mode: str = "errorifexists",
 ) -> None:
     """One ordered CSV file with a header. The row cap is what makes one file safe."""
     refuse_over_cap(refuse_identity(report), row_cap)
     (
         report.orderBy(*keys)
         .coalesce(1)
-        .write.mode("errorifexists")
+        .write.mode(mode)
         .option("header", "true")
         .option("nullValue", null_value)
         .csv(path)

@@ -87,7 +87,7 @@ def test_correction(raw):
     assert days["2026-10-06 16:59:59"] == "2026-10-06"
 
 
-def test_salted_join_equals_broadcast(spark, raw):
+def test_shuffled_join_equals_broadcast(spark, raw):
     """One user with most of the rows, and rows without a user, through both joins."""
     busy = spark.range(20_000).select(
         F.lit("app").alias("app_id"),
@@ -105,6 +105,8 @@ def test_salted_join_equals_broadcast(spark, raw):
     far = attach_cutoffs(events, cutoffs, broadcast_bytes=-1)
     plan = far._jdf.queryExecution().optimizedPlan().toString()
     assert "strategy=broadcast" not in plan
+    # rows without a user go past the join
+    assert "isnotnull(user_pseudo_id" in plan and "isnull(user_pseudo_id" in plan
     left = corrected_events(events, near, CFG).collect()
     right = corrected_events(events, far, CFG).collect()
     assert sorted(left, key=key) == sorted(right, key=key)
@@ -150,3 +152,17 @@ def test_null_timestamps_stop_the_run(spark, raw):
         refuse_null_timestamps(text, CFG)
     audit = timestamp_audit(bad, "app").first()
     assert (audit["rows"], audit["invalid_timestamps"]) == (len(ROWS), 1)
+
+
+def test_both_stages_read_json_alike(spark, raw):
+    """Keys are literal, and of a repeated key the last counts."""
+    twice = '{"mode":"bonus","mode":"classic","level":5}'
+    rows = raw.withColumn("event_params", F.lit(twice))
+    got = correct_history(rows, CFG).select("mode_original").distinct().collect()
+    assert [r[0] for r in got] == ["classic"]
+
+
+def test_bad_timestamps_stop_the_plan_as_well(spark, raw):
+    bad = raw.union(spark.createDataFrame([("app", "u", None, "x", "{}", "{}", 1)], SCHEMA))
+    with pytest.raises(ValueError, match="event_ts"):
+        correct_history(bad, CFG)

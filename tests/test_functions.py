@@ -32,6 +32,10 @@ def test_whole_numbers(spark):
              ("3000000000", None), ("12", 12)]
     got = one(spark, [(c[0],) for c in cases], "t string", F.expr(whole("t")))
     assert [g[0] for g in got] == [c[1] for c in cases]
+    got = one(spark, [(c[0],) for c in cases], "t string", F.expr(whole("t", rounded=True)))
+    assert [g[0] for g in got] == [3, 4, -4, None, None, None, None, 12]
+    got = one(spark, [("1.5",), ("1.6",), (" 7 ",), ("1e2",)], "t string", F.expr(whole("t", rounded=True)))
+    assert [g[0] for g in got] == [2, 2, 7, 100]
     big = one(spark, [("9007199254740993",)], "t string", F.expr(whole("t", "bigint")))
     assert big == [(9007199254740993,)]
 

@@ -7,6 +7,7 @@ import pytest
 
 from checks.telemetry import MILESTONE, raw_table
 from levelscope.jobs import correct, report
+from levelscope.session import shared_folder
 from tests.golden import PERIOD, as_struct, base_rows, frame
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -53,8 +54,8 @@ def test_report_with_missing_values(spark, tmp_path):
     settings = {"preset": "all_levels", **PERIOD}
     paths = report.run(spark, str(tmp_path / "fixed"), str(tmp_path / "reports"), settings)
     levelplay = table(paths["levelplay_report"])
-    assert [r["level"] for r in levelplay] == ["3.0", "300.0"]
-    assert levelplay[0]["rwd_per_lau"] == "N/A" and levelplay[0]["churn_rate_d7_pct"] == "N/A"
+    assert [r["level"] for r in levelplay] == ["12.0", "13.0", "40.0"]
+    assert levelplay[1]["rwd_per_lau"] == "N/A" and levelplay[0]["churn_rate_d7_pct"] == "N/A"
     assert "loss_kind" not in table(paths["loss_report"])[0]
     with pytest.raises(Exception, match="(?i)already exists"):
         report.run(spark, str(tmp_path / "fixed"), str(tmp_path / "reports"), settings)
@@ -62,7 +63,7 @@ def test_report_with_missing_values(spark, tmp_path):
 
 def test_uncorrected_input_is_refused(spark, tmp_path):
     settings = {"preset": "all_levels", **PERIOD}
-    frame(spark, base_rows(old_mode="classic")).write.parquet(str(tmp_path / "bad"))
+    frame(spark, base_rows(mode_past="classic")).write.parquet(str(tmp_path / "bad"))
     with pytest.raises(ValueError, match="not re-labelled"):
         report.run(spark, str(tmp_path / "bad"), str(tmp_path / "out"), settings)
     frame(spark, base_rows()).drop("mode_fixed").write.parquet(str(tmp_path / "raw"))
@@ -75,8 +76,48 @@ def test_uncorrected_input_is_refused(spark, tmp_path):
         report.run(spark, str(tmp_path / "short"), str(tmp_path / "out"), settings)
 
 
-def test_row_cap(spark, tmp_path):
+def test_nothing_is_published_unless_all_is(spark, tmp_path):
+    """The loss report of all attempts is over the cap; a later run writes everything."""
     frame(spark, base_rows()).write.parquet(str(tmp_path / "fixed"))
+    settings = {"preset": "all_levels", **PERIOD}
+    target = tmp_path / "out"
     with pytest.raises(ValueError, match="more than 1 rows"):
-        report.run(spark, str(tmp_path / "fixed"), str(tmp_path / "out"),
-                   {"preset": "all_levels", "row_cap": 1, **PERIOD})
+        report.run(spark, str(tmp_path / "fixed"), str(target), {**settings, "row_cap": 1})
+    assert not target.exists()
+    report.run(spark, str(tmp_path / "fixed"), str(target), settings)
+    assert (target / "_COMPLETE").exists()
+
+
+def test_what_a_broken_run_left_is_written_over(spark, tmp_path):
+    frame(spark, base_rows()).write.parquet(str(tmp_path / "fixed"))
+    left = tmp_path / "out" / "loss_report_csv"
+    left.mkdir(parents=True)
+    (left / "part-0.csv").write_text("half a rep")
+    paths = report.run(spark, str(tmp_path / "fixed"), str(tmp_path / "out"), {"preset": "all_levels", **PERIOD})
+    assert "ab_group" in table(paths["loss_report"])[0]
+
+
+def test_staged_tables_are_deleted(spark, tmp_path):
+    frame(spark, base_rows()).write.parquet(str(tmp_path / "fixed"))
+    shared = Path(shared_folder(spark).removeprefix("file:")) / "levelscope" / spark.sparkContext.applicationId
+    before = set(shared.glob("*")) if shared.exists() else set()
+    report.run(spark, str(tmp_path / "fixed"), str(tmp_path / "out"), {"preset": "all_levels", **PERIOD})
+    assert set(shared.glob("*")) <= before
+
+
+def test_history_must_reach_back_if_asked(spark, tmp_path):
+    rows = [r for r in base_rows() if r[2].day != 9]
+    frame(spark, rows).write.parquet(str(tmp_path / "short"))
+    settings = {"preset": "all_levels", "whole_history": True, **PERIOD}
+    with pytest.raises(ValueError, match="after the report start"):
+        report.run(spark, str(tmp_path / "short"), str(tmp_path / "out"), settings)
+
+
+def test_unreadable_timestamps_stop_the_report(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    rows = frame(spark, base_rows()).withColumn("event_ts", F.col("event_ts").cast("string"))
+    bad = rows.limit(2).withColumn("event_ts", F.lit("soon"))
+    rows.union(bad).write.parquet(str(tmp_path / "bad"))
+    with pytest.raises(ValueError, match="invalid_timestamps=2"):
+        report.run(spark, str(tmp_path / "bad"), str(tmp_path / "out"), {"preset": "all_levels", **PERIOD})

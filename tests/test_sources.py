@@ -111,19 +111,26 @@ def test_report_gates(spark):
 
 def test_config_rules():
     with pytest.raises(ValueError, match="report_start"):
-        ReportConfig.all_levels(**{**PERIOD, "report_start": "2026-10-06"})
+        ReportConfig.all_levels(**{**PERIOD, "report_start": "2026-03-14"})
     with pytest.raises(ValueError, match="observation_end"):
-        ReportConfig.all_levels(**{**PERIOD, "observation_end": "2026-10-04"})
+        ReportConfig.all_levels(**{**PERIOD, "observation_end": "2026-03-12"})
     with pytest.raises(ValueError, match="as_of_date"):
-        ReportConfig.all_levels(**{**PERIOD, "as_of_date": "2026-10-06"})
+        ReportConfig.all_levels(**{**PERIOD, "as_of_date": "2026-03-15"})
     with pytest.raises(ValueError, match="list of strings"):
         ReportConfig.all_levels(**PERIOD, versions="9.9.9")
     with pytest.raises(ValueError, match="ads_denominator"):
         ReportConfig.all_levels(**PERIOD, ads_denominator="users")
     with pytest.raises(ValueError, match="version list"):
-        ReportConfig.attempt_range(**PERIOD, versions=())
-    assert str(ALL.eligible_end(3)) == "2026-10-03" and str(ALL.eligible_end(7)) == "2026-09-29"
-    assert [str(b) for b in ALL.window_utc()] == ["2026-10-01 17:00:00", "2026-10-06 17:00:00"]
+        ReportConfig.attempt_range(**PERIOD, versions=(), level_min=1, level_max=2)
+    with pytest.raises(ValueError, match="version list"):
+        ReportConfig.attempt_range(**PERIOD, level_min=1, level_max=2)
+    with pytest.raises(ValueError, match="level_min and level_max"):
+        ReportConfig.attempt_range(**PERIOD, versions=("2.4",))
+    with pytest.raises(ValueError, match="report_horizons"):
+        ReportConfig.all_levels(**PERIOD, day_horizons=(3,), report_horizons=(7,))
+    assert ReportConfig.all_levels(**PERIOD, day_horizons=(5,)).report_horizons == (5,)
+    assert str(ALL.eligible_end(3)) == "2026-03-12" and str(ALL.eligible_end(7)) == "2026-03-08"
+    assert [str(b) for b in ALL.window_utc()] == ["2026-03-08 17:00:00", "2026-03-15 17:00:00"]
 
 
 def test_profile_rules():
