@@ -2,8 +2,9 @@
 
 ``BENCH_SF_DIR`` and ``BENCH_CPUS`` choose the data and the local cores. The two written inputs, the
 raw telemetry derived from the test data and the output of stage 1, are made first, in a cold
-session; their times are listed under ``setup`` and are not in the total. Stage 1 without its write is
-the query ``mode_correction``. All queries are run to their last row once to warm up, and then
+session. ``stage1_write``, the product of stage 1, counts in the total; deriving the raw telemetry, which
+no user does, is listed only. ``both_reports`` is stage 2 end to end: one staging of the window, then all
+three reports. All queries are run to their last row once to warm up, and then
 ``BENCH_RUNS`` times each; the best run counts.
 """
 
@@ -32,6 +33,7 @@ HEADLINES = (
     "loss_report_all_levels",
     "levelplay_report_range",
     "levelplay_report_all_levels",
+    "both_reports",
     "input_profile",
 )
 
@@ -69,8 +71,8 @@ def main() -> None:
     print(
         json.dumps(
             {
-                "metric": "headline queries, total of best runs",
-                "value": round(sum(results.values()), 3),
+                "metric": "stage 1 write and headline queries, total of best runs",
+                "value": round(setup["stage1_write"] + sum(results.values()), 3),
                 "unit": "sec",
                 "queries": {name: round(value, 3) for name, value in results.items()},
                 "setup": {name: round(value, 3) for name, value in setup.items()},

@@ -424,6 +424,26 @@ def statements() -> dict[str, str]:
             "SELECT fix_reason, analysis_date_utc7, count(*) AS events, "
             "count(DISTINCT user_pseudo_id) AS users FROM corrected GROUP BY ALL"
         ),
+        **{
+            f"raw_from_{fmt}": f"WITH {RAW}\nSELECT event_id, user_pseudo_id, event_name, "
+            "event_params, user_properties, country FROM raw"
+            for fmt in ("csv", "json", "orc")
+        },
+        **{
+            name: stage1("SELECT * FROM cutoffs")
+            for name in (
+                "cutoffs_of_text_time", "cutoffs_of_maps", "cutoffs_of_structs",
+                "cutoffs_of_unified_text", "cutoff_table",
+            )
+        },
+        "corrected_union_by_name": stage1(
+            "SELECT event_id, event_name, if(event_id % 2 = 1, country, NULL) AS country FROM corrected"
+        ),
+        "levelplay_report_csv": "WITH " + levelplay(c),
+        "both_reports": f"""SELECT 'level' AS report, ab_group, level, user_start_count AS users,
+  churn_rate_d3_pct AS rate FROM (WITH {levelplay(c)})
+UNION ALL SELECT loss_kind, ab_group, level, user_count, churn_rate_d3_pct
+FROM (WITH {loss_report(c, None)})""",
         "window_other_offset": f"""WITH {CORRECTED}
 SELECT event_id, event_ts FROM corrected
 WHERE event_ts >= TIMESTAMP '{UTC_REPORT.window_utc()[0]}'

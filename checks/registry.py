@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 from checks.telemetry import (
     ALL_LEVELS, CORRECTION, OTHER_HORIZONS, RANGE, UTC_REPORT, corrected_table, raw_table,
+    written,
 )
 from levelscope.config import USER, ReportConfig
 from levelscope.functions.game import is_interstitial, is_rewarded
+from levelscope.functions.payload import payload_text
 from levelscope.operators import economy, funnel, loss, quality, retention
 from levelscope.operators.correction import history_window, milestone_cutoffs
 from levelscope.operators.filters import system_clean
@@ -27,6 +29,9 @@ from levelscope.plans.reports import (
     loss_report,
     prepare,
 )
+from levelscope.sources.gates import raw_gate
+from levelscope.sources.readers import read_corrected, read_raw
+from levelscope.sources.sinks import NOT_AVAILABLE, write_cutoffs, write_report_csv
 from levelscope.sources.staging import app_events, report_window
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +62,107 @@ def _window(spark: SparkSession, sf_dir: str, cfg: ReportConfig) -> DataFrame:
     return report_window(corrected_table(spark, sf_dir), cfg)
 
 
+RAW_COLUMNS = ("event_id", USER, "event_name", "event_params", "user_properties", "country")
+CSV_WRITE = {"header": "true", "quote": '"', "escape": '"'}
+
+
+def raw_from(fmt: str) -> Query:
+    """The raw events, read back from another file format."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        def write(path: str) -> None:
+            options = CSV_WRITE if fmt == "csv" else {}
+            raw_table(spark, sf_dir).write.format(fmt).options(**options).save(path)
+
+        path = written(spark, sf_dir, f"raw-{fmt}", write)
+        events = raw_gate(read_raw(spark, path, fmt))
+        return events.select(F.col("event_id").cast("long"), *RAW_COLUMNS[1:])
+
+    return query
+
+
+def cutoffs_of(change: Callable[[DataFrame], DataFrame]) -> Query:
+    """Stage 1 over raw events in another form."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        events = raw_gate(change(raw_table(spark, sf_dir)))
+        return milestone_cutoffs(history_window(events, CORRECTION), CORRECTION)
+
+    return query
+
+
+def text_time(raw: DataFrame) -> DataFrame:
+    return raw.withColumn("event_ts", F.col("event_ts").cast("string"))
+
+
+def payload_as(event: str, user: str) -> Callable[[DataFrame], DataFrame]:
+    return lambda raw: raw.withColumns(
+        {"event_params": F.from_json("event_params", event), "user_properties": F.from_json("user_properties", user)}
+    )
+
+
+AS_MAPS = payload_as("map<string,string>", "map<string,string>")
+AS_STRUCTS = payload_as(
+    "level double, mode string, phase double, success string", "level double, mode string, exp_group string"
+)
+
+
+def text_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Map payloads, unified to JSON text, and read again."""
+    return cutoffs_of(lambda raw: payload_text(AS_MAPS(raw)))(spark, sf_dir)
+
+
+def union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of which every other one lacks a column."""
+
+    def write(path: str) -> None:
+        events = corrected_table(spark, sf_dir)
+        even = F.col("event_id") % 2 == 0
+        events.where(even).drop("country").write.parquet(f"{path}/half=0")
+        events.where(~even).write.parquet(f"{path}/half=1")
+
+    events = read_corrected(spark, written(spark, sf_dir, "halves", write), union_by_name=True)
+    return events.select("event_id", "event_name", "country")
+
+
+def cutoff_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cutoff output of stage 1, read back."""
+
+    def write(path: str) -> None:
+        write_cutoffs(cutoffs_of(lambda raw: raw)(spark, sf_dir), path)
+
+    return spark.read.parquet(written(spark, sf_dir, "cutoff-table", write))
+
+
+def report_csv(cfg: ReportConfig) -> Query:
+    """The level report as the exported CSV file has it."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        def write(path: str) -> None:
+            write_report_csv(levelplay_report(_staged(spark, sf_dir, cfg)), path, null_value=NOT_AVAILABLE)
+
+        path = written(spark, sf_dir, "report-csv", write)
+        table = spark.read.csv(path, header=True, nullValue=NOT_AVAILABLE)
+        numbers = [F.col(c).cast("double") for c in table.columns if c not in ("ab_group", "user_start_count")]
+        return table.select("ab_group", F.col("user_start_count").cast("long"), *numbers)
+
+    return query
+
+
+def both_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """End to end: one staging of the window, the level report, both loss reports, in one long table."""
+    data = _staged(spark, sf_dir, ALL_LEVELS)
+    level = levelplay_report(data).select(
+        F.lit("level").alias("report"), "ab_group", "level", F.col("user_start_count").alias("users"),
+        F.col("churn_rate_d3_pct").alias("rate"),
+    )
+    loss = loss_report(data).select(
+        F.col("loss_kind").alias("report"), "ab_group", "level", F.col("user_count").alias("users"),
+        F.col("churn_rate_d3_pct").alias("rate"),
+    )
+    return level.unionByName(loss)
+
+
 def _events_of_window(spark: SparkSession, sf_dir: str, cfg: ReportConfig) -> DataFrame:
     """Rows of the window, found again in the corrected events by all that identifies them."""
     events = corrected_table(spark, sf_dir)
@@ -161,6 +267,17 @@ def queries() -> dict[str, Query]:
         "fix_reason_counts": lambda s, d: events_and_users(
             _correction(s, d), "fix_reason", "analysis_date_utc7"
         ),
+        # sources, payload forms and sinks
+        "raw_from_csv": raw_from("csv"),
+        "raw_from_json": raw_from("json"),
+        "raw_from_orc": raw_from("orc"),
+        "cutoffs_of_text_time": cutoffs_of(text_time),
+        "cutoffs_of_maps": cutoffs_of(AS_MAPS),
+        "cutoffs_of_structs": cutoffs_of(AS_STRUCTS),
+        "cutoffs_of_unified_text": text_again,
+        "corrected_union_by_name": union_by_name,
+        "cutoff_table": cutoff_table,
+        "levelplay_report_csv": report_csv(c),
         # normalisation and filters
         "parse_fields_cut": lambda s, d: _parsed(s, d, a).select(*TYPED_COLUMNS),
         "parse_fields": lambda s, d: _parsed(s, d, c).select(*TYPED_COLUMNS),
@@ -236,6 +353,7 @@ def queries() -> dict[str, Query]:
         "levelplay_report_event_base": report(
             c.with_(ads_denominator="event"), levelplay_report
         ),
+        "both_reports": both_reports,
         # audits
         "qa_timestamps": lambda s, d: quality.timestamp_audit(
             raw_table(s, d), CORRECTION.app_id

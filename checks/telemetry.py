@@ -131,6 +131,13 @@ def _path(spark: SparkSession, sf_dir: str, table: str, write: Callable[[str], N
     return _written[key]
 
 
+def written(
+    spark: SparkSession, sf_dir: str, label: str, write: Callable[[str], None]
+) -> str:
+    """The path of a table in another form, written once per session."""
+    return _path(spark, sf_dir, label, write)
+
+
 def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw event table: what stage 1 reads."""
 

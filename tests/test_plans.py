@@ -121,3 +121,19 @@ def test_no_nested_loops_and_no_python(spark, name):
     text = plan(registry.queries()[name](spark, SF_DIR))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
+
+
+@pytest.mark.parametrize("name", list(registry.queries()))
+def test_payloads_are_decoded_once(spark, name):
+    """One json_tuple per payload in the plan of a query; over the staged window there is none."""
+    text = plan(registry.queries()[name](spark, SF_DIR))
+    decoded = re.findall(r"Generate json_tuple\(", text)
+    both_sides = 2 if name.startswith(("mode_correction", "fix_reason")) else 1
+    assert len(decoded) <= 2 * both_sides
+
+
+def test_shuffled_cutoffs_move_no_row_without_a_user(spark):
+    far = registry.queries()["mode_correction_shuffled"](spark, SF_DIR)
+    text = plan(far)
+    assert "SortMergeJoin" in text and "isnotnull(user_pseudo_id" in text
+    assert "Union" in text and "isnull(user_pseudo_id" in text

@@ -140,8 +140,8 @@ def test_profile_rules():
     for change, message in (
         (dict(rows=0), "empty"),
         (dict(invalid_timestamps=2), "bad timestamps"),
-        (dict(max_date=date(2026, 10, 5)), "before observation_end"),
-        (dict(min_date=date(2026, 10, 3)), "after the report start"),
+        (dict(max_date=date(2026, 3, 14)), "before observation_end"),
+        (dict(min_date=date(2026, 3, 10)), "after the report start"),
         (dict(inconsistent_mode=1), "not re-labelled"),
     ):
         with pytest.raises(ValueError, match=message):
