@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +19,8 @@ from levelscope.session import stage
 
 #: Links that one task merges at a time before they are dealt out.
 FOREST_LINKS = 200_000
+#: Elements of a bucket that one task holds of each of the two parts it compares, about.
+PART_ELEMENTS = 500_000
 
 
 def _forests(links: DataFrame) -> DataFrame:
@@ -113,6 +116,87 @@ def similar(pairs: DataFrame, features: DataFrame) -> DataFrame:
     )
 
 
+def _within_buckets(rows: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) found by comparing the items of a bucket, or of two parts of it.
+
+    ``rows`` has the group (``key``, ``low``, ``high``), sorted by it, ``id``, ``part``, ``root`` and
+    ``elements``. Items in one component are not compared, nor any that a link found here connects, so
+    a group gives fewer links than it has items.
+    """
+
+    def links(ids, parts, roots, bounds, flat):
+        comp = np.unique(roots, return_inverse=True)[1]
+        sizes = np.diff(bounds)
+        codes = np.unique(flat, return_inverse=True)[1]
+        mine = np.zeros(codes.max() + 1, bool)
+        apart = len(np.unique(parts)) > 1
+        found = []
+        for i in range(len(ids) - 1):
+            open_ = comp[i + 1 :] != comp[i]
+            if apart:
+                open_ &= parts[i + 1 :] != parts[i]
+            small = np.minimum(sizes[i], sizes[i + 1 :])
+            open_ &= small >= threshold * np.maximum(sizes[i], sizes[i + 1 :])
+            if not open_.any():
+                continue
+            mine[codes[bounds[i] : bounds[i + 1]]] = True
+            common = np.add.reduceat(
+                mine[codes[bounds[i + 1] :]].astype(np.int64), bounds[i + 1 : -1] - bounds[i + 1]
+            )
+            mine[codes[bounds[i] : bounds[i + 1]]] = False
+            like = common >= threshold * (sizes[i] + sizes[i + 1 :] - common)
+            for j in np.flatnonzero(open_ & like) + i + 1:
+                if comp[j] != comp[i]:
+                    found.append((ids[i], ids[j]))
+                    comp[comp == comp[j]] = comp[i]
+        return found
+
+    def batch_of(found):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([int(f[k]) for f in found], pa.int64()) for k in (0, 1)], ["a", "b"]
+        )
+
+    def run(batches):
+        held: list[pa.RecordBatch] = []  # the rows of the group that the last batch ended in
+
+        def groups(batch):
+            table = pa.Table.from_batches([*held, batch]).combine_chunks()
+            held.clear()
+            names = ("key", "low", "high")
+            group = [table.column(c).to_numpy() for c in names]
+            fresh = np.ones(table.num_rows, bool)
+            fresh[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in group])
+            firsts = np.append(np.flatnonzero(fresh), table.num_rows)
+            ids, parts, roots = (table.column(c).to_numpy() for c in ("id", "part", "root"))
+            elements = table.column("elements").chunk(0)
+            ends = elements.offsets.to_numpy()
+            flat = elements.values.to_numpy()
+            for a, b in zip(firsts[:-2], firsts[1:-1]):
+                bounds = ends[a : b + 1].astype(np.int64)
+                yield (
+                    ids[a:b], parts[a:b], roots[a:b], bounds - bounds[0], flat[bounds[0] : bounds[-1]]
+                )
+            held.extend(table.slice(firsts[-2]).combine_chunks().to_batches())
+
+        def end():
+            if held:
+                last = held[0].slice(0, 1)
+                yield from groups(_closing(last))
+
+        for batch in batches:
+            if batch.num_rows:
+                yield batch_of([x for g in groups(batch) if len(g[0]) > 1 for x in links(*g)])
+        yield batch_of([x for g in end() if len(g[0]) > 1 for x in links(*g)])
+
+    return mapped(rows, run, "a long, b long")
+
+
+def _closing(row: pa.RecordBatch) -> pa.RecordBatch:
+    """A row of another group, which ends the group before it."""
+    at = row.schema.get_field_index("low")
+    return row.set_column(at, row.schema.field(at), pa.array([-1], row.schema.field(at).type))
+
+
 def linked(
     members: DataFrame,
     features_of: Callable[[DataFrame], DataFrame],
@@ -121,61 +205,48 @@ def linked(
 ) -> DataFrame:
     """Components over all pairs that share a bucket and are similar: ``id`` and ``root``.
 
-    ``members`` has the bucket ``key`` and ``id``; ``features_of`` gives (id, elements), with distinct
+    ``members`` has the bucket ``key`` and ``id``, repeated or not; ``features_of`` gives (id, elements), with distinct
     elements, for a table of ids. Pairs that are in one component already need no comparison:
 
-    1. each item is compared with the smallest item that leads one of its buckets,
-    2. then with the leaders of its other buckets, unless they are in its component by now,
-    3. then the items of a bucket with each other where they are in different components. Of
-       these pairs, those are left out whose similarities to the bucket's leader, where known, differ by more
-       than 1 - threshold: the Jaccard distance is a metric, so they cannot be similar.
-
-    A group of copies of any size is thus settled by as many comparisons as it has items.
+    1. each item is compared with the smallest item that leads one of its buckets, which settles groups
+       of copies of any size by as many comparisons as they have items;
+    2. in buckets whose items are in different components by then, the items are compared
+       with each other across components. A bucket of more than ``PART_ELEMENTS`` elements is dealt out in parts, and each
+       pair of parts is a task's work of its own; only links are returned, never pairs.
     """
-    groups = members.groupBy("key").agg(F.min("id").alias("leader"), F.count("*").alias("n"))
-    shared = stage(members.join(groups.where("n > 1"), "key"), f"{label}-buckets")
+    groups = members.groupBy("key").agg(F.min("id").alias("leader"), F.max("id").alias("last"))
+    shared = members.join(groups.where("leader != last"), "key").select("key", "id", "leader")
+    shared = stage(shared.distinct(), f"{label}-buckets")
     features = stage(features_of(shared.select("id").distinct()), f"{label}-features")
 
-    followers = shared.where("id != leader").select(F.col("leader").alias("a"), F.col("id").alias("b"), "key", "n")
-    first = followers.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    measured = stage(similar(first, features), f"{label}-first")
-    links = measured.where(F.col("similarity") >= threshold).select("a", "b")
+    followers = shared.where("id != leader")
+    first = followers.groupBy(F.col("id").alias("b")).agg(F.min("leader").alias("a"))
+    links = stage(
+        similar(first, features).where(F.col("similarity") >= threshold).select("a", "b"), f"{label}-first"
+    )
     roots = components(links, f"{label}-first")
 
-    def with_roots(rows: DataFrame, column: str, name: str) -> DataFrame:
-        known = roots.select(F.col("id").alias(column), F.col("root").alias(name))
-        return rows.join(known, column, "left").withColumn(name, F.coalesce(name, column))
-
-    others = followers.select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
-    others = with_roots(with_roots(others, "a", "ra"), "b", "rb").where("ra != rb").select("a", "b")
-    second = stage(similar(others, features), f"{label}-second")
-    links = links.union(second.where(F.col("similarity") >= threshold).select("a", "b"))
-    roots = components(links, f"{label}-second")
-
-    tested = measured.union(second)
-    rest = with_roots(followers.where("n > 2").select("key", "a", "b"), "b", "root")
-    open_keys = rest.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    rest = rest.join(open_keys.where("low != high").select("key"), "key").join(
-        tested, ["a", "b"], "left"
+    known = shared.select("key", "id").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    sized = known.join(features.select("id", F.size("elements").cast("long").alias("size")), "id")
+    open_keys = (
+        sized.groupBy("key")
+        .agg(F.min("root").alias("least"), F.max("root").alias("most"), F.sum("size").alias("size"))
+        .where("least != most")
+        .select("key", F.ceil(F.col("size") / PART_ELEMENTS).cast("int").alias("parts"))
     )
-    rest = stage(rest.select("key", F.col("b").alias("id"), "root", "similarity"), f"{label}-open")
-    x, y = rest.alias("x"), rest.alias("y")
-    apart = F.abs(F.col("x.similarity") - F.col("y.similarity")) > 1 - threshold + 1e-9
-    between = (
-        x.join(
-            y,
-            (F.col("x.key") == F.col("y.key"))
-            & (F.col("x.id") < F.col("y.id"))
-            & (F.col("x.root") != F.col("y.root"))
-            & ~F.coalesce(apart, F.lit(False)),
+    rest = stage(known.join(open_keys, "key"), f"{label}-open")
+    part = F.pmod(F.xxhash64("id", "key"), F.col("parts")).cast("int")
+    placed = (
+        rest.withColumn("part", part)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .select(
+            "key", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"),
+            "id", "part", "root",
         )
-        .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-        .distinct()
-    )
-    third = stage(
-        similar(between, features).where(F.col("similarity") >= threshold).select("a", "b"),
-        f"{label}-third",
-    )
-    if third.isEmpty():
+    )
+    dealt = placed.join(features, "id").select("key", "low", "high", "id", "part", "root", "elements")
+    dealt = dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "id")
+    more = stage(_within_buckets(dealt, threshold), f"{label}-within")
+    if more.isEmpty():
         return roots
-    return components(links.union(third), f"{label}-third")
+    return components(links.union(more), f"{label}-all")

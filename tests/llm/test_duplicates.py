@@ -169,6 +169,22 @@ def test_links_between_followers_are_found(spark):
     assert {r.id: r.root for r in roots.collect()} == {2: 2, 3: 2}
 
 
+def test_large_buckets_are_compared_in_parts(spark, monkeypatch):
+    """Items that are like one other item each, in one bucket, with parts of a few items."""
+    monkeypatch.setattr(similarity, "PART_ELEMENTS", 60)
+    sets = {i: list(range(100 * (i // 2), 100 * (i // 2) + 20 + i % 2)) for i in range(60)}
+    members = spark.createDataFrame([(7, i) for i in sets], "key long, id long")
+    features = spark.createDataFrame(list(sets.items()), "id long, elements array<long>")
+    roots = similarity.linked(members, lambda ids: features.join(ids, "id"), 0.8, "test")
+    assert {r.id: r.root for r in roots.collect()} == {i: i - i % 2 for i in range(60)}
+
+
+def test_removed_lines_are_those_that_the_texts_lose(docs):
+    rows = docs.where("doc_id is not null")
+    removed = {r.doc_id: list(r.removed) for r in line_dedup.removed(rows).collect()}
+    assert removed == {r.row.doc_id: list(r.removed) for r in line_dedup.deduplicated(rows).collect()}
+
+
 def test_empty_tables(spark):
     nothing = corpus.empty(spark)
     assert minhash_dedup.classes(nothing).count() == 0
