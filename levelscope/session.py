@@ -33,6 +33,8 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: Spark's setting to delete the shuffle files of a query at its end, not some time later.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _scopes: list[list[str]] = []
 
 
@@ -40,7 +42,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and go on from the written table.
 
     Cuts the lineage, survives lost executors and, being Parquet, lets every later step read only
-    the columns it needs. Within :func:`scratch` the folder is deleted at its end; else it belongs to
+    the columns it needs. Shuffle files of the write, which is not run again, are freed with it. Within :func:`scratch` the folder is deleted at its end; else it belongs to
     the cluster's scratch space and its expiry.
     """
     spark = df.sparkSession
@@ -48,7 +50,12 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_folder(spark)}/levelscope/{run}/{label}-{uuid.uuid4().hex}"
     if _scopes:
         _scopes[-1].append(path)
-    df.write.mode("errorifexists").parquet(path)
+    before = spark.conf.get(FREE_SHUFFLES, "false")
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.mode("errorifexists").parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
