@@ -12,7 +12,7 @@ whose words more than 30 percent lie in repeated windows of 8 words. Such docume
 
 Everything is expressed in DataFrame functions. Lines travel as hashes; only per-line flags return to
 the documents. A null host is a host of its own. A null text has no words; a null id is kept as it is. Rows are told
-apart by (id, hash of the text): rows equal in both share their lines' fate, and all are returned. An
+apart by (id, hash of the text) within a host: rows equal in both share their lines' fate, and all are returned. An
 empty table gives an empty result. Clashing column names do no harm: the row travels as one struct.
 """
 
@@ -23,6 +23,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from levelscope.llm.rows import Carried
+
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 20
@@ -139,18 +141,31 @@ def base_failed(base: Column) -> Column:
     )
 
 
-def keyed(docs: DataFrame, key: str, text: str, host: str) -> DataFrame:
+def keyed(docs: DataFrame, carried: Carried, key: str, host: str) -> DataFrame:
     return docs.select(
-        F.struct("*").alias("_row"),
+        *carried.columns,
         F.col(key).alias("_id"),
-        F.col(text).alias("_text"),
-        F.xxhash64(text).alias("_hash"),
+        F.xxhash64(carried.text).alias("_hash"),
         F.coalesce(F.xxhash64(host), F.lit(0)).alias("_host"),
     )
 
 
+def _lines(rows: DataFrame, words: bool) -> DataFrame:
+    """A row per line with a word: place and hash, and its number of words if asked for."""
+
+    def described(line: Column) -> Column:
+        fields = [F.xxhash64(normalised(line)).alias("line")]
+        if words:
+            fields.append(F.size(words_of(line)).alias("words"))
+        return F.struct(*fields)
+
+    lines = F.filter(F.split(F.coalesce("_text", F.lit("")), "\n"), has_word)
+    found = rows.select("_host", "_hash", "_id", F.posexplode(F.transform(lines, described)).alias("at", "found"))
+    return found.select("_host", "_hash", "_id", "at", "found.*")
+
+
 def boilerplate(rows: DataFrame, limits: LineLimits) -> DataFrame:
-    """Of each document: the hashes of lines that it loses.
+    """Of each document that loses lines: their hashes (``lost``) and all their words.
 
     Lines are made distinct by (host, line, text) on the map side first, so copies of a document and
     a line repeated within one count once.
@@ -159,18 +174,7 @@ def boilerplate(rows: DataFrame, limits: LineLimits) -> DataFrame:
         rows.groupBy("_host", "_hash").agg(F.lit(1).alias("one")).groupBy("_host")
         .agg(F.count("*").alias("docs"))
     )
-    lines = rows.select(
-        "_host", "_hash", "_id",
-        F.explode(
-            F.array_distinct(
-                F.transform(
-                    F.filter(F.split(F.coalesce("_text", F.lit("")), "\n"), has_word),
-                    lambda line: F.xxhash64(normalised(line)),
-                )
-            )
-        ).alias("line"),
-    )
-    held = lines.groupBy("_host", "line", "_hash").agg(F.min("_id").alias("first"))
+    held = _lines(rows, False).groupBy("_host", "line", "_hash").agg(F.min("_id").alias("first"))
     frequent = (
         held.groupBy("_host", "line")
         .agg(F.count("*").alias("n"), F.min(F.struct("first", "_hash")).alias("first"))
@@ -179,12 +183,19 @@ def boilerplate(rows: DataFrame, limits: LineLimits) -> DataFrame:
         .where(F.col("n") > limits.max_share * F.col("docs"))
         .select("_host", "line", "first")
     )
-    lost = lines.join(frequent, ["_host", "line"]).where(
+    lost = _lines(rows, True).join(frequent, ["_host", "line"]).where(
         ~F.struct("_id", "_hash").eqNullSafe(
             F.struct(F.col("first.first").alias("_id"), F.col("first._hash").alias("_hash"))
         )
     )
-    return lost.groupBy("_host", "_id", "_hash").agg(F.collect_set("line").alias("lost"))
+    # a set, as repeated rows have the same lines at the same places
+    return lost.groupBy("_host", "_id", "_hash").agg(
+        F.collect_set(F.struct("at", "line", "words")).alias("lines")
+    ).select(
+        "_host", "_id", "_hash",
+        F.array_distinct(F.col("lines.line")).alias("lost"),
+        F.aggregate("lines", F.lit(0).cast("long"), lambda n, x: n + x["words"]).alias("lost_words"),
+    )
 
 
 def judged(
@@ -193,13 +204,18 @@ def judged(
     key: str = "doc_id",
     text: str = "text",
     host: str = "source",
+    keep: list[str] | None = None,
+    texts: bool = True,
 ) -> DataFrame:
-    """``row`` (the document as a struct), the counts, the kept text and the verdict."""
-    rows = keyed(docs, key, text, host)
-    lost = boilerplate(rows, limits).select(
-        F.col("_host").alias("h"), F.col("_id").alias("i"), F.col("_hash").alias("t"), "lost"
-    )
-    joined = rows.join(
+    """``row`` (the document, or its columns ``keep``, as a struct), the counts, the verdict and, if
+    ``texts``, the kept text. Without it, and without the text in ``keep``, texts are not shuffled."""
+    carried = Carried(docs, text, keep)
+    rows = keyed(docs, carried, key, host)
+    lost = boilerplate(rows, limits).withColumnsRenamed({"_host": "h", "_id": "i", "_hash": "t"})
+    counted = base_counts(rows, "_text")
+    if not texts and text not in carried.names:
+        counted = counted.drop("_text")
+    joined = counted.join(
         lost,
         (F.col("_hash") == F.col("t"))
         & F.col("_id").eqNullSafe(F.col("i"))
@@ -212,26 +228,18 @@ def judged(
             has_word(line) & F.array_contains("lost", F.xxhash64(normalised(line)))
         ),
     )
-    shortened = joined.withColumn(
-        "_kept", F.when(F.col("lost").isNull(), F.col("_text")).otherwise(F.array_join(kept_lines, "\n"))
-    )
-    counted = base_counts(shortened, "_text").withColumn(
-        "_kept_words",
-        F.when(F.col("lost").isNull(), F.col("_base.n_words")).otherwise(
-            F.size(words_of(F.col("_kept"))).cast("long")
-        ),
-    )
+    kept_text = F.when(F.col("lost").isNull(), F.col("_text")).otherwise(F.array_join(kept_lines, "\n"))
+    kept_words = F.col("_base.n_words") - F.coalesce("lost_words", F.lit(0))
     depleted = F.col("lost").isNotNull() & (
-        (F.col("_kept_words") < limits.min_words)
-        | (F.col("_kept_words") < limits.min_kept * F.col("_base.n_words"))
+        (kept_words < limits.min_words) | (kept_words < limits.min_kept * F.col("_base.n_words"))
     )
     failed = base_failed(F.col("_base"))
-    return counted.select(
-        F.col("_row").alias("row"),
+    return joined.select(
+        carried.row,
         "_base.*",
         failed.alias("base_failed"),
         (~failed & ~depleted).alias("kept"),
         F.coalesce(F.size("lost"), F.lit(0)).alias("n_frequent_lines"),
-        F.col("_kept_words").alias("kept_words"),
-        F.col("_kept").alias("kept_text"),
+        kept_words.alias("kept_words"),
+        *([kept_text.alias("kept_text")] if texts else []),
     )

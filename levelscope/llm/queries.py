@@ -30,7 +30,9 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 
 def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality_rules.judged(documents(spark, sf_dir, "doc_id", "text", "source"))
+    judged = quality_rules.judged(
+        documents(spark, sf_dir, "doc_id", "text", "source"), keep=["doc_id"], texts=False
+    )
     return judged.select(
         "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "n_frequent_lines", "kept_words",
@@ -58,17 +60,14 @@ def decontamination_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    short = line_dedup.deduplicated(documents(spark, sf_dir))
-    return short.select(
-        "row.doc_id",
-        F.size(F.split(F.coalesce("row.text", F.lit("")), "\n")).cast("long").alias("n_lines"),
-        F.size("removed").cast("long").alias("n_removed"),
-        F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"),
+    found = line_dedup.removed(documents(spark, sf_dir))
+    return found.select(
+        "doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed"
     )
 
 
 def substring_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.deduplicated(documents(spark, sf_dir)).select(
+    return substring_dedup.deduplicated(documents(spark, sf_dir), keep=["doc_id"]).select(
         "row.doc_id",
         "n_words",
         "n_removed",

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from levelscope.llm.rows import Carried
 from levelscope.llm.texts import (
     RUN_BASES, SPACED, U64, blocks, covered, members, ranges, run_hashes, runs, word_hashes, words,
 )
@@ -251,17 +252,18 @@ def removed_runs(rows: DataFrame) -> DataFrame:
     )
 
 
-def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``row`` (the document as a struct), ``n_words``, ``n_removed`` and ``kept_text``, the kept words
-    joined by single blanks (null for a null text)."""
+def deduplicated(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", keep: list[str] | None = None
+) -> DataFrame:
+    """``row`` (the document, or its columns ``keep``, as a struct), ``n_words``, ``n_removed`` and
+    ``kept_text``, the kept words joined by single blanks (null for a null text)."""
+    carried = Carried(docs, text, keep)
     rows = docs.select(
-        F.struct("*").alias("row"),
-        F.xxhash64(F.col(key), F.col(text)).alias("rid"),
-        F.col(key).alias("doc_id"),
-        F.col(text).alias("_text"),
+        *carried.columns, F.xxhash64(F.col(key), F.col(text)).alias("rid"), F.col(key).alias("doc_id")
     )
-    gone = stage(removed_runs(rows), "removed")
-    joined = rows.join(gone, "rid", "left").select("row", "_text", "starts", "copy")
+    gone = stage(removed_runs(rows.select("rid", "doc_id", "_text")), "removed")
+    joined = rows.join(gone, "rid", "left").select("_rest", "_text", "starts", "copy")
+    returned = ["_rest", *(["_text"] if text in carried.names else [])]
 
     def run(batches):
         for batch in batches:
@@ -280,18 +282,18 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
                 kept.append(None if body is None else " ".join(found))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("row"),
+                    *(batch.column(c) for c in returned),
                     pa.array(n_words, pa.int64()),
                     pa.array(n_removed, pa.int64()),
                     pa.array(kept, pa.string()),
                 ],
-                ["row", "n_words", "n_removed", "kept_text"],
+                [*returned, "n_words", "n_removed", "kept_text"],
             )
 
     zero = F.lit(0).cast("long")
     schema = joined.select(
-        "row", zero.alias("n_words"), zero.alias("n_removed"), F.lit("").alias("kept_text")
+        *returned, zero.alias("n_words"), zero.alias("n_removed"), F.lit("").alias("kept_text")
     ).schema
     for field in schema:
         field.nullable = True
-    return mapped(joined, run, schema)
+    return mapped(joined, run, schema).select(carried.row, "n_words", "n_removed", "kept_text")
