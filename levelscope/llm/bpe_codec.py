@@ -9,10 +9,10 @@ neighbours the result is that of the merges.
 
 Decoding copies the spelling of each id out of one byte array with offsets.
 
-``encoded`` keeps all columns and adds ``ids`` (array of int); ``decoded`` adds ``decoded`` (string).
-Columns of these names are replaced. A null text is empty and has no ids; null ids decode to the empty
-string. Rows are independent of each other and of their order, whole texts are encoded, and an empty
-table stays empty.
+``encoded`` keeps all columns and adds ``ids`` (array of int); ``decoded`` adds ``decoded``
+(string). Columns of these names are replaced. A null text is empty and has no ids; null ids decode
+to the empty string. Rows are independent of each other and of their order, whole texts are encoded,
+and an empty table stays empty.
 
 Letters, digits and lower case are those of the Unicode tables of Python and ``regex``; code points
 that were assigned after Unicode 15.1 may be classed otherwise than by the tokenizers library.

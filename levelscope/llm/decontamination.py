@@ -2,22 +2,22 @@
 
 Words are runs of ASCII letters and digits or non-ASCII characters, with A-Z lowered. A passage is
 ``span`` consecutive words of a benchmark item; an item of fewer words is one passage. Documents and
-items are winnowed: of the hashes of every ``GRAM`` words, the smallest in each window of
-``span - GRAM + 1`` is kept as a fingerprint, so two texts that share ``span`` words share a
-fingerprint. The fingerprints of a document are joined with those of the benchmark, and each hit is
-extended to the passages around it, compared by two hashes of 64 bits over all their words. For short
-items all grams of their length are fingerprints.
+items are winnowed: of the hashes of every ``GRAM`` words, the smallest in each window of ``span -
+GRAM + 1`` is kept as a fingerprint, so two texts that share ``span`` words share a fingerprint. The
+fingerprints of a document are joined with those of the benchmark, and each hit is extended to the
+passages around it, compared by two hashes of 64 bits over all their words. For short items all
+grams of their length are fingerprints.
 
 The benchmark is a stated set that is far smaller than the corpus. It is taken in blocks of at most
 ``BLOCK_TEXT_BYTES`` of item texts (an item is never divided), so what is sent to the executors is
 bounded whatever its size; each block is compared with all documents. Documents are read once per
 block and never shuffled for a single block; with more blocks the hits are merged by document.
 
-``scan`` gives a row for each document row: ``row`` (the document as a struct), ``n_words``, ``hits``
-(spans of words hit, as starts and ends) and ``items`` (the item ids with occurring passages, as
-sorted strings). Null texts and texts without words have no hits; items without words contaminate
-nothing. A null item id marks words but is not listed. Repeated item ids are listed once. Repeated
-document rows get equal results each. Empty tables are valid on both sides.
+``scan`` gives a row for each document row: ``row`` (the document as a struct), ``n_words``,
+``hits`` (spans of words hit, as starts and ends) and ``items`` (the item ids with occurring
+passages, as sorted strings). Null texts and texts without words have no hits; items without words
+contaminate nothing. A null item id marks words but is not listed. Repeated item ids are listed
+once. Repeated document rows get equal results each. Empty tables are valid on both sides.
 """
 
 from __future__ import annotations
@@ -210,15 +210,13 @@ def scan(
     )
     size = listed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = -(-size // block_bytes) or 1
-    # neighbours in a line of all items by size, so that the blocks are near equal
     blocks_of = listed.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(count)))
     rows = docs.select(F.struct(*(keep or docs.columns)).alias("row"), F.col(text).alias("_text"))
 
     def tables(k: int):
         part = blocks_of.where(F.col("block") == k) if count > 1 else listed
-        return spark.sparkContext.broadcast(
-            prepared([(r["item"], r["text"]) for r in part.select("item", "text").toLocalIterator()], span)
-        )
+        rows_of = part.select("item", "text").toLocalIterator()
+        return spark.sparkContext.broadcast(prepared([(r["item"], r["text"]) for r in rows_of], span))
 
     if count == 1:
         return _scan_block(rows, tables(0), span)
@@ -238,9 +236,10 @@ def scan(
         F.collect_set("hits").alias("hits"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
     )
-    merge = F.udf(_merged, "array<bigint>")
+    merge = F.udf(_merged, "array<bigint>", useArrow=False)
     counted = _scan_block(keyed, spark.sparkContext.broadcast(prepared([], span)), span)
-    return counted.select("row", "n_words", F.col("row.hash").alias("hash")).join(hits, "hash", "left").select(
+    keyed_words = counted.select("row", "n_words", F.col("row.hash").alias("hash"))
+    return keyed_words.join(hits, "hash", "left").select(
         F.col("row.row").alias("row"),
         "n_words",
         merge("hits").alias("hits"),

@@ -1,20 +1,21 @@
 """Language identification: words first, backing off to shorter and shorter character n-grams.
 
-Training counts, over all training documents, the words of each language (a Spark group-by), and from
-these counts the character n-grams of words (of ``LONGEST`` characters down to one, with a mark at the word's
-ends). The tables of the most frequent ``MAX_WORDS`` words and ``MAX_GRAMS`` n-grams of each length are the
-model; these bounds, which hold for any corpus, are what is sent to the executors. The counts
-themselves cover everything.
-
-A word of the model scores its log frequency in each language, smoothed. Any other word scores by its
-longest n-grams if the model has one of them, else by the next shorter ones, and so on: the mean of the log
-frequencies of those known. A text's score is the sum over its words, less the largest, as
-probabilities; ``score`` is that of the language predicted, tempered by the number of words. Ties go to the language that comes first
-in alphabetical order.
-
-A text that is null or has no letter is ``und`` with score 0; so is every text if there is nothing to
-learn from. Letters are Unicode letters; words are runs of letters in lower case. Null languages are
-not learned. Repeated rows count as often as they occur. An empty table gives an empty result. Other columns may have any names.
+Training counts, over all training documents, the words of each language (a Spark group-by), and
+from these counts the character n-grams of words (of ``LONGEST`` characters down to one, with a mark
+at the word's ends). The tables of the most frequent ``MAX_WORDS`` words and ``MAX_GRAMS`` n-grams
+of each length are the model; these bounds, which hold for any corpus, are what is sent to the
+executors. The counts themselves cover everything.
+
+A word of the model scores its log frequency in each language, smoothed. Any other word scores by
+its longest n-grams if the model has one of them, else by the next shorter ones, and so on: the mean
+of the log frequencies of those known. A text's score is the sum over its words, less the largest,
+as probabilities; ``score`` is that of the language predicted, tempered by the number of words. Ties
+go to the language that comes first in alphabetical order.
+
+A text that is null or has no letter is ``und`` with score 0; so is every text if there is nothing
+to learn from. Letters are Unicode letters; words are runs of letters in lower case. Null languages
+are not learned. Repeated rows count as often as they occur. An empty table gives an empty result.
+Other columns may have any names.
 """
 
 from __future__ import annotations
@@ -99,9 +100,10 @@ def gram_counts(counted: DataFrame) -> DataFrame:
                 ["lang", "size", "gram", "n"],
             )
 
-    return mapped(counted.select("lang", "word", "n"), run, "lang string, size int, gram string, n long").groupBy(
-        "lang", "size", "gram"
-    ).agg(F.sum("n").alias("n"))
+    found = mapped(
+        counted.select("lang", "word", "n"), run, "lang string, size int, gram string, n long"
+    )
+    return found.groupBy("lang", "size", "gram").agg(F.sum("n").alias("n"))
 
 
 @dataclass(frozen=True)
@@ -122,7 +124,8 @@ def trained(docs: DataFrame) -> Model:
         ),
         "grams",
     )
-    totals = {(r["lang"], r["size"]): r["total"] for r in sized.groupBy("lang", "size").agg(F.sum("n").alias("total")).collect()}
+    sums = sized.groupBy("lang", "size").agg(F.sum("n").alias("total")).collect()
+    totals = {(r["lang"], r["size"]): r["total"] for r in sums}
     langs = sorted({lang for lang, _ in totals})
     # the most frequent entries of each size, by their frequency over all languages
     entries = (

@@ -1,24 +1,25 @@
 """Near-duplicate documents by DartMinHash.
 
-A document is the bag of its runs of ``SHINGLE`` words (A-Z lowered, words end at white space; a shorter document
-is one run). A run with weight w, the number of times it occurs, owns the strip [0, w) of a half plane whose other
-axis is the rank. Hashing throws the same darts into a strip wherever the run occurs, one per unit of
-area on average: the strip is divided into unit cells by weight and into steps by rank (halved
-repeatedly below rank 1), and a hash of (run, cell, step) says how many darts fall there, and where.
-Each dart also has a coordinate of the signature, and the earliest dart per coordinate is
-kept. Only ranks below T / (total weight) are looked at, where about T darts fall, T being just over
-what it takes to hit all coordinates; if one stays empty the limit is doubled. So a signature takes
-T darts, however many runs there are. Two documents agree in a coordinate with the probability of their
-weighted Jaccard similarity, the sum of the smaller weights over the sum of the larger.
+A document is the bag of its runs of ``SHINGLE`` words (A-Z lowered, words end at white space; a
+shorter document is one run). A run with weight w, the number of times it occurs, owns the strip [0,
+w) of a half plane whose other axis is the rank. Hashing throws the same darts into a strip wherever
+the run occurs, one per unit of area on average: the strip is divided into unit cells by weight and
+into steps by rank (halved repeatedly below rank 1), and a hash of (run, cell, step) says how many
+darts fall there, and where. Each dart also has a coordinate of the signature, and the earliest dart
+per coordinate is kept. Only ranks below T / (total weight) are looked at, where about T darts fall,
+T being just over what it takes to hit all coordinates; if one stays empty the limit is doubled. So
+a signature takes T darts, however many runs there are. Two documents agree in a coordinate with the
+probability of their weighted Jaccard similarity, the sum of the smaller weights over the sum of the
+larger.
 
 Documents that agree in a band of coordinates are compared exactly (``similarity.linked``); those
-with a similarity of at least ``threshold`` are linked. Documents of the same words are one node from
-the start. A class is a component of linked documents; its id is its smallest document id, and of the document
-rows with this id one is ``kept`` (the one with the smallest row hash).
+with a similarity of at least ``threshold`` are linked. Documents of the same words are one node
+from the start. A class is a component of linked documents; its id is its smallest document id, and
+of the document rows with this id one is ``kept`` (the one with the smallest row hash).
 
 Documents without words, null texts among them, are classes of their own and always kept; they have
-a null class id only where their own id is null. Null ids are the smallest. Repeated rows are copies like others: one
-is kept. An empty table gives an empty result. Other columns may have any names.
+a null class id only where their own id is null. Null ids are the smallest. Repeated rows are copies
+like others: one is kept. An empty table gives an empty result. Other columns may have any names.
 """
 
 from __future__ import annotations

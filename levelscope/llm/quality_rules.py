@@ -2,18 +2,21 @@
 
 Every line with a word is normalised (lower case, digits as 0, white space runs as one blank, ends
 trimmed) and hashed. For each host the distinct documents that hold a line are counted, documents of
-equal text as one. A line is boilerplate where more than ``max_docs`` documents of the host, and more
-than the share ``max_share`` of them, hold it. Boilerplate is removed, but for the first document of the host
-that has the line, so that no text is lost for good. A document is depleted, and rejected, if it has
-lost lines and keeps under ``min_words`` words or under the share ``min_kept`` of its words.
+equal text as one. A line is boilerplate where more than ``max_docs`` documents of the host, and
+more than the share ``max_share`` of them, hold it. Boilerplate is removed, but for the first
+document of the host that has the line, so that no text is lost for good. A document is depleted,
+and rejected, if it has lost lines and keeps under ``min_words`` words or under the share
+``min_kept`` of its words.
 
 Base rules need no other document: ``base_failed`` marks documents of under 20 words and those of
-whose words more than 30 percent lie in repeated windows of 8 words. Such documents are rejected too.
-
-Everything is expressed in DataFrame functions. Lines travel as hashes; only per-line flags return to
-the documents. A null host is a host of its own. A null text has no words; a null id is kept as it is. Rows are told
-apart by (id, hash of the text) within a host: rows equal in both share their lines' fate, and all are returned. An
-empty table gives an empty result. Clashing column names do no harm: the row travels as one struct.
+whose words more than 30 percent lie in repeated windows of 8 words. Such documents are rejected
+too.
+
+Everything is expressed in DataFrame functions. Lines travel as hashes; only per-line flags return
+to the documents. A null host is a host of its own. A null text has no words; a null id is kept as
+it is. Rows are told apart by (id, hash of the text) within a host: rows equal in both share their
+lines' fate, and all are returned. An empty table gives an empty result. Clashing column names do no
+harm: the row travels as one struct.
 """
 
 from __future__ import annotations

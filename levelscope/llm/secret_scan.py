@@ -1,26 +1,27 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest.
 
-A candidate is a value of at least ``SHORTEST_VALUE`` characters assigned to a name (``name = "value"``), or
-a free run of at least ``SHORTEST_RUN`` characters of the alphabets that keys are written in, which
-includes long words and numbers. Each is described by
+A candidate is a value of at least ``SHORTEST_VALUE`` characters assigned to a name (``name =
+"value"``), or a free run of at least ``SHORTEST_RUN`` characters of the alphabets that keys are
+written in, which includes long words and numbers. Each is described by
 
 * its length,
-* its character transitions: the mean log probability of its neighbouring characters in the words of the
-  corpus, the share of changes between letters, digits and others, and its entropy,
+* its character transitions: the mean log probability of its neighbouring characters in the words of
+  the corpus, the share of changes between letters, digits and others, and its entropy,
 * dictionary coverage: the share of its characters within the corpus's frequent words,
 * the path (source) it was found in: whether it names tests, examples or documentation,
-* neighbouring words: whether it is assigned, quoted, and called by a name that secrets have, in the words before it, and
-  whether the words around it are frequent words.
-
-The dictionary (the ``DICTIONARY_WORDS`` most frequent words) and the transitions come from the words of all
-documents. A Spark ML random forest is trained from labelled findings, of which at most
-``TRAINING_ROWS`` of each label are used, those smallest by hash. Labels may be given (``labels``: doc_id,
-start, label); else findings that leave no doubt are labelled: a mixed value of letters and digits
-assigned to a secret's name is one, a candidate of letters only or digits only is none. All
-candidates are then judged by the forest; without both labels there is none, and every candidate stays (``score`` null).
-
-Null texts have no candidates, a null path says nothing. Repeated rows give equal findings each. Texts of any
-length are scanned whole. An empty table has no findings.
+* neighbouring words: whether it is assigned, quoted, and called by a name that secrets have, in the
+  words before it, and whether the words around it are frequent words.
+
+The dictionary (the ``DICTIONARY_WORDS`` most frequent words) and the transitions come from the
+words of all documents. A Spark ML random forest is trained from labelled findings, of which at most
+``TRAINING_ROWS`` of each label are used, those smallest by hash. Labels may be given (``labels``:
+doc_id, start, label); else findings that leave no doubt are labelled: a mixed value of letters and
+digits assigned to a secret's name is one, a candidate of letters only or digits only is none. All
+candidates are then judged by the forest; without both labels there is none, and every candidate
+stays (``score`` null).
+
+Null texts have no candidates, a null path says nothing. Repeated rows give equal findings each.
+Texts of any length are scanned whole. An empty table has no findings.
 """
 
 from __future__ import annotations
@@ -46,7 +47,10 @@ DICTIONARY_WORDS = 50_000
 SHORTEST_WORD, LONGEST_WORD = 3, 12
 TRAINING_ROWS = 20_000
 #: Fixed word lists of the description: names that secrets go by, and paths that hold samples.
-SECRET_NAMES = ("token", "secret", "passw", "pwd", "apikey", "api_key", "access_key", "private_key", "credential", "auth")
+SECRET_NAMES = (
+    "token", "secret", "passw", "pwd", "apikey", "api_key", "access_key", "private_key", "credential",
+    "auth",
+)
 SAMPLE_PATHS = ("test", "example", "sample", "doc", "mock", "fixture")
 
 CANDIDATE = re.compile(
@@ -107,9 +111,8 @@ def described(text: str, match: re.Match, path: str, dictionary: set[str], table
     entropy = -sum(k / n * log2(k / n) for k in Counter(low).values())
     known = i = 0
     while i < n:  # the longest frequent word from here on
-        size = next(
-            (s for s in range(min(LONGEST_WORD, n - i), SHORTEST_WORD - 1, -1) if low[i : i + s] in dictionary), 0
-        )
+        sizes = range(min(LONGEST_WORD, n - i), SHORTEST_WORD - 1, -1)
+        size = next((s for s in sizes if low[i : i + s] in dictionary), 0)
         known += size
         i += size or 1
     before = re.findall(r"[^\W\d_]+", text[max(0, match.start() - NEAR) : match.start()].lower())
@@ -132,7 +135,15 @@ def described(text: str, match: re.Match, path: str, dictionary: set[str], table
     ]
 
 
-def candidates(docs: DataFrame, dictionary: set[str], table: dict[str, float], *, key: str, text: str, path: str | None) -> DataFrame:
+def candidates(
+    docs: DataFrame,
+    dictionary: set[str],
+    table: dict[str, float],
+    *,
+    key: str,
+    text: str,
+    path: str | None,
+) -> DataFrame:
     """``doc_id``, ``start``, ``end`` (in characters), ``features``."""
     shared = docs.sparkSession.sparkContext.broadcast((dictionary, table))
     rows = docs.select(

@@ -7,9 +7,9 @@ equal targets: a row belongs to the shard that its middle byte falls into, so a
 from the target by no more than the size of one document. Only ids, checksums and sizes are moved,
 never texts, and no step sees all rows in one task.
 
-Null texts have size ``ROW_BYTES`` and the checksum of the empty string; null ids come first. Rows that are
-equal in id and text are interchangeable and follow each other. An empty table has no shards; more
-shards than documents leave some shards empty. Other columns are not read.
+Null texts have size ``ROW_BYTES`` and the checksum of the empty string; null ids come first. Rows
+that are equal in id and text are interchangeable and follow each other. An empty table has no
+shards; more shards than documents leave some shards empty. Other columns are not read.
 """
 
 from __future__ import annotations

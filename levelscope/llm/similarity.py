@@ -1,8 +1,8 @@
 """Links between similar items that share buckets, and the components they form.
 
 Items are known by 64-bit ids. Nothing here holds a bucket, a component or the links of an item in
-one task: buckets are reduced to aggregates and joined, and components are found by repeated
-group-bys over written tables.
+one task: buckets are reduced to aggregates and joined, and components are found by repeated group-
+bys over written tables.
 """
 
 from __future__ import annotations
@@ -112,7 +112,8 @@ def similar(pairs: DataFrame, features: DataFrame) -> DataFrame:
         pairs.join(left, "a")
         .join(right, "b")
         .withColumn("common", common)
-        .select("a", "b", (F.col("common") / (F.size("x") + F.size("y") - F.col("common"))).alias("similarity"))
+        .withColumn("either", F.size("x") + F.size("y") - F.col("common"))
+        .select("a", "b", (F.col("common") / F.col("either")).alias("similarity"))
     )
 
 
@@ -210,9 +211,9 @@ def linked(
 
     1. each item is compared with the smallest item that leads one of its buckets, which settles groups
        of copies of any size by as many comparisons as they have items;
-    2. in buckets whose items are in different components by then, the items are compared
-       with each other across components. A bucket of more than ``PART_ELEMENTS`` elements is dealt out in parts, and each
-       pair of parts is a task's work of its own; only links are returned, never pairs.
+    2. in buckets whose items are in different components by then, the items are compared with
+       each other across components. A bucket of more than ``PART_ELEMENTS`` elements is dealt out
+       in parts, and each pair of parts is a task's work of its own; only links are returned.
     """
     groups = members.groupBy("key").agg(F.min("id").alias("leader"), F.max("id").alias("last"))
     shared = members.join(groups.where("leader != last"), "key").select("key", "id", "leader")
@@ -226,7 +227,8 @@ def linked(
     )
     roots = components(links, f"{label}-first")
 
-    known = shared.select("key", "id").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    known = shared.select("key", "id").join(roots, "id", "left")
+    known = known.withColumn("root", F.coalesce("root", "id"))
     sized = known.join(features.select("id", F.size("elements").cast("long").alias("size")), "id")
     open_keys = (
         sized.groupBy("key")

@@ -1,21 +1,23 @@
 """Removal of passages of ``SPAN`` words or more that an earlier document has, by fixed-block anchors.
 
-Every document is cut into blocks of ``BLOCK`` words, one after the other; these are the anchors. Any
-``SPAN`` words hold a whole block, as ``2 * BLOCK - 1 <= SPAN``. All rolling windows of ``BLOCK`` words of
-all documents are looked up among the blocks. Where a window meets a block of another document, the hit
-is extended: all runs of ``SPAN`` words around it are compared, by two hashes of 64 bits, over all
-documents, and a run that also starts in a document with a smaller id is removed. Neighbouring runs join to
-maximal repeats. Runs are judged on the input, not on what is left.
-
-Anchors and windows travel packed: per task and hash range one row of binary columns, with 4 bytes of
-hash and 2 of position for a window. The lookup sorts a hash range in a task, blocks first, and keeps for a block only
-its hash, its first document and whether there are others; so a passage shared by any number of documents
-takes one entry, and windows stream by. Hits become counts by group-by and join, whose skew Spark splits. Copies
-of a whole text are found by its hash beforehand and lose all words without being compared again.
+Every document is cut into blocks of ``BLOCK`` words, one after the other; these are the anchors.
+Any ``SPAN`` words hold a whole block, as ``2 * BLOCK - 1 <= SPAN``. All rolling windows of
+``BLOCK`` words of all documents are looked up among the blocks. Where a window meets a block of
+another document, the hit is extended: all runs of ``SPAN`` words around it are compared, by two
+hashes of 64 bits, over all documents, and a run that also starts in a document with a smaller id is
+removed. Neighbouring runs join to maximal repeats. Runs are judged on the input, not on what is
+left.
+
+Anchors and windows travel packed: per task and hash range one row of binary columns, with 4 bytes
+of hash and 2 of position for a window. The lookup sorts a hash range in a task, blocks first, and
+keeps for a block only its hash, its first document and whether there are others; so a passage
+shared by any number of documents takes one entry, and windows stream by. Hits become counts by
+group-by and join, whose skew Spark splits. Copies of a whole text are found by its hash beforehand
+and lose all words without being compared again.
 
 A null text has no words. Null ids are neither smaller nor larger than others: such documents lose
-nothing and take nothing. Rows are told apart by id and text; repeated rows have equal results, and an
-equal id is not smaller. An empty table gives an empty result; other columns may have any names.
+nothing and take nothing. Rows are told apart by id and text; repeated rows have equal results, and
+an equal id is not smaller. An empty table gives an empty result; other columns may have any names.
 """
 
 from __future__ import annotations

@@ -1,7 +1,7 @@
 """Texts of Arrow batches as flat byte arrays: words, word hashes, hashes of runs of words.
 
-All functions work on a ``Block``: the bytes of some whole texts, one after the other. Nothing is cut;
-a text longer than the block size is a block of its own.
+All functions work on a ``Block``: the bytes of some whole texts, one after the other. Nothing is
+cut; a text longer than the block size is a block of its own.
 """
 
 from __future__ import annotations

@@ -1,9 +1,9 @@
 """Token counts by rank-synchronous merging of pre-tokens held as ragged arrays.
 
-A text is cut at its special strings and by the pre-token pattern. The distinct pre-tokens of a block
-lie end to end in one array of symbols; each step finds the lowest-ranked adjacent pair of every
-sequence and applies it everywhere in that sequence, for all sequences at once, until no sequence has
-a pair left. What survives is the count; it is all that is kept.
+A text is cut at its special strings and by the pre-token pattern. The distinct pre-tokens of a
+block lie end to end in one array of symbols; each step finds the lowest-ranked adjacent pair of
+every sequence and applies it everywhere in that sequence, for all sequences at once, until no
+sequence has a pair left. What survives is the count; it is all that is kept.
 
 ``with_token_counts`` keeps all columns and adds ``n_bytes`` and ``n_tokens`` (replacing columns of
 these names). A null text counts as empty. Rows are independent: repeated rows are counted each, an
