@@ -2,15 +2,19 @@
 
 Training counts, over all training documents, the words of each language (a Spark group-by), and
 from these counts the character n-grams of words (of ``LONGEST`` characters down to one, with a mark
-at the word's ends). The tables of the most frequent ``MAX_WORDS`` words and ``MAX_GRAMS`` n-grams
-of each length are the model; these bounds, which hold for any corpus, are what is sent to the
-executors. The counts themselves cover everything.
+at the word's ends). All words and all n-grams are the model; it is a table and stays one.
+
+The distinct words of the documents asked about are scored once each: those of the model by a join
+with its words, the others by joins with its n-grams, of which only those reach the next shorter ones
+that no n-gram has matched. The scores of the ``HOT_WORDS`` most frequent words are also sent to the
+executors, so that only rarer ones are shuffled; this does not change a result.
 
 A word of the model scores its log frequency in each language, smoothed. Any other word scores by
 its longest n-grams if the model has one of them, else by the next shorter ones, and so on: the mean
 of the log frequencies of those known. A text's score is the sum over its words, less the largest,
 as probabilities; ``score`` is that of the language predicted, tempered by the number of words. Ties
-go to the language that comes first in alphabetical order.
+go to the language that comes first in alphabetical order. Scores of words are whole multiples of
+1 / ``SCALE``, so sums do not depend on their order.
 
 A text that is null or has no letter is ``und`` with score 0; so is every text if there is nothing
 to learn from. Letters are Unicode letters; words are runs of letters in lower case. Null languages
@@ -36,11 +40,12 @@ from levelscope.session import stage
 
 LETTERS = regex.compile(r"\p{L}+")
 LONGEST = 5
-MAX_WORDS = 100_000
-MAX_GRAMS = 50_000
-#: Words counted in a task before they are handed on, and scores kept from text to text.
+#: Words counted in a task before they are handed on.
 COUNT_ENTRIES = 200_000
-CACHE_ENTRIES = 200_000
+#: Words, and numbers of their scores, that are sent to the executors.
+HOT_WORDS = 200_000
+HOT_NUMBERS = 4_000_000
+SCALE = 1 << 24
 UNKNOWN = "und"
 
 
@@ -114,47 +119,51 @@ class Model:
     tables: dict[int, dict[str, tuple[float, ...]]]
 
 
-def trained(docs: DataFrame) -> Model:
+@dataclass(frozen=True)
+class Trained:
+    """The whole model: ``entries`` has ``size``, ``gram`` and ``by``, its count in each language."""
+
+    langs: list[str]
+    entries: DataFrame
+    totals: dict[tuple[str, int], int]
+    distinct: dict[int, int]
+
+    def of_size(self, size: int) -> DataFrame:
+        """``gram`` and ``values``, its log frequencies."""
+        smooth = 0.5 * (self.distinct.get(size, 0) + 1)
+        values = [
+            F.log(
+                (F.coalesce(F.col("by")[lang], F.lit(0)) + 0.5)
+                / F.lit(self.totals.get((lang, size), 0) + smooth)
+            )
+            for lang in self.langs
+        ]
+        return self.entries.where(F.col("size") == size).select("gram", F.array(*values).alias("values"))
+
+
+def trained(docs: DataFrame) -> Trained:
     """``docs`` has ``lang`` and ``_text``."""
     known = docs.where(F.col("lang").isNotNull() & F.col("_text").isNotNull())
     counted = stage(word_counts(known), "words")
-    sized = stage(
-        counted.select("lang", F.lit(0).alias("size"), F.col("word").alias("gram"), "n").unionByName(
-            gram_counts(counted)
-        ),
-        "grams",
-    )
-    sums = sized.groupBy("lang", "size").agg(F.sum("n").alias("total")).collect()
-    totals = {(r["lang"], r["size"]): r["total"] for r in sums}
-    langs = sorted({lang for lang, _ in totals})
-    # the most frequent entries of each size, by their frequency over all languages
-    entries = (
-        sized.groupBy("size", "gram")
-        .agg(F.sum("n").alias("all"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
+    sized = counted.select(
+        "lang", F.lit(0).alias("size"), F.col("word").alias("gram"), "n"
+    ).unionByName(gram_counts(counted))
+    by = F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by")
+    entries = stage(sized.groupBy("size", "gram").agg(by), "entries")
+    sums = (
+        entries.select("size", F.explode("by").alias("lang", "n"))
+        .groupBy("lang", "size").agg(F.sum("n").alias("total")).collect()
     )
-    tables: dict[int, dict[str, tuple[float, ...]]] = {}
-    for size in range(LONGEST + 1):
-        most = MAX_WORDS if size == 0 else MAX_GRAMS
-        best = entries.where(F.col("size") == size).orderBy(F.desc("all"), "gram").limit(most)
-        table = {}
-        for row in best.select("gram", "by").toLocalIterator():
-            table[row["gram"]] = row["by"]
-        vocabulary = len(table) + 1
-        tables[size] = {
-            gram: tuple(
-                log((by.get(lang, 0) + 0.5) / (totals.get((lang, size), 0) + 0.5 * vocabulary))
-                for lang in langs
-            )
-            for gram, by in table.items()
-        }
-    return Model(langs, tables)
+    totals = {(r["lang"], r["size"]): r["total"] for r in sums}
+    distinct = {r["size"]: r["count"] for r in entries.groupBy("size").count().collect()}
+    return Trained(sorted({lang for lang, _ in totals}), entries, totals, distinct)
 
 
 class Scorer:
+    """Scores of words by a model in memory, or by the part of one that the words need."""
+
     def __init__(self, model: Model):
         self.langs, self.tables = model.langs, model.tables
-        self.place: dict[str, int] = {}
-        self.scores = np.zeros((1024, max(1, len(self.langs))))
 
     def word(self, word: str):
         known = self.tables[0].get(word)
@@ -167,59 +176,142 @@ class Scorer:
                 return np.mean(found, axis=0)
         return 0.0
 
-    def _learn(self, words: set[str]) -> None:
-        if len(self.place) + len(words) > CACHE_ENTRIES:
-            self.place.clear()
-        need = len(self.place) + len(words)
-        if need > len(self.scores):
-            self.scores = np.resize(self.scores, (2 * need, self.scores.shape[1]))
-        for word in words:
-            self.place[word] = k = len(self.place)
-            self.scores[k] = self.word(word)
-
-    def texts(self, texts: list[str]) -> list[tuple[str, float]]:
-        found = [LETTERS.findall(text.lower()) for text in texts]
-        distinct = set().union(*found)
-        new = distinct - self.place.keys()
-        if len(self.place) + len(new) > CACHE_ENTRIES:
-            self.place.clear()
-            new = distinct
-        self._learn(new)
-        out = []
-        for words in found:
-            if not words or not self.langs:
-                out.append((UNKNOWN, 0.0))
-                continue
-            rows = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
-            # sums in a fixed order, whatever the cache holds
-            total = self.scores[rows].sum(axis=0)
-            best = int(total.argmax())
-            chance = np.exp((total - total[best]) / len(words) ** 0.5)
-            out.append((self.langs[best], float(chance[best] / chance.sum())))
-        return out
+
+def _backed_off(words: DataFrame, model: Trained, size: int) -> DataFrame:
+    """``word`` and ``values`` of those words of which the model has an n-gram of this size."""
+    langs = model.langs
+
+    def pieces(batches):
+        for batch in batches:
+            found = [(w, g) for w in batch.column("word").to_pylist() for g in dict.fromkeys(grams(w, size))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([f[k] for f in found], pa.string()) for k in (0, 1)], ["word", "gram"]
+            )
+
+    def scored(batches):
+        for batch in batches:
+            words = batch.column("word").to_pylist()
+            tables: dict[int, dict] = {n: {} for n in range(LONGEST + 1)}
+            for entries in batch.column("entries").to_pylist():
+                tables[size].update((e["gram"], e["values"]) for e in entries)
+            scorer = Scorer(Model(langs, tables))
+            values = [list(scorer.word(word)) for word in words]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("word"), pa.array(values, pa.list_(pa.float64()))], ["word", "values"]
+            )
+
+    known = (
+        mapped(words.select("word"), pieces, "word string, gram string")
+        .join(model.of_size(size), "gram")
+        .groupBy("word").agg(F.collect_list(F.struct("gram", "values")).alias("entries"))
+    )
+    return mapped(known, scored, "word string, values array<double>")
+
+
+def word_scores(asked: DataFrame, model: Trained) -> DataFrame:
+    """``word``, ``n`` and ``scores`` (in units of 1 / ``SCALE``) of distinct words (``word``, ``n``)."""
+    words = model.of_size(0).withColumnRenamed("gram", "word")
+    turn = stage(asked.join(words, "word", "left"), "known-words")
+    found = turn.where("values is not null")
+    for size in range(LONGEST, 0, -1):
+        missed = turn.where("values is null").select("word", "n")
+        if missed.isEmpty():
+            break
+        turn = stage(missed.join(_backed_off(missed, model, size), "word", "left"), f"backoff-{size}")
+        found = found.union(turn.where("values is not null"))
+    found = found.union(turn.where("values is null"))
+    nothing = F.array(*[F.lit(0.0)] * len(model.langs))
+    scores = F.transform(F.coalesce("values", nothing), lambda x: F.round(x * SCALE).cast("long"))
+    return found.select("word", "n", scores.alias("scores"))
+
+
+def _sums(docs: DataFrame, scored: DataFrame, n_langs: int, hot: int) -> DataFrame:
+    """``_row``, ``n_words`` and ``total``, the sum of the scores of its words, of all ``_text``."""
+    best = scored.orderBy(F.desc("n"), "word").limit(min(hot, HOT_NUMBERS // n_langs))
+    best = best.select("word", "scores").toArrow().combine_chunks()
+    table = np.array(best.column("scores").combine_chunks().flatten(), np.int64).reshape(-1, n_langs)
+    shared = docs.sparkSession.sparkContext.broadcast((best.column("word").to_pylist(), table))
+
+    def run(batches):
+        names, scores = shared.value
+        place = {name: k for k, name in enumerate(names)}
+        for part in (part for batch in batches for part in parts(batch)):
+            n_words, totals, rest = [], [], []
+            for text in texts_of(part):
+                words = LETTERS.findall(text.lower())
+                known = [k for k in map(place.get, words) if k is not None]
+                n_words.append(len(words))
+                totals.append(scores[known].sum(axis=0) if known else np.zeros(n_langs, np.int64))
+                rare = Counter(w for w in words if w not in place) if len(known) < len(words) else {}
+                rest.append([{"word": w, "n": n} for w, n in rare.items()])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("_row"),
+                    pa.array(n_words, pa.int64()),
+                    pa.array(totals, pa.list_(pa.int64())),
+                    pa.array(rest, pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))),
+                ],
+                ["_row", "n_words", "total", "rest"],
+            )
+
+    schema = docs.select(
+        "_row",
+        F.lit(0).cast("long").alias("n_words"),
+        F.array(F.lit(0).cast("long")).alias("total"),
+        F.array(F.struct(F.lit("").alias("word"), F.lit(0).cast("long").alias("n"))).alias("rest"),
+    ).schema
+    table = stage(
+        mapped(docs, run, schema).withColumn("_id", F.monotonically_increasing_id()), "hot-sums"
+    )
+    more = (
+        table.select("_id", F.explode("rest").alias("found")).select("_id", "found.word", F.col("found.n").alias("k"))
+        .join(scored.select("word", "scores"), "word")
+        .groupBy("_id").agg(F.array(*[F.sum(F.col("k") * F.col("scores")[i]) for i in range(n_langs)]).alias("more"))
+    )
+    both = F.when(F.col("more").isNull(), F.col("total")).otherwise(
+        F.zip_with("total", "more", lambda x, y: x + y)
+    )
+    return table.select("_id", "_row", "n_words", "total").join(more, "_id", "left").select(
+        "_row", "n_words", both.alias("total")
+    )
 
 
 def predicted(
-    docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None
+    docs: DataFrame,
+    model: Trained,
+    text: str = "text",
+    keep: list[str] | None = None,
+    hot: int = HOT_WORDS,
 ) -> DataFrame:
     """Adds ``lang_pred`` and ``score`` (replacing columns of these names) to ``keep``, the columns
-    to return, all by default."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    to return, all by default. ``hot`` words at most are sent to the executors."""
+    langs = model.langs
+    kept = [c for c in keep or docs.columns if c not in ("lang_pred", "score")]
+    rows = docs.select(F.struct(*kept).alias("_row"), F.col(text).alias("_text"))
+    if not langs:
+        return rows.select("_row.*", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+    asked = word_counts(rows.select(F.lit("").alias("lang"), "_text")).select("word", "n")
+    scored = stage(word_scores(asked, model), "scores")
 
     def run(batches):
-        scorer = Scorer(shared.value)
-        for part in (part for batch in batches for part in parts(batch)):
-            out = scorer.texts(texts_of(part))
+        for batch in batches:
+            out = []
+            for n_words, sums in zip(batch.column("n_words").to_pylist(), batch.column("total").to_pylist()):
+                if not n_words:
+                    out.append((UNKNOWN, 0.0))
+                    continue
+                total = np.array(sums, np.int64)
+                best = int(total.argmax())
+                chance = np.exp((total - total[best]) / SCALE / n_words**0.5)
+                out.append((langs[best], float(chance[best] / chance.sum())))
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column("_row"),
+                    batch.column("_row"),
                     pa.array([lang for lang, _ in out], pa.string()),
                     pa.array([score for _, score in out], pa.float64()),
                 ],
                 ["_row", "lang_pred", "score"],
             )
 
-    kept = [c for c in keep or docs.columns if c not in ("lang_pred", "score")]
-    rows = docs.select(F.struct(*kept).alias("_row"), F.col(text).alias("_text"))
     schema = rows.select("_row", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
-    return mapped(rows, run, schema).select("_row.*", "lang_pred", "score")
+    return mapped(_sums(rows, scored, len(langs), hot), run, schema).select("_row.*", "lang_pred", "score")

@@ -1,8 +1,10 @@
 """Operators that look at a document, or a document and a small set: counts, codes, languages."""
 
 import hashlib
+import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -149,6 +151,37 @@ def test_word_backoff_takes_the_longest_known_run():
     assert scorer.word("zebra") == -3.0 and scorer.word("qqq") == 0.0
 
 
+def test_every_word_of_training_counts(spark):
+    """Words rarer than 100,000 others of another language still tell their own."""
+    rng = random.Random(3)
+    words = list(dict.fromkeys("".join(rng.choices("abcdefgh", k=7)) for _ in range(140_000)))
+    rare, common = words[:20_000], words[20_000:]
+    assert len(common) > 100_000
+    rows = [(" ".join(common[i::50]), "en") for i in range(50)] * 2 + [(" ".join(rare[i::50]), "es") for i in range(50)]
+    model = language_id.trained(spark.createDataFrame(rows, "_text string, lang string"))
+    asked = spark.createDataFrame([(k, w) for k, w in enumerate(rare[:200])], "doc_id long, text string")
+    assert {r.lang_pred for r in language_id.predicted(asked, model).collect()} == {"es"}
+
+
+def test_scores_are_those_of_the_whole_model_in_memory(spark, docs):
+    train = docs.select("_text", F.col("text").alias("t"), F.when(F.col("doc_id") % 20 == 0, "x").otherwise("y").alias("lang"))
+    train = train.where("t is not null").select(F.expr("substring(t, 1, 300)").alias("_text"), "lang")
+    model = language_id.trained(train)
+    tables = {
+        n: {r.gram: tuple(r["values"]) for r in model.of_size(n).collect()} for n in range(language_id.LONGEST + 1)
+    }
+    scorer = language_id.Scorer(language_id.Model(model.langs, tables))
+    few = language_id.predicted(docs, model, keep=["doc_id", "text"], hot=5)
+    whole = language_id.predicted(docs, model, keep=["doc_id", "text"])
+    assert by_row(few, "doc_id", "lang_pred", "score") == by_row(whole, "doc_id", "lang_pred", "score")
+    for r in few.collect():
+        words = language_id.LETTERS.findall((r.text or "").lower())
+        total = sum((np.zeros(2) + scorer.word(w) for w in words), np.zeros(2))
+        if words and abs(total[0] - total[1]) > 1e-3:
+            assert r.lang_pred == model.langs[int(total.argmax())]
+            assert abs(r.score - 1 / (1 + np.exp(-abs(total[0] - total[1]) / len(words) ** 0.5))) < 1e-4
+
+
 def test_held_out_languages(spark):
     sf = "/root/testdata/sf0.001"
     got = queries.language_query(spark, sf).join(queries.documents(spark, sf, "doc_id", "lang"), "doc_id")
