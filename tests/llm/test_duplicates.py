@@ -1,6 +1,7 @@
 """Operators that compare documents with each other, against plain versions."""
 
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -107,6 +108,17 @@ def test_lines_equal_pairwise_comparison(docs):
         assert r.kept_text == kept
 
 
+def test_lines_with_one_changed_character_are_one(spark):
+    """Of lines of 30 to 80 characters, and boilerplate with other numbers, only the first stays."""
+    rng = random.Random(11)
+    lines = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n)) for n in range(30, 81)]
+    pairs = [(x, x[: len(x) // 2] + "7" + x[len(x) // 2 + 1 :]) for x in lines]
+    pairs.append(tuple(f"posted on 2024-01-02 by the site administrator | {n} comments" for n in (3, 4)))
+    rows = [(2 * k + j, line) for k, pair in enumerate(pairs) for j, line in enumerate(pair)]
+    got = line_dedup.removed(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in got if r.removed} == {i for i, _ in rows if i % 2}
+
+
 def test_lines_of_rows_without_an_id_come_first(spark):
     line = "The same long line stands in both of these documents."
     rows = [(3, line + "\nmine"), (None, line), (3, line + "\nmine")]
