@@ -1,7 +1,7 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest.
 
-A candidate is a value of at least ``SHORTEST_VALUE`` characters assigned to a name (``name =
-"value"``), or a free run of at least ``SHORTEST_RUN`` characters of the alphabets that keys are
+A candidate is a value of at least ``SHORTEST_VALUE`` characters assigned to a name, quoted or not
+(``name = "value"``, ``"name": "value"``; between quotes any characters but blanks), or a free run of at least ``SHORTEST_RUN`` characters of the alphabets that keys are
 written in, which includes long words and numbers. Each is described by
 
 * its length,
@@ -54,7 +54,9 @@ SECRET_NAMES = (
 SAMPLE_PATHS = ("test", "example", "sample", "doc", "mock", "fixture")
 
 CANDIDATE = re.compile(
-    rf"""(?P<name>[A-Za-z][\w.\-]{{0,40}})\s{{0,3}}(?:=>|:=|[:=])\s{{0,3}}(?P<quote>["']?)(?P<value>[A-Za-z0-9+/_\-=.]{{{SHORTEST_VALUE},}})
+    rf"""(?P<name>[A-Za-z][\w.\-]{{0,40}})["']?\s*+(?:=>|:=|[:=])\s*+
+        (?:"(?P<double>[^\s"]{{{SHORTEST_VALUE},}}+)"|'(?P<single>[^\s']{{{SHORTEST_VALUE},}}+)'
+        |["']?(?P<value>[A-Za-z0-9+/_\-=.]{{{SHORTEST_VALUE},}}))
     |(?<!\w)(?P<run>[A-Za-z0-9+/_\-=]{{{SHORTEST_RUN},}})(?!\w)""",
     re.VERBOSE,
 )
@@ -101,7 +103,7 @@ def _kind(c: str) -> str:
 
 def described(text: str, match: re.Match, path: str, dictionary: set[str], table: dict[str, float]):
     """Start, end and features of a candidate."""
-    group = "value" if match["value"] else "run"
+    group = match.lastgroup
     value, (start, end) = match[group], match.span(group)
     low, n = value.lower(), len(value)
     marked = f"^{low}$"
@@ -125,7 +127,7 @@ def described(text: str, match: re.Match, path: str, dictionary: set[str], table
         entropy,
         known / n,
         float(any(p in path for p in SAMPLE_PATHS)),
-        float(group == "value"),
+        float(group != "run"),
         float(text[start - 1 : start] in ('"', "'") and start > 0),
         float(any(s in name for s in SECRET_NAMES)),
         float(bool(before) and before[-1] in dictionary),

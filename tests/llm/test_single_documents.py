@@ -289,6 +289,21 @@ def finding_docs(spark):
     return spark.createDataFrame(rows, "doc_id long, text string, source string")
 
 
+def test_assigned_values_are_candidates_however_written(spark):
+    texts = {
+        1: ('{"password": "hunter2pass1"}', "hunter2pass1"),
+        2: ("{'api_key': 'abc123def456'}", "abc123def456"),
+        3: ('password = "S3cr3t!pass99"', "S3cr3t!pass99"),
+        4: ('password      =      "abcd1234xyz"', "abcd1234xyz"),
+        5: ("token: abc123def456", "abc123def456"),
+        6: ('secret = "abc123def456', "abc123def456"),
+    }
+    docs = spark.createDataFrame([(k, t, "src") for k, (t, _) in texts.items()], "doc_id long, text string, source string")
+    found = secret_scan.scan(docs).collect()
+    assert {r.doc_id: texts[r.doc_id][0][r.start : r.end] for r in found} == {k: v for k, (_, v) in texts.items()}
+    assert all(r.assigned == 1 and r.secret_name == 1 for r in found)
+
+
 def test_secrets_are_told_from_numbers_and_words(spark):
     found = secret_scan.scan(finding_docs(spark)).collect()
     secrets = {r.doc_id for r in found if r.is_secret}
