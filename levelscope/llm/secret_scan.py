@@ -1,7 +1,8 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest.
 
 A candidate is a value of at least ``SHORTEST_VALUE`` characters assigned to a name, quoted or not
-(``name = "value"``, ``"name": "value"``; between quotes any characters but blanks), or a free run of at least ``SHORTEST_RUN`` characters of the alphabets that keys are
+(``name = "value"``, ``"name": "value"``; between quotes any characters but blanks;
+a name that is assigned to itself is no value), or a free run of at least ``SHORTEST_RUN`` characters of the alphabets that keys are
 written in, which includes long words and numbers. Each is described by
 
 * its length,
@@ -15,8 +16,11 @@ written in, which includes long words and numbers. Each is described by
 The dictionary (the ``DICTIONARY_WORDS`` most frequent words) and the transitions come from the
 words of all documents. A Spark ML random forest is trained from labelled findings, of which at most
 ``TRAINING_ROWS`` of each label are used, those smallest by hash. Labels may be given (``labels``:
-doc_id, start, label); else findings that leave no doubt are labelled: a mixed value of letters and
-digits assigned to a secret's name is one, a candidate of letters only or digits only is none. All
+doc_id, start, label); else findings are labelled by evidence, much of which is not among the
+features. Secrets are keys of known formats, mixed values of letters and digits assigned to a secret's
+name, and long quoted ones of letters made up of few words. None are, unless assigned to a secret's
+name, UUIDs, hashes named as a commit's or file's or within links, dated paths, and candidates of
+letters only or digits only. What is assigned to a secret's name is never labelled none. All
 candidates are then judged by the forest; without both labels there is none, and every candidate
 stays (``score`` null).
 
@@ -56,10 +60,22 @@ SAMPLE_PATHS = ("test", "example", "sample", "doc", "mock", "fixture")
 CANDIDATE = re.compile(
     rf"""(?P<name>[A-Za-z][\w.\-]{{0,40}})["']?\s*+(?:=>|:=|[:=])\s*+
         (?:"(?P<double>[^\s"]{{{SHORTEST_VALUE},}}+)"|'(?P<single>[^\s']{{{SHORTEST_VALUE},}}+)'
-        |["']?(?P<value>[A-Za-z0-9+/_\-=.]{{{SHORTEST_VALUE},}}))
+        |["']?(?![A-Za-z][\w.\-]{{0,40}}+["']?(?:\s++(?:=>|:=|[:=])|:|=["'\w]))(?P<value>[A-Za-z0-9+/_\-=.]{{{SHORTEST_VALUE},}}))
     |(?<!\w)(?P<run>[A-Za-z0-9+/_\-=]{{{SHORTEST_RUN},}})(?!\w)""",
     re.VERBOSE,
 )
+KNOWN_KEY = re.compile(
+    r"(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|[sr]k_live_[A-Za-z0-9]{16,}"
+    r"|xox[abpr]-[A-Za-z0-9-]{10,}|AIza[\w-]{35}|eyJ[\w-]{8,}\.[\w-]{8,}(?:\.[\w-]*)?"
+)
+UUID = re.compile(r"[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}", re.IGNORECASE)
+HEX = re.compile(r"[0-9a-f]{7,128}", re.IGNORECASE)
+#: What stands before a hash that names a commit or file, or is part of a link.
+HASH_CONTEXT = re.compile(
+    r"""(?:\b(?:commit|revision|rev|tree|parent|blob|index|sha\d*|md5|checksum)[\s:="'/\-]{1,4}|https?://\S*)$""",
+    re.IGNORECASE,
+)
+DATED_PATH = re.compile(r"[^\s]*\b(?:19|20)\d\d[/\-]\d\d?[/\-][^\s]*/[^\s]*|[^\s]*/(?:19|20)\d\d/\d\d?/[^\s]*")
 NEAR = 60
 FEATURES = (
     "length", "transitions", "changes", "entropy", "coverage", "sample_path", "assigned", "quoted",
@@ -101,6 +117,15 @@ def _kind(c: str) -> str:
     return "d" if c.isdigit() else "u" if c.isupper() else "l" if c.isalpha() else "o"
 
 
+def evidence(text: str, start: int, end: int) -> float | None:
+    """1 for a key of a known format, 0 for what is known to be something else."""
+    value = text[start:end]
+    if KNOWN_KEY.fullmatch(value):
+        return 1.0
+    named = HEX.fullmatch(value) and HASH_CONTEXT.search(text[max(0, start - NEAR) : start])
+    return 0.0 if named or UUID.fullmatch(value) or DATED_PATH.fullmatch(value) else None
+
+
 def described(text: str, match: re.Match, path: str, dictionary: set[str], table: dict[str, float]):
     """Start, end and features of a candidate."""
     group = match.lastgroup
@@ -146,7 +171,7 @@ def candidates(
     text: str,
     path: str | None,
 ) -> DataFrame:
-    """``doc_id``, ``start``, ``end`` (in characters), ``features``."""
+    """``doc_id``, ``start``, ``end`` (in characters), ``features`` and ``evidence``."""
     shared = docs.sparkSession.sparkContext.broadcast((dictionary, table))
     rows = docs.select(
         F.col(key).alias("doc_id"),
@@ -161,35 +186,41 @@ def candidates(
             for k, (body, where) in enumerate(zip(texts_of(part), part.column("_path").to_pylist())):
                 for match in CANDIDATE.finditer(body):
                     owner.append(k)
-                    found.append(described(body, match, where, words, pairs))
+                    start, end, features = described(body, match, where, words, pairs)
+                    found.append((start, end, features, evidence(body, start, end)))
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id").take(pa.array(owner, pa.int64())),
                     pa.array([f[0] for f in found], pa.int64()),
                     pa.array([f[1] for f in found], pa.int64()),
                     pa.array([f[2] for f in found], pa.list_(pa.float64())),
+                    pa.array([f[3] for f in found], pa.float64()),
                 ],
-                ["doc_id", "start", "end", "features"],
+                ["doc_id", "start", "end", "features", "evidence"],
             )
 
     zero = F.lit(0).cast("long")
     schema = rows.select(
-        "doc_id", zero.alias("start"), zero.alias("end"), F.array(F.lit(0.0)).alias("features")
-    ).schema
+        "doc_id", zero.alias("start"), zero.alias("end"), F.array(F.lit(0.0)).alias("features"),
+        F.lit(0.0).alias("evidence"),
+    ).schema
     for field in schema:
         field.nullable = True
     return mapped(rows, run, schema)
 
 
 def plain_labels(found: DataFrame) -> DataFrame:
-    """Adds ``label`` to findings that leave no doubt, null to the others."""
+    """Adds ``label`` to findings with evidence for it, null to the others."""
     at = {name: F.get("features", F.lit(i)) for i, name in enumerate(FEATURES)}
-    mixed = (at["digits"] > 0) & (at["digits"] < 1) & (at["length"] >= SHORTEST_RUN)
+    mixed = (at["digits"] > 0) & (at["digits"] < 1)
+    spelled = (at["digits"] == 0) & (at["quoted"] == 1) & (at["coverage"] < 0.5)
+    called = (at["assigned"] == 1) & (at["secret_name"] == 1)
+    plain = (at["digits"] == 0) | (at["digits"] == 1)
     return found.withColumn(
         "label",
-        F.when((at["assigned"] == 1) & (at["secret_name"] == 1) & mixed, F.lit(1.0)).when(
-            (at["digits"] == 0) | (at["digits"] == 1), F.lit(0.0)
-        ),
+        F.when(F.col("evidence") == 1, F.lit(1.0))
+        .when(called & (mixed | spelled) & (at["length"] >= SHORTEST_RUN), F.lit(1.0))
+        .when(~called & (plain | (F.coalesce("evidence", F.lit(1.0)) == 0)), F.lit(0.0)),
     )
 
 

@@ -311,6 +311,27 @@ def test_secrets_are_told_from_numbers_and_words(spark):
     assert {r.doc_id for r in found} >= set(range(1000, 1060)) | {5002}
 
 
+def test_hard_negatives_and_spelled_secrets_are_told_apart(spark):
+    rng = random.Random(2)
+    rows = []
+    for i in range(60):
+        digest, letters = hashlib.sha1(str(i).encode()).hexdigest(), "".join(rng.choices("bcdfghjklmnpqrstvwxz", k=20))
+        # a third of each kind is written in a way that no label is given for
+        held_out = i % 3 == 0
+        name = f"{digest[:8]}-{digest[8:12]}-{digest[12:16]}-{digest[16:20]}-{digest[20:32]}"
+        rows += [
+            (i, f'config: token = "{digest}" and more words here'),
+            (100 + i, f'config: password = "{letters[:14] if held_out else letters}" and more words here'),
+            (200 + i, f"the change {'' if held_out else 'commit '}{digest[::-1]} was merged"),
+            (300 + i, f"the row {name + 'x' if held_out else name} was read"),
+            (400 + i, f"the number {10**15 + 7919 * i} and incomprehensibilities follow"),
+        ]
+    docs = spark.createDataFrame([(*r, "src/app") for r in rows], "doc_id long, text string, source string")
+    found = secret_scan.scan(docs).collect()
+    assert {r.doc_id for r in found if r.is_secret} == set(range(60)) | set(range(100, 160))
+    assert {r.doc_id for r in found} >= {i for i, _ in rows}
+
+
 def test_secret_scan_follows_given_labels(spark):
     docs = finding_docs(spark)
     found = secret_scan.scan(docs)
