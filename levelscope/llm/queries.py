@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from levelscope.llm import (
     bpe_codec, decontamination, language_id, line_dedup, minhash_dedup, quality_rules, secret_scan,
-    sharding, substring_dedup, token_counts,
+    sharding, spelling_variants, substring_dedup, token_counts,
 )
 from levelscope.llm.oracles import ORACLES
 
@@ -126,6 +126,17 @@ def secret_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def variant_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs whose checksum with the document's id 31 divides lose a code point; a null id alters none."""
+    runs = spelling_variants.runs(documents(spark, sf_dir), keep=("doc_id",))
+    mark = F.crc32(F.concat(F.col("doc_id").cast("string"), F.lit(":"), "run").cast("binary"))
+    at = F.pmod(mark, F.char_length("run")).cast("int")
+    lost = F.concat(F.substring("run", F.lit(1), at), F.substring(F.col("run"), at + 2, F.char_length("run")))
+    words = runs.select(F.when(mark % 31 == 0, lost).otherwise(F.col("run")).alias("word"))
+    found = spelling_variants.variants(spelling_variants.counted(words))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def pipeline_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # its stages use this module
 
@@ -144,6 +155,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_minhash_dedup": near_duplicate_query,
         "op9_bpe_round_trip": round_trip_query,
         "op10_secret_scan": secret_query,
+        "op11_spelling_variants": variant_query,
         "pipeline": pipeline_query,
     }
 
