@@ -154,7 +154,40 @@ root AS (SELECT word, arg_max(root, n) AS root FROM way JOIN (SELECT word AS roo
 SELECT word, form, root, n, n_near, form_n FROM step JOIN root USING (word)
 """
 
+PERIODIC = f"""
+WITH {CRC_TABLE},
+doc AS (
+  SELECT doc_id, {SPACED} AS w, CASE WHEN doc_id IS NULL THEN 1 ELSE {crc32("doc_id::VARCHAR")} END AS h
+  FROM documents, crc),
+sized AS (SELECT doc_id, w, h, len(w) AS n, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM doc),
+turned AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM sized),
+word AS (
+  SELECT doc_id, n, i, w[CASE WHEN h % 10 = 0 AND i >= a THEN a + (i - a) % p ELSE i END + 1] AS word
+  FROM (SELECT *, unnest(range(n)) AS i FROM turned)),
+same AS (
+  SELECT x.doc_id, x.i, y.i - x.i AS q FROM word x JOIN word y USING (doc_id, word)
+  WHERE y.i > x.i AND 2 * (y.i - x.i) <= x.n),
+stretch AS (
+  SELECT doc_id, q, min(i) AS start, count(*) + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM same)
+  GROUP BY doc_id, q, island HAVING count(*) >= q AND count(*) + q >= 12),
+run AS (SELECT doc_id, start, length, min(q) AS period FROM stretch GROUP BY doc_id, start, length),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM run),
+listed AS (
+  SELECT doc_id, count(*) AS n_runs,
+    string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS lines,
+    max(row(length, -start, -period)) AS top
+  FROM run GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, (-top[2])::BIGINT AS start, top[1]::BIGINT AS length,
+  (-top[3])::BIGINT AS period, (1000 * top[1] // -top[3])::BIGINT AS exponent_milli,
+  sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM doc LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
 ORACLES = {
+    "op12_periodic_runs": PERIODIC,
     "op11_spelling_variants": VARIANTS,
     "op1_quality_rules": QUALITY,
     "op2_decontamination": DECONTAMINATION,

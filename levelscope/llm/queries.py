@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from levelscope.llm import (
-    bpe_codec, decontamination, language_id, line_dedup, minhash_dedup, quality_rules, secret_scan,
-    sharding, spelling_variants, substring_dedup, token_counts,
+    bpe_codec, decontamination, language_id, line_dedup, minhash_dedup, periodic_runs, quality_rules,
+    secret_scan, sharding, spelling_variants, substring_dedup, token_counts,
 )
 from levelscope.llm.oracles import ORACLES
 
@@ -137,6 +137,45 @@ def variant_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("word", "form", "root", "n", "n_near", "form_n")
 
 
+def with_planted_period(docs: DataFrame) -> DataFrame:
+    """Texts of a tenth of the documents, by the checksum of their ids, repeat some of their words to the
+    end; a null id changes nothing."""
+    mark = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), 0)
+    turn = F.floor(mark / 10)
+
+    def repeated(w):
+        n = F.size(w)
+        first = F.pmod(turn, n)
+        period = 1 + F.floor((n - first) / (3 + turn % 8))
+        place = F.sequence(F.lit(0), n - 1)
+        moved = F.transform(
+            place, lambda i: F.get(w, F.when(i < first, i).otherwise(first + F.pmod(i - first, period)).cast("int"))
+        )
+        return F.when(n > 0, F.array_join(moved, " ")).otherwise(F.lit(""))
+
+    planted = F.element_at(F.transform(F.array(words), repeated), 1)
+    return docs.withColumn("text", F.when((mark % 10 == 0) & F.col("text").isNotNull(), planted).otherwise(F.col("text")))
+
+
+def periodic_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.scan(with_planted_period(documents(spark, sf_dir)), keep=["doc_id"])
+    longest = F.array_max(
+        F.transform("runs", lambda r: F.struct(r.length, (-r.start).alias("start"), (-r.period).alias("period")))
+    )
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, F.concat(r.period.cast("string"), F.lit("\n"))))
+    return found.withColumn("longest", longest).select(
+        "row.doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("longest.start")).alias("start"),
+        F.col("longest.length").alias("length"),
+        (-F.col("longest.period")).alias("period"),
+        F.expr("1000 * longest.length div -longest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed_text", 256).alias("collapsed_sha256"),
+    )
+
+
 def pipeline_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # its stages use this module
 
@@ -156,6 +195,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_bpe_round_trip": round_trip_query,
         "op10_secret_scan": secret_query,
         "op11_spelling_variants": variant_query,
+        "op12_periodic_runs": periodic_query,
         "pipeline": pipeline_query,
     }
 
