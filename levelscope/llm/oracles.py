@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from levelscope.llm.license_rules import rules
+
 #: Words that end at white space, of ``documents``.
 SPACED = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -186,7 +188,52 @@ SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, (-top[2])::BIGINT AS start
 FROM doc LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
+#: The signature rules as SQL rows; the laws that resolve their detections are stated in the query.
+SIGNATURES = ", ".join(
+    f"({rank}, '{rule.label}', '{rule.head}', '{rule.anchored}', {rule.confidence})" for rank, rule in enumerate(rules())
+)
+
+LICENSES = f"""
+WITH rule AS (SELECT * FROM (VALUES {SIGNATURES}) AS t(rank, label, head, pattern, confidence)),
+doc AS (SELECT doc_id, {ALNUM} AS w FROM documents),
+word AS (SELECT doc_id, w, unnest(w) AS word, unnest(range(len(w))) AS i FROM doc),
+place AS (
+  SELECT doc_id, i, word AS head, array_to_string(w[i + 1:i + 24], ' ') AS words FROM word
+  UNION ALL
+  SELECT doc_id, i, word || ' ' || w[i + 2], array_to_string(w[i + 1:i + 24], ' ') FROM word WHERE i + 1 < len(w)),
+tried AS (
+  SELECT doc_id, i, rank, label, confidence, rtrim(regexp_extract(words, pattern)) AS found
+  FROM place JOIN rule USING (head)),
+sized AS (SELECT *, len(string_split(found, ' ')) AS size FROM tried WHERE found <> ''),
+best AS (
+  SELECT doc_id, i, size, rank, label, confidence FROM sized
+  QUALIFY row_number() OVER (PARTITION BY doc_id, i ORDER BY size DESC, rank) = 1),
+outer_most AS (
+  SELECT * FROM best d WHERE NOT EXISTS (
+    SELECT 1 FROM best a WHERE a.doc_id = d.doc_id AND a.i < d.i AND a.i + a.size >= d.i + d.size)),
+left_over AS (
+  SELECT * FROM outer_most d WHERE NOT EXISTS (
+    SELECT 1 FROM outer_most a
+    WHERE a.doc_id = d.doc_id AND a.i < d.i + d.size AND a.i + a.size > d.i AND a.rank < d.rank)),
+base AS (
+  SELECT doc_id, i, CASE head WHEN 'cc by' THEN 'cc-by' WHEN 'general public' THEN 'gpl' ELSE 'reserved' END AS label
+  FROM place WHERE head = 'cc by' OR (head = 'general public' AND words SIMILAR TO 'general public license( .*)?')
+    OR (head = 'all rights' AND words SIMILAR TO 'all rights reserved( .*)?')),
+counted AS (
+  SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM base GROUP BY doc_id),
+listed AS (
+  SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(confidence) AS score
+  FROM (SELECT doc_id, label, confidence FROM left_over UNION ALL SELECT doc_id, label, 0.5 FROM base)
+  GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+  last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+  coalesce(score, 0)::DOUBLE AS score
+FROM doc LEFT JOIN counted USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""
+
 ORACLES = {
+    "op13_license_scan": LICENSES,
     "op12_periodic_runs": PERIODIC,
     "op11_spelling_variants": VARIANTS,
     "op1_quality_rules": QUALITY,

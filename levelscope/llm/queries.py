@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from levelscope.llm import (
-    bpe_codec, decontamination, language_id, line_dedup, minhash_dedup, periodic_runs, quality_rules,
-    secret_scan, sharding, spelling_variants, substring_dedup, token_counts,
+    bpe_codec, decontamination, language_id, license_scan, line_dedup, minhash_dedup, periodic_runs,
+    quality_rules, secret_scan, sharding, spelling_variants, substring_dedup, token_counts,
 )
 from levelscope.llm.oracles import ORACLES
 
@@ -176,6 +176,21 @@ def periodic_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def license_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(documents(spark, sf_dir), keep=["doc_id"])
+
+    def listed(*labels):
+        return F.array_join(F.array_sort(F.array_distinct(F.concat(*labels))), ",")
+
+    starts = F.transform("base", lambda b: b.start.cast("long"))
+    base, more = (F.transform(name, lambda d: d.label) for name in ("base", "detections"))
+    return found.select(
+        "row.doc_id", "n_words", F.size("base").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        listed(base).alias("base_labels"), listed(base, more).alias("labels"), "score",
+    )
+
+
 def pipeline_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # its stages use this module
 
@@ -196,6 +211,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_secret_scan": secret_query,
         "op11_spelling_variants": variant_query,
         "op12_periodic_runs": periodic_query,
+        "op13_license_scan": license_query,
         "pipeline": pipeline_query,
     }
 
