@@ -259,7 +259,7 @@ def queries() -> dict[str, Query]:
             "is_mode_fixed", "first_clear_650_ts", "fix_reason", "analysis_date_utc7", "ab_group",
         ),
         "mode_correction_shuffled": lambda s, d: correct_history(
-            raw_table(s, d), replace(CORRECTION, broadcast_bytes=-1)
+            raw_table(s, d), replace(CORRECTION, broadcast_bytes=-1, busy_share=0.02)
         ).select(
             "event_id", USER, "event_name", "event_ts", "mode_fixed", "first_clear_650_ts"
         ),

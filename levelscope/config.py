@@ -35,6 +35,12 @@ DEFAULT_EXPERIMENT_KEY = "firebase_exp_abt_22"
 #: Largest cutoff table to broadcast: measured text and row overhead, about a third of what it takes
 #: as a hash table in the driver and in every executor.
 BROADCAST_BYTES = 32 << 20
+#: Rows of the filter of users with a cutoff: 64 bits each, some 50 bytes each where it is broadcast.
+FILTER_SLOTS = 1 << 21
+#: Users that a row of the filter is meant for.
+USERS_A_SLOT = 4
+#: Share of the rows from which a user counts as busy.
+BUSY_SHARE = 1 / 2000
 
 
 def to_date(value: str | date) -> date:
@@ -62,8 +68,10 @@ class CorrectionConfig:
     mode_after: str = "sl"
     utc_offset_hours: int = 7
     broadcast_bytes: int = BROADCAST_BYTES
+    busy_share: float = BUSY_SHARE
 
     def __post_init__(self) -> None:
+        _need(0 < self.busy_share <= 1, "busy_share must be above 0, and 1 at most")
         start, stop = self.utc_bounds()
         _need(start < stop, "history_start must be before history_end")
 

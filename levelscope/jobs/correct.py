@@ -1,7 +1,8 @@
 """spark-submit levelscope/jobs/correct.py --config correction.json
 
-The JSON holds ``source`` (format, path, options), ``output_path`` and the fields of
-:class:`levelscope.config.CorrectionConfig`.
+The JSON holds ``source`` (format, path, options), ``output_path`` and, as ``correction``, the fields of
+:class:`levelscope.config.CorrectionConfig`. With ``take_over`` a run goes on from one with the same
+settings that was killed.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from levelscope.config import CorrectionConfig
 from levelscope.operators.correction import history_window, milestone_cutoffs
 from levelscope.operators.quality import refuse_null_timestamps
 from levelscope.plans.correct import correct_history
-from levelscope.session import published, use_utc
+from levelscope.session import published, run_key, use_utc
 from levelscope.sources.gates import raw_gate
 from levelscope.sources.readers import read_raw
 from levelscope.sources.sinks import write_corrected, write_cutoffs
@@ -33,7 +34,8 @@ def run(spark: SparkSession, settings: dict) -> str:
     refuse_null_timestamps(raw_gate(raw), cfg)  # before the first output
 
     # The cutoff table is an output of its own; the correction goes on from the written one.
-    with published(spark, root) as mode:
+    run = run_key({name: value for name, value in settings.items() if name != "take_over"})
+    with published(spark, root, run, settings.get("take_over", False)) as mode:
         cutoffs = milestone_cutoffs(history_window(raw, cfg), cfg)
         write_cutoffs(cutoffs, f"{root}/user_clear650_cutoffs", mode)
         written = spark.read.schema(cutoffs.schema).parquet(f"{root}/user_clear650_cutoffs")

@@ -23,7 +23,7 @@ from levelscope.operators.quality import (
 )
 from levelscope.operators.retention import maturity_windows
 from levelscope.plans.reports import levelplay_report, loss_report, prepare
-from levelscope.session import published, scratch, stage, use_utc
+from levelscope.session import published, run_key, scratch, stage, use_utc
 from levelscope.sources.gates import (
     corrected_gate,
     refuse_empty,
@@ -34,7 +34,8 @@ from levelscope.sources.readers import read_corrected
 from levelscope.sources.sinks import NOT_AVAILABLE, ROW_CAP, write_report_csv
 from levelscope.sources.staging import app_events
 
-SETTINGS = ("preset", "row_cap", "union_by_name", "whole_history")  # of the job itself
+# settings of the job itself
+SETTINGS = ("preset", "row_cap", "union_by_name", "whole_history", "take_over")
 PRESETS = {"attempt_range": ReportConfig.attempt_range, "all_levels": ReportConfig.all_levels}
 
 
@@ -95,7 +96,9 @@ def run(spark: SparkSession, source: str, target: str, settings: dict) -> dict[s
         }
         for report, _ in exports.values():
             refuse_over_cap(refuse_identity(report), row_cap)
-        with published(spark, target) as mode:
+        run_of = {name: value for name, value in settings.items() if name != "take_over"}
+        key = run_key({"input": source, "settings": run_of})
+        with published(spark, target, key, settings.get("take_over", False)) as mode:
             paths = {name: f"{target}/{name}_csv" for name in exports}
             for name, (report, keys) in exports.items():
                 write_report_csv(report, paths[name], keys, null_value, row_cap, mode)

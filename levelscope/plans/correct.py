@@ -21,11 +21,15 @@ def correct_history(
 ) -> DataFrame:
     """All app events of the history with the seven analysis columns.
 
-    ``cutoffs`` is a written cutoff table, if there is one already; else it is computed and staged.
-    No row is dropped for its timestamp: unreadable ones stop the run. Two scans of the input besides
-    that probe: a narrow one over milestone events, and the one that is written out.
+    ``cutoffs`` is a written cutoff table of the same, probed input, if there is one already; else the
+    input is probed for unreadable timestamps, which stop the run (no row is dropped for one), and the table
+    computed and staged. Scans of the input: the probe, which row groups without nulls skip, a
+    narrow one over milestone events, and that of what is written out.
     """
-    events = history_window(refuse_null_timestamps(raw_gate(raw), cfg), cfg)
+    if cutoffs is None:
+        refuse_null_timestamps(raw_gate(raw), cfg)
+    events = history_window(raw, cfg)
     if cutoffs is None:
         cutoffs = stage(milestone_cutoffs(events, cfg), "cutoffs")
-    return corrected_events(events, attach_cutoffs(events, cutoffs, cfg.broadcast_bytes), cfg)
+    joined = attach_cutoffs(events, cutoffs, cfg.broadcast_bytes, cfg.busy_share)
+    return corrected_events(events, joined, cfg)

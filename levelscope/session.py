@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
+from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -42,8 +46,9 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and go on from the written table.
 
     Cuts the lineage, survives lost executors and, being Parquet, lets every later step read only
-    the columns it needs. Shuffle files of the write, which is not run again, are freed with it. Within :func:`scratch` the folder is deleted at its end; else it belongs to
-    the cluster's scratch space and its expiry.
+    the columns it needs. Shuffle files of the write, which is not run again, are freed with it. Within
+    :func:`scratch` the folder is deleted at its end; else it belongs to the cluster's scratch space
+    and its expiry.
     """
     spark = df.sparkSession
     run = spark.sparkContext.applicationId
@@ -82,17 +87,115 @@ def scratch(spark: SparkSession) -> Iterator[None]:
 
 
 COMPLETE = "_COMPLETE"
+CLAIMS = "_owner"
+
+
+def run_key(settings: dict) -> str:
+    """A name for runs of the same job: equal settings, equal name."""
+    text = json.dumps(settings, sort_keys=True, default=str)
+    return hashlib.sha256(text.encode()).hexdigest()[:16]
+
+
+class _Outputs:
+    """The claims of runs on a folder of outputs, kept as small files in it.
+
+    Each attempt of a run has a claim of its own, ``<run>-<attempt>.open``, which nobody else ever writes. It
+    may go on only if there is no other open claim when it lists them after writing its own: of two
+    attempts at the same time each sees the other's or comes first, so that never both go on. A
+    claim whose work failed is renamed ``.broken``, one whose work ended ``.done``.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, run: str):
+        self.root, self.run = root, run
+        self.system, self.place = _file_system(spark, root)
+        self.path = spark._jvm.org.apache.hadoop.fs.Path
+        self.name = f"{run}-{uuid.uuid4().hex}"
+        self.holder = f"{spark.sparkContext.applicationId} {datetime.now(timezone.utc):%Y-%m-%d %H:%M:%S} UTC"
+
+    def _at(self, *parts: str):
+        return self.path("/".join((self.root, *parts)))
+
+    def _names(self, place) -> set[str]:
+        if not self.system.exists(place):
+            return set()
+        return {status.getPath().getName() for status in self.system.listStatus(place)}
+
+    def write_new(self, *parts: str) -> None:
+        """A small file that must not exist yet."""
+        out = self.system.create(self._at(*parts), False)
+        try:
+            out.write(bytearray(f"{self.run} {self.holder}\n".encode()))
+        finally:
+            out.close()
+
+    def claimed_by(self, name: str) -> str:
+        stream = self.system.open(self._at(CLAIMS, name))
+        try:
+            return bytes(stream.readNBytes(1000)).decode(errors="replace").strip()
+        finally:
+            stream.close()
+
+    def close(self, state: str) -> None:
+        self.system.rename(self._at(CLAIMS, f"{self.name}.open"), self._at(CLAIMS, f"{self.name}.{state}"))
+
+    def withdraw(self) -> None:
+        """Takes the claim back, and the folders if they hold nothing else."""
+        self.system.delete(self._at(CLAIMS, f"{self.name}.open"), False)
+        with suppress(Py4JJavaError):  # another attempt may use or remove them meanwhile
+            for folder in (self._at(CLAIMS), self.place):
+                if not self.system.listStatus(folder):
+                    self.system.delete(folder, False)
+
+    def claim(self, take_over: bool) -> bool:
+        """Takes the folder or raises; whether there is an earlier attempt of the same run to go on from."""
+        if COMPLETE in self._names(self.place):
+            raise ValueError(f"{self.root} already exists and is complete")
+        try:
+            self.write_new(CLAIMS, f"{self.name}.open")
+            others = self._names(self._at(CLAIMS)) - {f"{self.name}.open"}
+            ours = {name for name in others if name.startswith(f"{self.run}-")}
+            for name in sorted(others):
+                if name.endswith(".open") and not (take_over and name in ours):
+                    raise ValueError(
+                        f"{self.root} is being written by another run ({self.claimed_by(name)}); "
+                        "if that has died, start this one with take_over"
+                    )
+                if name not in ours:
+                    raise ValueError(f"{self.root} holds outputs of another run ({self.claimed_by(name)})")
+            found = self._names(self.place) - {CLAIMS}
+            if COMPLETE in found:
+                raise ValueError(f"{self.root} already exists and is complete")
+            if found and not ours:
+                raise ValueError(f"{self.root} already exists and was not written by this job: {sorted(found)}")
+        except Py4JJavaError as error:  # a claim went while it was looked at
+            self.withdraw()
+            raise ValueError(f"{self.root} is being written by another run") from error
+        except Exception:
+            self.withdraw()
+            raise
+        for name in ours:  # their attempts are over
+            self.system.delete(self._at(CLAIMS, name), False)
+        return bool(ours)
 
 
 @contextmanager
-def published(spark: SparkSession, root: str) -> Iterator[str]:
+def published(
+    spark: SparkSession, root: str, run: str = "", take_over: bool = False
+) -> Iterator[str]:
     """Several outputs below ``root`` that count only together.
 
-    Yields the write mode. What an interrupted run left is written over; a finished one, known by its
-    marker, is never touched.
+    Yields the write mode. The folder must be new or left by a failed attempt of the same ``run`` (see
+    :func:`run_key`), whose outputs are written over; a finished one, known by its marker, anything that
+    this job has not written, and the outputs of another run are refused and stay as they are. So is a
+    folder on which an attempt is at work. An attempt that was killed looks the same: ``take_over`` goes on
+    from it, if the run is the same one.
     """
-    marker = f"{root}/{COMPLETE}"
-    if exists(spark, marker):
-        raise ValueError(f"{root} already exists and is complete")
-    yield "overwrite"
-    spark.range(1).coalesce(1).write.mode("overwrite").json(marker)
+    outputs = _Outputs(spark, root, run or run_key({"root": root}))
+    again = outputs.claim(take_over)
+    try:
+        yield "overwrite" if again else "errorifexists"
+        outputs.write_new(COMPLETE)
+    except BaseException:
+        outputs.close("broken")
+        raise
+    outputs.close("done")

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from levelscope.config import ADDED_COLUMNS, CorrectionConfig
 from levelscope.operators.correction import (
-    attach_cutoffs, corrected_events, history_window, milestone_cutoffs,
+    SLOT, attach_cutoffs, busy_users, corrected_events, history_window, may_be_member, member_filter,
+    milestone_cutoffs,
 )
 from levelscope.operators.quality import refuse_null_timestamps, timestamp_audit
 from levelscope.plans.correct import correct_history
@@ -87,32 +88,115 @@ def test_correction(raw):
     assert days["2026-10-06 16:59:59"] == "2026-10-06"
 
 
-def test_shuffled_join_equals_broadcast(spark, raw):
-    """One user with most of the rows, and rows without a user, through both joins."""
-    busy = spark.range(20_000).select(
+def many_events(spark, users, hot_share=0.0, rows=60_000):
+    """Events of ``users`` users and, as a share of the rows, of one more; every 20th row has none."""
+    place = F.col("id") % 100
+    user = F.when(F.col("id") % 20 == 19, F.lit(None)).when(
+        F.pmod(F.xxhash64("id"), F.lit(100)) < 100 * hot_share, F.lit("hot")
+    ).otherwise(F.concat(F.lit("u"), F.pmod(F.xxhash64(F.lit(7), "id"), F.lit(users))))
+    return spark.range(rows).select(
         F.lit("app").alias("app_id"),
-        F.when(F.col("id") % 3 != 0, F.lit("u")).alias("user_pseudo_id"),
-        (F.lit("2026-05-01 09:00:00").cast("timestamp") + F.make_dt_interval(secs=F.col("id")))
-        .alias("event_ts"),
+        user.alias("user_pseudo_id"),
+        (F.lit("2026-05-01 09:00:00").cast("timestamp") + F.make_dt_interval(secs=F.col("id"))).alias("event_ts"),
         F.lit("level_start").alias("event_name"),
         F.lit('{"mode":"classic"}').alias("event_params"),
         F.lit('{"exp":"1"}').alias("user_properties"),
-        F.lit(7).alias("extra"),
+        place.cast("int").alias("extra"),
     )
-    events = history_window(raw.union(busy), CFG)
-    cutoffs = milestone_cutoffs(events, CFG)
+
+
+def cutoffs_of(spark, users, more=()):
+    some = spark.range(users).select(
+        F.concat(F.lit("u"), "id").alias("user_pseudo_id"),
+        F.lit("2026-05-01 12:00:00").cast("timestamp").alias("first_clear_650_ts"),
+    )
+    return some.union(spark.createDataFrame([(u, datetime(2026, 5, 1, 10)) for u in more], some.schema))
+
+
+@pytest.mark.parametrize("slots", [1 << 12, 1 << 5])  # the second is too full to be used
+def test_shuffled_join_equals_broadcast(spark, slots):
+    """A user with a third of the rows, members, others and rows without a user, through both joins."""
+    events = many_events(spark, 3000, 1 / 3)
+    cutoffs = cutoffs_of(spark, 600, ["hot"])
     near = attach_cutoffs(events, cutoffs)
-    far = attach_cutoffs(events, cutoffs, broadcast_bytes=-1)
-    plan = far._jdf.queryExecution().optimizedPlan().toString()
-    assert "strategy=broadcast" not in plan
-    # rows without a user go past the join
-    assert "isnotnull(user_pseudo_id" in plan and "isnull(user_pseudo_id" in plan
+    far = attach_cutoffs(events, cutoffs, broadcast_bytes=-1, busy_share=0.01, filter_slots=slots)
     left = corrected_events(events, near, CFG).collect()
     right = corrected_events(events, far, CFG).collect()
     assert sorted(left, key=key) == sorted(right, key=key)
     assert len(left) == events.count()
 
 
+def shuffled(df):
+    """Rows that each reducing task of the join on users reads, as the finished plan counts them."""
+    plan = df._jdf.queryExecution().executedPlan()
+    counts, todo = [], [plan]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+            continue
+        if name.endswith("QueryStage"):
+            todo.append(node.plan())
+            continue
+        if name == "Exchange" and "user_pseudo_id" in node.outputPartitioning().toString():
+            counts.append(node.metrics().apply("shuffleRecordsWritten").value())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return counts
+
+
+def test_only_members_are_shuffled(spark):
+    """Of 60,000 events those of the members move, and few others; none of a busy user."""
+    events = many_events(spark, 3000, 1 / 3)
+    cutoffs = cutoffs_of(spark, 60, ["hot"])
+    members = cutoffs.where("user_pseudo_id != 'hot'")
+    moving = events.join(members, "user_pseudo_id", "left_semi").count()
+    far = attach_cutoffs(events, cutoffs, broadcast_bytes=-1, busy_share=0.01)
+    asked = far.select("event_ts", "first_clear_650_ts", "extra")
+    assert len(asked.collect()) == 60_000
+    counts = shuffled(asked)
+    assert moving <= max(counts) <= 1.1 * moving + 100
+
+
+def test_a_busy_user_makes_no_long_task(spark):
+    """A third of the rows are one member's: the join's tasks stay even, without skew handling."""
+    events = many_events(spark, 3000, 1 / 3)
+    cutoffs = cutoffs_of(spark, 3000, ["hot"])
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        far = attach_cutoffs(events, cutoffs, broadcast_bytes=-1, busy_share=0.01)
+        sizes = [r["count"] for r in far.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert sum(sizes) == events.count()
+    assert max(sizes) <= 3 * sorted(sizes)[len(sizes) // 2]
+
+
+def test_busy_users_are_found(spark):
+    events = many_events(spark, 3000, 0.2).union(many_events(spark, 10, rows=2000))
+    known = events.where("user_pseudo_id is not null")
+    total = known.count()
+    exact = {r[0] for r in known.groupBy("user_pseudo_id").count().where(f"count >= {0.002 * total}").collect()}
+    found = {r.user for r in busy_users(events, 0.002).collect()}
+    assert {"hot", "u1"} <= exact <= found and len(found) <= 500
+    assert busy_users(events.limit(0), 0.002).collect() == []
+
+
+def test_the_filter_knows_every_member(spark):
+    cutoffs = cutoffs_of(spark, 4000, ["", "ü"])
+    bloom = member_filter(cutoffs, 1024)
+    assert bloom.count() <= 1024
+    asked = cutoffs.select("user_pseudo_id", F.lit(True).alias("member")).union(
+        spark.range(20_000).select(F.concat(F.lit("other"), "id"), F.lit(False))
+    )
+    slot = F.pmod(F.xxhash64("user_pseudo_id"), F.lit(1024))
+    said = asked.withColumn(SLOT, slot).join(bloom, SLOT, "left").withColumn("may", may_be_member())
+    rate = {r.member: r.rate for r in said.groupBy("member").agg(F.avg(F.col("may").cast("int")).alias("rate")).collect()}
+    assert rate[True] == 1.0 and rate[False] < 0.06
+
+
 def test_text_timestamps_and_payload_forms(spark, raw):
     want = sorted((key(r) for r in correct_history(raw, CFG).drop(
         "event_ts", "event_params", "user_properties").collect()))

@@ -88,15 +88,6 @@ def test_nothing_is_published_unless_all_is(spark, tmp_path):
     assert (target / "_COMPLETE").exists()
 
 
-def test_what_a_broken_run_left_is_written_over(spark, tmp_path):
-    frame(spark, base_rows()).write.parquet(str(tmp_path / "fixed"))
-    left = tmp_path / "out" / "loss_report_csv"
-    left.mkdir(parents=True)
-    (left / "part-0.csv").write_text("half a rep")
-    paths = report.run(spark, str(tmp_path / "fixed"), str(tmp_path / "out"), {"preset": "all_levels", **PERIOD})
-    assert "ab_group" in table(paths["loss_report"])[0]
-
-
 def test_staged_tables_are_deleted(spark, tmp_path):
     frame(spark, base_rows()).write.parquet(str(tmp_path / "fixed"))
     shared = Path(shared_folder(spark).removeprefix("file:")) / "levelscope" / spark.sparkContext.applicationId
