@@ -1,0 +1,134 @@
+"""Periodic runs of words, against all periods tried out."""
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+
+from levelscope.llm import periodic_runs, queries
+from levelscope.llm.texts import mix
+from tests.llm import corpus
+
+
+def plain(words) -> list[tuple[int, int, int]]:
+    """(start, period, end) of all runs of at least twice their period."""
+    found, n = {}, len(words)
+    for period in range(1, n // 2 + 1):
+        i = 0
+        while i + period < n:
+            j = i
+            while j + period < n and words[j] == words[j + period]:
+                j += 1
+            if j - i >= period:
+                found.setdefault((i, j + period), period)  # the smallest comes first
+            i = max(j, i + 1)
+    return sorted((start, period, end) for (start, end), period in found.items())
+
+
+def runs_of(texts):
+    flat = np.array([c for text in texts for c in text], np.uint64)
+    bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+    string = periodic_runs.Symbols(mix(flat + np.uint64(7)), bounds)
+    out = [[] for _ in texts]
+    for start, end, period in zip(*(x.tolist() for x in periodic_runs.runs_of(string))):
+        doc = int(np.searchsorted(string.starts, start, "right")) - 1
+        first = int(string.starts[doc])
+        out[doc].append((start - first, period, end - first))
+    return [sorted(o) for o in out]
+
+
+def fibonacci(n):
+    a, b = [0], [0, 1]
+    while len(b) < n:
+        a, b = b, b + a
+    return b[:n]
+
+
+def made(rng):
+    kind, n = rng.randrange(5), rng.choice([0, 1, 5, 30, 120, 260])
+    if kind == 0:
+        return [rng.randrange(rng.choice([1, 2, 3])) for _ in range(n)]
+    if kind == 1:  # a long period with noise
+        unit = [rng.randrange(4) for _ in range(rng.randint(1, 60))]
+        text = [rng.randrange(4) for _ in range(5)] + (unit * 260)[:n] + [9, 8]
+        for _ in range(rng.randint(0, 2)):
+            text[rng.randrange(len(text))] = 5
+        return text
+    if kind == 2:
+        return fibonacci(n)
+    if kind == 3:  # the period of a run is periodic itself, out of step with the next
+        unit = list(range(rng.randint(1, 4)))
+        one = (unit * 100)[: rng.randint(1, 130)]
+        two = (unit * 100)[rng.randint(0, 3) :][: rng.randint(1, 130)]
+        return one + two + [7] * rng.randint(0, 1) + one + two
+    bits = [bin(i).count("1") % 2 for i in range(256)]  # no three equal parts in a row
+    return bits[: n or 200]
+
+
+def test_all_runs_are_found():
+    rng, seen = random.Random(3), 0
+    for _ in range(150):
+        texts = [made(rng) for _ in range(rng.randint(1, 6))]
+        for text, got in zip(texts, runs_of(texts)):
+            want = plain(text)
+            seen += len(want)
+            assert got == want, text
+    assert seen > 5000
+
+
+def test_a_period_made_of_small_ones():
+    """One period is 40 times "a b" and an "a": no place in it is chosen at the scale of the run."""
+    unit = [0, 1] * 40 + [0]
+    text = [5, 6] + unit + unit + [8]
+    assert runs_of([text])[0] == plain(text)
+    assert (2, len(unit), 2 + 2 * len(unit)) in runs_of([text])[0]
+
+
+def test_a_long_text():
+    unit = list(range(10, 3010))
+    text = list(range(50_000, 51_000)) + unit * 9 + unit[:17] + [1] * 5000
+    got = runs_of([text])[0]
+    assert got == [(1000, 3000, 1000 + 27017), (28017, 1, 33017)]
+
+
+def collapsed(words, runs):
+    gone = {i for start, period, end in runs for i in range(start + period, end)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def test_scan_of_texts_and_clashing_columns(spark):
+    docs = corpus.documents(spark).withColumnRenamed("hits", "runs")
+    rows = periodic_runs.scan(docs).collect()
+    assert len(rows) == len(corpus.texts())
+    for row in rows:
+        words = corpus.spaced(row.row.text)
+        runs = [r for r in plain(words) if r[2] - r[0] >= 12] if len(words) < 3000 else []
+        assert row.n_words == len(words)
+        assert [(r.start, r.period, r.start + r.length) for r in row.runs] == runs
+        assert row.collapsed_text == collapsed(words, runs)
+    assert periodic_runs.scan(corpus.empty(spark)).collect() == []
+
+
+def test_the_query_plants_periods(spark, tmp_path):
+    rows = [(i, " ".join(f"w{(7 * k) % 41}{'é' * (k % 3)}" for k in range(i % 97))) for i in range(300)]
+    rows += [(None, "x y " * 20), (11, None), (12, ""), (13, " \t\n"), (13, " \t\n"), (14, "word " * 40)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want, planted = [], 0
+    for doc_id, text in rows:
+        words = corpus.spaced(text)
+        mark, n = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1, len(words)
+        if mark % 10 == 0 and n:
+            turn = mark // 10
+            first = turn % n
+            period = 1 + (n - first) // (3 + turn % 8)
+            words = [words[i if i < first else first + (i - first) % period] for i in range(n)]
+            planted += 1
+        runs = [r for r in plain(words) if r[2] - r[0] >= 12]
+        best = max(((e - s, -s, -p) for s, p, e in runs), default=None)
+        lines = "".join(f"{s},{e - s},{p}\n" for s, p, e in runs)
+        top = (-best[1], best[0], -best[2], 1000 * best[0] // -best[2]) if best else (None,) * 4
+        digests = [hashlib.sha256(t.encode()).hexdigest() for t in (lines, collapsed(words, runs))]
+        want.append((doc_id, len(runs), *top, *digests))
+    got = [tuple(r) for r in queries.periodic_query(spark, str(tmp_path)).collect()]
+    assert planted > 10 and sorted(got, key=repr) == sorted(want, key=repr)
