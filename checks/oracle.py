@@ -7,7 +7,8 @@ where the Spark side folds rows per player first.
 from __future__ import annotations
 
 from checks.telemetry import (
-    ALL_LEVELS, CORRECTION, EXPERIMENT, MILESTONE, OTHER_HORIZONS, RANGE, UTC_REPORT,
+    ALL_LEVELS, CORRECTION, EARLY, EXPERIMENT, FAR_EAST, FAR_WEST_REPORT, MILESTONE, OTHER_HORIZONS, RANGE,
+    UTC_REPORT,
 )
 from levelscope.config import ReportConfig
 
@@ -448,6 +449,11 @@ FROM (WITH {loss_report(c, None)})""",
 SELECT event_id, event_ts FROM corrected
 WHERE event_ts >= TIMESTAMP '{UTC_REPORT.window_utc()[0]}'
   AND event_ts < TIMESTAMP '{UTC_REPORT.window_utc()[1]}'""",
+        "window_far_offset": f"""WITH {RAW}
+SELECT event_id, event_ts FROM raw
+WHERE app_id = '{CORRECTION.app_id}'
+  AND event_ts >= TIMESTAMP '{max(FAR_EAST.utc_bounds()[0], FAR_WEST_REPORT.window_utc()[0])}'
+  AND event_ts < TIMESTAMP '{min(FAR_EAST.utc_bounds()[1], FAR_WEST_REPORT.window_utc()[1])}'""",
         # normalisation and filters
         "parse_fields_cut": on(a, f"SELECT {TYPED_COLUMNS} FROM typed"),
         "parse_fields": on(c, f"SELECT {TYPED_COLUMNS} FROM typed"),
@@ -526,6 +532,9 @@ FROM (SELECT max(analysis_date_utc7) AS last_day FROM corrected),
         "non_return_d3": non_return(3),
         "non_return_d7": non_return(7),
         "non_return_censored": non_return(14),
+        "non_return_d14": on(
+            EARLY, "SELECT variant, level, total_users, users_churned, rate FROM non_return WHERE n = 14"
+        ),
         "play_days": on(
             a,
             """SELECT *, (SELECT min(s.local_date) FROM sessions s WHERE s.local_date > p.local_date
@@ -566,6 +575,10 @@ FROM raw WHERE app_id = 'app_main'""",
             "FROM corrected"
         ),
         "qa_mode_consistency": stage1(f"SELECT {bad_mode} FROM corrected"),
+        "qa_kept_modes": stage1(
+            """SELECT count(*) AS inconsistent_mode FROM corrected
+WHERE minute(event_ts) >= 30 AND event_ts > first_clear_650_ts AND mode_original = 'classic'"""
+        ),
         "qa_missing_cutoff": on(
             a,
             f"""SELECT event_name, count(*) AS classic_events_with_missing_clear650,

@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.telemetry import (
-    ALL_LEVELS, CORRECTION, OTHER_HORIZONS, RANGE, UTC_REPORT, corrected_table, raw_table,
-    written,
+    ALL_LEVELS, CORRECTION, EARLY, FAR_EAST, FAR_WEST_REPORT, OTHER_HORIZONS, RANGE, UTC_REPORT,
+    corrected_record, corrected_table, raw_table, written,
 )
-from levelscope.config import USER, ReportConfig
+from levelscope.config import USER, CorrectionConfig, ReportConfig
 from levelscope.functions.game import is_interstitial, is_rewarded
 from levelscope.functions.payload import payload_text
 from levelscope.operators import economy, funnel, loss, quality, retention
@@ -121,7 +121,7 @@ def union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
         events.where(even).drop("country").write.parquet(f"{path}/half=0")
         events.where(~even).write.parquet(f"{path}/half=1")
 
-    events = read_corrected(spark, written(spark, sf_dir, "halves", write), union_by_name=True)
+    events = read_corrected(spark, written(spark, sf_dir, "halves", write))
     return events.select("event_id", "event_name", "country")
 
 
@@ -163,9 +163,11 @@ def both_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return level.unionByName(loss)
 
 
-def _events_of_window(spark: SparkSession, sf_dir: str, cfg: ReportConfig) -> DataFrame:
+def _events_of_window(
+    spark: SparkSession, sf_dir: str, cfg: ReportConfig, made_by: CorrectionConfig = CORRECTION
+) -> DataFrame:
     """Rows of the window, found again in the corrected events by all that identifies them."""
-    events = corrected_table(spark, sf_dir)
+    events = corrected_table(spark, sf_dir, made_by)
     keys = ["app_id", USER, "event_ts", "event_name", "event_params", "user_properties"]
     found = report_window(events, cfg).select(*keys).distinct()
     same = [events[k].eqNullSafe(found[k]) for k in keys]
@@ -178,6 +180,21 @@ def _damaged(raw: DataFrame) -> DataFrame:
     return raw.withColumn("event_ts", text)
 
 
+def _not_relabelled(events: DataFrame) -> DataFrame:
+    """Corrected events as a stage 1 would leave them that misses the second half of each hour: the mode
+    is the original one, here and there written twice in the payload."""
+    missed = F.minute("event_ts") >= 30
+    first_mode = F.expr("""concat('{"mode":"bonus",', substring(event_params, 2))""")
+    return events.withColumns(
+        {
+            "mode_fixed": F.when(
+                missed & (F.col("mode_fixed") == CORRECTION.mode_after), F.get_json_object("event_params", "$.mode")
+            ).otherwise(F.col("mode_fixed")),
+            "event_params": F.when(F.minute("event_ts") % 2 == 0, first_mode).otherwise(F.col("event_params")),
+        }
+    )
+
+
 def _parsed(spark: SparkSession, sf_dir: str, cfg: ReportConfig) -> DataFrame:
     return parse_fields(_window(spark, sf_dir, cfg), cfg)
 
@@ -191,12 +208,15 @@ def _input(spark: SparkSession, sf_dir: str, cfg: ReportConfig) -> ReportInput:
 
 
 def _staged(spark: SparkSession, sf_dir: str, cfg: ReportConfig, every_event: bool = False):
-    return prepare(corrected_table(spark, sf_dir), cfg, every_event)
+    record = corrected_record(spark, sf_dir)
+    return prepare(corrected_table(spark, sf_dir), cfg, every_event, record)
 
 
-def over(cfg: ReportConfig, operator: Callable[[ReportInput], DataFrame]) -> Query:
+def over(
+    cfg: ReportConfig, operator: Callable[[ReportInput], DataFrame], every_event: bool = False
+) -> Query:
     """A single operator over the window, which is decoded and staged once."""
-    return lambda spark, sf_dir: operator(_staged(spark, sf_dir, cfg, every_event=True))
+    return lambda spark, sf_dir: operator(_staged(spark, sf_dir, cfg, every_event))
 
 
 def over_scan(cfg: ReportConfig, operator: Callable[[ReportInput], DataFrame]) -> Query:
@@ -264,6 +284,7 @@ def queries() -> dict[str, Query]:
             "event_id", USER, "event_name", "event_ts", "mode_fixed", "first_clear_650_ts"
         ),
         "window_other_offset": lambda s, d: _events_of_window(s, d, UTC_REPORT),
+        "window_far_offset": lambda s, d: _events_of_window(s, d, FAR_WEST_REPORT, FAR_EAST),
         "fix_reason_counts": lambda s, d: events_and_users(
             _correction(s, d), "fix_reason", "analysis_date_utc7"
         ),
@@ -294,7 +315,7 @@ def queries() -> dict[str, Query]:
             system_clean(normalize(_parsed(s, d, c), c), c), "event_name", "local_date"
         ),
         "cohort_filter": over(
-            a, lambda d: events_and_users(d.cohort, "variant", "event_name", "local_date")
+            a, lambda d: events_and_users(d.cohort, "variant", "event_name", "local_date"), True
         ),
         "metric_filter": over_scan(
             a, lambda d: events_and_users(d.metric, "variant", "level", "event_name")
@@ -329,6 +350,7 @@ def queries() -> dict[str, Query]:
         "non_return_d3": over(a, non_return(3)),
         "non_return_d7": over(a, non_return(7)),
         "non_return_censored": over(a, non_return(14)),
+        "non_return_d14": over(EARLY, non_return(14)),
         "play_days": over(a, lambda d: d.days),
         "latest_start": over(a, lambda d: retention.latest_start(d.days).drop("next_session")),
         "incomplete_churn_last_start": over(
@@ -363,6 +385,7 @@ def queries() -> dict[str, Query]:
         ),
         "qa_coverage": lambda s, d: quality.coverage(_app(s, d), c),
         "qa_mode_consistency": lambda s, d: quality.mode_consistency(_app(s, d), c),
-        "qa_missing_cutoff": over(a, lambda d: quality.missing_cutoffs(d.cohort, d.cfg)),
+        "qa_kept_modes": lambda s, d: quality.mode_consistency(_not_relabelled(_app(s, d)), c),
+        "qa_missing_cutoff": over(a, lambda d: quality.missing_cutoffs(d.cohort, d.cfg), True),
         "input_profile": lambda s, d: quality.input_profile(_window(s, d, c), c),
     }

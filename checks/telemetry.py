@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,6 +16,7 @@ from levelscope.config import CorrectionConfig, ReportConfig
 from levelscope.plans.correct import correct_history
 from levelscope.session import shared_folder, use_utc
 from levelscope.sources.readers import read_corrected, read_raw
+from levelscope.sources.records import Record, table_record
 from levelscope.sources.sinks import write_corrected
 
 EXPERIMENT = "exp_group"
@@ -42,8 +44,12 @@ PERIOD = dict(
 RANGE = ReportConfig.attempt_range(**PERIOD, level_min=1, level_max=4)
 ALL_LEVELS = ReportConfig.all_levels(**{**PERIOD, "versions": ()})
 OTHER_HORIZONS = ALL_LEVELS.with_(day_horizons=(1, 5), report_horizons=(5, 1))
-# a report whose days are not those that stage 1 made its folders by
+# reports whose days are not those that stage 1 made its folders by
 UTC_REPORT = ALL_LEVELS.with_(utc_offset_hours=0)
+FAR_EAST = replace(CORRECTION, utc_offset_hours=14)
+FAR_WEST_REPORT = ALL_LEVELS.with_(utc_offset_hours=-12)
+# fourteen days are observed after its first days
+EARLY = RANGE.with_(report_start="2024-01-02")
 
 IDS = (
     "event_id",
@@ -148,11 +154,18 @@ def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_raw(spark, _path(spark, sf_dir, "raw", write))
 
 
-def corrected_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def corrected_path(spark: SparkSession, sf_dir: str, cfg: CorrectionConfig = CORRECTION) -> str:
+    def write(path: str) -> None:
+        write_corrected(correct_history(raw_table(spark, sf_dir), cfg), path)
+
+    return _path(spark, sf_dir, f"raw_fixed-{cfg.utc_offset_hours}", write)
+
+
+def corrected_table(spark: SparkSession, sf_dir: str, cfg: CorrectionConfig = CORRECTION) -> DataFrame:
     """The output of stage 1: what stage 2 reads."""
+    return read_corrected(spark, corrected_path(spark, sf_dir, cfg))
 
-    def write(path: str) -> None:
-        corrected = correct_history(raw_table(spark, sf_dir), CORRECTION)
-        write_corrected(corrected, path)
 
-    return read_corrected(spark, _path(spark, sf_dir, "raw_fixed", write))
+def corrected_record(spark: SparkSession, sf_dir: str) -> Record | None:
+    """What stage 1 has recorded of its output."""
+    return table_record(spark, corrected_path(spark, sf_dir))

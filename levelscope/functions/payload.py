@@ -26,7 +26,8 @@ def check_payload_type(df: DataFrame, column: str) -> T.DataType:
 
 
 def payload_field(df: DataFrame, column: str, key: str) -> Column:
-    """One field as text. Malformed JSON and absent keys give NULL."""
+    """One field as text. Malformed JSON and absent keys give NULL. In JSON text keys are literal, and
+    the last of a repeated key counts, as in :func:`with_payload_fields`."""
     kind = check_payload_type(df, column)
     if isinstance(kind, T.MapType):
         return F.try_element_at(F.col(column), F.lit(key)).cast("string")
@@ -34,7 +35,8 @@ def payload_field(df: DataFrame, column: str, key: str) -> Column:
         if key not in kind.fieldNames():
             return F.lit(None).cast("string")
         return F.col(column).getField(key).cast("string")
-    return F.get_json_object(F.col(column), "$." + key)
+    wanted = T.StructType([T.StructField(key, T.StringType())])
+    return F.from_json(F.col(column), wanted).getField(key)
 
 
 def with_payload_fields(

@@ -31,6 +31,7 @@ from levelscope.sources.gates import (
     refuse_over_cap,
 )
 from levelscope.sources.readers import read_corrected
+from levelscope.sources.records import Record, table_record
 from levelscope.sources.sinks import NOT_AVAILABLE, ROW_CAP, write_report_csv
 from levelscope.sources.staging import app_events
 
@@ -39,20 +40,24 @@ SETTINGS = ("preset", "row_cap", "union_by_name", "whole_history", "take_over")
 PRESETS = {"attempt_range": ReportConfig.attempt_range, "all_levels": ReportConfig.all_levels}
 
 
-def last_day(corrected, cfg: ReportConfig):
-    """The last local day of the app's events; with date folders only the last ones are read."""
+def last_day(corrected, cfg: ReportConfig, record: Record | None = None):
+    """The last local day of the app's events: as recorded, or else read; with date folders only
+    the last ones are looked at."""
+    last = record.last_event(cfg.app_id) if record else None
+    if last is not None:
+        return (last + timedelta(hours=cfg.utc_offset_hours)).date()
     by_day = "analysis_date_utc7"
     if by_day in corrected.columns and isinstance(corrected.schema[by_day].dataType, T.DateType):
         latest = corrected.agg(F.max(by_day)).first()[0]  # folder names, no columns
         if latest is not None:
-            near = corrected.where(F.col(by_day) >= latest - timedelta(days=1))
+            near = corrected.where(F.col(by_day) >= latest - timedelta(days=2))
             found = coverage(app_events(near, cfg), cfg).first()["observation_end"]
             if found is not None:
                 return found
     return coverage(app_events(corrected, cfg), cfg).first()["observation_end"]
 
 
-def report_config(corrected, settings: dict) -> ReportConfig:
+def report_config(corrected, settings: dict, record: Record | None = None) -> ReportConfig:
     fields = {k: v for k, v in settings.items() if k not in SETTINGS}
     make = PRESETS[settings.get("preset", "all_levels")]
     if "as_of_date" not in fields:
@@ -60,7 +65,7 @@ def report_config(corrected, settings: dict) -> ReportConfig:
         fields["as_of_date"] = datetime.now(local).date()
     if "observation_end" not in fields:
         anyday = make(**fields, observation_end=fields["report_end"])
-        fields["observation_end"] = observation_end(last_day(corrected, anyday), None)
+        fields["observation_end"] = observation_end(last_day(corrected, anyday, record), None)
     return make(**fields)
 
 
@@ -69,13 +74,14 @@ def run(spark: SparkSession, source: str, target: str, settings: dict) -> dict[s
     use_utc(spark)
     target = target.rstrip("/")
     row_cap = settings.get("row_cap", ROW_CAP)
-    corrected = corrected_gate(read_corrected(spark, source, settings.get("union_by_name", False)))
-    cfg = report_config(corrected, settings)
+    record = table_record(spark, source)
+    corrected = corrected_gate(read_corrected(spark, source, settings.get("union_by_name", True)))
+    cfg = report_config(corrected, settings, record)
     null_value = NOT_AVAILABLE if cfg.null_missing_ads else ""
 
     with scratch(spark):
         # with a level range, the audit of missing cutoffs counts every kind of event
-        data = prepare(corrected, cfg, every_event=cfg.level_min is not None)
+        data = prepare(corrected, cfg, every_event=cfg.level_min is not None, record=record)
         check_profile(data.profile, cfg, whole_history=settings.get("whole_history", False))
         ends = spark.createDataFrame([(to_date(cfg.observation_end),)], "observation_end date")
         maturity_windows(ends, cfg).show(truncate=False)

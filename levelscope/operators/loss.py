@@ -33,20 +33,27 @@ def loss_kinds(losses: DataFrame) -> DataFrame:
     return losses.select(F.explode(kinds).alias("loss_kind"), *losses.columns)
 
 
-def loss_distribution(losses: DataFrame) -> DataFrame:
-    """Losers, losses and the share of losers per completion bucket, for both kinds.
+def loss_distribution(losses: DataFrame, asked: tuple[str, ...] = (FIRST, ALL)) -> DataFrame:
+    """Losers, losses and the share of losers per completion bucket, for the asked kinds.
 
     Losses are folded to one row per player holding a set of buckets (one bit each) and a count for
     either kind. Counting players per bucket is then a plain sum: one narrow shuffle instead of
     eleven distinct counts.
     """
     first = F.col("attempt") == 1
-    players = losses.withColumn("bit", F.expr("shiftleft(1, bucket)")).groupBy(*PLAYER_KEYS).agg(
-        F.bit_or("bit").alias("all_buckets"),
-        F.count("*").alias("all_losses"),
-        F.bit_or(F.when(first, F.col("bit"))).alias("first_buckets"),
-        F.count(F.when(first, 1)).alias("first_losses"),
-    )
+    if asked == (FIRST,):
+        losses = losses.where(first)
+    of_kind = {ALL: F.lit(True), FIRST: first}
+    folds = [
+        fold.alias(f"{kind}_{name}")
+        for kind in asked
+        for name, fold in (
+            ("buckets", F.bit_or(F.when(of_kind[kind], F.col("bit")))),
+            ("losses", F.count(F.when(of_kind[kind], 1))),
+        )
+    ]
+    bits = losses.withColumn("bit", F.expr("shiftleft(1, bucket)"))
+    players = bits.groupBy(*PLAYER_KEYS).agg(*folds)
     kinds = F.inline(
         F.array(
             *[
@@ -55,7 +62,7 @@ def loss_distribution(losses: DataFrame) -> DataFrame:
                     F.col(f"{kind}_buckets").alias("buckets"),
                     F.col(f"{kind}_losses").alias("losses"),
                 )
-                for kind in (FIRST, ALL)
+                for kind in asked
             ]
         )
     )

@@ -25,7 +25,7 @@ from levelscope.operators.funnel import (
     dropped_players,
     level_starters,
 )
-from levelscope.operators.loss import loss_distribution, loss_with_churn, lost_turns
+from levelscope.operators.loss import ALL, FIRST, loss_distribution, loss_with_churn, lost_turns
 from levelscope.operators.normalize import CLEAN_COLUMNS, normalize, parse_fields
 from levelscope.operators.quality import bad_timestamps, profile_columns
 from levelscope.operators.retention import (
@@ -35,6 +35,7 @@ from levelscope.operators.retention import (
     play_days,
 )
 from levelscope.session import stage
+from levelscope.sources.records import Record
 from levelscope.sources.staging import only_report_events, report_window
 
 
@@ -65,12 +66,18 @@ class ReportInput:
         return play_days(self.clean, self.cfg)
 
 
-def prepare(corrected: DataFrame, cfg: ReportConfig, every_event: bool = False) -> ReportInput:
+def prepare(
+    corrected: DataFrame,
+    cfg: ReportConfig,
+    every_event: bool = False,
+    record: Record | None = None,
+) -> ReportInput:
     """Read the window once: decode, filter and stage it, and profile it in the same pass.
 
-    Every report then reads the few columns it needs from the staged table; the source is not
-    touched again, but for unreadable timestamps, which the window cannot show: they are counted over
-    all of the app's rows. ``every_event`` keeps event kinds that only the missing-cutoff audit looks at.
+    Every report then reads the few columns it needs from the staged table. Unreadable timestamps, which
+    the window cannot show, are known from the ``record`` of the table (``sources.records``); without one they are
+    counted over all of the app's rows, where row groups without nulls are passed over if timestamps are
+    no text. ``every_event`` keeps event kinds that only the missing-cutoff audit looks at.
     """
     window = report_window(corrected, cfg)
     observed = Observation("input_profile")
@@ -78,7 +85,8 @@ def prepare(corrected: DataFrame, cfg: ReportConfig, every_event: bool = False)
     events = window if every_event else only_report_events(window)
     clean = clean_events(events, cfg, lean=True).where(used_by_reports(cfg)).drop("resources")
     clean = stage(clean, "clean")
-    bad = bad_timestamps(corrected, cfg.app_id).count()
+    sure = record is not None and record.all_readable(cfg.app_id)
+    bad = 0 if sure else bad_timestamps(corrected, cfg.app_id).count()
     return ReportInput(clean, cfg, dict(observed.get) | {"invalid_timestamps": bad})
 
 
@@ -156,13 +164,11 @@ def levelplay_report(data: ReportInput) -> DataFrame:
 def loss_report(data: ReportInput, kind: str | None = None) -> DataFrame:
     """One row per variant and level with losers, for one kind or for both (column loss_kind)."""
     cfg, metric = data.cfg, data.metric
-    losses = lost_turns(data.cohort, metric, cfg)
-    if kind == "first":
-        losses = losses.where(F.col("attempt") == 1)
-    distribution = loss_distribution(losses)
+    asked = (FIRST, ALL) if kind is None else (kind,)
+    distribution = loss_distribution(lost_turns(data.cohort, metric, cfg), asked)
     churn = incomplete_churn(data.clean, metric, data.days, cfg)
     report = loss_with_churn(distribution, churn, cfg)
-    return report if kind is None else report.where(F.col("loss_kind") == kind).drop("loss_kind")
+    return report if kind is None else report.drop("loss_kind")
 
 
 LOSS_COLUMNS = (

@@ -64,13 +64,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    system, place = _file_system(spark, path)
+    system, place = file_system(spark, path)
     return system.exists(place)
 
 
@@ -82,7 +82,7 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         for path in _scopes.pop():
-            system, place = _file_system(spark, path)
+            system, place = file_system(spark, path)
             system.delete(place, True)
 
 
@@ -107,7 +107,7 @@ class _Outputs:
 
     def __init__(self, spark: SparkSession, root: str, run: str):
         self.root, self.run = root, run
-        self.system, self.place = _file_system(spark, root)
+        self.system, self.place = file_system(spark, root)
         self.path = spark._jvm.org.apache.hadoop.fs.Path
         self.name = f"{run}-{uuid.uuid4().hex}"
         self.holder = f"{spark.sparkContext.applicationId} {datetime.now(timezone.utc):%Y-%m-%d %H:%M:%S} UTC"

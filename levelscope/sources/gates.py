@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 from levelscope.config import ADDED_COLUMNS, CORRECTED_COLUMNS, PAYLOAD_COLUMNS, RAW_COLUMNS, USER
 from levelscope.functions.payload import check_payload_type
 
+PARSED_TIME = "_event_ts_utc"  # fixed value: another column of corrected exports
+
 
 def require_columns(df: DataFrame, required: Iterable[str]) -> DataFrame:
     missing = sorted(set(required) - set(df.columns))
@@ -20,7 +22,7 @@ def require_columns(df: DataFrame, required: Iterable[str]) -> DataFrame:
 
 def refuse_corrected(df: DataFrame) -> DataFrame:
     """Stage 1 must start from original events, not from its own output."""
-    present = [name for name in ADDED_COLUMNS if name in df.columns]
+    present = [name for name in (*ADDED_COLUMNS, PARSED_TIME) if name in df.columns]
     if present:
         raise ValueError("input is already corrected, it has " + ", ".join(present))
     return df

@@ -6,6 +6,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from levelscope.sources.records import table_record
+
 FORMATS = ("parquet", "orc", "delta", "json", "csv")
 # The CSV profile of raw exports.
 CSV_PROFILE = {
@@ -30,11 +32,15 @@ def read_raw(
     return spark.read.format(fmt).options(**settings).load(path)
 
 
-def read_corrected(spark: SparkSession, path: str, union_by_name: bool = False) -> DataFrame:
+def read_corrected(spark: SparkSession, path: str, union_by_name: bool = True) -> DataFrame:
     """Corrected events from a folder, a file or a glob.
 
-    With ``union_by_name`` files may have different columns; this reads every file footer, so it is
-    off unless asked for. Date folders written by stage 1 come
+    Files may have different columns, which are united by name. Tables that stage 1 has written carry a record of
+    their columns; of others every file footer is read, by a job of its own, unless ``union_by_name`` is
+    off: then the columns are those of one file. Date folders written by stage 1 come
     back as the partition column ``analysis_date_utc7``.
     """
+    record = table_record(spark, path) if union_by_name else None
+    if record:
+        return spark.read.schema(record.schema).parquet(path)
     return spark.read.option("mergeSchema", str(union_by_name).lower()).parquet(path)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 
 from levelscope.sources.gates import refuse_identity, refuse_over_cap
+from levelscope.sources.records import facts, write_record
 
 ROW_CAP = 20_000  # fixed value: default bound of a report
 NOT_AVAILABLE = "N/A"
@@ -13,15 +14,18 @@ NOT_AVAILABLE = "N/A"
 def write_corrected(
     df: DataFrame, path: str, rebalance: bool = True, mode: str = "errorifexists"
 ) -> None:
-    """One folder per local day.
+    """One folder per local day, and a record of what was written (``sources.records``).
 
     ``rebalance`` adds a shuffle that gathers each day into well-sized files, splitting days that
     are too big. Without it every task writes a file per day it meets; leave it out only if the
     input is already stored by time.
     """
     day = "analysis_date_utc7"
-    out = df.hint("rebalance", day) if rebalance else df
+    observed, asked = Observation("written"), facts(df)
+    out = df.observe(observed, *asked) if asked else df
+    out = out.hint("rebalance", day) if rebalance else out
     out.write.mode(mode).partitionBy(day).parquet(path)
+    write_record(df.sparkSession, path, df.schema, observed.get if asked else {})
 
 
 def write_cutoffs(cutoffs: DataFrame, path: str, mode: str = "errorifexists") -> None:

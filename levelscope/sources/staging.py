@@ -34,14 +34,14 @@ def report_window(df: DataFrame, cfg: ReportConfig) -> DataFrame:
     """App events from report start to the end of observation.
 
     The bounds sit on the bare ``event_ts``, so they reach the Parquet scan. Date folders of
-    stage 1 are pruned as well, with a day to spare on either side: they were cut by the offset
-    of stage 1, which may differ from the report's.
+    stage 1 are pruned as well, with two days to spare on either side: they were cut by the offset
+    of stage 1, which may differ from the report's by up to 26 hours.
     """
     start, stop = cfg.window_utc()
     events = df
     by_day = "analysis_date_utc7"
     if by_day in df.columns and isinstance(df.schema[by_day].dataType, T.DateType):
-        spare = timedelta(days=1)
+        spare = timedelta(days=2)
         last_day = max(cfg.report_end, cfg.observation_end) + spare
         events = events.where(F.col(by_day).between(cfg.report_start - spare, last_day))
     events = app_events(events, cfg)

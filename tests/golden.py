@@ -9,12 +9,13 @@ is past the milestone.
 from __future__ import annotations
 
 import json
-from datetime import datetime
+from datetime import date, datetime, time, timedelta
+from itertools import product
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from levelscope.config import ReportConfig
+from levelscope.config import REPORT_EVENTS, ReportConfig
 
 APP = "harbour"
 EXPERIMENT = "arm"
@@ -40,18 +41,18 @@ USER_STRUCT = "struct<level:bigint,mode:string,phase:int,arm:string>"
 
 
 class Player:
-    """Makes events of one player; each takes a day of March 2026 or a UTC time."""
+    """Makes events of one player; each takes a day of March 2026 or a time in UTC."""
 
     def __init__(self, name: str, arm: str = "1", mode: str | None = "classic", cutoff: str | None = None):
         self.name, self.arm, self.mode = name, arm, mode
         self.cutoff = datetime.fromisoformat(cutoff) if cutoff else None
 
-    def __call__(self, event: str, when: int | str, level: int = 12, state: int | None = None, **fields):
-        moment = f"2026-03-{when:02d} 05:00:00" if isinstance(when, int) else when
+    def __call__(self, event: str, when: int | datetime, level: int = 12, state: int | None = None, **fields):
+        moment = datetime(2026, 3, when, 5) if isinstance(when, int) else when
         payload = {"level": level, "mode": "classic", "phase": 1} | fields
         user = {"level": state or level, "mode": "classic", "phase": 1, EXPERIMENT: self.arm}
         return (
-            APP, self.name, datetime.fromisoformat(moment), event, json.dumps(payload),
+            APP, self.name, moment, event, json.dumps(payload),
             json.dumps(user), self.mode, self.cutoff, "2.4", "Norway", "ios",
         )
 
@@ -92,8 +93,10 @@ def economy():
         )
 
     return [
-        CRAB("level_start_turn", 9, start_count=1, coin=200, ticket=40, booster_bomb=9, use_booster_count=99),
-        EEL("level_start_turn", 9, start_count=2, coin=70),
+        GULL("level_start_turn", 11, start_count=1, coin=90, ticket=11),
+        SEAL("level_start_turn", 13, start_count=1, coin=60, booster_bomb=4, use_booster_count=3),
+        SEAL("level_start_turn", 13, start_count=1, coin=30),
+        EEL("level_start_turn", 9, start_count=3, coin=70, ticket=5),
         spent(EEL, 9, "Coin", 30),
         spent(CRAB, 9, "coin", 10),
         spent(GULL, 11, "gem", 25),
@@ -117,36 +120,45 @@ def sessions():
 
 
 def past_milestone(mode: str | None = "sl"):
-    """A player whose classic play counts as another mode since February; ``mode`` is what stage 1 gave."""
-    tern = Player("tern", "2", mode, "2026-02-01 05:00:00")
-    return [
-        tern("level_start", 10),
-        Player("tern", "2", None, "2026-02-01 05:00:00")("paid_ad_impression", 10, mode=None, ad_format="video"),
-    ]
+    """One event of every kind that reports read, by a player who passed the milestone the day before
+    the report; ``mode`` is what stage 1 made of these events, which were all classic."""
+    cutoff = datetime.combine(ALL.report_start, time()) - timedelta(days=1)
+    tern = Player("tern", "2", mode, cutoff.isoformat(" "))
+    return [tern(kind, 11, level=30, state=31, success=True, start_count=1) for kind in REPORT_EVENTS]
 
 
 def base_rows(mode_past: str | None = "sl"):
     return attempts() + economy() + sessions() + past_milestone(mode_past)
 
 
-def edge_rows():
-    """Either side of local midnight at the ends of the report and of observation."""
-    return [
-        Player("eve")("level_start", "2026-03-08 16:59:59", level=51),
-        Player("dawn")("level_start", "2026-03-08 17:00:00", level=51),
-        Player("dusk")("level_start", "2026-03-13 16:59:59", level=52),
-        Player("night")("level_start", "2026-03-13 17:00:00", level=53),
-        Player("dawn")("session_start", "2026-03-15 16:59:59"),
-        Player("gone")("session_start", "2026-03-15 17:00:00"),
-        Player("late")("session_start", "2026-03-20 05:00:00"),
-    ]
+#: What a payload column may hold besides an object with the fields.
+UNREADABLE = (None, "", " ", "{", "null", "[]", "7", '"level"', "{}", '{"level":', '{"arm":{}}')
+
+
+def unreadable_rows():
+    """An event of every kind for each pair of unreadable payloads, each by a player of its own."""
+    kinds = (*REPORT_EVENTS, "app_loading", "earn_virtual_currency")
+    out = []
+    for i, (kind, event, user) in enumerate(product(kinds, UNREADABLE, UNREADABLE)):
+        row = Player(f"unread{i}")(kind, 11)
+        out.append((*row[:4], event, user, *row[6:]))
+    return out
+
+
+def around(moments: list[datetime]) -> list[datetime]:
+    """The moments, and one microsecond before each."""
+    return [m - timedelta(microseconds=k) for m in moments for k in (0, 1)]
+
+
+def local_midnights(cfg: ReportConfig) -> list[datetime]:
+    """In UTC, the beginnings and ends of the days that bound a report."""
+    days = (cfg.report_start, cfg.report_end, cfg.observation_end)
+    ends = {day + timedelta(days=k) for day in days for k in (0, 1)}
+    return sorted(datetime.combine(d, time()) - timedelta(hours=cfg.utc_offset_hours) for d in ends)
 
 
-def noise_rows():
-    """Loading events with missing, empty and broken payloads, which no report looks at."""
-    loading = CRAB("app_loading", 9)
-    payloads = [(None, None), ("", "{bad json"), (None, "{}")]
-    return [loading[:4] + pair + loading[6:] for pair in payloads]
+def local_day(moment: datetime, cfg: ReportConfig) -> date:
+    return (moment + timedelta(hours=cfg.utc_offset_hours)).date()
 
 
 def frame(spark: SparkSession, rows) -> DataFrame:

@@ -1,10 +1,20 @@
 """Report values worked out by hand on the golden period, for both presets."""
 
+from datetime import datetime, time, timedelta
+from itertools import product
+
 import pytest
 
-from levelscope.plans.reports import LOSS_COLUMNS, levelplay_report, loss_report, prepare
+from levelscope.config import REPORT_EVENTS, SESSION_EVENTS, CorrectionConfig
+from levelscope.operators.correction import history_window
+from levelscope.operators.funnel import level_starters
+from levelscope.plans.reports import (
+    LOSS_COLUMNS, ReportInput, clean_events, levelplay_report, loss_report, prepare,
+)
+from levelscope.sources.staging import report_window
 from tests.golden import (
-    ALL, CRAB, EEL, RANGE, as_map, as_struct, base_rows, collected, edge_rows, frame, noise_rows,
+    ALL, CRAB, EEL, GULL, OTTER, RANGE, UNREADABLE, Player, around, as_map, as_struct, base_rows,
+    collected, frame, local_day, local_midnights, unreadable_rows,
 )
 
 
@@ -57,8 +67,9 @@ def test_attempts_and_economy(all_levels):
     assert twelve["completion_rate_first_attempt_pct"] == 80.0  # 90, 80, 70; not after continues
     assert twelve["coin_spend_per_user"] == 10.0  # 30 + 10 over four
     assert twelve["total_coin_spend_per_user"] == 20.0  # with 25 gems and a booster for 15
-    assert twelve["coin_balance_per_user"] == 100.0  # crab's 200 over crab and eel
-    assert twelve["total_coin_balance_per_user"] == 124.5  # 200 + 40 + 9, use_booster_count is none
+    # first attempts: 90 of the gull, 60 and 30 of the seal; the eel, at its third, only counts as a player
+    assert twelve["coin_balance_per_user"] == 60.0
+    assert twelve["total_coin_balance_per_user"] == 65.0  # 11 tickets and 4 bombs more; a count is no balance
     assert twelve["avg_booster_per_user"] == 1.5
     assert twelve["booster_usage_rate_pct"] == 25.0 and twelve["pay_rate_pct"] == 25.0
     assert thirteen["aps_avg"] == thirteen["coin_spend_per_user"] == thirteen["pay_rate_pct"] == 0.0
@@ -123,9 +134,15 @@ def test_timestamp_forms_agree(spark, all_levels, kind):
     assert reports(corrected, ALL) == all_levels
 
 
-def test_noise_changes_nothing(spark, all_levels):
-    rows = [r[:4] + (None, None) + r[6:] if r[3] == "session_start" else r for r in base_rows()]
-    assert reports(frame(spark, rows + noise_rows()), ALL) == all_levels
+def test_unreadable_payloads_change_nothing(spark, all_levels):
+    assert reports(frame(spark, base_rows() + unreadable_rows()), ALL) == all_levels
+
+
+def test_sessions_count_without_payloads(spark, all_levels):
+    """Coming back needs no payload, whatever stands in its place."""
+    pairs = iter(list(product(UNREADABLE, UNREADABLE))[::7] * 9)
+    rows = [r[:4] + next(pairs) + r[6:] if r[3] in SESSION_EVENTS else r for r in base_rows()]
+    assert reports(frame(spark, rows), ALL) == all_levels
 
 
 def test_busy_player_changes_nothing(spark, all_levels):
@@ -135,24 +152,65 @@ def test_busy_player_changes_nothing(spark, all_levels):
 
 
 def test_rows_outside_the_window_change_nothing(spark, all_levels):
-    outside = [r for r in edge_rows() if r[1] in ("eve", "gone", "late")]
-    assert reports(frame(spark, base_rows() + outside), ALL) == all_levels
+    """Every kind of event right before the report and right after observation, by known players."""
+    first, last = local_midnights(ALL)[0], local_midnights(ALL)[-1]
+    outside = (first - timedelta(microseconds=1), last, last + timedelta(days=3))
+    rows = [player(kind, moment) for player in (CRAB, EEL, GULL) for kind in REPORT_EVENTS for moment in outside]
+    assert reports(frame(spark, base_rows() + rows), ALL) == all_levels
+
+
+@pytest.mark.parametrize("offset", [7, 0, -11, 13])
+def test_the_window_ends_at_local_midnights(spark, offset):
+    """Every kind of event on both sides of every midnight that bounds a report, in any zone."""
+    cfg = ALL.with_(utc_offset_hours=offset)
+    moments = around(local_midnights(cfg))
+    rows = [Player(f"{kind} {i}")(kind, moment) for kind in REPORT_EVENTS for i, moment in enumerate(moments)]
+    inside = {r[1] for r in rows if cfg.report_start <= local_day(r[2], cfg) <= cfg.observation_end}
+    assert 0 < len(inside) < len(rows)
+    window = report_window(frame(spark, rows), cfg)
+    assert sorted(r.user_pseudo_id for r in window.collect()) == sorted(inside)
+    # starters are those of report days, however far observation goes
+    data = ReportInput(clean_events(window, cfg), cfg)
+    started = {r.user_pseudo_id for r in level_starters(data.cohort, cfg).collect()}
+    assert started == {
+        r[1] for r in rows if r[3] == "level_start" and cfg.report_start <= local_day(r[2], cfg) <= cfg.report_end
+    }
 
 
-def test_local_midnights(spark):
-    short = reports(frame(spark, base_rows() + edge_rows()), ALL)["levelplay"]
-    by_level = {r["level"]: r for r in short}
-    assert {51.0, 52.0} <= set(by_level) and 53.0 not in by_level
-    assert by_level[51.0]["user_start_count"] == 1
+@pytest.mark.parametrize("offset", [7, -11])
+def test_sessions_count_to_the_end_of_observation(spark, offset):
+    """Of players who start on the first report day, those return whose session lies on a later day
+    that is observed."""
+    cfg = ALL.with_(utc_offset_hours=offset)
+    noon = local_midnights(cfg)[0] + timedelta(hours=12)
+    moments = around(local_midnights(cfg))
+    rows = []
+    for i, (kind, moment) in enumerate(product(SESSION_EVENTS, moments)):
+        player = Player(f"p{i}")
+        rows += [player("level_start", noon), player(kind, moment)]
+    data = ReportInput(clean_events(report_window(frame(spark, rows), cfg), cfg), cfg)
+    back = {r.user_pseudo_id: r.next_session for r in data.days.where("next_session is not null").collect()}
+    days = {r[1]: local_day(r[2], cfg) for r in rows if r[3] in SESSION_EVENTS}
+    assert back == {p: d for p, d in days.items() if cfg.report_start < d <= cfg.observation_end}
+
+
+def test_the_history_ends_at_local_midnights(spark):
+    for offset in (7, 0, -11, 13):
+        cfg = CorrectionConfig("harbour", "2026-03-01", "2026-03-20", utc_offset_hours=offset)
+        first, last = cfg.utc_bounds()
+        rows = [Player(f"{i}")(kind, m) for kind in REPORT_EVENTS for i, m in enumerate(around([first, last]))]
+        got = history_window(frame(spark, rows), cfg)
+        assert {r.user_pseudo_id for r in got.collect()} == {"0", "3"}  # at the start, and just before the end
 
 
 def test_a_mature_week(spark):
-    """Observed to the 20th, every report day has seven more."""
-    cfg = ALL.with_(observation_end="2026-03-20", as_of_date="2026-03-21")
-    rows = {r["level"]: r for r in reports(frame(spark, base_rows() + edge_rows()), cfg)["levelplay"]}
+    """Observed for a week after the report, all its days have seven more; nobody else comes back."""
+    end = ALL.report_end + timedelta(days=7)
+    cfg = ALL.with_(observation_end=end, as_of_date=end + timedelta(days=1))
+    late = [OTTER("session_start", datetime.combine(end, time(12)))]
+    rows = {r["level"]: r for r in reports(frame(spark, base_rows() + late), cfg)["levelplay"]}
     assert rows[12.0]["churn_rate_d7_pct"] == 50.0  # eel and seal of four
-    assert rows[13.0]["churn_rate_d7_pct"] == 0.0
-    assert rows[51.0]["churn_rate_d7_pct"] == 0.0  # back on the sixth day
+    assert rows[13.0]["churn_rate_d7_pct"] == rows[40.0]["churn_rate_d7_pct"] == 0.0
 
 
 def test_other_horizons(spark):
