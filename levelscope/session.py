@@ -42,19 +42,20 @@ FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _scopes: list[list[str]] = []
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, outlives: bool = False) -> DataFrame:
     """Write ``df`` once and go on from the written table.
 
     Cuts the lineage, survives lost executors and, being Parquet, lets every later step read only
     the columns it needs. Shuffle files of the write, which is not run again, are freed with it. Within
-    :func:`scratch` the folder is deleted at its end; else it belongs to the cluster's scratch space
-    and its expiry.
+    :func:`scratch` the folder is deleted at its end, or at that of the next outer one if it ``outlives``
+    this one; else it belongs to the cluster's scratch space and its expiry.
     """
     spark = df.sparkSession
     run = spark.sparkContext.applicationId
     path = f"{shared_folder(spark)}/levelscope/{run}/{label}-{uuid.uuid4().hex}"
-    if _scopes:
-        _scopes[-1].append(path)
+    scopes = _scopes[:-1] if outlives else _scopes
+    if scopes:
+        scopes[-1].append(path)
     before = spark.conf.get(FREE_SHUFFLES, "false")
     spark.conf.set(FREE_SHUFFLES, "true")
     try:
