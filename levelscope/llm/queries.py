@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,9 +15,8 @@ from levelscope.llm import (
 from levelscope.llm.oracles import ORACLES
 
 #: Where the vocabulary files lie on the driver.
-TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
-BYTE_BPE = f"{TOKENIZERS}/byte_bpe_50k.json"
-WORD_BPE = f"{TOKENIZERS}/word_bpe_49k.json"
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 TOKEN_LIMIT = 512
 
 
@@ -60,9 +59,13 @@ def decontamination_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = line_dedup.removed(documents(spark, sf_dir))
+    found = line_dedup.deduplicated(documents(spark, sf_dir), keep=["doc_id", "text"])
     return found.select(
-        "doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed"
+        "row.doc_id",
+        F.size(F.split(F.coalesce("row.text", F.lit("")), "\n")).cast("long").alias("n_lines"),
+        F.size("removed").cast("long").alias("n_removed"),
+        "removed",
+        F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"),
     )
 
 

@@ -229,6 +229,17 @@ def linked(
 
     known = shared.select("key", "id").join(roots, "id", "left")
     known = known.withColumn("root", F.coalesce("root", "id"))
+    more = across(known, features, threshold, label)
+    if more.isEmpty():
+        return roots
+    return components(links.union(more), f"{label}-all")
+
+
+def across(known: DataFrame, features: DataFrame, threshold: float, label: str) -> DataFrame:
+    """Links (a, b) between items of different components, from comparing the items of each bucket.
+
+    ``known`` has the bucket ``key``, ``id`` and ``root``, the component's. Buckets within one component are passed over.
+    """
     sized = known.join(features.select("id", F.size("elements").cast("long").alias("size")), "id")
     open_keys = (
         sized.groupBy("key")
@@ -248,7 +259,126 @@ def linked(
     )
     dealt = placed.join(features, "id").select("key", "low", "high", "id", "part", "root", "elements")
     dealt = dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "id")
-    more = stage(_within_buckets(dealt, threshold), f"{label}-within")
+    return stage(_within_buckets(dealt, threshold), f"{label}-within")
+
+
+#: Of 64 one-bit minhashes, how many may differ in items that are looked at more closely. Of items
+#: with a similarity of 0.8, one bit differs with probability 0.1, and more than 20 in one pair of 10 million.
+SKETCH_APART = 20
+#: Items of a bucket whose sketches are compared pair by pair, at most.
+SKETCHED_BUCKET = 2000
+
+
+def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.bitwise_count((x ^ y).view(np.uint64))
+
+
+def _groups_of(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the groups of sorted keys begin, and the first row of each row's group."""
+    fresh = np.ones(len(key), bool)
+    fresh[1:] = key[1:] != key[:-1]
+    first = np.flatnonzero(fresh)
+    return first, np.repeat(first, np.diff(np.append(first, len(key))))
+
+
+def _by_key(batches):
+    """Whole groups of rows sorted by ``key``, as columns of arrays, many at a time."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        key = batch.column("key").to_numpy()
+        last = int(np.searchsorted(key, key[-1]))
+        if last == 0 and len(held) > 1 and held[0].column("key")[0].as_py() == key[-1]:
+            continue  # the group goes on
+        table = pa.Table.from_batches([*held[:-1], batch.slice(0, last)])
+        if table.num_rows and key[-1] != table.column("key")[-1].as_py():
+            yield {name: table.column(name).to_numpy() for name in table.column_names}
+            held = [batch.slice(last)]
+    if held:
+        table = pa.Table.from_batches(held)
+        yield {name: table.column(name).to_numpy() for name in table.column_names}
+
+
+def sketch_pairs(shared: DataFrame) -> DataFrame:
+    """``a`` and ``b`` of items in one bucket with like sketches: in turns, the bucket's smallest item with all that are
+    like it, and then no more of these. ``shared`` has ``key``, ``id`` and ``sketch``; fewer pairs than rows."""
+
+    def run(batches):
+        for rows in _by_key(batches):
+            key, ids, sketch = (rows[c] for c in ("key", "id", "sketch"))
+            while len(key):
+                _, lead = _groups_of(key)
+                like = _apart(sketch, sketch[lead]) <= SKETCH_APART
+                found = like & (lead != np.arange(len(key)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[lead[found]]), pa.array(ids[found])], ["a", "b"]
+                )
+                key, ids, sketch = key[~like], ids[~like], sketch[~like]
+
+    dealt = shared.select("key", "id", "sketch").repartition("key").sortWithinPartitions("key", "id")
+    return mapped(dealt, run, "a long, b long")
+
+
+def sketch_open(known: DataFrame) -> DataFrame:
+    """``key`` of the buckets that hold items of different components with like sketches, or very many items.
+    ``known`` has ``key``, ``id``, ``root`` and ``sketch``."""
+
+    def run(batches):
+        for rows in _by_key(batches):
+            key, root, sketch = (rows[c] for c in ("key", "root", "sketch"))
+            first, _ = _groups_of(key)
+            counts = np.diff(np.append(first, len(key)))
+            mixed = np.minimum.reduceat(root, first) != np.maximum.reduceat(root, first)
+            found = [key[first[mixed & (counts > SKETCHED_BUCKET)]]]
+            ask = np.repeat(mixed & (counts <= SKETCHED_BUCKET), counts)
+            key, root, sketch = key[ask], root[ask], sketch[ask]
+            while len(key):
+                first, lead = _groups_of(key)
+                like = (_apart(sketch, sketch[lead]) <= SKETCH_APART) & (root != root[lead])
+                hit = np.unique(key[like])
+                found.append(hit)
+                stay = lead != np.arange(len(key))
+                stay &= ~np.isin(key, hit)
+                key, root, sketch = key[stay], root[stay], sketch[stay]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found), pa.int64())], ["key"])
+
+    dealt = known.select("key", "id", "root", "sketch").repartition("key").sortWithinPartitions("key", "id")
+    return mapped(dealt, run, "key long")
+
+
+def linked_by_sketch(
+    buckets: DataFrame,
+    features_of: Callable[[DataFrame], DataFrame],
+    threshold: float,
+    label: str,
+) -> DataFrame:
+    """As :func:`linked`, over ``band_exchange.shared_keys``: items are compared exactly if their sketches are
+    like. The same two rounds: pairs with the leaders of buckets; then buckets that hold like items of
+    different components, or many settled ones of different components, are worked through in parts."""
+    sketches = buckets.where("key is null").select("id", "sketch").dropDuplicates(["id"])
+    pairs = buckets.where("key is not null").select("key", "id", "leader")
+    shared = stage(pairs.join(sketches, "id"), f"{label}-shared")
+    settled = shared.where("leader is not null")
+    chosen = sketch_pairs(shared.where("leader is null")).union(settled.select(F.col("leader").alias("a"), "id"))
+    chosen = stage(chosen.distinct(), f"{label}-pairs")
+    ids = chosen.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    features = stage(features_of(ids), f"{label}-features")
+    near = similar(chosen, features).where(F.col("similarity") >= threshold)
+    links = stage(near.select("a", "b"), f"{label}-first")
+    roots = components(links, f"{label}-first")
+
+    known = shared.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    busy = settled.select("key").distinct()
+    spread = known.join(busy, "key", "left_semi").groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"))
+    others = sketch_open(known.join(busy, "key", "left_anti"))
+    keys = stage(spread.where("x != y").select("key").union(others).distinct(), f"{label}-keys")
+    if keys.isEmpty():
+        return roots
+    rest = stage(known.join(keys, "key", "left_semi").select("key", "id", "root"), f"{label}-rest")
+    wanted = features_of(rest.select("id").distinct())
+    more = across(rest, stage(wanted, f"{label}-wanted"), threshold, label)
     if more.isEmpty():
         return roots
     return components(links.union(more), f"{label}-all")
