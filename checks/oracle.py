@@ -417,6 +417,10 @@ def statements() -> dict[str, str]:
             "SELECT event_id, user_pseudo_id, event_name, event_ts, mode_original, mode_fixed, "
             "is_mode_fixed, first_clear_650_ts, fix_reason, analysis_date_utc7, ab_group FROM corrected"
         ),
+        "mode_correction_increments": stage1(
+            "SELECT event_id, user_pseudo_id, event_name, event_ts, mode_original, mode_fixed, "
+            "is_mode_fixed, first_clear_650_ts, fix_reason, analysis_date_utc7, ab_group FROM corrected"
+        ),
         "mode_correction_shuffled": stage1(
             "SELECT event_id, user_pseudo_id, event_name, event_ts, mode_fixed, first_clear_650_ts "
             "FROM corrected"

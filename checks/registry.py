@@ -22,6 +22,7 @@ from levelscope.operators.correction import history_window, milestone_cutoffs
 from levelscope.operators.filters import system_clean
 from levelscope.operators.normalize import normalize, parse_fields
 from levelscope.plans.correct import correct_history
+from levelscope.plans.increment import increment
 from levelscope.plans.reports import (
     ReportInput,
     clean_events,
@@ -31,7 +32,7 @@ from levelscope.plans.reports import (
 )
 from levelscope.sources.gates import raw_gate
 from levelscope.sources.readers import read_corrected, read_raw
-from levelscope.sources.sinks import NOT_AVAILABLE, write_cutoffs, write_report_csv
+from levelscope.sources.sinks import NOT_AVAILABLE, write_corrected, write_cutoffs, write_report_csv
 from levelscope.sources.staging import app_events, report_window
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +63,28 @@ def _window(spark: SparkSession, sf_dir: str, cfg: ReportConfig) -> DataFrame:
     return report_window(corrected_table(spark, sf_dir), cfg)
 
 
+def in_two_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stage 1 on some of the events, and then on the rest: later ones, and late ones of earlier days."""
+    raw = raw_table(spark, sf_dir)
+    late = (F.col("event_ts") >= "2024-01-12") | (F.col("event_id") % 7 == 3)
+
+    def write_first(path: str) -> None:
+        events = raw.where(~late)
+        cutoffs = milestone_cutoffs(history_window(events, CORRECTION), CORRECTION)
+        write_cutoffs(cutoffs, f"{path}/cutoffs")
+        known = spark.read.parquet(f"{path}/cutoffs")
+        write_corrected(correct_history(events, CORRECTION, known), f"{path}/fixed")
+
+    first = written(spark, sf_dir, "first-increment", write_first)
+    fixed, cutoffs = read_corrected(spark, f"{first}/fixed"), spark.read.parquet(f"{first}/cutoffs")
+    change = increment(fixed, cutoffs, raw.where(late), CORRECTION)
+    untouched = fixed.where(~F.col("analysis_date_utc7").isin(*change.touched))
+    return untouched.unionByName(change.days).select(
+        "event_id", USER, "event_name", "event_ts", "mode_original", "mode_fixed", "is_mode_fixed",
+        "first_clear_650_ts", "fix_reason", "analysis_date_utc7", "ab_group",
+    )
+
+
 RAW_COLUMNS = ("event_id", USER, "event_name", "event_params", "user_properties", "country")
 CSV_WRITE = {"header": "true", "quote": '"', "escape": '"'}
 
@@ -285,6 +308,7 @@ def queries() -> dict[str, Query]:
         ),
         "window_other_offset": lambda s, d: _events_of_window(s, d, UTC_REPORT),
         "window_far_offset": lambda s, d: _events_of_window(s, d, FAR_WEST_REPORT, FAR_EAST),
+        "mode_correction_increments": in_two_increments,
         "fix_reason_counts": lambda s, d: events_and_users(
             _correction(s, d), "fix_reason", "analysis_date_utc7"
         ),

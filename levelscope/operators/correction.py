@@ -177,19 +177,21 @@ def fix_reason(cfg: CorrectionConfig) -> Column:
 
 def corrected_events(df: DataFrame, with_cutoffs: DataFrame, cfg: CorrectionConfig) -> DataFrame:
     """All columns of ``df`` in their order, then the seven analysis columns."""
-    ts = to_utc_timestamp(F.col("event_ts"), df.schema["event_ts"].dataType)
     decoded = with_payload_fields(with_cutoffs, "event_params", {"mode_original": "mode"})
     decoded = with_payload_fields(decoded, "user_properties", {"ab_group": cfg.experiment_key})
-    return (
-        decoded.withColumn("is_mode_fixed", is_mode_fixed(cfg, ts))
-        .select(
-            *df.columns,
-            "mode_original",
-            mode_fixed(cfg).alias("mode_fixed"),
-            "is_mode_fixed",
-            "first_clear_650_ts",
-            fix_reason(cfg).alias("fix_reason"),
-            local_date(ts, cfg.utc_offset_hours).alias("analysis_date_utc7"),
-            "ab_group",
-        )
+    return relabelled(decoded, df.columns, cfg)
+
+
+def relabelled(df: DataFrame, columns: list[str], cfg: CorrectionConfig) -> DataFrame:
+    """``columns`` and the seven analysis columns, by the original mode and the cutoff of each event."""
+    ts = to_utc_timestamp(F.col("event_ts"), df.schema["event_ts"].dataType)
+    return df.withColumn("is_mode_fixed", is_mode_fixed(cfg, ts)).select(
+        *columns,
+        "mode_original",
+        mode_fixed(cfg).alias("mode_fixed"),
+        "is_mode_fixed",
+        "first_clear_650_ts",
+        fix_reason(cfg).alias("fix_reason"),
+        local_date(ts, cfg.utc_offset_hours).alias("analysis_date_utc7"),
+        "ab_group",
     )

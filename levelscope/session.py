@@ -70,6 +70,11 @@ def file_system(spark: SparkSession, path: str):
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    system, place = file_system(spark, path)
+    system.delete(place, True)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     system, place = file_system(spark, path)
     return system.exists(place)
@@ -83,8 +88,7 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         for path in _scopes.pop():
-            system, place = file_system(spark, path)
-            system.delete(place, True)
+            remove(spark, path)
 
 
 COMPLETE = "_COMPLETE"
@@ -111,6 +115,7 @@ class _Outputs:
         self.system, self.place = file_system(spark, root)
         self.path = spark._jvm.org.apache.hadoop.fs.Path
         self.name = f"{run}-{uuid.uuid4().hex}"
+        self.changed = False  # what was finished before
         self.holder = f"{spark.sparkContext.applicationId} {datetime.now(timezone.utc):%Y-%m-%d %H:%M:%S} UTC"
 
     def _at(self, *parts: str):
@@ -179,6 +184,61 @@ class _Outputs:
         return bool(ours)
 
 
+    def claim_again(self, take_over: bool) -> None:
+        """Takes a finished folder to change it, or one on which the same run has failed, or raises."""
+        try:
+            self.write_new(CLAIMS, f"{self.name}.open")
+            others = self._names(self._at(CLAIMS)) - {f"{self.name}.open"}
+            ours = {name for name in others if name.startswith(f"{self.run}-")}
+            for name in sorted(others):
+                if name.endswith(".open") and not (take_over and name in ours):
+                    raise ValueError(f"{self.root} is being written by another run ({self.claimed_by(name)})")
+                if name.endswith(".broken") and name not in ours:
+                    raise ValueError(f"a run on {self.root} has failed and must be finished: {self.claimed_by(name)}")
+                if name.endswith(".done") and name in ours:
+                    raise ValueError(f"{self.root} has these changes already")
+            if COMPLETE not in self._names(self.place) and not ours:
+                raise ValueError(f"{self.root} is not complete")
+        except Py4JJavaError as error:
+            self.withdraw()
+            raise ValueError(f"{self.root} is being written by another run") from error
+        except Exception:
+            self.withdraw()
+            raise
+        self.changed = bool(ours)
+        for name in ours:
+            self.system.delete(self._at(CLAIMS, name), False)
+
+    def incomplete(self) -> None:
+        self.changed = True
+        self.system.delete(self._at(COMPLETE), False)
+
+
+@contextmanager
+def amended(
+    spark: SparkSession, root: str, run: str, take_over: bool = False
+) -> Iterator[_Outputs]:
+    """A change of finished outputs below ``root``, by one run at a time, and once by each run.
+
+    While the outputs are changed (from ``incomplete()`` on) their marker is away. A run that fails then
+    must be started again, before any other one, and must be able to do its changes twice; one that fails
+    earlier has changed nothing.
+    """
+    outputs = _Outputs(spark, root, run)
+    outputs.claim_again(take_over)
+    try:
+        yield outputs
+        if not exists(spark, f"{root}/{COMPLETE}"):
+            outputs.write_new(COMPLETE)
+    except BaseException:
+        if outputs.changed:
+            outputs.close("broken")
+        else:
+            outputs.withdraw()
+        raise
+    outputs.close("done")
+
+
 @contextmanager
 def published(
     spark: SparkSession, root: str, run: str = "", take_over: bool = False

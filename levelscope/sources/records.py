@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from levelscope.functions.payload import to_utc_timestamp
-from levelscope.session import file_system
+from levelscope.session import file_system, remove
 
 FOLDER = "_records"
 
@@ -51,6 +51,21 @@ def _folders(spark: SparkSession, path: str) -> dict[str, int]:
     return found
 
 
+def merged_facts(*observed: dict) -> dict:
+    """What several writes have observed, as of one; nothing if one has observed nothing."""
+    if not all(observed):
+        return {}
+    folds = {"unreadable": any, "first_app": min, "last_app": max, "last_ts": max}
+    values = {name: [f[name] for f in observed if f[name] is not None] for name in folds}
+    return {name: fold(values[name]) if values[name] else None for name, fold in folds.items()}
+
+
+def replace_records(spark: SparkSession, path: str, schema: T.StructType, observed: dict) -> None:
+    """One record of the table as it is now, for all that there were."""
+    remove(spark, f"{path}/{FOLDER}")
+    write_record(spark, path, schema, observed)
+
+
 def write_record(spark: SparkSession, path: str, schema: T.StructType, observed: dict) -> None:
     """The record of a table that was just written as a whole."""
     record = {"schema": json.loads(schema.json()), "folders": _folders(spark, path), "facts": observed}
@@ -70,7 +85,8 @@ class Record:
     def all_readable(self, app_id: str) -> bool:
         """Whether it is sure that no event of the app has an unreadable timestamp."""
         return bool(self.facts) and all(
-            f.get("unreadable") is False or not f["first_app"] <= app_id <= f["last_app"] for f in self.facts
+            f["unreadable"] is False or f["first_app"] is None or not f["first_app"] <= app_id <= f["last_app"]
+            for f in self.facts
         )
 
     def last_event(self, app_id: str) -> datetime | None:

@@ -28,6 +28,17 @@ def write_corrected(
     write_record(df.sparkSession, path, df.schema, observed.get if asked else {})
 
 
+def write_days(df: DataFrame, path: str) -> None:
+    """Replaces the days that ``df``, a table as :func:`write_corrected` writes it, has; other days stay. The
+    record of the table is out of date afterwards."""
+    (
+        df.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("analysis_date_utc7")
+        .parquet(path)
+    )
+
+
 def write_cutoffs(cutoffs: DataFrame, path: str, mode: str = "errorifexists") -> None:
     cutoffs.write.mode(mode).parquet(path)
 
