@@ -438,7 +438,7 @@ def statements() -> dict[str, str]:
             name: stage1("SELECT * FROM cutoffs")
             for name in (
                 "cutoffs_of_text_time", "cutoffs_of_maps", "cutoffs_of_structs",
-                "cutoffs_of_unified_text", "cutoff_table",
+                "cutoffs_of_unified_text", "cutoffs_of_variants", "cutoff_table",
             )
         },
         "corrected_union_by_name": stage1(
@@ -566,6 +566,11 @@ FROM day_levels p WHERE user_pseudo_id IS NOT NULL""",
         "loss_report_all_levels": "WITH " + loss_report(c, None),
         "levelplay_report_range": "WITH " + levelplay(a),
         "levelplay_report_all_levels": "WITH " + levelplay(c),
+        "levelplay_report_of_variants": "WITH " + levelplay(c),
+        "levelplay_report_from_facts": "WITH " + levelplay(c),
+        "levelplay_range_from_facts": "WITH " + levelplay(a),
+        "loss_report_from_facts": "WITH " + loss_report(c, None),
+        "loss_report_first_from_facts": "WITH " + loss_report(a, "first"),
         "levelplay_report_other_horizons": "WITH " + levelplay(OTHER_HORIZONS),
         "levelplay_report_event_base": "WITH " + levelplay(c.with_(ads_denominator="event")),
         # audits

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from datetime import date
 from functools import reduce
 from operator import and_
 
@@ -16,11 +17,12 @@ from checks.telemetry import (
 )
 from levelscope.config import USER, CorrectionConfig, ReportConfig
 from levelscope.functions.game import is_interstitial, is_rewarded
-from levelscope.functions.payload import payload_text
+from levelscope.functions.payload import parsed_payloads, payload_text
 from levelscope.operators import economy, funnel, loss, quality, retention
 from levelscope.operators.correction import history_window, milestone_cutoffs
 from levelscope.operators.filters import system_clean
 from levelscope.operators.normalize import normalize, parse_fields
+from levelscope.plans import facts
 from levelscope.plans.correct import correct_history
 from levelscope.plans.increment import increment
 from levelscope.plans.reports import (
@@ -32,6 +34,7 @@ from levelscope.plans.reports import (
 )
 from levelscope.sources.gates import raw_gate
 from levelscope.sources.readers import read_corrected, read_raw
+from levelscope.sources.records import table_record
 from levelscope.sources.sinks import NOT_AVAILABLE, write_corrected, write_cutoffs, write_report_csv
 from levelscope.sources.staging import app_events, report_window
 
@@ -130,6 +133,23 @@ AS_STRUCTS = payload_as(
 )
 
 
+def as_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stage 1 over payloads that were parsed before."""
+    return cutoffs_of(parsed_payloads)(spark, sf_dir)
+
+
+def over_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stage 2 over a table with parsed payloads, clustered by kind of event and user."""
+
+    def write(path: str) -> None:
+        corrected = correct_history(raw_table(spark, sf_dir), CORRECTION)
+        write_corrected(parsed_payloads(corrected), path, cluster=True)
+
+    path = written(spark, sf_dir, "variants", write)
+    data = prepare(read_corrected(spark, path), ALL_LEVELS, record=table_record(spark, path))
+    return levelplay_report(data)
+
+
 def text_again(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Map payloads, unified to JSON text, and read again."""
     return cutoffs_of(lambda raw: payload_text(AS_MAPS(raw)))(spark, sf_dir)
@@ -247,6 +267,24 @@ def over_scan(cfg: ReportConfig, operator: Callable[[ReportInput], DataFrame]) -
     return lambda spark, sf_dir: operator(_input(spark, sf_dir, cfg))
 
 
+def stored_facts(spark: SparkSession, sf_dir: str, cfg: ReportConfig) -> facts.Facts:
+    """Day by day facts of the whole history, written in two turns, the second one with a day of the first again."""
+
+    def write(path: str) -> None:
+        for first, last in ((date(2023, 12, 31), date(2024, 1, 14)), (date(2024, 1, 14), date(2024, 2, 20))):
+            days = cfg.with_(report_start=first, report_end=last, observation_end=last, strict_dates=False)
+            data = prepare(corrected_table(spark, sf_dir), days, record=corrected_record(spark, sf_dir))
+            facts.write_facts(facts.daily_facts(data.clean, cfg, first, last), path, cfg)
+
+    path = written(spark, sf_dir, f"facts-{facts.facts_key(cfg)}", write)
+    return facts.read_facts(spark, path, cfg)
+
+
+def from_facts(cfg: ReportConfig, build: Callable[[facts.Facts], DataFrame]) -> Query:
+    """A report over the stored facts, kept together by user."""
+    return lambda spark, sf_dir: build(facts.by_user(stored_facts(spark, sf_dir, cfg)))
+
+
 def report(cfg: ReportConfig, build: Callable[[ReportInput], DataFrame]) -> Query:
     """A report over the staged window."""
     return lambda spark, sf_dir: build(_staged(spark, sf_dir, cfg))
@@ -320,6 +358,8 @@ def queries() -> dict[str, Query]:
         "cutoffs_of_maps": cutoffs_of(AS_MAPS),
         "cutoffs_of_structs": cutoffs_of(AS_STRUCTS),
         "cutoffs_of_unified_text": text_again,
+        "cutoffs_of_variants": as_variants,
+        "levelplay_report_of_variants": over_variants,
         "corrected_union_by_name": union_by_name,
         "cutoff_table": cutoff_table,
         "levelplay_report_csv": report_csv(c),
@@ -400,6 +440,10 @@ def queries() -> dict[str, Query]:
             c.with_(ads_denominator="event"), levelplay_report
         ),
         "both_reports": both_reports,
+        "levelplay_report_from_facts": from_facts(c, facts.levelplay_from),
+        "levelplay_range_from_facts": from_facts(a, facts.levelplay_from),
+        "loss_report_from_facts": from_facts(c, facts.loss_from),
+        "loss_report_first_from_facts": from_facts(a, lambda f: facts.loss_from(f, "first")),
         # audits
         "qa_timestamps": lambda s, d: quality.timestamp_audit(
             raw_table(s, d), CORRECTION.app_id

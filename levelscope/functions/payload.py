@@ -1,7 +1,8 @@
 """Reading fields out of ``event_params`` / ``user_properties``.
 
-A payload is a JSON string, a map or a struct. JSON text is decoded once per row whatever the
-number of fields; maps and structs are read in place, without a detour through JSON.
+A payload is a JSON string, a variant, a map or a struct. JSON text is decoded once per row whatever the
+number of fields; the others are read in place, without a detour through JSON. A variant is JSON that
+was parsed when it was written (:func:`parsed_payloads`), so that readers do not parse it again.
 """
 
 from __future__ import annotations
@@ -17,9 +18,9 @@ STRING_MAP = "map<string,string>"
 
 def check_payload_type(df: DataFrame, column: str) -> T.DataType:
     kind = df.schema[column].dataType
-    if not isinstance(kind, (T.StringType, T.MapType, T.StructType)):
+    if not isinstance(kind, (T.StringType, T.VariantType, T.MapType, T.StructType)):
         raise ValueError(
-            f"{column} must be a JSON string, a map or a struct, not {kind.simpleString()}; "
+            f"{column} must be a JSON string, a variant, a map or a struct, not {kind.simpleString()}; "
             "turn key/value arrays into a map first"
         )
     return kind
@@ -35,10 +36,17 @@ def payload_field(df: DataFrame, column: str, key: str) -> Column:
         if key not in kind.fieldNames():
             return F.lit(None).cast("string")
         return F.col(column).getField(key).cast("string")
+    if isinstance(kind, T.VariantType):
+        return F.try_variant_get(F.col(column), _variant_path(key), "string")
     wanted = T.StructType([T.StructField(key, T.StringType())])
     return F.from_json(F.col(column), wanted).getField(key)
 
 
+def _variant_path(key: str) -> str:
+    quote = "'" if '"' in key else '"'
+    return f"$[{quote}{key}{quote}]"
+
+
 def with_payload_fields(
     df: DataFrame,
     column: str,
@@ -78,6 +86,8 @@ def payload_map(df: DataFrame, column: str) -> Column:
             for part in (F.lit(name), F.col(column).getField(name).cast("string"))
         ]
         return F.when(F.col(column).isNotNull(), F.create_map(*pairs))
+    if isinstance(kind, T.VariantType):
+        return F.try_variant_get(F.col(column), "$", STRING_MAP)
     return F.from_json(F.col(column), STRING_MAP)
 
 
@@ -93,6 +103,18 @@ def payload_text(df: DataFrame) -> DataFrame:
     return df.withColumns(changed) if changed else df
 
 
+def parsed_payloads(df: DataFrame) -> DataFrame:
+    """Payload columns of JSON text as variants. Text that is no JSON, or repeats a key in an object, becomes NULL."""
+    from levelscope.config import PAYLOAD_COLUMNS
+
+    changed = {
+        name: F.try_parse_json(name)
+        for name in PAYLOAD_COLUMNS
+        if isinstance(check_payload_type(df, name), T.StringType)
+    }
+    return df.withColumns(changed) if changed else df
+
+
 def to_double(text: Column) -> Column:
     return text.try_cast("double")
 

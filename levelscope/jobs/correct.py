@@ -10,10 +10,11 @@ from __future__ import annotations
 import argparse
 import json
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from levelscope.config import CorrectionConfig
+from levelscope.functions.payload import parsed_payloads
 from levelscope.operators.correction import history_window, milestone_cutoffs
 from levelscope.operators.quality import refuse_null_timestamps
 from levelscope.plans.correct import correct_history
@@ -25,6 +26,23 @@ from levelscope.sources.records import merged_facts, replace_records, table_reco
 from levelscope.sources.sinks import write_corrected, write_cutoffs, write_days
 
 
+def layout(settings: dict) -> dict:
+    """How the days are laid out: ``rebalance``, ``cluster``, ``row_group_bytes``."""
+    return {
+        "rebalance": settings.get("rebalance", True),
+        "cluster": settings.get("cluster", False),
+        "row_group_bytes": settings.get("row_group_bytes"),
+    }
+
+
+def with_payloads(corrected: DataFrame, settings: dict) -> DataFrame:
+    """``payloads`` is ``as_is`` or ``variant``: JSON text is then parsed once, here."""
+    kind = settings.get("payloads", "as_is")
+    if kind not in ("as_is", "variant"):
+        raise ValueError(f"payloads must be as_is or variant, not {kind}")
+    return parsed_payloads(corrected) if kind == "variant" else corrected
+
+
 def run(spark: SparkSession, settings: dict) -> str:
     """Write ``raw_fixed`` and ``user_clear650_cutoffs`` below the output path, and then the marker
     that both are complete."""
@@ -44,8 +62,7 @@ def run(spark: SparkSession, settings: dict) -> str:
         written = spark.read.schema(cutoffs.schema).parquet(f"{root}/user_clear650_cutoffs")
 
         corrected = correct_history(raw, cfg, cutoffs=written)
-        rebalance = settings.get("rebalance", True)
-        write_corrected(corrected, f"{root}/raw_fixed", rebalance, mode)
+        write_corrected(with_payloads(corrected, settings), f"{root}/raw_fixed", mode=mode, **layout(settings))
     return f"{root}/raw_fixed"
 
 
@@ -72,10 +89,10 @@ def run_increment(spark: SparkSession, settings: dict) -> str:
             record = table_record(spark, fixed_path)
             before = read_corrected(spark, fixed_path)
             cutoffs = spark.read.parquet(cutoff_path)
-            change = increment(before, cutoffs, raw, cfg)
+            change = increment(before, cutoffs, with_payloads(raw, settings), cfg)
             columns = {**{f.name: f for f in before.schema}, **{f.name: f for f in change.days.schema}}
             write_cutoffs(change.cutoffs, f"{aside}/cutoffs")
-            write_corrected(change.days, f"{aside}/days", settings.get("rebalance", True))
+            write_corrected(change.days, f"{aside}/days", **layout(settings))
             written = table_record(spark, f"{aside}/days")
             earlier = record.facts if record and record.facts else ({},)
             note = {

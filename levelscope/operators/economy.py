@@ -21,6 +21,7 @@ PLAYER_FACTS = (
     "min(if(event_name = 'level_start', local_date, NULL)) AS first_start",
     "max(if(event_name = 'level_start_turn', 1, NULL)) AS turn_started",
     "max(if(event_name = 'in_app_purchase', 1, NULL)) AS paid",
+    "max(if(event_name = 'level_end', 1, NULL)) AS ended",
     "max(if(event_name = 'level_end_turn' AND used_boosters > 0, 1, NULL)) AS used_booster",
     f"sum(if({SPENT} AND currency_name = 'coin', game_currency_value, 0)) AS coin_spend",
     f"sum(if({SPENT}, game_currency_value, 0)) AS total_coin_spend",
@@ -36,15 +37,26 @@ PLAYER_FACTS = (
 )
 
 
-def player_facts(metric: DataFrame) -> DataFrame:
-    """Metric events folded to one row per variant, level, user and winning attempt.
+def player_facts(metric: DataFrame, *more: str) -> DataFrame:
+    """Metric events folded to one row per variant, level, user and winning attempt (and ``more``).
 
     All level metrics are sums and counts over these rows, so the events are shuffled once, after
     being combined on the map side, for any number of metrics. Wins carry their attempt in the key;
     every other event of a user falls into the row without one.
     """
     won_at = F.expr(f"if({WON}, attempt, NULL) AS win_attempt")
-    return metric.groupBy(*PLAYER_KEYS, won_at).agg(*map(F.expr, PLAYER_FACTS))
+    return metric.groupBy(*PLAYER_KEYS, won_at, *more).agg(*map(F.expr, PLAYER_FACTS))
+
+
+#: How rows of ``player_facts`` are folded again; what is not named is summed.
+FOLD_AGAIN = {"first_start": F.min, "turn_started": F.max, "paid": F.max, "ended": F.max, "used_booster": F.max}
+
+
+def merged_facts(facts: DataFrame) -> DataFrame:
+    """Facts of several parts of the events, of each day for example, as those of all of them."""
+    keys = [*PLAYER_KEYS, "win_attempt"]
+    names = [text.rsplit(" AS ", 1)[1] for text in PLAYER_FACTS]
+    return facts.groupBy(*keys).agg(*[FOLD_AGAIN.get(name, F.sum)(name).alias(name) for name in names])
 
 
 # A user weighs once per attempt at which they won.

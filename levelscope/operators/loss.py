@@ -12,8 +12,8 @@ from levelscope.operators.funnel import PLAYER_KEYS
 FIRST, ALL = "first", "all"  # fixed values of loss_kind
 
 
-def lost_turns(cohort: DataFrame, metric: DataFrame, cfg: ReportConfig) -> DataFrame:
-    """Failed turn ends with a known completion and their bucket.
+def lost_turns(cohort: DataFrame, metric: DataFrame, cfg: ReportConfig, *more: str) -> DataFrame:
+    """Failed turn ends with a known completion and their bucket, with ``more`` columns if asked for.
 
     With ``loss_keep_phase`` later phases stay in as levels of their own (4.2).
     """
@@ -22,7 +22,7 @@ def lost_turns(cohort: DataFrame, metric: DataFrame, cfg: ReportConfig) -> DataF
         (F.col("event_name") == "level_end_turn")
         & (F.col("success") == "false")
         & F.col("completion").isNotNull()
-    ).select(*PLAYER_KEYS, "attempt", completion_bucket(F.col("completion")).alias("bucket"))
+    ).select(*PLAYER_KEYS, *more, "attempt", completion_bucket(F.col("completion")).alias("bucket"))
 
 
 def loss_kinds(losses: DataFrame) -> DataFrame:
@@ -33,13 +33,9 @@ def loss_kinds(losses: DataFrame) -> DataFrame:
     return losses.select(F.explode(kinds).alias("loss_kind"), *losses.columns)
 
 
-def loss_distribution(losses: DataFrame, asked: tuple[str, ...] = (FIRST, ALL)) -> DataFrame:
-    """Losers, losses and the share of losers per completion bucket, for the asked kinds.
-
-    Losses are folded to one row per player holding a set of buckets (one bit each) and a count for
-    either kind. Counting players per bucket is then a plain sum: one narrow shuffle instead of
-    eleven distinct counts.
-    """
+def loss_players(losses: DataFrame, asked: tuple[str, ...] = (FIRST, ALL), *more: str) -> DataFrame:
+    """Losses folded to one row per player (and ``more``) with a set of buckets, one bit each, and a count for
+    each of the asked kinds. Such rows can be folded again."""
     first = F.col("attempt") == 1
     if asked == (FIRST,):
         losses = losses.where(first)
@@ -53,7 +49,20 @@ def loss_distribution(losses: DataFrame, asked: tuple[str, ...] = (FIRST, ALL))
         )
     ]
     bits = losses.withColumn("bit", F.expr("shiftleft(1, bucket)"))
-    players = bits.groupBy(*PLAYER_KEYS).agg(*folds)
+    return bits.groupBy(*PLAYER_KEYS, *more).agg(*folds)
+
+
+def loss_distribution(losses: DataFrame, asked: tuple[str, ...] = (FIRST, ALL)) -> DataFrame:
+    """Losers, losses and the share of losers per completion bucket, for the asked kinds.
+
+    Counting players per bucket is a plain sum over their folded rows: one narrow shuffle instead of
+    eleven distinct counts.
+    """
+    return loss_shares(loss_players(losses, asked), asked)
+
+
+def loss_shares(players: DataFrame, asked: tuple[str, ...] = (FIRST, ALL)) -> DataFrame:
+    """The distribution from the rows of ``loss_players``."""
     kinds = F.inline(
         F.array(
             *[

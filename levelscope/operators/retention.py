@@ -83,8 +83,14 @@ def play_days(clean: DataFrame, cfg: ReportConfig) -> DataFrame:
     user has at most one row per day and variant and one for sessions, so the line stays short.
     Events without a user can neither return nor be counted and are left out.
     """
+    return laid_out(day_line(clean, cfg))
+
+
+def day_line(clean: DataFrame, cfg: ReportConfig) -> DataFrame:
+    """Per user and day: a row for each variant played, with the highest level, and one without a variant
+    if there is a session."""
     play, session = is_play(cfg), is_session(cfg)
-    line = (
+    return (
         clean.where(F.col(USER).isNotNull() & (play | session))
         .groupBy(USER, "local_date", F.when(play, F.col("variant")).alias("variant"))
         .agg(
@@ -92,16 +98,25 @@ def play_days(clean: DataFrame, cfg: ReportConfig) -> DataFrame:
             F.max(F.when(session, F.col("local_date"))).alias("session_day"),
         )
     )
+
+
+def laid_out(line: DataFrame) -> DataFrame:
+    """The play days of a ``day_line``, each with the next session day."""
+    return (
+        line.withColumn("next_session", next_session())
+        .where(F.col("level").isNotNull())
+        .select("variant", "level", USER, "local_date", "next_session")
+    )
+
+
+def next_session() -> Column:
+    """The next day with a session, of the rows of a user."""
     later = (
         Window.partitionBy(USER)
         .orderBy(F.unix_date("local_date").desc())
         .rangeBetween(Window.unboundedPreceding, -1)
     )
-    return (
-        line.withColumn("next_session", F.min("session_day").over(later))
-        .where(F.col("level").isNotNull())
-        .select("variant", "level", USER, "local_date", "next_session")
-    )
+    return F.min("session_day").over(later)
 
 
 def gone_players(days: DataFrame, cfg: ReportConfig) -> DataFrame:
@@ -178,10 +193,15 @@ def ended_levels(clean: DataFrame, cfg: ReportConfig) -> DataFrame:
     return ends.select(USER, "level").distinct()
 
 
-def _over_mature_starters(metric: DataFrame, left: DataFrame, ended_counts: bool, cfg):
+def _over_mature_starters(progress: DataFrame, left: DataFrame, ended_counts: bool, cfg):
     """Players of ``left`` (distinct), counted per level over the level's mature starters."""
+    players = align(PLAYER_KEYS, progress, left.withColumn("left", F.lit(True)))
+    return left_per_level(players, ended_counts, cfg)
+
+
+def left_per_level(players: DataFrame, ended_counts: bool, cfg: ReportConfig) -> DataFrame:
+    """The churn of each level from its players: ``first_start``, ``ended`` and whether they ``left``."""
     end = F.lit(cfg.eligible_end(LOSS_HORIZON))
-    players = align(PLAYER_KEYS, player_progress(metric), left.withColumn("left", F.lit(True)))
     lost_here = F.col("left") & ~F.coalesce("ended", F.lit(False)) if ended_counts else F.col("left")
     lost = F.count(F.when(lost_here, F.col(USER)))
     total = F.count(F.when(F.col("first_start") <= end, F.col(USER)))
@@ -199,7 +219,7 @@ def _over_mature_starters(metric: DataFrame, left: DataFrame, ended_counts: bool
 
 
 def incomplete_churn_last_start(
-    clean: DataFrame, metric: DataFrame, days: DataFrame, cfg: ReportConfig
+    progress: DataFrame, ended: DataFrame, days: DataFrame, cfg: ReportConfig
 ) -> DataFrame:
     """Users whose last start in the report was never ended and never followed by a session.
 
@@ -213,13 +233,13 @@ def incomplete_churn_last_start(
             (F.col("local_date") <= F.lit(cfg.eligible_end(LOSS_HORIZON)))
             & (back.isNull() | (back > F.lit(cfg.report_end)))
         )
-        .join(ended_levels(clean, cfg), [USER, "level"], "left_anti")
+        .join(ended, [USER, "level"], "left_anti")
         .select(*PLAYER_KEYS)
     )
-    return _over_mature_starters(metric, left, False, cfg)
+    return _over_mature_starters(progress, left, False, cfg)
 
 
-def incomplete_churn_every_day(metric: DataFrame, days: DataFrame, cfg: ReportConfig) -> DataFrame:
+def incomplete_churn_every_day(progress: DataFrame, days: DataFrame, cfg: ReportConfig) -> DataFrame:
     """Users with a mature day that ended at a level never ended there and followed by no session."""
     left = (
         days.where(
@@ -229,13 +249,14 @@ def incomplete_churn_every_day(metric: DataFrame, days: DataFrame, cfg: ReportCo
         .select(*PLAYER_KEYS)
         .distinct()
     )
-    return _over_mature_starters(metric, left, True, cfg)
+    return _over_mature_starters(progress, left, True, cfg)
 
 
 def incomplete_churn(
     clean: DataFrame, metric: DataFrame, days: DataFrame, cfg: ReportConfig
 ) -> DataFrame:
     """``(variant, level, total_users, users_churned, rate)`` in the configured definition."""
+    progress = player_progress(metric)
     if cfg.loss_churn == "last_start":
-        return incomplete_churn_last_start(clean, metric, days, cfg)
-    return incomplete_churn_every_day(metric, days, cfg)
+        return incomplete_churn_last_start(progress, ended_levels(clean, cfg), days, cfg)
+    return incomplete_churn_every_day(progress, days, cfg)

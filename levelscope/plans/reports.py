@@ -107,14 +107,24 @@ LEVELPLAY_COLUMNS = (
 
 def levelplay_report(data: ReportInput) -> DataFrame:
     """One row per variant and level that has starters."""
-    cfg, metric = data.cfg, data.metric
+    cfg = data.cfg
+    return levelplay_of(
+        player_facts(data.metric), level_starters(data.cohort, cfg), ads_players(data.clean, cfg), data.days, cfg
+    )
+
+
+def levelplay_of(
+    facts: DataFrame, starters: DataFrame, viewers: DataFrame, days: DataFrame, cfg: ReportConfig
+) -> DataFrame:
+    """The level report from the relations that it rests on: ``player_facts``, ``level_starters``, ``ads_players`` and
+    ``play_days``."""
     ads_users = F.count(F.when(F.col("ads_start"), F.col(USER))).alias("ads_users")
     merged = fold(
         LEVEL_KEYS,
-        (player_facts(metric), level_columns(cfg)),
-        (dropped_players(level_starters(data.cohort, cfg)), [drop_count()]),
-        (ads_players(data.clean, cfg).withColumn("ads_start", F.lit(True)), [ads_users]),
-        (gone_players(data.days, cfg), gone_counts(cfg)),
+        (facts, level_columns(cfg)),
+        (dropped_players(starters), [drop_count()]),
+        (viewers.withColumn("ads_start", F.lit(True)), [ads_users]),
+        (gone_players(days, cfg), gone_counts(cfg)),
     ).where(F.col("has_start"))
 
     starters = F.col("user_start_count")
@@ -167,7 +177,10 @@ def loss_report(data: ReportInput, kind: str | None = None) -> DataFrame:
     asked = (FIRST, ALL) if kind is None else (kind,)
     distribution = loss_distribution(lost_turns(data.cohort, metric, cfg), asked)
     churn = incomplete_churn(data.clean, metric, data.days, cfg)
-    report = loss_with_churn(distribution, churn, cfg)
+    return _of_kind(loss_with_churn(distribution, churn, cfg), kind)
+
+
+def _of_kind(report: DataFrame, kind: str | None) -> DataFrame:
     return report if kind is None else report.drop("loss_kind")
 
 
