@@ -1,8 +1,9 @@
 """Language identification: words first, backing off to shorter and shorter character n-grams.
 
-Training counts, over all training documents, the words of each language (a Spark group-by), and
-from these counts the character n-grams of words (of ``LONGEST`` characters down to one, with a mark
-at the word's ends). All words and all n-grams are the model; it is a table and stays one.
+The words of all documents are counted once, by language (a Spark group-by); documents that are not to be
+learned from are counted without one. From the counts come the character n-grams of the words of each language (of
+``LONGEST`` characters down to one, with a mark at the word's ends). All words and all n-grams are the
+model; it is a table and stays one.
 
 The distinct words of the documents asked about are scored once each: those of the model by a join
 with its words, the others by joins with its n-grams, of which only those reach the next shorter ones
@@ -24,9 +25,9 @@ Other columns may have any names.
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 from dataclasses import dataclass
-from math import log
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +41,8 @@ from levelscope.session import stage
 
 LETTERS = regex.compile(r"\p{L}+")
 LONGEST = 5
-#: Words counted in a task before they are handed on.
-COUNT_ENTRIES = 200_000
+#: Words, or n-grams, counted in a task before they are handed on.
+COUNT_ENTRIES = 400_000
 #: Words, and numbers of their scores, that are sent to the executors.
 HOT_WORDS = 200_000
 HOT_NUMBERS = 4_000_000
@@ -49,6 +50,26 @@ SCALE = 1 << 24
 UNKNOWN = "und"
 
 
+@lru_cache(maxsize=1)
+def _is_letter() -> np.ndarray:
+    """For each code point whether it is a letter."""
+    out = np.zeros(0x110000, bool)
+    for first, end in ((0, 0xD800), (0xE000, 0x110000)):
+        letters = "".join(LETTERS.findall("".join(map(chr, range(first, end)))))
+        out[np.frombuffer(letters.encode("utf-32-le"), np.uint32)] = True
+    return out
+
+
+def cut(texts: list[str]) -> list[list[str]]:
+    """The words of each text: runs of letters, in lower case."""
+    lower = [text.lower() for text in texts]
+    codes = np.frombuffer("\n".join(lower).encode("utf-32-le"), np.uint32)
+    ends = np.cumsum([len(text) + 1 for text in lower])[:-1] - 1
+    codes = np.where(_is_letter()[codes], codes, np.uint32(0x20))
+    codes[ends] = 0x0A
+    return [line.split() for line in codes.tobytes().decode("utf-32-le").split("\n")]
+
+
 def grams(word: str, n: int) -> list[str]:
     """The runs of ``n`` characters of a word with marks at its ends."""
     marked = f"^{word}$"
@@ -56,7 +77,7 @@ def grams(word: str, n: int) -> list[str]:
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """``lang``, ``word`` and ``n`` over all ``_text`` of the training documents."""
+    """``lang`` (or null), ``word`` and ``n`` over all ``_text``, with the ``lang`` that each is to teach."""
 
     def run(batches):
         counts: dict[str, Counter] = {}
@@ -72,8 +93,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
             )
 
         for part in (part for batch in batches for part in parts(batch)):
-            for text, lang in zip(texts_of(part), part.column("lang").to_pylist()):
-                counts.setdefault(lang, Counter()).update(LETTERS.findall(text.lower()))
+            for words, lang in zip(cut(texts_of(part)), part.column("lang").to_pylist()):
+                counts.setdefault(lang, Counter()).update(words)
                 if sum(map(len, counts.values())) > COUNT_ENTRIES:
                     yield flush()
         yield flush()
@@ -86,28 +107,47 @@ def word_counts(docs: DataFrame) -> DataFrame:
 def gram_counts(counted: DataFrame) -> DataFrame:
     """``lang``, ``size``, ``gram`` and ``n`` from word counts."""
 
+    sizes = range(1, LONGEST + 1)
+
     def run(batches):
-        for batch in batches:
-            out: Counter = Counter()
-            columns = (batch.column(c).to_pylist() for c in ("lang", "word", "n"))
-            for lang, word, n in zip(*columns):
-                for size in range(1, LONGEST + 1):
-                    for gram in grams(word, size):
-                        out[lang, size, gram] += n
-            rows = list(out)
-            yield pa.RecordBatch.from_arrays(
+        tables: dict[str, list[dict[str, int]]] = {}
+
+        def flush():
+            flat = [(lang, size, table) for lang, by in tables.items() for size, table in zip(sizes, by)]
+            counts = [len(table) for _, _, table in flat]
+            tables.clear()
+            return pa.RecordBatch.from_arrays(
                 [
-                    pa.array([r[0] for r in rows], pa.string()),
-                    pa.array([r[1] for r in rows], pa.int32()),
-                    pa.array([r[2] for r in rows], pa.string()),
-                    pa.array(list(out.values()), pa.int64()),
+                    pa.array(np.repeat(np.array([f[0] for f in flat], object), counts), pa.string()),
+                    pa.array(np.repeat([f[1] for f in flat], counts), pa.int32()),
+                    pa.array([g for _, _, table in flat for g in table], pa.string()),
+                    pa.array([n for _, _, table in flat for n in table.values()], pa.int64()),
                 ],
                 ["lang", "size", "gram", "n"],
             )
 
-    found = mapped(
-        counted.select("lang", "word", "n"), run, "lang string, size int, gram string, n long"
-    )
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("lang", "word", "n"))
+            for lang, word, n in zip(*columns):
+                by = tables.get(lang)
+                if by is None:
+                    by = tables[lang] = [defaultdict(int) for _ in sizes]
+                single = by[0]
+                for c in word:
+                    single[c] += n
+                marked = f"^{word}$"
+                for size in sizes[1:]:
+                    table = by[size - 1]
+                    for i in range(len(marked) - size + 1):
+                        table[marked[i : i + size]] += n
+            if sum(len(table) for by in tables.values() for table in by) > COUNT_ENTRIES:
+                yield flush()
+        if tables:
+            yield flush()
+
+    # the words are few bytes, but much work each: more tasks than for reading them
+    spread = counted.select("lang", "word", "n").repartition("word")
+    found = mapped(spread, run, "lang string, size int, gram string, n long")
     return found.groupBy("lang", "size", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -141,10 +181,9 @@ class Trained:
         return self.entries.where(F.col("size") == size).select("gram", F.array(*values).alias("values"))
 
 
-def trained(docs: DataFrame) -> Trained:
-    """``docs`` has ``lang`` and ``_text``."""
-    known = docs.where(F.col("lang").isNotNull() & F.col("_text").isNotNull())
-    counted = stage(word_counts(known), "words")
+def trained(counts: DataFrame) -> Trained:
+    """``counts`` is a written table of ``word_counts``."""
+    counted = counts.where(F.col("lang").isNotNull())
     sized = counted.select(
         "lang", F.lit(0).alias("size"), F.col("word").alias("gram"), "n"
     ).unionByName(gram_counts(counted))
@@ -237,8 +276,7 @@ def _sums(docs: DataFrame, scored: DataFrame, n_langs: int, hot: int) -> DataFra
         place = {name: k for k, name in enumerate(names)}
         for part in (part for batch in batches for part in parts(batch)):
             n_words, totals, rest = [], [], []
-            for text in texts_of(part):
-                words = LETTERS.findall(text.lower())
+            for words in cut(texts_of(part)):
                 known = [k for k in map(place.get, words) if k is not None]
                 n_words.append(len(words))
                 totals.append(scores[known].sum(axis=0) if known else np.zeros(n_langs, np.int64))
@@ -282,15 +320,19 @@ def predicted(
     text: str = "text",
     keep: list[str] | None = None,
     hot: int = HOT_WORDS,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Adds ``lang_pred`` and ``score`` (replacing columns of these names) to ``keep``, the columns
-    to return, all by default. ``hot`` words at most are sent to the executors."""
+    to return, all by default. ``hot`` words at most are sent to the executors. ``counts`` are the ``word_counts`` of
+    these texts, if they are known."""
     langs = model.langs
     kept = [c for c in keep or docs.columns if c not in ("lang_pred", "score")]
     rows = docs.select(F.struct(*kept).alias("_row"), F.col(text).alias("_text"))
     if not langs:
         return rows.select("_row.*", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
-    asked = word_counts(rows.select(F.lit("").alias("lang"), "_text")).select("word", "n")
+    if counts is None:
+        counts = word_counts(rows.select(F.lit("").alias("lang"), "_text"))
+    asked = counts.groupBy("word").agg(F.sum("n").alias("n"))
     scored = stage(word_scores(asked, model), "scores")
 
     def run(batches):

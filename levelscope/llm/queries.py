@@ -13,6 +13,7 @@ from levelscope.llm import (
     quality_rules, secret_scan, sharding, spelling_variants, substring_dedup, token_counts,
 )
 from levelscope.llm.oracles import ORACLES
+from levelscope.session import stage
 
 #: Where the vocabulary files lie on the driver.
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -82,10 +83,9 @@ def language_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text", "lang").withColumn(
         "held_out", F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
     )
-    model = language_id.trained(
-        docs.where(~F.col("held_out")).select("lang", F.col("text").alias("_text"))
-    )
-    found = language_id.predicted(docs, model, keep=["doc_id", "held_out"])
+    teaches = F.when(~F.col("held_out"), F.col("lang"))
+    counts = stage(language_id.word_counts(docs.select(teaches.alias("lang"), F.col("text").alias("_text"))), "words")
+    found = language_id.predicted(docs, language_id.trained(counts), keep=["doc_id", "held_out"], counts=counts)
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 

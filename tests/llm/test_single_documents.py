@@ -128,7 +128,7 @@ def test_languages_are_learned_and_told_apart(spark):
         parts = text.split()
         rows += [(100 * k + i, " ".join(parts[(i + j) % 8] for j in range(6)), lang) for i in range(20)]
     train = spark.createDataFrame(rows, "doc_id long, _text string, lang string")
-    model = language_id.trained(train)
+    model = language_id.trained(language_id.word_counts(train))
     asked = [(1, "UND nicht", "x"), (2, "que para", "x"), (3, None, "x"), (4, "12 34!", "x"), (5, "vouss", "x"), (6, "", "x")]
     got = language_id.predicted(spark.createDataFrame(asked, "doc_id long, text string, lang_pred string"), model)
     found = {r.doc_id: (r.lang_pred, r.score) for r in got.collect()}
@@ -139,7 +139,7 @@ def test_languages_are_learned_and_told_apart(spark):
 
 def test_nothing_to_learn_from_is_undetermined(spark, docs):
     nothing = spark.createDataFrame([], "doc_id long, _text string, lang string")
-    found = language_id.predicted(docs, language_id.trained(nothing))
+    found = language_id.predicted(docs, language_id.trained(language_id.word_counts(nothing)))
     assert [tuple(r) for r in found.select("lang_pred", "score").distinct().collect()] == [("und", 0.0)]
 
 
@@ -158,7 +158,9 @@ def test_every_word_of_training_counts(spark):
     rare, common = words[:20_000], words[20_000:]
     assert len(common) > 100_000
     rows = [(" ".join(common[i::50]), "en") for i in range(50)] * 2 + [(" ".join(rare[i::50]), "es") for i in range(50)]
-    model = language_id.trained(spark.createDataFrame(rows, "_text string, lang string"))
+    model = language_id.trained(
+        language_id.word_counts(spark.createDataFrame(rows, "_text string, lang string"))
+    )
     asked = spark.createDataFrame([(k, w) for k, w in enumerate(rare[:200])], "doc_id long, text string")
     assert {r.lang_pred for r in language_id.predicted(asked, model).collect()} == {"es"}
 
@@ -166,7 +168,7 @@ def test_every_word_of_training_counts(spark):
 def test_scores_are_those_of_the_whole_model_in_memory(spark, docs):
     train = docs.select("_text", F.col("text").alias("t"), F.when(F.col("doc_id") % 20 == 0, "x").otherwise("y").alias("lang"))
     train = train.where("t is not null").select(F.expr("substring(t, 1, 300)").alias("_text"), "lang")
-    model = language_id.trained(train)
+    model = language_id.trained(language_id.word_counts(train))
     tables = {
         n: {r.gram: tuple(r["values"]) for r in model.of_size(n).collect()} for n in range(language_id.LONGEST + 1)
     }
