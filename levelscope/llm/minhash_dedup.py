@@ -15,11 +15,12 @@ larger.
 Documents that agree in a band of coordinates are compared exactly (``similarity.linked``); those
 with a similarity of at least ``threshold`` are linked. Documents of the same words are one node
 from the start. A class is a component of linked documents; its id is its smallest document id, and
-of the document rows with this id one is ``kept`` (the one with the smallest row hash).
+of the document rows with this id one is ``kept`` (of those with the smallest text hash).
 
 Documents without words, null texts among them, are classes of their own and always kept; they have
 a null class id only where their own id is null. Null ids are the smallest. Repeated rows are copies
-like others: one is kept. An empty table gives an empty result. Other columns may have any names.
+like others: each has a row in the result, and one is kept; of rows that are equal in id and text, but
+not in other columns, any one. An empty table gives an empty result. Other columns may have any names and types.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from levelscope.llm.similarity import linked
@@ -220,11 +221,23 @@ def classes(
     threshold: float = 0.8,
     banding: Banding = Banding(),
 ) -> DataFrame:
-    """A row per document row: ``doc_id``, ``row_hash``, ``copies`` (rows that equal it, itself
-    included), ``class_id``, ``class_size`` and ``kept``. Equal rows are folded into one with its count.
-    """
+    """A row for each document row: ``doc_id``, ``row_hash``, ``class_id``, ``class_size`` and ``kept``,
+    which holds for one row of each class."""
+    folded = folded_classes(docs, key, text, threshold, banding)
+    each = folded.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    return each.withColumn("kept", F.col("kept") & (F.col("copy") == 1)).drop("copies", "copy")
+
+
+def _hash(text: str) -> Column:
+    return F.xxhash64(F.col(text), F.col(text).isNull())
+
+
+def folded_classes(
+    docs: DataFrame, key: str, text: str, threshold: float = 0.8, banding: Banding = Banding()
+) -> DataFrame:
+    """As :func:`classes`, with a row for rows that are equal in id and text, and ``copies``, how many they are."""
     rows = docs.select(
-        F.col(key).alias("doc_id"), F.xxhash64(F.struct("*")).alias("row_hash"), F.col(text).alias("_text")
+        F.col(key).alias("doc_id"), _hash(text).alias("row_hash"), F.col(text).alias("_text")
     )
     table = stage(sketched(rows, banding), "sketches")
     nodes = (
@@ -271,13 +284,13 @@ def classes(
     )
 
 
-def deduplicated(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """The documents without near-duplicates: of each class the kept row, once."""
-    kept = classes(docs, key, **options).where("kept").select(
+def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The documents without near-duplicates: of each class one row with the kept id and text."""
+    kept = folded_classes(docs, key, text, **options).where("kept").select(
         F.col("doc_id").alias("_d"), F.col("row_hash").alias("_h"), F.col("copies").alias("_n")
     )
     kept = stage(kept, "kept")
-    rows = docs.select(F.struct("*").alias("_row")).withColumn("_r", F.xxhash64("_row"))
+    rows = docs.select(F.struct("*").alias("_row"), _hash(text).alias("_r"))
     joined = rows.join(kept, (F.col("_r") == F.col("_h")) & F.col(f"_row.{key}").eqNullSafe(F.col("_d")))
     once = joined.where("_n = 1").select("_row")
     if not kept.where("_n > 1").isEmpty():
