@@ -27,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from levelscope.llm.texts import (
@@ -182,14 +182,30 @@ def _scan_block(rows: DataFrame, bench, span: int) -> DataFrame:
     return mapped(rows, run, schema)
 
 
-def _merged(lists: list[list[int]] | None) -> list[int]:
-    out: list[list[int]] = []
-    for a, b in sorted((h[i], h[i + 1]) for h in lists or [] for i in range(0, len(h), 2)):
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(b, out[-1][1])
-        else:
-            out.append([a, b])
-    return [x for pair in out for x in pair]
+def _merged(lists) -> Column:
+    """The spans of several lists of starts and ends as one such list: sorted, without overlaps."""
+    places = F.flatten(
+        F.transform(
+            lists,
+            lambda h: F.transform(
+                F.sequence(F.lit(0), (F.size(h) / 2).cast("int") - 1),
+                lambda i: F.struct(F.get(h, 2 * i).alias("a"), F.get(h, 2 * i + 1).alias("b")),
+            ),
+        )
+    )
+
+    def add(done, span):
+        last = F.element_at(done, -1)
+        longer = F.struct(last.a.alias("a"), F.greatest(last.b, span.b).alias("b"))
+        joins = (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1)).b >= span.a)
+        return F.when(joins, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(longer))).otherwise(
+            F.concat(done, F.array(span))
+        )
+
+    none = F.array().cast("array<struct<a:bigint,b:bigint>>")
+    spans = F.aggregate(F.array_sort(places), none, add)
+    flat = F.flatten(F.transform(spans, lambda x: F.array(x.a, x.b)))
+    return F.coalesce(flat, F.array().cast("array<bigint>"))
 
 
 def scan(
@@ -220,9 +236,10 @@ def scan(
 
     if count == 1:
         return _scan_block(rows, tables(0), span)
-    keyed = rows.select(
-        F.struct("row", F.xxhash64("row", "_text").alias("hash")).alias("row"), "_text"
-    )
+    # what is found depends on the text alone; a null one is as an empty one
+    whole = F.coalesce("_text", F.lit(""))
+    by_text = F.struct(F.xxhash64(whole).alias("x"), F.xxhash64(F.lit("again"), whole).alias("y"))
+    keyed = rows.select(F.struct("row", by_text.alias("hash")).alias("row"), "_text")
     parts = [
         _scan_block(keyed, tables(k), span).where(F.size("hits") > 0).select(
             F.col("row.hash").alias("hash"), "hits", "items"
@@ -236,13 +253,12 @@ def scan(
         F.collect_set("hits").alias("hits"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
     )
-    merge = F.udf(_merged, "array<bigint>", useArrow=False)
     counted = _scan_block(keyed, spark.sparkContext.broadcast(prepared([], span)), span)
     keyed_words = counted.select("row", "n_words", F.col("row.hash").alias("hash"))
     return keyed_words.join(hits, "hash", "left").select(
         F.col("row.row").alias("row"),
         "n_words",
-        merge("hits").alias("hits"),
+        _merged("hits").alias("hits"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
     )
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from levelscope.llm.workers import mapped
-from levelscope.session import stage
+from levelscope.session import scratch, stage
 
 #: Links that one task merges at a time before they are dealt out.
 FOREST_LINKS = 200_000
@@ -263,10 +263,12 @@ def across(known: DataFrame, features: DataFrame, threshold: float, label: str)
 
 
 #: Of 64 one-bit minhashes, how many may differ in items that are looked at more closely. Of items
-#: with a similarity of 0.8, one bit differs with probability 0.1, and more than 20 in one pair of 10 million.
+#: with a similarity of 0.8, one bit differs with probability 0.1, and more than 20 in one pair of two million.
 SKETCH_APART = 20
 #: Items of a bucket whose sketches are compared pair by pair, at most.
 SKETCHED_BUCKET = 2000
+#: Items of a bucket up to which its pairs are looked at one by one in the second round.
+FEW = 8
 
 
 def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -322,63 +324,96 @@ def sketch_pairs(shared: DataFrame) -> DataFrame:
 
 
 def sketch_open(known: DataFrame) -> DataFrame:
-    """``key`` of the buckets that hold items of different components with like sketches, or very many items.
-    ``known`` has ``key``, ``id``, ``root`` and ``sketch``."""
+    """Buckets that hold items of different components with like sketches which ``sketch_pairs`` has not
+    brought together: of those with up to ``FEW`` items the pairs ``a`` and ``b``, of others the ``key``. Those with very many
+    items count as such if they are of different components. ``known`` has ``key``, ``id``, ``root`` and ``sketch``."""
 
     def run(batches):
         for rows in _by_key(batches):
-            key, root, sketch = (rows[c] for c in ("key", "root", "sketch"))
+            key, ids, root, sketch = (rows[c] for c in ("key", "id", "root", "sketch"))
             first, _ = _groups_of(key)
             counts = np.diff(np.append(first, len(key)))
             mixed = np.minimum.reduceat(root, first) != np.maximum.reduceat(root, first)
-            found = [key[first[mixed & (counts > SKETCHED_BUCKET)]]]
-            ask = np.repeat(mixed & (counts <= SKETCHED_BUCKET), counts)
-            key, root, sketch = key[ask], root[ask], sketch[ask]
-            while len(key):
-                first, lead = _groups_of(key)
-                like = (_apart(sketch, sketch[lead]) <= SKETCH_APART) & (root != root[lead])
-                hit = np.unique(key[like])
+            found, pairs = [key[first[mixed & (counts > SKETCHED_BUCKET)]]], []
+            ask = np.repeat(mixed & (counts > 2) & (counts <= SKETCHED_BUCKET), counts)
+            few = np.repeat(counts <= FEW, counts)[ask]
+            key, ids, root, sketch = key[ask], ids[ask], root[ask], sketch[ask]
+            # the item that each one was brought together with
+            met, left = np.full(len(key), -1), np.arange(len(key))
+            while len(left):
+                lead = left[_groups_of(key[left])[1]]
+                like = _apart(sketch[left], sketch[lead]) <= SKETCH_APART
+                met[left[like]] = lead[like]
+                left = left[~like]
+            left = np.arange(len(key))
+            while len(left):
+                row_of = _groups_of(key[left])[1]
+                lead = left[row_of]
+                like = _apart(sketch[left], sketch[lead]) <= SKETCH_APART
+                like &= (root[left] != root[lead]) & (met[left] != lead)
+                pair = like & few[left]
+                pairs.append((ids[lead[pair]], ids[left[pair]]))
+                hit = np.unique(key[left[like & ~few[left]]])
                 found.append(hit)
-                stay = lead != np.arange(len(key))
-                stay &= ~np.isin(key, hit)
-                key, root, sketch = key[stay], root[stay], sketch[stay]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found), pa.int64())], ["key"])
+                left = left[(row_of != np.arange(len(left))) & ~np.isin(key[left], hit)]
+            keys = np.concatenate(found)
+            one, two = (np.concatenate([np.zeros(0, np.int64), *[p[k] for p in pairs]]) for k in (0, 1))
+            nothing = pa.nulls(len(one), pa.int64()), pa.nulls(len(keys), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.concat_arrays([pa.array(keys, pa.int64()), nothing[0]]),
+                    pa.concat_arrays([nothing[1], pa.array(one, pa.int64())]),
+                    pa.concat_arrays([nothing[1], pa.array(two, pa.int64())]),
+                ],
+                ["key", "a", "b"],
+            )
 
     dealt = known.select("key", "id", "root", "sketch").repartition("key").sortWithinPartitions("key", "id")
-    return mapped(dealt, run, "key long")
+    return mapped(dealt, run, "key long, a long, b long")
 
 
 def linked_by_sketch(
     buckets: DataFrame,
+    alike: Callable[[DataFrame], DataFrame],
     features_of: Callable[[DataFrame], DataFrame],
+    ties: DataFrame,
     threshold: float,
     label: str,
 ) -> DataFrame:
     """As :func:`linked`, over ``band_exchange.shared_keys``: items are compared exactly if their sketches are
-    like. The same two rounds: pairs with the leaders of buckets; then buckets that hold like items of
-    different components, or many settled ones of different components, are worked through in parts."""
+    like. The same two rounds: pairs with the leaders of buckets, of which ``alike`` gives those that are
+    similar; then, where a bucket holds like items of different components that have not met, these pairs if they are
+    few; other such buckets, and settled ones of different components, are worked through in parts. ``ties``
+    (a, b) name items that are one with another one; those whose ``a`` has a link count as links."""
+
+    def tied(found: DataFrame) -> DataFrame:
+        ids = found.select(F.explode(F.array("a", "b")).alias("a")).distinct()
+        return found.union(ties.join(ids, "a", "left_semi").select("a", "b"))
+
     sketches = buckets.where("key is null").select("id", "sketch").dropDuplicates(["id"])
     pairs = buckets.where("key is not null").select("key", "id", "leader")
     shared = stage(pairs.join(sketches, "id"), f"{label}-shared")
     settled = shared.where("leader is not null")
     chosen = sketch_pairs(shared.where("leader is null")).union(settled.select(F.col("leader").alias("a"), "id"))
-    chosen = stage(chosen.distinct(), f"{label}-pairs")
-    ids = chosen.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    features = stage(features_of(ids), f"{label}-features")
-    near = similar(chosen, features).where(F.col("similarity") >= threshold)
-    links = stage(near.select("a", "b"), f"{label}-first")
-    roots = components(links, f"{label}-first")
+    with scratch(shared.sparkSession):
+        chosen = stage(chosen.distinct(), f"{label}-pairs")
+        links = stage(alike(chosen), f"{label}-links")
+        links = stage(tied(links), f"{label}-first", outlives=True)
+        roots = stage(components(links, f"{label}-first"), f"{label}-roots", outlives=True)
 
     known = shared.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     busy = settled.select("key").distinct()
     spread = known.join(busy, "key", "left_semi").groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"))
-    others = sketch_open(known.join(busy, "key", "left_anti"))
-    keys = stage(spread.where("x != y").select("key").union(others).distinct(), f"{label}-keys")
+    others = stage(sketch_open(known.join(busy, "key", "left_anti")).distinct(), f"{label}-left")
+    with scratch(shared.sparkSession):
+        further = others.where("key is null").select("a", "b")
+        # the components so far as stars, which need no more turns
+        stars = roots.where("id != root").select(F.col("id").alias("a"), F.col("root").alias("b"))
+        links = stage(stars.union(tied(alike(further))), f"{label}-second", outlives=True)
+    keys = stage(spread.where("x != y").select("key").union(others.where("key is not null").select("key")).distinct(), f"{label}-keys")
     if keys.isEmpty():
-        return roots
+        return components(links, f"{label}-second")
     rest = stage(known.join(keys, "key", "left_semi").select("key", "id", "root"), f"{label}-rest")
-    wanted = features_of(rest.select("id").distinct())
-    more = across(rest, stage(wanted, f"{label}-wanted"), threshold, label)
-    if more.isEmpty():
-        return roots
-    return components(links.union(more), f"{label}-all")
+    features = stage(features_of(rest.select("id").distinct()), f"{label}-features")
+    more = across(rest, features, threshold, label)
+    return components(links.union(tied(more)), f"{label}-all")
