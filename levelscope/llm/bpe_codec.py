@@ -24,6 +24,7 @@ import json
 import unicodedata
 from array import array
 from functools import lru_cache
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -38,6 +39,7 @@ from levelscope.llm.vocabulary import byte_symbols, shipped, special_pattern
 from levelscope.llm.workers import mapped
 
 NEVER = 1 << 30
+BETWEEN = 600  # a symbol that no token has
 CACHE_ENTRIES = 150_000
 DECODE_IDS = 1 << 18
 
@@ -68,7 +70,8 @@ class Codec:
             self.made.append(self.ids[joined])
         self._index_tokens(spelled)
         self._offsets()
-        self.compatible: dict[tuple[int, int], bool] = {}
+        self.compatible: dict[int, bool] = {}
+        self.spines: tuple[dict[int, list[tuple[int, int]]], ...] = ({}, {})
         self.codes: dict[str, int] = {}
         self._reset()
 
@@ -96,17 +99,22 @@ class Codec:
         for word, token in by_word.items():
             prefixes = (by_word.get(word[:n]) for n in range(len(word) - 1, 0, -1))
             self.shorter[token] = next((p for p in prefixes if p is not None), None)
-            self.automaton.add_word(word, token)
+            self.automaton.add_word(word, (len(word) - 1, token))
         self.automaton.make_automaton()
 
     def _spine(self, token: int, side: int) -> list[tuple[int, int]]:
         """From the outermost symbol of a side up to the token: each piece, and the rank at which
         it is merged into the next."""
-        out, taken = [], NEVER
+        known = self.spines[side].get(token)
+        if known:
+            return known
+        whole, out, taken = token, [], NEVER
         while True:
             out.append((token, taken))
             if token not in self.parts:
-                return out[::-1]
+                out.reverse()
+                self.spines[side][whole] = out
+                return out
             taken = self.parts[token][2]
             token = self.parts[token][side]
 
@@ -152,29 +160,41 @@ class Codec:
             else:
                 j += 1
 
-    def encode_word(self, word: str) -> list[int]:
-        raw = word.encode()
-        symbols = raw.decode("latin-1")
+    def encode_words(self, words: list[str]) -> list[list[int]]:
+        """The ids of each of some words, which the automaton reads as one string."""
+        raw = np.frombuffer(b"\xff".join([word.encode() for word in words]), np.uint8)
+        symbols = raw.astype(np.uint16)
+        stops = np.append(np.flatnonzero(raw == 0xFF), len(raw))  # a byte that UTF-8 does not have
+        symbols[stops[:-1]] = BETWEEN
         if self.suffix:
-            symbols = symbols[:-1] + chr(raw[-1] + 256)
-        n = len(symbols)
-        longest: list[int] = [0] * n
-        best = [0] * n
+            symbols[stops - 1] += 256
+        longest: list[int] = [0] * len(raw)
+        for end, (back, token) in self.automaton.iter(symbols.tobytes().decode("utf-16-le")):
+            longest[end - back] = token  # matches come in order of their ends: a later one is longer
+        stops = stops.tolist()
+        starts = [0, *(stop + 1 for stop in stops[:-1])]
+        return [self._walk(longest, start, stop) for start, stop in zip(starts, stops)]
+
+    def encode_word(self, word: str) -> list[int]:
+        return self.encode_words([word])[0]
+
+    def _walk(self, longest: list[int], at: int, stop: int) -> list[int]:
+        """The ids of the word from ``at`` to ``stop``, by the longest token that starts at each place."""
         length, compatible = self.length, self.compatible
-        for end, token in self.automaton.iter(symbols):
-            size = length[token]
-            if size > best[end + 1 - size]:
-                best[end + 1 - size], longest[end + 1 - size] = size, token
-        alive = bytearray(b"\1" * (n + 1))
-        out: list[int] = []
-        at, token = 0, longest[0]
+        token: int | None = longest[at]
+        at += length[token]
+        out = [token]
+        if at == stop:
+            return out
+        dead: set[int] = set()
+        token = longest[at]
         while True:
             before = out[-1] if out else None
             while token is not None:
-                if alive[at + length[token]]:
+                if not dead or at + length[token] not in dead:
                     if before is None:
                         break
-                    pair = (before, token)
+                    pair = before << 32 | token
                     good = compatible.get(pair)
                     if good is None:
                         good = compatible[pair] = self.fits(before, token)
@@ -182,19 +202,18 @@ class Codec:
                         break
                 token = self.shorter[token]
             if token is None:
-                alive[at] = 0
+                dead.add(at)
                 token = out.pop()
                 at -= length[token]
                 continue
             out.append(token)
             at += length[token]
-            if at == n:
+            if at == stop:
                 return out
             token = longest[at]
 
     def _reset(self) -> None:
         self.codes.clear()
-        self.compatible.clear()
         self.flat = array("i")
         self.ends = array("q", [0])
         for text, token in self.special_ids.items():
@@ -224,15 +243,17 @@ class Codec:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the number of ids of each text."""
         found = [self.words(text) for text in texts]
-        new = set().union(*found) - self.codes.keys()
-        if len(self.codes) + len(new) > CACHE_ENTRIES or len(self.compatible) > CACHE_ENTRIES:
+        there = set().union(*found)
+        new = [word for word in there if word not in self.codes]
+        if len(self.compatible) > CACHE_ENTRIES:
+            self.compatible.clear()
+        if len(self.codes) + len(new) > CACHE_ENTRIES:
             self._reset()
-            new = set().union(*found) - self.codes.keys()
-        for word in new:
-            self._keep(word, self.encode_word(word))
+            new = [word for word in there if word not in self.codes]
+        for word, tokens in zip(new, self.encode_words(new) if new else ()):
+            self._keep(word, tokens)
         sizes = [len(words) for words in found]
-        code = self.codes.__getitem__
-        codes = np.fromiter((code(w) for words in found for w in words), np.int64, sum(sizes))
+        codes = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(found)), np.int64, sum(sizes))
         ends, flat = np.array(self.ends), np.array(self.flat)
         lengths = ends[codes + 1] - ends[codes]
         totals = np.concatenate([[0], np.cumsum(lengths)])
