@@ -40,7 +40,8 @@ from levelscope.llm.workers import mapped
 
 NEVER = 1 << 30
 BETWEEN = 600  # a symbol that no token has
-CACHE_ENTRIES = 150_000
+#: Words whose ids are kept; as many of those before them are kept until there are so many new ones again.
+CACHE_ENTRIES = 300_000
 DECODE_IDS = 1 << 18
 
 
@@ -73,6 +74,7 @@ class Codec:
         self.compatible: dict[int, bool] = {}
         self.spines: tuple[dict[int, list[tuple[int, int]]], ...] = ({}, {})
         self.codes: dict[str, int] = {}
+        self.flat, self.ends = array("i"), array("q", [0])
         self._reset()
 
     # tables
@@ -213,9 +215,10 @@ class Codec:
             token = longest[at]
 
     def _reset(self) -> None:
-        self.codes.clear()
-        self.flat = array("i")
-        self.ends = array("q", [0])
+        """Starts a new cache; the words of the last one are taken over as they come up."""
+        self.before = self.codes, self.flat, self.ends
+        self.codes = {}
+        self.flat, self.ends = array("i"), array("q", [0])
         for text, token in self.special_ids.items():
             self._keep(text, [token])
 
@@ -250,6 +253,11 @@ class Codec:
         if len(self.codes) + len(new) > CACHE_ENTRIES:
             self._reset()
             new = [word for word in there if word not in self.codes]
+        codes, flat, ends = self.before
+        for word in new:
+            if (code := codes.get(word)) is not None:
+                self._keep(word, flat[ends[code] : ends[code + 1]])
+        new = [word for word in new if word not in self.codes]
         for word, tokens in zip(new, self.encode_words(new) if new else ()):
             self._keep(word, tokens)
         sizes = [len(words) for words in found]
