@@ -41,7 +41,7 @@ from levelscope.llm.workers import mapped
 NEVER = 1 << 30
 BETWEEN = 600  # a symbol that no token has
 #: Words whose ids are kept; as many of those before them are kept until there are so many new ones again.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 100_000
 DECODE_IDS = 1 << 18
 
 
